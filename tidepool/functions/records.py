@@ -10,7 +10,7 @@ read as text first and cast afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,18 +67,10 @@ def _coerce(text: Column, type_name: str, on_bad: Column) -> Column:
             .otherwise(on_bad))
 
 
-def parse_trade(json_text: Column | str, version: str = "v1",
-                strict: bool = True) -> Column:
-    """JSON text to a trade struct.
-
-    ``strict``: malformed JSON or a non-numeric number field fails the task.
-    Tolerant: the whole record becomes NULL instead.
-    """
-    json_text = F.col(json_text) if isinstance(json_text, str) else json_text
+def _finish(raw: Column, json_text: Column, version: str, strict: bool) -> Column:
+    """The trade struct from the all-text parse ``raw`` of ``json_text``."""
     shown = F.left(json_text, F.lit(200))
     if strict:
-        schema = T.StructType(_text_schema(version).fields[:-1])
-        raw = F.from_json(json_text, schema, {"mode": "FAILFAST"})
         not_number = F.raise_error(F.concat(F.lit("trade field is not a number: "), shown))
         record = F.struct(*[_coerce(raw.getField(n), t, not_number).alias(n)
                             for n, t in layout(version)])
@@ -87,8 +79,6 @@ def parse_trade(json_text: Column | str, version: str = "v1",
         return (F.when(json_text.isNull(), F.lit(None))
                 .when(raw.isNull(), malformed)
                 .otherwise(record))
-    raw = F.from_json(json_text, _text_schema(version),
-                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     fields, valid = [], raw.isNotNull() & raw.getField(_CORRUPT).isNull()
     for name, type_name in layout(version):
         value = _coerce(raw.getField(name), type_name, F.lit(None))
@@ -98,9 +88,45 @@ def parse_trade(json_text: Column | str, version: str = "v1",
     return F.when(valid, F.struct(*fields))
 
 
-def parse_trade_bytes(value: Column | str, version: str = "v1", strict: bool = True) -> Column:
-    """P3/P4 over byte records (P1 then the JSON parse)."""
-    return parse_trade(decode_utf8(value), version, strict)
+def _raw_parse(json_text: Column, version: str, strict: bool) -> Column:
+    if strict:
+        return F.from_json(json_text, T.StructType(_text_schema(version).fields[:-1]),
+                           {"mode": "FAILFAST"})
+    return F.from_json(json_text, _text_schema(version),
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def parse_trade(json_text: Column | str, version: str = "v1",
+                strict: bool = True) -> Column:
+    """P3/P4/F5 as one column expression (for small inputs and ad-hoc use).
+
+    ``strict``: malformed JSON or a non-numeric number field fails the task.
+    Tolerant: the whole record becomes NULL instead. On large inputs prefer
+    ``parse_trades``, which parses each record once.
+    """
+    json_text = F.col(json_text) if isinstance(json_text, str) else json_text
+    return _finish(_raw_parse(json_text, version, strict), json_text, version, strict)
+
+
+def parse_trades(df: DataFrame, json_col: str | Column, out: str = "trade",
+                 version: str = "v1", strict: bool = True) -> DataFrame:
+    """Add the parsed trade struct ``out`` to ``df``.
+
+    The JSON parser has no generated code and its result is read by every
+    field coercion, so it runs in a projection of its own: once per record,
+    with the coercions compiled in the next one.
+    """
+    text = F.col(json_col) if isinstance(json_col, str) else json_col
+    staged = df.withColumn("_tp_json", text).withColumn(
+        "_tp_raw", _raw_parse(F.col("_tp_json"), version, strict))
+    return (staged.withColumn(out, _finish(F.col("_tp_raw"), F.col("_tp_json"), version, strict))
+            .drop("_tp_raw", "_tp_json"))
+
+
+def parse_trades_bytes(df: DataFrame, value_col: str = "value", out: str = "trade",
+                       version: str = "v1", strict: bool = True) -> DataFrame:
+    """P1 + P3/P4 over byte records."""
+    return parse_trades(df, decode_utf8(value_col), out, version, strict)
 
 
 def trade_struct(version: str = "v1", extra: tuple[str, ...] = ()) -> Column:

@@ -27,7 +27,7 @@ def text_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     The copy brings double, leading and trailing spaces, which the word split
     has to treat like Java's ``split``. One column ``value``.
     """
-    docs = read_table(spark, base_dir, "documents").select("text")
+    docs = read_table(spark, base_dir, "documents", spread_out=True).select("text")
     blanked = docs.select(F.translate("text", BLANKED_LETTER, " ").alias("text"))
     return docs.unionByName(blanked).withColumnRenamed("text", "value")
 
@@ -38,7 +38,7 @@ def tags(spark: SparkSession, base_dir: str) -> DataFrame:
     Tags of one source are NULL (its groups are all NULL), and every
     ``EMOJI_PERIOD``-th document gets an emoji appended (two UTF-16 units).
     """
-    docs = read_table(spark, base_dir, "documents")
+    docs = read_table(spark, base_dir, "documents", spread_out=True)
     tag = (F.when(F.col("source") == NULL_TAG_SOURCE, F.lit(None).cast("string"))
            .when(F.col("doc_id") % EMOJI_PERIOD == 0, F.concat("text", F.lit(EMOJI)))
            .otherwise(F.col("text")))
@@ -51,7 +51,7 @@ def trades(spark: SparkSession, base_dir: str) -> DataFrame:
 
     id = ``orderkey-linenumber-partkey-suppkey`` (unique), symbol = ``P<partkey>``.
     """
-    li = read_table(spark, base_dir, "lineitem")
+    li = read_table(spark, base_dir, "lineitem", spread_out=True)
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string"), F.lit("-"),

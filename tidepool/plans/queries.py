@@ -49,8 +49,7 @@ def trade_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Trade -> JSON bytes -> text -> strict parse -> fields."""
     t = fixtures.trades(spark, d)
     as_bytes = t.select(records.trade_to_json_bytes("v1").alias("value"))
-    parsed = as_bytes.select(records.parse_trade_bytes("value", "v1", strict=True).alias("r"))
-    return parsed.select("r.*")
+    return records.parse_trades_bytes(as_bytes, "value", "r", "v1", strict=True).select("r.*")
 
 
 def trade_parse_tolerant(spark: SparkSession, d: str) -> DataFrame:
@@ -60,8 +59,8 @@ def trade_parse_tolerant(spark: SparkSession, d: str) -> DataFrame:
     (``parsed = false``); the source id is kept to identify the row.
     """
     t = fixtures.trade_json_variants(fixtures.trades(spark, d))
-    r = records.parse_trade("json", "v1", strict=False)
-    out = t.select(F.col("id").alias("source_id"), r.alias("r"))
+    out = records.parse_trades(t.select(F.col("id").alias("source_id"), "json"), "json", "r",
+                               "v1", strict=False)
     return out.select("source_id", "r.*", F.col("r").isNotNull().alias("parsed"))
 
 
@@ -74,8 +73,8 @@ def trade_line(spark: SparkSession, d: str) -> DataFrame:
 def symbol_count(spark: SparkSession, d: str) -> DataFrame:
     """Trades per symbol after a strict parse of their JSON bytes."""
     t = fixtures.trades(spark, d)
-    parsed = t.select(records.parse_trade_bytes(records.trade_to_json_bytes("v1"), "v1")
-                      .alias("r"))
+    as_bytes = t.select(records.trade_to_json_bytes("v1").alias("value"))
+    parsed = records.parse_trades_bytes(as_bytes, "value", "r", "v1", strict=True)
     return agg.word_count(parsed.select(F.col("r.tickerSymbol").alias("tickerSymbol")),
                           "tickerSymbol")
 
@@ -90,7 +89,7 @@ def null_or_empty(spark: SparkSession, d: str) -> DataFrame:
 
 def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """One-line Base64 of every text and whether it decodes back."""
-    docs = read_table(spark, d, "documents")
+    docs = read_table(spark, d, "documents", spread_out=True)
     b64 = scalar.base64_encode(F.encode("text", "UTF-8"))
     back = F.decode(scalar.base64_decode(b64, strict=True), "UTF-8")
     return docs.select("doc_id", b64.alias("b64"), (back == F.col("text")).alias("roundtrip_ok"))
@@ -98,7 +97,7 @@ def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 def abbreviate_middle(spark: SparkSession, d: str) -> DataFrame:
     """middle-abbreviated texts and sources (with and without a mark)."""
-    docs = read_table(spark, d, "documents")
+    docs = read_table(spark, d, "documents", spread_out=True)
     return docs.select(
         "doc_id",
         scalar.abbreviate_middle("text", 20, 10).alias("short_text"),

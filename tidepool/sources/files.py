@@ -25,6 +25,28 @@ def read_csv_strings(spark: SparkSession, path: str, **options: str) -> DataFram
     return reader.csv(path)
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables, ``<base_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Redistribute a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet row group is never split, so a table written as one large row
+    group is read by one task and every per-row step after it runs serially.
+    Large inputs have many splits and pass through untouched (the check is a
+    plan-time partition count, no job); only an under-split input pays one
+    round-robin exchange. Filters and column pruning still reach the scan.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def read_table(spark: SparkSession, base_dir: str, name: str,
+               spread_out: bool = False) -> DataFrame:
+    """One of the driver's tables, ``<base_dir>/<name>.parquet``.
+
+    ``spread_out`` for inputs followed by heavy per-row work (tokenising,
+    JSON, hashing) before their first shuffle; a plan that shuffles right
+    after the scan gains nothing from it.
+    """
+    df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_out else df
