@@ -1,0 +1,81 @@
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tidepool.sinks.files import write_csv
+from tidepool.sinks.table import read_latest, write_batch
+from tidepool.sources import generator
+from tidepool.sources.files import read_csv_strings, read_lines, read_table, spread
+from tidepool.sources.streams import parse_host_port, rate_cap_options, start_filter
+
+
+def test_read_lines_min_partitions(spark, scratch):
+    path = os.path.join(scratch, "in.txt")
+    with open(path, "w") as f:
+        f.write("a b\n\nc  d \n")
+    df = read_lines(spark, path, min_partitions=3)
+    assert df.rdd.getNumPartitions() >= 3
+    assert sorted(r.value for r in df.collect()) == ["", "a b", "c  d "]
+
+
+def test_csv_all_strings_roundtrip(spark, scratch):
+    path = os.path.join(scratch, "tags.csv")
+    with open(path, "w") as f:
+        f.write("movieId,userId,tag,timestamp\n1,2,funny,100\n1,2,,101\n3,4,\"\",102\n")
+    df = read_csv_strings(spark, path)
+    assert all(t == "string" for _, t in df.dtypes)
+    tags = [r.tag for r in df.orderBy("timestamp").collect()]
+    # Empty fields, quoted or not, read as NULL; for tag sizes NULL and '' both add 0.
+    assert tags[0] == "funny" and tags[1] is None and tags[2] in (None, "")
+    out = os.path.join(scratch, "out")
+    write_csv(df.select("movieId", "tag"), out, num_files=10)
+    assert 1 <= len(glob.glob(os.path.join(out, "part-*.csv"))) <= 10
+    assert read_csv_strings(spark, out).count() == 3
+    write_csv(df, os.path.join(scratch, "narrow"), num_files=2, narrow=True)
+
+
+def test_spread_only_under_split_inputs(spark):
+    small = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert spread(small, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 1000, numPartitions=16)
+    assert spread(many, 4) is many
+    assert read_table(spark, SF_SMALL, "region").count() == 5
+
+
+def test_keyed_batch_sink_idempotent(spark, scratch):
+    path = os.path.join(scratch, "table")
+    b0 = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")],
+                               "k string, t int, v string")
+    b1 = spark.createDataFrame([("a", 0, "late")], "k string, t int, v string")
+    write_batch(b0, 0, path, ["k", "t", "v"], ["k"], ["t"])
+    write_batch(b1, 1, path, ["k", "t", "v"], ["k"], ["t"])
+    write_batch(b1, 1, path, ["k", "t", "v"], ["k"], ["t"])  # replayed batch
+    got = sorted(tuple(r) for r in read_latest(spark, path, ["k"], ["t"]).collect())
+    assert got == [("a", 0, "late"), ("b", 1, "z")]
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_generator_totals(spark):
+    ev = read_table(spark, SF_SMALL, "events")
+    recs = generator.word_records(ev, "event_id", words_per_record=10)
+    assert recs.count() == ev.count()
+    lens = {len(r.record.split(" ")) for r in recs.collect()}
+    assert lens == {10}
+    words = generator.generated_words(ev, "event_id")
+    assert words.count() == 10 * ev.count()
+    assert {r.word for r in words.select("word").distinct().collect()} == set(generator.WORDS)
+    keys = recs.select("partition_key").distinct().count()
+    assert keys == min(1000, ev.count())
+
+
+def test_stream_source_helpers(spark):
+    assert parse_host_port(["sourceHost= h ", "sourcePort=1"], "x", 9) == ("h", 1)
+    assert rate_cap_options("parquet", files_per_batch=1) == {"maxFilesPerTrigger": "1"}
+    assert rate_cap_options("kafka", records_per_batch=1000) == {"maxOffsetsPerTrigger": "1000"}
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 3),)],
+                               "arrived_at timestamp")
+    assert df.where(start_filter(dt.datetime(2024, 1, 2))).count() == 1
+    assert df.where(start_filter("earliest")).count() == 2

@@ -86,8 +86,9 @@ def batch_running_totals(df: DataFrame, time_col: str, duration: str,
 
 def batch_stats(batch: DataFrame) -> DataFrame:
     """Row count and number of non-empty partitions of a batch, in one pass."""
-    return batch.agg(F.count(F.lit(1)).alias("n_rows"),
-                     F.count_distinct(F.spark_partition_id()).alias("n_partitions"))
+    return (batch.select(F.spark_partition_id().alias("_part"))
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct("_part").alias("n_partitions")))
 
 
 def reconcile(sent: DataFrame, counted: DataFrame, key_col: str = "word",
