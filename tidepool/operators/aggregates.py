@@ -40,30 +40,34 @@ def tag_size(tags: DataFrame, movie_col: str = "movieId", user_col: str = "userI
     return sized if keep_user else sized.select(movie_col, out)
 
 
-def window_start(time_col: str, duration: str) -> Column:
-    """The start of the tumbling window of ``duration`` holding ``time_col``."""
-    return F.window(time_col, duration).getField("start")
+def _by_window(df: DataFrame, time_col: str, duration: str, keys: tuple[str, ...],
+               aggs: list[Column], start_col: str) -> DataFrame:
+    # Grouping on the window struct itself keeps the link to a watermark on
+    # ``time_col``, so the same code runs in a streaming append query.
+    grouped = df.groupBy(F.window(time_col, duration).alias("_window"), *keys).agg(*aggs)
+    return grouped.select(F.col("_window.start").alias(start_col), *keys,
+                          *[c for c in grouped.columns if c != "_window" and c not in keys])
 
 
 def count_per_window(df: DataFrame, time_col: str, key_col: str, duration: str,
                      out: str = "n", start_col: str = "window_start") -> DataFrame:
     """A4/A5: rows per key per tumbling window (the table form of a per-batch count)."""
-    return (df.groupBy(window_start(time_col, duration).alias(start_col), key_col)
-            .agg(F.count(F.lit(1)).alias(out)))
+    return _by_window(df, time_col, duration, (key_col,),
+                      [F.count(F.lit(1)).alias(out)], start_col)
 
 
 def max_string_per_window(df: DataFrame, time_col: str, id_col: str, duration: str,
                           out: str = "max_id", start_col: str = "window_start") -> DataFrame:
     """Greatest id per window in string order (``'9' > '10'``); NULL ids are skipped."""
-    return (df.groupBy(window_start(time_col, duration).alias(start_col))
-            .agg(F.max(F.col(id_col).cast("string")).alias(out)))
+    return _by_window(df, time_col, duration, (),
+                      [F.max(F.col(id_col).cast("string")).alias(out)], start_col)
 
 
 def rows_per_window(df: DataFrame, time_col: str, duration: str,
                     start_col: str = "window_start") -> DataFrame:
     """A7 (table form): rows per window."""
-    return (df.groupBy(window_start(time_col, duration).alias(start_col))
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+    return _by_window(df, time_col, duration, (), [F.count(F.lit(1)).alias("n_rows")],
+                      start_col)
 
 
 def running_total(per_batch: DataFrame, order_col: str, value_col: str,
