@@ -9,11 +9,12 @@ reported once as a timeout. At the end of the data a key is timed out when
 the greatest time seen (over all keys) is strictly more than
 ``idle_seconds`` after its last row, as a watermark would decide.
 
-Scale: one key may hold a third of all rows, so nothing is windowed by key
-alone. Rows are cut into (key, time slice) groups; each group is ranked on
-its own, a small summary row per group (count, first and last time, last
-restart) is scanned per key, and the carried values join back on
-(key, slice). The per-key scan runs over slices, not rows.
+Scale: one key may hold a third of all rows, so no row-level window is
+partitioned by key alone. Rows are cut into (key, time slice) groups of at
+most ``idle_seconds``; each group is ranked on its own, a summary row per
+group (count, first and last time) is scanned per key, and the carried
+values join back on (key, slice). The per-key scan runs over slices, not
+rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 _K = "_tp_key"
 _T = "_tp_t"
 _S = "_tp_slice"
+_NULL_SLICE = -(2 ** 63)
 
 
 def epoch_micros(df: DataFrame, time_col: str) -> Column:
@@ -47,63 +49,62 @@ def _key_struct(key_cols: list[str]) -> Column:
 
 def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
                    tiebreak_col: str, idle_seconds: float = 300.0,
-                   slice_seconds: float = 3600.0, out: str = "n") -> DataFrame:
+                   slice_seconds: float | None = None, out: str = "n") -> DataFrame:
     """Every input row with its running count ``out`` and ``ends_segment``.
 
-    ``ends_segment`` is true on the last row before a timeout. ``slice_seconds``
-    bounds the rows ranked together; it changes the plan, never the result.
+    ``ends_segment`` is true on the last row before a timeout. Slices are at
+    most ``idle_seconds`` long (default: exactly that), so two rows of one
+    slice are never idle apart and a restart can only fall on the first row
+    of a slice. That keeps the per-slice summary a plain aggregate of the
+    scan; ``slice_seconds`` changes the plan, never the result.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     idle_us = int(round(idle_seconds * 1_000_000))
-    slice_us = max(1, int(round(slice_seconds * 1_000_000)))
+    wanted = idle_seconds if slice_seconds is None else min(slice_seconds, idle_seconds)
+    slice_us = max(1, int(round(wanted * 1_000_000)))
 
+    # Join keys are non-nullable (rows without a time share one slice), so the
+    # join infers no NULL filter and keeps the ranked side's partitioning.
     base = (df.withColumn(_K, _key_struct(keys))
             .withColumn(_T, epoch_micros(df, time_col))
-            .withColumn(_S, F.floor(F.col(_T) / F.lit(slice_us)).cast("bigint")))
+            .withColumn(_S, F.coalesce(F.floor(F.col(_T) / F.lit(slice_us)).cast("bigint"),
+                                       F.lit(_NULL_SLICE))))
 
-    # Pass 1: rank inside each (key, slice).
+    # Rows ranked inside their (key, slice): the only full shuffle and sort.
     in_slice = Window.partitionBy(_K, _S).orderBy(_T, tiebreak_col)
-    upto_here = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t, prev_t = F.col(_T), F.lag(_T).over(in_slice)
-    local = (base
-             .withColumn("_rn", F.row_number().over(in_slice))
-             .withColumn("_next_t", F.lead(_T).over(in_slice))
-             .withColumn("_break", prev_t.isNotNull() & ((t - prev_t) > idle_us))
-             .withColumn("_last_break_rn",
-                         F.max(F.when(F.col("_break"), F.col("_rn"))).over(upto_here)))
-
-    # Pass 2: one summary row per (key, slice), scanned per key in slice order.
-    summary = (local.groupBy(_K, _S)
+    ranked = (base.withColumn("_rn", F.row_number().over(in_slice))
+              .withColumn("_next_t", F.lead(_T).over(in_slice)))
+
+    # One summary row per (key, slice), a partial aggregate of the scan, then
+    # scanned per key in slice order: rows before it, whether its first row
+    # restarts the count, and where the current segment started.
+    summary = (base.groupBy(_K, _S)
                .agg(F.count(F.lit(1)).alias("_cnt"), F.min(_T).alias("_first_t"),
-                    F.max(_T).alias("_last_t"),
-                    F.max(F.when(F.col("_break"), F.col("_rn"))).alias("_max_break_rn")))
+                    F.max(_T).alias("_last_t")))
     by_key = Window.partitionBy(_K).orderBy(_S)
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    upto_here = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev_last = F.lag("_last_t").over(by_key)
     summary = (summary
-               .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("bigint"))
-               .withColumn("_first_break",
+               .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0))
+                           .cast("bigint"))
+               .withColumn("_restart",
                            prev_last.isNull() | ((F.col("_first_t") - prev_last) > idle_us))
-               .withColumn("_next_first_t", F.lead("_first_t").over(by_key))
-               .withColumn("_slice_start",
-                           F.col("_offset") + F.coalesce(
-                               F.col("_max_break_rn"),
-                               F.when(F.col("_first_break"), F.lit(1)))))
+               .withColumn("_next_first_t", F.lead("_first_t").over(by_key)))
     summary = (summary
-               .withColumn("_carry", F.last("_slice_start", ignorenulls=True).over(before))
-               .select(_K, _S, "_offset", "_first_break", "_next_first_t", "_carry"))
+               .withColumn("_seg_start", F.last(F.when(F.col("_restart"), F.col("_offset") + 1),
+                                                ignorenulls=True).over(upto_here))
+               .select(_K, _S, "_offset", "_seg_start", "_next_first_t"))
 
-    # Pass 3: join the carried values back and finish each row.
+    # Join the carried values back and finish each row.
     global_max = df.agg(F.max(epoch_micros(df, time_col)).alias("m")).scalar()
-    joined = local.join(summary, [_K, _S], "inner")
+    joined = ranked.join(summary, [_K, _S], "inner")
+    t = F.col(_T)
     rank = F.col("_offset") + F.col("_rn")
-    start = F.coalesce(F.col("_offset") + F.col("_last_break_rn"),
-                       F.when(F.col("_first_break"), F.col("_offset") + 1),
-                       F.col("_carry"))
     nxt = F.coalesce(F.col("_next_t"), F.col("_next_first_t"))
     ends = F.when(nxt.isNotNull(), (nxt - t) > idle_us).otherwise((global_max - t) > idle_us)
     return joined.select(*[F.col(c) for c in df.columns],
-                         (rank - start + 1).cast("bigint").alias(out),
+                         (rank - F.col("_seg_start") + 1).cast("bigint").alias(out),
                          ends.alias("ends_segment"))
 
 
