@@ -27,18 +27,18 @@ def text_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     The copy brings double, leading and trailing spaces, which the word split
     has to treat like Java's ``split``. One column ``value``.
     """
-    docs = read_table(spark, base_dir, "documents", spread_out=True).select("text")
-    blanked = docs.select(F.translate("text", BLANKED_LETTER, " ").alias("text"))
-    return docs.unionByName(blanked).withColumnRenamed("text", "value")
+    docs = read_table(spark, base_dir, "documents", spread_out=True)
+    both = F.array(F.col("text"), F.translate("text", BLANKED_LETTER, " "))
+    return docs.select(F.explode(both).alias("value"))  # one scan for both copies
 
 
-def tags(spark: SparkSession, base_dir: str) -> DataFrame:
+def tags(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFrame:
     """Tag rows: movieId = lang, userId = source, tag = text.
 
     Tags of one source are NULL (its groups are all NULL), and every
     ``EMOJI_PERIOD``-th document gets an emoji appended (two UTF-16 units).
     """
-    docs = read_table(spark, base_dir, "documents", spread_out=True)
+    docs = read_table(spark, base_dir, "documents", spread_out)
     tag = (F.when(F.col("source") == NULL_TAG_SOURCE, F.lit(None).cast("string"))
            .when(F.col("doc_id") % EMOJI_PERIOD == 0, F.concat("text", F.lit(EMOJI)))
            .otherwise(F.col("text")))
@@ -46,12 +46,13 @@ def tags(spark: SparkSession, base_dir: str) -> DataFrame:
                        tag.alias("tag"))
 
 
-def trades(spark: SparkSession, base_dir: str) -> DataFrame:
+def trades(spark: SparkSession, base_dir: str, spread_out: bool = True) -> DataFrame:
     """Trade records (v1 layout) from ``lineitem``, plus their time.
 
     id = ``orderkey-linenumber-partkey-suppkey`` (unique), symbol = ``P<partkey>``.
+    ``spread_out`` for heavy per-row work (JSON, hashing) before the first shuffle.
     """
-    li = read_table(spark, base_dir, "lineitem", spread_out=True)
+    li = read_table(spark, base_dir, "lineitem", spread_out)
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string"), F.lit("-"),

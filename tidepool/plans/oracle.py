@@ -189,6 +189,15 @@ SELECT window_start, n_rows,
                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
          AS running_total
 FROM b
+""",
+    "distinct_symbols_running_total": f"""
+WITH b AS (SELECT {_bucket(5)} AS window_start, count(DISTINCT event_type) AS n_symbols
+           FROM events GROUP BY 1)
+SELECT window_start, n_symbols,
+       CAST(sum(n_symbols) OVER (ORDER BY window_start
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+         AS running_total
+FROM b
 """,
     "running_count": f"""
 WITH {_SEGMENTS}

@@ -66,7 +66,7 @@ def trade_parse_tolerant(spark: SparkSession, d: str) -> DataFrame:
 
 def trade_line(spark: SparkSession, d: str) -> DataFrame:
     """The printable line of every trade."""
-    t = fixtures.trades(spark, d)
+    t = fixtures.trades(spark, d, spread_out=False)
     return t.select("id", records.trade_line("v1").alias("line"))
 
 
@@ -133,6 +133,14 @@ def batch_running_total(spark: SparkSession, d: str) -> DataFrame:
     return agg.batch_running_totals(fixtures.trade_stream(spark, d), "ts", LIMITED_BATCH)
 
 
+def distinct_symbols_running_total(spark: SparkSession, d: str) -> DataFrame:
+    """A5 A8(a): distinct symbols per 5-second batch, summed over the batches so far."""
+    per_symbol = agg.count_per_window(fixtures.trade_stream(spark, d), "ts", "symbol",
+                                      TRADE_BATCH)
+    per_batch = per_symbol.groupBy("window_start").agg(F.count(F.lit(1)).alias("n_symbols"))
+    return agg.running_total(per_batch, "window_start", "n_symbols")
+
+
 def _counted(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events").select("event_type", "ts", "event_id")
     return state.running_counts(ev, "event_type", "ts", "event_id", IDLE_SECONDS)
@@ -163,8 +171,8 @@ def start_at_timestamp(spark: SparkSession, d: str) -> DataFrame:
 
 def latest_trade_per_key(spark: SparkSession, d: str) -> DataFrame:
     """P10 K2: the row an upsert-by-symbol table holds after all trades arrive in time order."""
-    t = fixtures.trades(spark, d).select("tickerSymbol", "time", "id", "tradeType", "price",
-                                         "quantity")
+    t = fixtures.trades(spark, d, spread_out=False).select(
+        "tickerSymbol", "time", "id", "tradeType", "price", "quantity")
     return latest.latest_per_key(t, "tickerSymbol", ["time", "id"])
 
 
@@ -205,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_per_batch": word_count_per_batch,
     "max_id_per_batch": max_id_per_batch,
     "batch_running_total": batch_running_total,
+    "distinct_symbols_running_total": distinct_symbols_running_total,
     "running_count": running_count,
     "idle_timeouts": idle_timeouts,
     "state_output_count": state_output_count,
