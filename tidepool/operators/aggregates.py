@@ -71,14 +71,29 @@ def rows_per_window(df: DataFrame, time_col: str, duration: str,
 
 
 def running_total(per_batch: DataFrame, order_col: str, value_col: str,
-                  out: str = "running_total") -> DataFrame:
+                  out: str = "running_total", group_seconds: int = 86_400) -> DataFrame:
     """A8 (table form): total of ``value_col`` over this and all earlier batches.
 
-    ``per_batch`` holds one row per batch (already aggregated), so the single
-    ordered window runs over the number of batches, not over input rows.
+    A prefix sum without a single-partition window: batches are grouped by
+    ``group_seconds`` of ``order_col`` (a timestamp); each group takes its
+    own running sum, the group totals take theirs (one row per group, so
+    that window is small), and the group offsets join back.
     """
-    w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_batch.withColumn(out, F.sum(value_col).over(w))
+    group_us = int(group_seconds) * 1_000_000
+    grp = F.floor(F.unix_micros(F.col(order_col).cast("timestamp")) / F.lit(group_us))
+    staged = per_batch.withColumn("_grp", F.coalesce(grp.cast("bigint"), F.lit(-(2 ** 63))))
+    inside = Window.partitionBy("_grp").orderBy(order_col).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = staged.withColumn("_local", F.sum(value_col).over(inside))
+    earlier = Window.orderBy("_grp").rowsBetween(Window.unboundedPreceding, -1)
+    # Group totals come from the ranked rows (already partitioned by group),
+    # so both branches share one exchange instead of recomputing the input.
+    offsets = (local.groupBy("_grp").agg(F.max("_local").alias("_group_total"))
+               .withColumn("_offset", F.coalesce(F.sum("_group_total").over(earlier), F.lit(0)))
+               .select("_grp", "_offset"))
+    return (local.join(offsets, "_grp")
+            .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
+            .drop("_grp", "_local", "_offset"))
 
 
 def batch_running_totals(df: DataFrame, time_col: str, duration: str,

@@ -25,6 +25,7 @@ def latest_per_key(df: DataFrame, key_cols: str | list[str],
     columns = list(columns or df.columns)
     payload = [c for c in columns if c not in keys]
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    fields += [F.col(c) for c in payload]
+    fields += [F.col(c) for c in payload if c not in order]
     best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_best"))
-    return best.select(*keys, *[F.col("_best").getField(c).alias(c) for c in payload])
+    field = {c: (f"_o{order.index(c)}" if c in order else c) for c in payload}
+    return best.select(*keys, *[F.col("_best").getField(field[c]).alias(c) for c in payload])

@@ -8,6 +8,7 @@ the real streams.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from tidepool.operators import latest, state
 from tidepool.plans import fixtures
 from tidepool.sources import generator
 from tidepool.sources.files import read_table
+from tidepool.sources.streams import start_filter
 
 # Batch intervals of the stream jobs, the idle timeout, the
 # start offset of the AtTimestamp start position.
@@ -163,10 +165,17 @@ def state_output_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def start_at_timestamp(spark: SparkSession, d: str) -> DataFrame:
-    """Trades arriving at or after (latest arrival - 5 hours)."""
+    """Trades arriving at or after (latest arrival - 5 hours).
+
+    The start is fixed when the query is created (the reference takes the
+    clock then; here "now" is the latest arrival), so it is a literal and
+    the bound reaches the Parquet reader as a pushed filter.
+    """
     t = fixtures.trade_stream(spark, d)
-    start = t.agg(F.max("ts").alias("m")).scalar() - F.expr(f"INTERVAL {START_HOURS_BACK} HOURS")
-    return t.where(F.col("ts") >= start).select("id", "symbol", "trade", "price", "quantity", "ts")
+    latest_arrival = read_table(spark, d, "events").agg(F.max("ts")).first()[0]
+    start = latest_arrival - dt.timedelta(hours=START_HOURS_BACK)
+    return t.where(start_filter(start, "ts")).select("id", "symbol", "trade", "price",
+                                                     "quantity", "ts")
 
 
 def latest_trade_per_key(spark: SparkSession, d: str) -> DataFrame:
