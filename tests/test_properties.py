@@ -1,0 +1,71 @@
+"""Edge cases and randomized checks against brute-force models."""
+
+import datetime as dt
+import os
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from test_state import brute_force
+from tidepool.functions.text import java_split
+from tidepool.operators import state
+from tidepool.session import checkpoint_root
+from tidepool.sources.streams import resolve_start
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def _counts(spark, rows, idle):
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id bigint")
+    counted = state.running_counts(df, "k", "ts", "id", idle)
+    got = {r.id: r.n for r in counted.select("id", "n").collect()}
+    timeouts = sorted(((r.k, r.last_time, r.n) for r in
+                       state.idle_timeouts(counted, "k", "ts", idle).collect()),
+                      key=lambda x: (str(x[0]), x[1]))
+    return got, timeouts
+
+
+def test_gap_of_exactly_the_timeout_is_not_idle(spark):
+    us = dt.timedelta(microseconds=1)
+    rows = [("a", T0, 1), ("a", T0 + dt.timedelta(seconds=300), 2),
+            ("a", T0 + dt.timedelta(seconds=600) + us, 3), ("a", T0 + dt.timedelta(seconds=600) + us, 4),
+            ("b", T0 + dt.timedelta(seconds=1200), 5)]
+    got, timeouts = _counts(spark, rows, 300)
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2, 5: 1}
+    assert timeouts == [("a", T0 + dt.timedelta(seconds=300), 2),
+                        ("a", T0 + dt.timedelta(seconds=600) + us, 2)]
+
+
+events = st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.integers(0, 4000)),
+                  min_size=1, max_size=60)
+
+
+@settings(max_examples=15, deadline=None)
+@given(events)
+def test_running_counts_random(spark, evs):
+    rows = [(k, T0 + dt.timedelta(seconds=s), i) for i, (k, s) in enumerate(evs)]
+    want_counts, want_timeouts = brute_force(rows, idle_s=300)
+    assert _counts(spark, rows, 300) == (want_counts, want_timeouts)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.text(alphabet=" ab", max_size=12))
+def test_java_split_random(spark, line):
+    want = [""] if line == "" else line.split(" ")
+    while line != "" and want and want[-1] == "":
+        want.pop()
+    got = spark.createDataFrame([(line,)], "s string").select(java_split("s")).first()[0]
+    assert got == want
+
+
+def test_start_position_kept_across_restarts(spark, scratch):
+    ck = os.path.join(scratch, "ck")
+    first = resolve_start(spark, ck, dt.timedelta(hours=5))
+    again = resolve_start(spark, ck, dt.timedelta(hours=1))
+    assert first == again
+    assert resolve_start(spark, ck, "earliest") == "earliest"
+
+
+def test_checkpoint_root_reads_the_session(spark):
+    root = checkpoint_root(spark)
+    assert root and root == checkpoint_root(spark)

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidepool.functions import text
 from tidepool.functions.records import decode_utf8
 from tidepool.operators import aggregates as agg
+from tidepool.session import checkpoint_root
 
 log = logging.getLogger("tidepool.streaming")
 
@@ -34,12 +35,21 @@ def trigger_options(interval_seconds: float | None = None,
     return {}
 
 
-def start(df: DataFrame, checkpoint: str, *, sink: str = "parquet", path: str | None = None,
-          output_mode: str = "append", options: dict[str, str] | None = None,
-          interval_seconds: float | None = None, available_now: bool = False,
+def start(df: DataFrame, checkpoint: str | None, *, sink: str = "parquet",
+          path: str | None = None, output_mode: str = "append",
+          options: dict[str, str] | None = None, interval_seconds: float | None = None,
+          available_now: bool = False,
           foreach_batch: Callable[[DataFrame, int], None] | None = None,
           query_name: str | None = None) -> StreamingQuery:
-    """Start ``df`` with a checkpoint (create, or resume if it exists)."""
+    """Start ``df`` with a checkpoint (create, or resume if it exists).
+
+    Without an explicit ``checkpoint`` the query named ``query_name`` keeps
+    its checkpoint under the session's shared ``spark.checkpoint.dir``.
+    """
+    if checkpoint is None:
+        if not query_name:
+            raise ValueError("give a checkpoint folder or a query name to derive one")
+        checkpoint = f"{checkpoint_root(df.sparkSession)}/{query_name}"
     writer = (df.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
               .trigger(**trigger_options(interval_seconds, available_now)))
