@@ -1,7 +1,6 @@
 import glob
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidepool.sinks.files import write_csv

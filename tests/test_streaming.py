@@ -159,3 +159,39 @@ def test_windowed_symbol_counts_equal_table(spark, scratch):
             .where(F.col("window_start") + F.expr("INTERVAL 5 SECONDS") <= F.lit(final)))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert got.count() >= want.count() > 0
+
+
+def test_windowed_word_counts_equal_table(spark, scratch):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    recs = generator.word_records(ev, "event_id", keep=("ts",)).select("event_id", "ts", "record")
+    write_parts(recs, os.path.join(scratch, "src"), 2, "event_id")
+    stream = (spark.readStream.schema(recs.schema).option("maxFilesPerTrigger", 1)
+              .parquet(os.path.join(scratch, "src", "part*")))
+    from tidepool.functions import text
+    words = text.tokens(stream, "record", "word", keep=("ts",))
+    out = jobs.windowed_key_counts(words, "ts", "word", "2 seconds")
+    run(jobs.start(out, os.path.join(scratch, "ck"), sink="parquet",
+                   path=os.path.join(scratch, "out"), available_now=True))
+    got = spark.read.parquet(os.path.join(scratch, "out"))
+    final = ev.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    table_words = text.tokens(recs.withColumn("ts", F.col("ts").cast("timestamp")), "record",
+                              "word", keep=("ts",))
+    want = (agg.count_per_window(table_words, "ts", "word", "2 seconds")
+            .where(F.col("window_start") + F.expr("INTERVAL 2 SECONDS") <= F.lit(final)))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_per_batch_max_id_string_order(spark, scratch):
+    t = fixtures.trade_stream(spark, SF_SMALL).select("id", "event_id")
+    write_parts(t, os.path.join(scratch, "src"), 2, "event_id")
+    stream = (spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1)
+              .parquet(os.path.join(scratch, "src", "part*")))
+    seen = []
+    monitor = jobs.BatchMonitor(jobs.per_batch_max_id("id", lambda df, b: seen.extend(df.collect())))
+    run(jobs.start(stream, os.path.join(scratch, "ck"), foreach_batch=monitor,
+                   available_now=True))
+    rows = sorted(t.collect(), key=lambda r: r.event_id)
+    halves = [rows[:500], rows[500:]]
+    assert [r.max_id for r in sorted(seen, key=lambda r: r.batch_id)] == \
+        [max(r.id for r in h) for h in halves]
+    assert seen[0].max_id == "99"  # string order: "99" > "499"
