@@ -12,9 +12,7 @@ the state store and restored from the checkpoint on restart.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
@@ -35,16 +33,16 @@ def output_schema(key_col: str, tiebreak_col: str) -> StructType:
     ])
 
 
-_EPOCH_US = "_tp_us"
-
-
-def _from_micros(us: int):
-    import datetime as dt
-    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=us)
+_EPOCH_US = "tp_epoch_us"
 
 
 class RunningCountProcessor(StatefulProcessor):
-    """The keyed state function, ``(key, new rows, state) -> output rows``."""
+    """The keyed state function, ``(key, new rows, state) -> output rows``.
+
+    Each call gets one key's rows of one micro-batch as pandas frames; the
+    order, gaps, restarts and counts are computed with numpy over the whole
+    batch of the key (Arrow-batched, no per-row Python).
+    """
 
     def __init__(self, key_col: str, time_col: str, tiebreak_col: str, idle_seconds: float):
         self.key_col = key_col
@@ -60,44 +58,55 @@ class RunningCountProcessor(StatefulProcessor):
         # Fires once the watermark is strictly more than idle past the last row.
         return (last_us + self.idle_us) // 1000 + 1
 
-    def _row(self, key, at, tiebreak, n: int, timed_out: bool) -> Row:
-        return Row(**{self.key_col: key, "at": at, self.tiebreak_col: tiebreak, "n": n,
-                      "timed_out": timed_out})
-
-    def _timeout_row(self, key, n: int, last_us: int) -> Row:
-        return self._row(key, _from_micros(last_us + self.idle_us), None, n, True)
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
+    def _frame(self, key, at_us, tiebreak, n, timed_out):
+        import pandas as pd
+        at = pd.to_datetime(pd.Series(at_us, dtype="int64"), unit="us", utc=True)
+        return pd.DataFrame({self.key_col: key, "at": at,
+                             self.tiebreak_col: pd.Series(tiebreak, dtype="Int64"),
+                             "n": pd.Series(n, dtype="int64"),
+                             "timed_out": pd.Series(timed_out, dtype="bool")})
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        import numpy as np
+        import pandas as pd
         k = key[0]
-        n, last = (None, None)
-        if self.state.exists():
-            n, last = self.state.get()
-        previous_deadline = self._deadline_ms(last) if last is not None else None
-        ordered = sorted(rows, key=lambda r: (r[_EPOCH_US], r[self.tiebreak_col]))
-        for r in ordered:
-            t = r[_EPOCH_US]
-            if last is not None and t - last > self.idle_us:
-                yield self._timeout_row(k, n, last)
-                n = None
-            n = 1 if n is None else n + 1
-            last = t
-            yield self._row(k, r[self.time_col], r[self.tiebreak_col], n, False)
-        if last is not None:
-            self.state.update((n, last))
-            deadline = self._deadline_ms(last)
-            if previous_deadline is not None and previous_deadline != deadline:
-                self.handle.deleteTimer(previous_deadline)
-            self.handle.registerTimer(deadline)
+        batch = pd.concat(list(rows), ignore_index=True)
+        if batch.empty:
+            return
+        batch = batch.sort_values([_EPOCH_US, self.tiebreak_col], kind="mergesort")
+        t = batch[_EPOCH_US].to_numpy(dtype="int64")
+        ids = batch[self.tiebreak_col].to_numpy()
+        n0, last0 = self.state.get() if self.state.exists() else (0, None)
+        prev = np.empty_like(t)
+        prev[1:] = t[:-1]
+        prev[0] = t[0] if last0 is None else last0
+        restart = (t - prev) > self.idle_us  # never true for row 0 without state
+        idx = np.arange(len(t))
+        seg_start = np.maximum.accumulate(np.where(restart, idx, 0))
+        before = np.where(np.cumsum(restart) == 0, n0, 0)
+        n = before + (idx - seg_start) + 1
+        # A timeout row for the segment each restart closes.
+        at_break = np.flatnonzero(restart)
+        closed_n = np.where(at_break > 0, n[at_break - 1], n0)
+        closed_last = np.where(at_break > 0, t[at_break - 1], prev[0])
+        yield self._frame(k, closed_last + self.idle_us, [None] * len(at_break), closed_n,
+                          [True] * len(at_break))
+        yield self._frame(k, t, ids, n, [False] * len(t))
+        self.state.update((int(n[-1]), int(t[-1])))
+        deadline = self._deadline_ms(int(t[-1]))
+        if last0 is not None and self._deadline_ms(last0) != deadline:
+            self.handle.deleteTimer(self._deadline_ms(last0))
+        self.handle.registerTimer(deadline)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+                           expiredTimerInfo: ExpiredTimerInfo):
         if not self.state.exists():
             return
         n, last = self.state.get()
         if self._deadline_ms(last) != expiredTimerInfo.getExpiryTimeInMs():
             return  # refreshed since this timer was set
         self.state.clear()
-        yield self._timeout_row(key[0], n, last)
+        yield self._frame(key[0], [last + self.idle_us], [None], [n], [True])
 
     def close(self) -> None:
         pass
@@ -119,5 +128,5 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebrea
                     F.col(tiebreak_col).cast("bigint").alias(tiebreak_col))
             .withWatermark(time_col, watermark_delay))
     processor = RunningCountProcessor(key_col, time_col, tiebreak_col, idle_seconds)
-    return rows.groupBy(key_col).transformWithState(
+    return rows.groupBy(key_col).transformWithStateInPandas(
         processor, output_schema(key_col, tiebreak_col), "Append", "EventTime")
