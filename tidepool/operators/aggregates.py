@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import utf16_length
+from tidepool.operators.state import epoch_micros
 
 
 def word_count(words: DataFrame, word_col: str = "word", out: str = "n") -> DataFrame:
@@ -80,7 +81,7 @@ def running_total(per_batch: DataFrame, order_col: str, value_col: str,
     that window is small), and the group offsets join back.
     """
     group_us = int(group_seconds) * 1_000_000
-    grp = F.floor(F.unix_micros(F.col(order_col).cast("timestamp")) / F.lit(group_us))
+    grp = F.floor(epoch_micros(per_batch, order_col) / F.lit(group_us))
     staged = per_batch.withColumn("_grp", F.coalesce(grp.cast("bigint"), F.lit(-(2 ** 63))))
     inside = Window.partitionBy("_grp").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

@@ -82,7 +82,13 @@ def start_filter(start: str | _dt.datetime, time_col: str = "arrived_at") -> Col
         return F.lit(True)
     if isinstance(start, str):
         raise ValueError("resolve 'latest' with resolve_start first")
-    return F.col(time_col) >= F.lit(start)
+    if start.tzinfo is None:
+        # A wall-clock literal: compared as is with TIMESTAMP_NTZ columns and
+        # read in the session time zone against TIMESTAMP ones.
+        literal = F.expr(f"TIMESTAMP_NTZ '{start.isoformat(sep=' ')}'")
+    else:
+        literal = F.lit(start)
+    return F.col(time_col) >= literal
 
 
 def resolve_start(spark: SparkSession, checkpoint_location: str,
@@ -102,7 +108,7 @@ def resolve_start(spark: SparkSession, checkpoint_location: str,
             return _dt.datetime.fromisoformat(row["start"])
     except Exception:  # no marker yet: first run
         pass
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = _dt.datetime.now(_dt.timezone.utc)  # an instant, whatever the session zone
     resolved = now - start if isinstance(start, _dt.timedelta) else (
         now if start == "latest" else start)
     spark.createDataFrame([(resolved.isoformat(),)], "start string") \
