@@ -123,12 +123,13 @@ def state_outputs(counted: DataFrame, key_cols: str | list[str], time_col: str,
     """T1 + T2 as one output: running-count rows and timeout rows (``timed_out``).
 
     This is everything the keyed state function emits, so its row count is
-    the number the per-batch counter adds up.
+    the number the per-batch counter adds up. One pass: each row yields its
+    count row and, if it ends a segment, the timeout row after it.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    rows = counted.select(*keys, F.col(time_col).alias("at"), F.col(out),
-                          F.lit(False).alias("timed_out"))
-    timeouts = (idle_timeouts(counted, keys, time_col, idle_seconds, out)
-                .select(*keys, F.col("expires_at").alias("at"), F.col(out),
-                        F.lit(True).alias("timed_out")))
-    return rows.unionByName(timeouts)
+    expires = F.col(time_col) + F.expr(f"INTERVAL {float(idle_seconds)} SECONDS")
+    row = F.struct(F.col(time_col).alias("at"), F.lit(False).alias("timed_out"))
+    timeout = F.struct(expires.alias("at"), F.lit(True).alias("timed_out"))
+    emitted = F.when(F.col("ends_segment"), F.array(row, timeout)).otherwise(F.array(row))
+    return (counted.select(*keys, F.col(out), F.explode(emitted).alias("_emit"))
+            .select(*keys, "_emit.at", F.col(out), "_emit.timed_out"))
