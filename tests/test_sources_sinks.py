@@ -78,3 +78,26 @@ def test_stream_source_helpers(spark):
                                "arrived_at timestamp")
     assert df.where(start_filter(dt.datetime(2024, 1, 2))).count() == 1
     assert df.where(start_filter("earliest")).count() == 2
+
+
+def test_kafka_start_options():
+    import datetime as dt
+    from tidepool.sources.streams import start_options
+    assert start_options("kafka", "latest") == {"startingOffsets": "latest"}
+    t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    assert start_options("kafka", t) == {"startingTimestamp": "1704067200000"}
+    assert start_options("parquet", t) == {}
+
+
+def test_word_record_stream(spark, scratch):
+    import time as _time
+    from tidepool.streaming import jobs
+    from tidepool.sources.generator import word_record_stream
+    seen = []
+    q = jobs.start(word_record_stream(spark, records_per_batch=50), os.path.join(scratch, "ck"),
+                   foreach_batch=lambda df, b: seen.append(df.count()), interval_seconds=0.5)
+    deadline = _time.time() + 60
+    while len(seen) < 2 and _time.time() < deadline:
+        _time.sleep(0.5)
+    q.stop()
+    assert seen[:2] == [50, 50]

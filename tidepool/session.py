@@ -20,6 +20,21 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs):
+# start with many shuffle partitions and let AQE coalesce them to the
+# advisory size; split skewed partitions; read larger file splits; keep
+# streaming state in RocksDB with changelog checkpoints.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "tidepool",
                   shuffle_partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:

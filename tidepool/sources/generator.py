@@ -10,7 +10,7 @@ computed in SQL by any engine and the totals checked against it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The producer's word list, in its order.
@@ -55,3 +55,18 @@ def generated_words(df: DataFrame, id_col: str, words_per_record: int = 10,
     exploded = df.select(*keep, F.col(id_col), pos)
     return exploded.select(*keep, F.element_at(
         word_list, (pick_index(F.col(id_col), F.col("_pos"), seed) + 1).cast("int")).alias("word"))
+
+
+def word_record_stream(spark: SparkSession, records_per_batch: int = 1000,
+                       words_per_record: int = 10, seed: int = 7) -> DataFrame:
+    """S8 as a stream: ``records_per_batch`` word records per micro-batch.
+
+    The ``rate-micro-batch`` source numbers its rows, so the same draw gives
+    the same records on replay; ``arrived_at`` is the source's timestamp.
+    """
+    ticks = (spark.readStream.format("rate-micro-batch")
+             .option("rowsPerBatch", str(records_per_batch)).load())
+    recs = word_records(ticks.withColumnRenamed("value", "seq"), "seq", words_per_record,
+                        records_per_batch, seed, keep=("timestamp",))
+    return recs.select(F.encode("record", "UTF-8").alias("value"),
+                       F.col("timestamp").alias("arrived_at"), "partition_key")

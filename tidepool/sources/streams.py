@@ -91,6 +91,21 @@ def start_filter(start: str | _dt.datetime, time_col: str = "arrived_at") -> Col
     return F.col(time_col) >= literal
 
 
+def start_options(fmt: str, start: str | _dt.datetime) -> dict[str, str]:
+    """S4 for sources with their own start option (Kafka): pass it through.
+
+    ``'earliest'``/``'latest'`` map to ``startingOffsets``; an instant maps to
+    ``startingTimestamp`` in epoch milliseconds. Only used on the first run;
+    a restarted query resumes from its checkpointed offsets.
+    """
+    if fmt != "kafka":
+        return {}
+    if start in ("earliest", "latest"):
+        return {"startingOffsets": str(start)}
+    instant = start if start.tzinfo else start.replace(tzinfo=_dt.timezone.utc)
+    return {"startingTimestamp": str(int(instant.timestamp() * 1000))}
+
+
 def resolve_start(spark: SparkSession, checkpoint_location: str,
                   start: str | _dt.datetime | _dt.timedelta) -> str | _dt.datetime:
     """Fix the start position when a query is first created.
