@@ -69,3 +69,17 @@ def test_start_position_kept_across_restarts(spark, scratch):
 def test_checkpoint_root_reads_the_session(spark):
     root = checkpoint_root(spark)
     assert root and root == checkpoint_root(spark)
+
+
+def test_ntz_gaps_ignore_the_session_zone(spark):
+    # 01:59 -> 03:01 on the US daylight-saving night is 62 minutes of wall
+    # clock (as DuckDB reads naive timestamps), whatever the session zone.
+    rows = [("a", dt.datetime(2024, 3, 10, 1, 59), 1), ("a", dt.datetime(2024, 3, 10, 3, 1), 2),
+            ("a", dt.datetime(2024, 11, 3, 1, 30), 3), ("a", dt.datetime(2024, 11, 3, 1, 33), 4)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        got, _ = _counts(spark, rows, 300)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {1: 1, 2: 1, 3: 1, 4: 2}

@@ -30,10 +30,19 @@ _NULL_SLICE = -(2 ** 63)
 
 
 def epoch_micros(df: DataFrame, time_col: str) -> Column:
-    """Microseconds since the epoch, independent of the session time zone for NTZ."""
+    """Microseconds since the epoch; a TIMESTAMP_NTZ is read as UTC wall-clock time.
+
+    Built from the wall-clock fields, so no session time zone (and no
+    daylight-saving shift) enters a TIMESTAMP_NTZ gap.
+    """
     dtype = df.schema[time_col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time_col}`)")
+        c = F.col(time_col)
+        days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+        seconds = F.extract(F.lit("SECOND"), c)  # with the fraction, decimal(8,6)
+        return (days * 86_400_000_000 + F.hour(c).cast("bigint") * 3_600_000_000
+                + F.minute(c).cast("bigint") * 60_000_000
+                + (seconds * 1_000_000).cast("bigint"))
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(time_col))
     if isinstance(dtype, (T.LongType, T.IntegerType)):
