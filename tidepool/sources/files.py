@@ -12,9 +12,7 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     is only redistributed when the scan produced fewer partitions.
     """
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return spread(df, min_partitions) if min_partitions else df
 
 
 def read_csv_strings(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -34,10 +32,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     plan-time partition count, no job); only an under-split input pays one
     round-robin exchange. Filters and column pruning still reach the scan.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # a Spark Connect session has no RDD view: leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str,

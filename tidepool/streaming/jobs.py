@@ -95,7 +95,10 @@ class BatchMonitor:
         batch = batch.persist()
         try:
             n_rows = batch.count()
-            n_parts = batch.rdd.getNumPartitions()  # plan-time, no job
+            try:
+                n_parts = batch.rdd.getNumPartitions()  # plan-time, no job
+            except Exception:  # no RDD view on Spark Connect
+                n_parts = -1
             if n_rows == 0:
                 return
             if self.action is not None:
