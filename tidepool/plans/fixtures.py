@@ -98,12 +98,12 @@ def trade_json_variants(trade_rows: DataFrame) -> DataFrame:
     return t.withColumn("json", text)
 
 
-def trade_stream(spark: SparkSession, base_dir: str) -> DataFrame:
+def trade_stream(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFrame:
     """The trade stream (v2 layout) from ``events``: id = event_id as text.
 
     The string order of these ids differs from their numeric order.
     """
-    ev = read_table(spark, base_dir, "events")
+    ev = read_table(spark, base_dir, "events", spread_out)
     return ev.select(
         F.col("event_type").alias("symbol"),
         F.when(F.col("user_id") % 2 == 0, F.lit("BUY")).otherwise(F.lit("SELL")).alias("trade"),

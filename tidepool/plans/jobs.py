@@ -120,14 +120,16 @@ def trade_table_stream_job(spark: SparkSession, fmt: str, path: str | None, chec
     written; the monitor logs rows, partitions and the running total.
     """
     trades = _parsed_trades(spark, fmt, path, options, version, strict, start)
-    columns = TRADE_V2_COLUMNS if version == "v2" else TRADE_V1_COLUMNS
+    columns = [c for c in (TRADE_V2_COLUMNS if version == "v2" else TRADE_V1_COLUMNS)
+               if c != "data"]
+    derive = None
     if with_payload and version == "v2":
-        trades = trades.withColumn("data", records.payload("id", 1024))
-    else:
-        columns = [c for c in columns if c != "data"]
+        # Added after the per-key reduction: only kept rows get a payload.
+        def derive(rows: DataFrame) -> DataFrame:
+            return rows.withColumn("data", records.payload("id", 1024))
     keys = key_cols or ["id"]
     writer = batch_writer(table_path, columns + ["arrived_at"], keys, ["arrived_at", "id"],
-                          fmt=sink_format, options=sink_options)
+                          fmt=sink_format, options=sink_options, derive=derive)
     monitor = monitor or jobs.BatchMonitor(writer)
     monitor.action = writer
     return jobs.start(trades, checkpoint, foreach_batch=monitor,

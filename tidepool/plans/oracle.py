@@ -232,6 +232,13 @@ r AS (
     FROM t
 )
 SELECT tickerSymbol, time, id, tradeType, price, quantity FROM r WHERE rn = 1
+""",
+    "trade_v2_sink_rows": """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS symbol,
+       CASE WHEN user_id % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS trade,
+       value AS price, user_id AS quantity,
+       repeat(sha256(CAST(event_id AS VARCHAR)), 16) AS data
+FROM events
 """,
     "generated_totals": f"""
 WITH {_GEN_WORDS}

@@ -185,6 +185,19 @@ def latest_trade_per_key(spark: SparkSession, d: str) -> DataFrame:
     return latest.latest_per_key(t, "tickerSymbol", ["time", "id"])
 
 
+def trade_v2_sink_rows(spark: SparkSession, d: str) -> DataFrame:
+    """v2 trades as bytes -> strict parse -> payload -> sink columns,
+    upserted by id (the table an id-keyed sink holds after every batch)."""
+    t = fixtures.trade_stream(spark, d, spread_out=True)
+    as_bytes = t.select(records.trade_to_json_bytes("v2").alias("value"), "ts")
+    parsed = records.parse_trades_bytes(as_bytes, "value", "r", "v2", strict=True)
+    columns = ["id", "symbol", "trade", "price", "quantity"]
+    kept = latest.latest_per_key(parsed.select("r.*", "ts"), "id", ["ts"], columns + ["ts"])
+    # The payload depends on the id only, so it is added after the upsert
+    # reduction: same table, and no 1 KB strings through the aggregate.
+    return kept.select(*columns, records.payload("id", 1024).alias("data"))
+
+
 def generated_totals(spark: SparkSession, d: str) -> DataFrame:
     """Totals of the generated words, per word."""
     words = generator.generated_words(read_table(spark, d, "events"), "event_id")
@@ -228,6 +241,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_output_count": state_output_count,
     "start_at_timestamp": start_at_timestamp,
     "latest_trade_per_key": latest_trade_per_key,
+    "trade_v2_sink_rows": trade_v2_sink_rows,
     "generated_totals": generated_totals,
     "generated_reconcile": generated_reconcile,
     "trade_payload": trade_payload,

@@ -22,17 +22,21 @@ BATCH_COL = "batch_id"
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, columns: list[str],
                 key_cols: list[str] | None = None, order_cols: list[str] | None = None,
-                fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
+                fmt: str = "parquet", options: dict[str, str] | None = None,
+                derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K2: write one batch with the chosen columns (P10).
 
     With ``key_cols`` and ``order_cols`` only the last row per key of the
-    batch is kept (what the upsert would leave). File formats write to
-    ``<path>/batch_id=<id>`` in overwrite mode, idempotent per batch; other
-    formats append through the store's own key.
+    batch is kept (what the upsert would leave). ``derive`` adds columns
+    after that reduction (e.g. a payload computed from the key). File
+    formats write to ``<path>/batch_id=<id>`` in overwrite mode, idempotent
+    per batch; other formats append through the store's own key.
     """
     rows = batch.select(*columns)
     if key_cols and order_cols:
         rows = latest_per_key(rows, key_cols, order_cols, columns)
+    if derive is not None:
+        rows = derive(rows)
     writer = rows.write.options(**(options or {}))
     if fmt in ("parquet", "orc", "json", "csv"):
         writer.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
@@ -42,10 +46,12 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, columns: list[str],
 
 def batch_writer(path: str, columns: list[str], key_cols: list[str] | None = None,
                  order_cols: list[str] | None = None, fmt: str = "parquet",
-                 options: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+                 options: dict[str, str] | None = None,
+                 derive: Callable[[DataFrame], DataFrame] | None = None
+                 ) -> Callable[[DataFrame, int], None]:
     """K2 as a ``foreachBatch`` action (wrap it in ``BatchMonitor`` to skip empty batches)."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, path, columns, key_cols, order_cols, fmt, options)
+        write_batch(batch, batch_id, path, columns, key_cols, order_cols, fmt, options, derive)
     return run
 
 
