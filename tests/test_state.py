@@ -76,3 +76,16 @@ def test_no_window_partitioned_by_key_alone(spark, events):
     counted = state.running_counts(events, "event_type", "ts", "event_id", IDLE)
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "_tp_slice" in plan
+
+
+@pytest.mark.parametrize("rows_per_slice", [1, 2, 50])
+def test_data_sized_slices_match_brute_force(spark, events, rows_per_slice):
+    rows = [(r.event_type, r.ts, r.event_id) for r in events.collect()]
+    want_counts, want_timeouts = brute_force(rows)
+    counted = state.running_counts(events, "event_type", "ts", "event_id", IDLE,
+                                   rows_per_slice=rows_per_slice)
+    got = {r.event_id: r.n for r in counted.select("event_id", "n").collect()}
+    assert got == want_counts
+    t = state.idle_timeouts(counted, "event_type", "ts", IDLE).collect()
+    assert sorted(((r.event_type, r.last_time, r.n) for r in t),
+                  key=lambda x: (str(x[0]), x[1])) == want_timeouts

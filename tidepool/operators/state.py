@@ -11,10 +11,10 @@ the greatest time seen (over all keys) is strictly more than
 
 Scale: one key may hold a third of all rows, so no row-level window is
 partitioned by key alone. Rows are cut into (key, time slice) groups of at
-most ``idle_seconds``; each group is ranked on its own, a summary row per
-group (count, first and last time) is scanned per key, and the carried
-values join back on (key, slice). The per-key scan runs over slices, not
-rows.
+most ``idle_seconds`` (shorter when the data is dense); each group is
+ranked on its own, a summary row per group (count, first and last time) is
+scanned per key, and the carried values join back on (key, slice). The
+per-key scan runs over slices, not rows.
 """
 
 from __future__ import annotations
@@ -39,10 +39,11 @@ def epoch_micros(df: DataFrame, time_col: str) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
         c = F.col(time_col)
         days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-        seconds = F.extract(F.lit("SECOND"), c)  # with the fraction, decimal(8,6)
+        # Zone offsets are whole seconds, so the micro-of-second survives the cast.
+        fraction = F.pmod(F.unix_micros(c.cast("timestamp")), F.lit(1_000_000))
         return (days * 86_400_000_000 + F.hour(c).cast("bigint") * 3_600_000_000
                 + F.minute(c).cast("bigint") * 60_000_000
-                + (seconds * 1_000_000).cast("bigint"))
+                + F.second(c).cast("bigint") * 1_000_000 + fraction)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(time_col))
     if isinstance(dtype, (T.LongType, T.IntegerType)):
@@ -58,25 +59,42 @@ def _key_struct(key_cols: list[str]) -> Column:
 
 def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
                    tiebreak_col: str, idle_seconds: float = 300.0,
-                   slice_seconds: float | None = None, out: str = "n") -> DataFrame:
+                   slice_seconds: float | None = None, rows_per_slice: int = 1_000_000,
+                   out: str = "n") -> DataFrame:
     """Every input row with its running count ``out`` and ``ends_segment``.
 
     ``ends_segment`` is true on the last row before a timeout. Slices are at
-    most ``idle_seconds`` long (default: exactly that), so two rows of one
-    slice are never idle apart and a restart can only fall on the first row
-    of a slice. That keeps the per-slice summary a plain aggregate of the
-    scan; ``slice_seconds`` changes the plan, never the result.
+    most ``idle_seconds`` long, so two rows of one slice are never idle apart
+    and a restart can only fall on the first row of a slice; that keeps the
+    per-slice summary a plain aggregate of the scan. By default the slice
+    length comes from the data: ``span * rows_per_slice / rows`` (at most
+    ``idle_seconds``, at least 1 us), so even a key holding a third of all
+    rows in a short burst is cut into bounded groups. ``slice_seconds`` fixes
+    the length instead. Neither changes the result, only the plan.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     idle_us = int(round(idle_seconds * 1_000_000))
-    wanted = idle_seconds if slice_seconds is None else min(slice_seconds, idle_seconds)
-    slice_us = max(1, int(round(wanted * 1_000_000)))
+
+    # One small aggregate over the time column (three numbers, fetched once
+    # when the plan is built): the greatest time, for end-of-data timeouts,
+    # and the span and row count that size the slices. As literals they let
+    # both uses of the slice share one expression and one exchange.
+    t_all = epoch_micros(df, time_col)
+    rows, lo, hi = df.agg(F.count(t_all), F.min(t_all), F.max(t_all)).first()
+    global_max = F.lit(hi).cast("bigint")
+    if slice_seconds is not None:
+        slice_len = int(round(min(slice_seconds, idle_seconds) * 1_000_000))
+    elif rows:
+        slice_len = min(idle_us, (hi - lo + 1) * rows_per_slice // rows)
+    else:
+        slice_len = idle_us
+    slice_us = F.lit(max(1, slice_len))
 
     # Join keys are non-nullable (rows without a time share one slice), so the
     # join infers no NULL filter and keeps the ranked side's partitioning.
     base = (df.withColumn(_K, _key_struct(keys))
             .withColumn(_T, epoch_micros(df, time_col))
-            .withColumn(_S, F.coalesce(F.floor(F.col(_T) / F.lit(slice_us)).cast("bigint"),
+            .withColumn(_S, F.coalesce(F.floor(F.col(_T) / slice_us).cast("bigint"),
                                        F.lit(_NULL_SLICE))))
 
     # Rows ranked inside their (key, slice): the only full shuffle and sort.
@@ -106,7 +124,6 @@ def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
                .select(_K, _S, "_offset", "_seg_start", "_next_first_t"))
 
     # Join the carried values back and finish each row.
-    global_max = df.agg(F.max(epoch_micros(df, time_col)).alias("m")).scalar()
     joined = ranked.join(summary, [_K, _S], "inner")
     t = F.col(_T)
     rank = F.col("_offset") + F.col("_rn")
