@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import socket
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -84,10 +85,12 @@ class BatchMonitor:
     """
 
     def __init__(self, action: Callable[[DataFrame, int], None] | None = None,
-                 logger: logging.Logger | None = None):
+                 logger: logging.Logger | None = None, keep_batches: int = 1000):
         self.action = action
         self.total = 0
-        self.history: list[dict] = []
+        # Recent batches only, so a stream running for months holds bounded
+        # driver memory; ``total`` still counts every batch.
+        self.history: deque[dict] = deque(maxlen=keep_batches)
         self.log = logger or log
         self.host = socket.gethostname()
 
