@@ -199,9 +199,9 @@ def trade_v2_sink_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def generated_totals(spark: SparkSession, d: str) -> DataFrame:
-    """Totals of the generated words, per word."""
+    """Totals of the generated words, per word, sorted by word."""
     words = generator.generated_words(read_table(spark, d, "events"), "event_id")
-    return agg.word_count(words)
+    return agg.word_count(words).orderBy("word")
 
 
 def generated_reconcile(spark: SparkSession, d: str) -> DataFrame:
