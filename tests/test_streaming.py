@@ -195,3 +195,21 @@ def test_per_batch_max_id_string_order(spark, scratch):
     assert [r.max_id for r in sorted(seen, key=lambda r: r.batch_id)] == \
         [max(r.id for r in h) for h in halves]
     assert seen[0].max_id == "99"  # string order: "99" > "499"
+
+
+def test_running_count_stream_string_tiebreak(spark, scratch):
+    t = (fixtures.trade_stream(spark, SF_SMALL)
+         .select("symbol", "ts", F.col("id").alias("tid"), "event_id"))
+    write_parts(t, os.path.join(scratch, "src"), 2, "event_id")
+    stream = (spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1)
+              .parquet(os.path.join(scratch, "src", "part*")))
+    out = running_count_stream(stream, "symbol", "ts", "tid", IDLE)
+    run(jobs.start(out, os.path.join(scratch, "ck"), sink="parquet",
+                   path=os.path.join(scratch, "out"), available_now=True))
+    got = spark.read.parquet(os.path.join(scratch, "out"))
+    assert dict(got.dtypes)["tid"] == "string"
+    counted = state.running_counts(t, "symbol", "ts", "tid", IDLE)
+    want = state.state_outputs(counted, "symbol", "ts", IDLE).select(
+        "symbol", F.col("at").cast("timestamp").alias("at"), "n", "timed_out")
+    g = got.select("symbol", "at", "n", "timed_out")
+    assert g.exceptAll(want).count() == 0 and want.exceptAll(g).count() == 0

@@ -16,18 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
-from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import (BooleanType, ByteType, IntegerType, LongType, ShortType,
+                               StringType, StructField, StructType, TimestampType)
 
 _STATE_SCHEMA = StructType([StructField("n", LongType(), True),
                             StructField("last_us", LongType(), True)])
 
 
-def output_schema(key_col: str, tiebreak_col: str) -> StructType:
+def output_schema(key_col: str, tiebreak_col: str, tiebreak_type=None) -> StructType:
     return StructType([
         StructField(key_col, StringType(), True),
         StructField("at", TimestampType(), True),
-        StructField(tiebreak_col, LongType(), True),
+        StructField(tiebreak_col, tiebreak_type or LongType(), True),
         StructField("n", LongType(), True),
         StructField("timed_out", BooleanType(), True),
     ])
@@ -44,7 +44,9 @@ class RunningCountProcessor(StatefulProcessor):
     batch of the key (Arrow-batched, no per-row Python).
     """
 
-    def __init__(self, key_col: str, time_col: str, tiebreak_col: str, idle_seconds: float):
+    def __init__(self, key_col: str, time_col: str, tiebreak_col: str, idle_seconds: float,
+                 integer_ties: bool = True):
+        self.integer_ties = integer_ties
         self.key_col = key_col
         self.time_col = time_col
         self.tiebreak_col = tiebreak_col
@@ -61,8 +63,8 @@ class RunningCountProcessor(StatefulProcessor):
     def _frame(self, key, at_us, tiebreak, n, timed_out):
         import pandas as pd
         at = pd.to_datetime(pd.Series(at_us, dtype="int64"), unit="us", utc=True)
-        return pd.DataFrame({self.key_col: key, "at": at,
-                             self.tiebreak_col: pd.Series(tiebreak, dtype="Int64"),
+        ties = pd.Series(tiebreak, dtype="Int64" if self.integer_ties else object)
+        return pd.DataFrame({self.key_col: key, "at": at, self.tiebreak_col: ties,
                              "n": pd.Series(n, dtype="int64"),
                              "timed_out": pd.Series(timed_out, dtype="bool")})
 
@@ -122,11 +124,15 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebrea
     A TIMESTAMP_NTZ input is read in the session time zone by that cast.
     """
     ts = F.col(time_col).cast("timestamp")
+    tie_type = events.schema[tiebreak_col].dataType
+    integer_ties = isinstance(tie_type, (LongType, IntegerType, ShortType, ByteType))
+    tie = F.col(tiebreak_col).cast("bigint") if integer_ties else F.col(tiebreak_col)
     rows = (events
             .select(F.col(key_col).cast("string").alias(key_col), ts.alias(time_col),
-                    F.unix_micros(ts).alias(_EPOCH_US),
-                    F.col(tiebreak_col).cast("bigint").alias(tiebreak_col))
+                    F.unix_micros(ts).alias(_EPOCH_US), tie.alias(tiebreak_col))
             .withWatermark(time_col, watermark_delay))
-    processor = RunningCountProcessor(key_col, time_col, tiebreak_col, idle_seconds)
+    processor = RunningCountProcessor(key_col, time_col, tiebreak_col, idle_seconds,
+                                      integer_ties)
+    schema = output_schema(key_col, tiebreak_col, LongType() if integer_ties else tie_type)
     return rows.groupBy(key_col).transformWithStateInPandas(
-        processor, output_schema(key_col, tiebreak_col), "Append", "EventTime")
+        processor, schema, "Append", "EventTime")
