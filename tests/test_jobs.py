@@ -112,3 +112,12 @@ def test_symbol_count_stream_job(spark, scratch):
     want = {r.tickerSymbol: r.n for r in
             t.groupBy("tickerSymbol").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == want
+
+
+def test_cli_word_count(spark, scratch, capsys):
+    from tidepool.__main__ import main
+    src = os.path.join(scratch, "in.txt")
+    with open(src, "w") as f:
+        f.write("a b a\n c  \n")
+    main(["word-count", src, os.path.join(scratch, "out")])
+    assert capsys.readouterr().out.strip().splitlines()[-1] == "4"  # a, b, '', c

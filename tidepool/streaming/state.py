@@ -121,7 +121,11 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebrea
 
     ``time_col`` is cast to TIMESTAMP (a watermark needs one); rows later than
     the watermark are dropped, a late-data rule the table form does not need.
-    A TIMESTAMP_NTZ input is read in the session time zone by that cast.
+    With the default delay of 0 every row a later batch brings is at or after
+    the key's last row, so counts follow the exact time order; a positive
+    delay admits rows older than a key's last row, which are then counted in
+    arrival order. A TIMESTAMP_NTZ input is read in the session time zone by
+    that cast.
     """
     ts = F.col(time_col).cast("timestamp")
     tie_type = events.schema[tiebreak_col].dataType
