@@ -27,7 +27,7 @@ def text_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     The copy brings double, leading and trailing spaces, which the word split
     has to treat like Java's ``split``. One column ``value``.
     """
-    docs = read_table(spark, base_dir, "documents", spread_out=True)
+    docs = read_table(spark, base_dir, "documents", ["text"], spread_out=True)
     both = F.array(F.col("text"), F.translate("text", BLANKED_LETTER, " "))
     return docs.select(F.explode(both).alias("value"))  # one scan for both copies
 
@@ -38,7 +38,8 @@ def tags(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFr
     Tags of one source are NULL (its groups are all NULL), and every
     ``EMOJI_PERIOD``-th document gets an emoji appended (two UTF-16 units).
     """
-    docs = read_table(spark, base_dir, "documents", spread_out)
+    docs = read_table(spark, base_dir, "documents", ["doc_id", "lang", "source", "text"],
+                      spread_out)
     tag = (F.when(F.col("source") == NULL_TAG_SOURCE, F.lit(None).cast("string"))
            .when(F.col("doc_id") % EMOJI_PERIOD == 0, F.concat("text", F.lit(EMOJI)))
            .otherwise(F.col("text")))
@@ -52,7 +53,9 @@ def trades(spark: SparkSession, base_dir: str, spread_out: bool = True) -> DataF
     id = ``orderkey-linenumber-partkey-suppkey`` (unique), symbol = ``P<partkey>``.
     ``spread_out`` for heavy per-row work (JSON, hashing) before the first shuffle.
     """
-    li = read_table(spark, base_dir, "lineitem", spread_out)
+    li = read_table(spark, base_dir, "lineitem",
+                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+                     "l_extendedprice", "l_quantity", "l_shipdate", "l_tax"], spread_out)
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string"), F.lit("-"),
@@ -103,7 +106,8 @@ def trade_stream(spark: SparkSession, base_dir: str, spread_out: bool = False) -
 
     The string order of these ids differs from their numeric order.
     """
-    ev = read_table(spark, base_dir, "events", spread_out)
+    ev = read_table(spark, base_dir, "events", ["event_type", "user_id", "value", "event_id",
+                                                "ts"], spread_out)
     return ev.select(
         F.col("event_type").alias("symbol"),
         F.when(F.col("user_id") % 2 == 0, F.lit("BUY")).otherwise(F.lit("SELL")).alias("trade"),

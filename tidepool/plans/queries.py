@@ -91,7 +91,7 @@ def null_or_empty(spark: SparkSession, d: str) -> DataFrame:
 
 def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """One-line Base64 of every text and whether it decodes back."""
-    docs = read_table(spark, d, "documents", spread_out=True)
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_out=True)
     b64 = scalar.base64_encode(F.encode("text", "UTF-8"))
     back = F.decode(scalar.base64_decode(b64, strict=True), "UTF-8")
     return docs.select("doc_id", b64.alias("b64"), (back == F.col("text")).alias("roundtrip_ok"))
@@ -99,7 +99,7 @@ def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 def abbreviate_middle(spark: SparkSession, d: str) -> DataFrame:
     """middle-abbreviated texts and sources (with and without a mark)."""
-    docs = read_table(spark, d, "documents", spread_out=True)
+    docs = read_table(spark, d, "documents", ["doc_id", "text", "source"], spread_out=True)
     return docs.select(
         "doc_id",
         scalar.abbreviate_middle("text", 20, 10).alias("short_text"),

@@ -30,23 +30,27 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     group is read by one task and every per-row step after it runs serially.
     Large inputs have many splits and pass through untouched (the check is a
     plan-time partition count, no job); only an under-split input pays one
-    round-robin exchange. Filters and column pruning still reach the scan.
+    exchange. It hashes all columns of ``df`` (so apply it after the
+    projection): deterministic on retry without the local sort a round-robin
+    exchange needs, and identical rows are the only ones kept together.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # a Spark Connect session has no RDD view: leave the plan as is
         return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(want, *df.columns) if have < want else df
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str,
-               spread_out: bool = False) -> DataFrame:
+               columns: list[str] | None = None, spread_out: bool = False) -> DataFrame:
     """One of the driver's tables, ``<base_dir>/<name>.parquet``.
 
-    ``spread_out`` for inputs followed by heavy per-row work (tokenising,
-    JSON, hashing) before their first shuffle; a plan that shuffles right
-    after the scan gains nothing from it.
+    ``spread_out`` (with the ``columns`` used) for inputs followed by heavy
+    per-row work (tokenising, JSON, hashing) before their first shuffle; a
+    plan that shuffles right after the scan gains nothing from it.
     """
     df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
     return spread(df) if spread_out else df
