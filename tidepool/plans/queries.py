@@ -68,7 +68,7 @@ def trade_parse_tolerant(spark: SparkSession, d: str) -> DataFrame:
 
 def trade_line(spark: SparkSession, d: str) -> DataFrame:
     """The printable line of every trade."""
-    t = fixtures.trades(spark, d, spread_out=False)
+    t = fixtures.trades(spark, d)
     return t.select("id", records.trade_line("v1").alias("line"))
 
 
@@ -180,8 +180,8 @@ def start_at_timestamp(spark: SparkSession, d: str) -> DataFrame:
 
 def latest_trade_per_key(spark: SparkSession, d: str) -> DataFrame:
     """P10 K2: the row an upsert-by-symbol table holds after all trades arrive in time order."""
-    t = fixtures.trades(spark, d, spread_out=False).select(
-        "tickerSymbol", "time", "id", "tradeType", "price", "quantity")
+    t = fixtures.trades(spark, d).select("tickerSymbol", "time", "id", "tradeType", "price",
+                                         "quantity")
     return latest.latest_per_key(t, "tickerSymbol", ["time", "id"])
 
 
