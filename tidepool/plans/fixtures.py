@@ -119,7 +119,7 @@ def trade_stream(spark: SparkSession, base_dir: str, spread_out: bool = False) -
 
 def json_elements(spark: SparkSession, base_dir: str) -> DataFrame:
     """JSON documents with element ``k`` in every shape, from ``events.props``."""
-    ev = read_table(spark, base_dir, "events")
+    ev = read_table(spark, base_dir, "events", ["event_id", "props"], spread_out=True)
     shapes = ['{}', '{"k":null}', '{"k":[]}', '{"k":""}', '{"k":{}}',
               '{"k":"[]"}', '{"k":[null]}', '{"k":0}']
     case = F.col("event_id") % 10

@@ -120,7 +120,8 @@ def symbol_count_per_batch(spark: SparkSession, d: str) -> DataFrame:
 
 def word_count_per_batch(spark: SparkSession, d: str) -> DataFrame:
     """Words per 2-second batch of generated word records."""
-    recs = generator.word_records(read_table(spark, d, "events"), "event_id", keep=("ts",))
+    ev = read_table(spark, d, "events", ["event_id", "ts"], spread_out=True)
+    recs = generator.word_records(ev, "event_id", keep=("ts",))
     words = text.tokens(recs, "record", "word", split_lines_first=False, keep=("ts",))
     return agg.count_per_window(words, "ts", "word", WORD_BATCH)
 
@@ -200,13 +201,13 @@ def trade_v2_sink_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def generated_totals(spark: SparkSession, d: str) -> DataFrame:
     """Totals of the generated words, per word, sorted by word."""
-    words = generator.generated_words(read_table(spark, d, "events"), "event_id")
-    return agg.word_count(words).orderBy("word")
+    ev = read_table(spark, d, "events", ["event_id"], spread_out=True)
+    return agg.word_count(generator.generated_words(ev, "event_id")).orderBy("word")
 
 
 def generated_reconcile(spark: SparkSession, d: str) -> DataFrame:
     """Words whose sent total differs from the count of the received records (none)."""
-    ev = read_table(spark, d, "events")
+    ev = read_table(spark, d, "events", ["event_id"], spread_out=True)
     sent = agg.word_count(generator.generated_words(ev, "event_id"))
     recs = generator.word_records(ev, "event_id")
     counted = agg.word_count(text.tokens(recs, "record", "word"))
