@@ -83,3 +83,54 @@ def test_ntz_gaps_ignore_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == {1: 1, 2: 1, 3: 1, 4: 2}
+
+
+json_values = st.recursive(
+    st.none() | st.booleans() | st.integers(-5, 5) | st.text(alphabet="a[] ", max_size=3),
+    lambda inner: st.lists(inner, max_size=2) | st.dictionaries(st.sampled_from("xy"), inner,
+                                                                 max_size=2),
+    max_leaves=4)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.just("absent"), json_values), min_size=1, max_size=12))
+def test_json_element_empty_random(spark, values):
+    import json as _json
+
+    from tidepool.functions.scalar import json_element_empty
+    docs = ["{}" if v == "absent" else _json.dumps({"k": v}) for v in values]
+    want = [v == "absent" or v is None or v == [] or v == "" for v in values]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string")
+    got = [r.e for r in df.select("i", json_element_empty("d", "$.k").alias("e"))
+           .orderBy("i").collect()]
+    assert got == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3),
+                          st.text(alphabet="xyz", min_size=1, max_size=2), st.integers(0, 9)),
+                min_size=1, max_size=30))
+def test_latest_per_key_random(spark, rows):
+    from tidepool.operators.latest import latest_per_key
+    df = spark.createDataFrame(rows, "k string, t int, rid string, v int")
+    got = {r.k: (r.t, r.rid, r.v) for r in latest_per_key(df, "k", ["t", "rid"]).collect()}
+    want = {}
+    for k, t, rid, v in rows:
+        if k not in want or (t, rid, v) > want[k]:
+            want[k] = (t, rid, v)
+    assert got == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["m1", "m2"]), st.sampled_from(["u1", "u2"]),
+                          st.one_of(st.none(), st.text(alphabet="a\U0001F600é", max_size=4))),
+                min_size=1, max_size=20))
+def test_tag_size_random(spark, rows):
+    from tidepool.operators.aggregates import tag_size
+    df = spark.createDataFrame(rows, "movieId string, userId string, tag string")
+    got = sorted((r.movieId, r.userId, r.tagSize) for r in
+                 tag_size(df, keep_user=True).collect())
+    want = {}
+    for m, u, tag in rows:
+        want[(m, u)] = want.get((m, u), 0) + (len(tag.encode("utf-16-be")) // 2 if tag else 0)
+    assert got == sorted((m, u, n) for (m, u), n in want.items())
