@@ -213,3 +213,27 @@ def test_running_count_stream_string_tiebreak(spark, scratch):
         "symbol", F.col("at").cast("timestamp").alias("at"), "n", "timed_out")
     g = got.select("symbol", "at", "n", "timed_out")
     assert g.exceptAll(want).count() == 0 and want.exceptAll(g).count() == 0
+
+
+def test_processing_time_timeout_fires_without_new_data(spark, scratch):
+    import time as _time
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("x\nx\ny\n")
+    lines = spark.readStream.format("text").load(src).withColumn("arrived_at",
+                                                                 F.current_timestamp())
+    rows = lines.withColumn("tie", F.col("value"))  # equal words: order is immaterial
+    out = running_count_stream(rows, "value", "arrived_at", "tie", idle_seconds=1,
+                               time_mode="ProcessingTime")
+    seen = []
+    q = jobs.start(out, os.path.join(scratch, "ck"), interval_seconds=0.5,
+                   foreach_batch=lambda df, b: seen.extend(df.collect()))
+    deadline = _time.time() + 60
+    while _time.time() < deadline and sum(r.timed_out for r in seen) < 2:
+        _time.sleep(0.5)
+    q.stop()
+    counts = sorted((r.value, r.n) for r in seen if not r.timed_out)
+    timeouts = sorted((r.value, r.n) for r in seen if r.timed_out)
+    assert counts == [("x", 1), ("x", 2), ("y", 1)]
+    assert timeouts == [("x", 2), ("y", 1)]

@@ -115,10 +115,16 @@ class RunningCountProcessor(StatefulProcessor):
 
 
 def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebreak_col: str,
-                         idle_seconds: float = 300.0, watermark_delay: str = "0 seconds"
-                         ) -> DataFrame:
+                         idle_seconds: float = 300.0, watermark_delay: str = "0 seconds",
+                         time_mode: str = "EventTime") -> DataFrame:
     """T1 + T2 on a stream: ``key, at, <tiebreak>, n, timed_out`` in append mode.
 
+    ``time_mode="ProcessingTime"`` is the reference's clock: ``time_col``
+    should then be the arrival time (``arrived_at``), and idle keys time out
+    when the wall clock passes their deadline, also while no data arrives.
+    Use it with a processing-time trigger (an ``availableNow`` query would
+    keep running batches for the pending timers).
+
     ``time_col`` is cast to TIMESTAMP (a watermark needs one); rows later than
     the watermark are dropped, a late-data rule the table form does not need.
     With the default delay of 0 every row a later batch brings is at or after
@@ -131,12 +137,14 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebrea
     tie_type = events.schema[tiebreak_col].dataType
     integer_ties = isinstance(tie_type, (LongType, IntegerType, ShortType, ByteType))
     tie = F.col(tiebreak_col).cast("bigint") if integer_ties else F.col(tiebreak_col)
-    rows = (events
-            .select(F.col(key_col).cast("string").alias(key_col), ts.alias(time_col),
-                    F.unix_micros(ts).alias(_EPOCH_US), tie.alias(tiebreak_col))
-            .withWatermark(time_col, watermark_delay))
+    if time_mode not in ("EventTime", "ProcessingTime"):
+        raise ValueError("time_mode is 'EventTime' or 'ProcessingTime'")
+    rows = events.select(F.col(key_col).cast("string").alias(key_col), ts.alias(time_col),
+                         F.unix_micros(ts).alias(_EPOCH_US), tie.alias(tiebreak_col))
+    if time_mode == "EventTime":
+        rows = rows.withWatermark(time_col, watermark_delay)
     processor = RunningCountProcessor(key_col, time_col, tiebreak_col, idle_seconds,
                                       integer_ties)
     schema = output_schema(key_col, tiebreak_col, LongType() if integer_ties else tie_type)
     return rows.groupBy(key_col).transformWithStateInPandas(
-        processor, schema, "Append", "EventTime")
+        processor, schema, "Append", time_mode)
