@@ -99,9 +99,15 @@ def running_count_stream_job(spark: SparkSession, events: DataFrame, key_col: st
                              time_col: str, tiebreak_col: str, checkpoint: str,
                              output_path: str, idle_seconds: float = 300.0,
                              interval_seconds: float | None = 5,
-                             available_now: bool = False) -> StreamingQuery:
-    """Running counts with idle timeouts, appended to Parquet, restartable."""
-    out = running_count_stream(events, key_col, time_col, tiebreak_col, idle_seconds)
+                             available_now: bool = False,
+                             time_mode: str = "EventTime") -> StreamingQuery:
+    """Running counts with idle timeouts, appended to Parquet, restartable.
+
+    ``time_mode="ProcessingTime"`` (with ``time_col`` the arrival time) times
+    idle keys out on the wall clock, as the reference's keyed state job does.
+    """
+    out = running_count_stream(events, key_col, time_col, tiebreak_col, idle_seconds,
+                               time_mode=time_mode)
     return jobs.start(out, checkpoint, sink="parquet", path=output_path,
                       interval_seconds=interval_seconds, available_now=available_now)
 
