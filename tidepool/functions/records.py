@@ -34,10 +34,12 @@ def layout(version: str) -> tuple[tuple[str, str], ...]:
         raise ValueError(f"unknown trade layout {version!r}; use one of {sorted(LAYOUTS)}")
 
 
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType()}
+
+
 def trade_schema(version: str = "v1") -> T.StructType:
     """The typed struct of a trade record."""
-    return T.StructType([T.StructField(n, T._parse_datatype_string(t), True)
-                         for n, t in layout(version)])
+    return T.StructType([T.StructField(n, _TYPES[t], True) for n, t in layout(version)])
 
 
 def decode_utf8(value: Column | str) -> Column:
