@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import utf16_length
-from tidepool.operators.state import epoch_micros
+from tidepool.functions.timecols import epoch_micros
 
 
 def word_count(words: DataFrame, word_col: str = "word", out: str = "n") -> DataFrame:
