@@ -76,6 +76,15 @@ ORACLE_SQL: dict[str, str] = {
     "word_count": f"""
 WITH {_LINES}
 SELECT word, count(*) AS n FROM words GROUP BY word
+""",
+    "record_word_count": """
+WITH words AS (
+    SELECT unnest(CASE WHEN text = '' THEN ['']
+                       WHEN rtrim(text, ' ') = '' THEN []::VARCHAR[]
+                       ELSE string_split(rtrim(text, ' '), ' ') END) AS word
+    FROM documents
+)
+SELECT word, count(*) AS n FROM words GROUP BY word
 """,
     "distinct_words": f"""
 WITH {_LINES}
