@@ -14,7 +14,8 @@ def plan(spark, name):
 
 
 @pytest.mark.parametrize("name,partial", [
-    ("word_count", "partial_count"), ("tag_size", "partial_sum"),
+    ("word_count", "partial_count"), ("record_word_count", "partial_count"),
+    ("tag_size", "partial_sum"),
     ("symbol_count", "partial_count"), ("generated_totals", "partial_count"),
     ("latest_trade_per_key", "partial_max"), ("symbol_count_per_batch", "partial_count")])
 def test_aggregates_combine_map_side(spark, name, partial):
