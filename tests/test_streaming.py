@@ -237,3 +237,15 @@ def test_processing_time_timeout_fires_without_new_data(spark, scratch):
     timeouts = sorted((r.value, r.n) for r in seen if r.timed_out)
     assert counts == [("x", 1), ("x", 2), ("y", 1)]
     assert timeouts == [("x", 2), ("y", 1)]
+
+
+def test_console_sink_runs(spark, scratch):
+    # The rows are printed by the JVM, outside what the test can capture.
+    t = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_type", "event_id")
+    write_parts(t, os.path.join(scratch, "src"), 1, "event_id")
+    stream = spark.readStream.schema(t.schema).parquet(os.path.join(scratch, "src", "part*"))
+    q = jobs.console(stream, os.path.join(scratch, "ck"), rows=3, available_now=True)
+    run(q)
+    progress = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert sum(p["numInputRows"] for p in progress) == t.count()
+    assert "console" in progress[0]["sink"]["description"].lower()
