@@ -249,3 +249,21 @@ def test_console_sink_runs(spark, scratch):
     progress = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert sum(p["numInputRows"] for p in progress) == t.count()
     assert "console" in progress[0]["sink"]["description"].lower()
+
+
+def test_union_of_shard_streams_with_source_time(spark, scratch):
+    from tidepool.sources.streams import union_streams
+    recs = (spark.read.parquet(f"{SF_SMALL}/events.parquet")
+            .select(F.encode("event_type", "UTF-8").alias("value"), "ts", "event_id"))
+    halves = split_rows(recs, 2, "event_id")
+    for i, rows in enumerate(halves):  # two "shards", one folder each
+        write_part(recs, os.path.join(scratch, f"shard{i}"), 0, rows)
+    shards = [read_records(spark, "parquet", os.path.join(scratch, f"shard{i}", "part*"),
+                           schema=recs.schema, time_col="ts") for i in range(2)]
+    merged = union_streams(*shards)
+    assert merged.columns == ["value", "arrived_at"]
+    seen = []
+    run(jobs.start(merged, os.path.join(scratch, "ck"), available_now=True,
+                   foreach_batch=lambda df, b: seen.extend(df.collect())))
+    assert len(seen) == recs.count()  # duplicates across shards would be kept too
+    assert min(r.arrived_at for r in seen) is not None
