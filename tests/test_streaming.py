@@ -267,3 +267,18 @@ def test_union_of_shard_streams_with_source_time(spark, scratch):
                    foreach_batch=lambda df, b: seen.extend(df.collect())))
     assert len(seen) == recs.count()  # duplicates across shards would be kept too
     assert min(r.arrived_at for r in seen) is not None
+
+
+def test_stream_rows_without_time_do_not_fail(spark, scratch):
+    import datetime as dt
+    rows = [("a", None, 1), ("a", dt.datetime(2024, 1, 1, 0, 0), 2),
+            ("a", dt.datetime(2024, 1, 1, 0, 1), 3), ("b", None, 4)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id bigint")
+    write_parts(df, os.path.join(scratch, "src"), 1, "id")
+    stream = spark.readStream.schema(df.schema).parquet(os.path.join(scratch, "src", "part*"))
+    seen = []
+    run(jobs.start(running_count_stream(stream, "k", "ts", "id", IDLE),
+                   os.path.join(scratch, "ck"), available_now=True,
+                   foreach_batch=lambda d, b: seen.extend(d.collect())))
+    got = sorted((r.k, r.id, r.n, r.at is None) for r in seen if not r.timed_out)
+    assert got == [("a", 1, 1, True), ("a", 2, 2, False), ("a", 3, 3, False), ("b", 4, 1, True)]

@@ -60,9 +60,11 @@ class RunningCountProcessor(StatefulProcessor):
         # Fires once the watermark is strictly more than idle past the last row.
         return (last_us + self.idle_us) // 1000 + 1
 
-    def _frame(self, key, at_us, tiebreak, n, timed_out):
+    def _frame(self, key, at_us, tiebreak, n, timed_out, no_time=None):
         import pandas as pd
         at = pd.to_datetime(pd.Series(at_us, dtype="int64"), unit="us", utc=True)
+        if no_time is not None and no_time.any():
+            at = at.mask(pd.Series(no_time))
         ties = pd.Series(tiebreak, dtype="Int64" if self.integer_ties else object)
         return pd.DataFrame({self.key_col: key, "at": at, self.tiebreak_col: ties,
                              "n": pd.Series(n, dtype="int64"),
@@ -75,10 +77,16 @@ class RunningCountProcessor(StatefulProcessor):
         batch = pd.concat(list(rows), ignore_index=True)
         if batch.empty:
             return
-        batch = batch.sort_values([_EPOCH_US, self.tiebreak_col], kind="mergesort")
-        t = batch[_EPOCH_US].to_numpy(dtype="int64")
-        ids = batch[self.tiebreak_col].to_numpy()
+        batch = batch.sort_values([_EPOCH_US, self.tiebreak_col], kind="mergesort",
+                                  na_position="first")
         n0, last0 = self.state.get() if self.state.exists() else (0, None)
+        # Rows without a time come first and join the current segment (no gap);
+        # their output time stays NULL.
+        no_time = batch[_EPOCH_US].isna().to_numpy()
+        timed = batch[_EPOCH_US].dropna()
+        fill = last0 if last0 is not None else (int(timed.iloc[0]) if len(timed) else 0)
+        t = batch[_EPOCH_US].fillna(fill).to_numpy(dtype="int64")
+        ids = batch[self.tiebreak_col].to_numpy()
         prev = np.empty_like(t)
         prev[1:] = t[:-1]
         prev[0] = t[0] if last0 is None else last0
@@ -93,7 +101,7 @@ class RunningCountProcessor(StatefulProcessor):
         closed_last = np.where(at_break > 0, t[at_break - 1], prev[0])
         yield self._frame(k, closed_last + self.idle_us, [None] * len(at_break), closed_n,
                           [True] * len(at_break))
-        yield self._frame(k, t, ids, n, [False] * len(t))
+        yield self._frame(k, t, ids, n, [False] * len(t), no_time)
         self.state.update((int(n[-1]), int(t[-1])))
         deadline = self._deadline_ms(int(t[-1]))
         if last0 is not None and self._deadline_ms(last0) != deadline:
