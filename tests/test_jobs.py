@@ -121,3 +121,11 @@ def test_cli_word_count(spark, scratch, capsys):
         f.write("a b a\n c  \n")
     main(["word-count", src, os.path.join(scratch, "out")])
     assert capsys.readouterr().out.strip().splitlines()[-1] == "4"  # a, b, '', c
+
+
+def test_processing_time_job_refuses_available_now(spark):
+    import pytest
+    ev = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").load()
+    with pytest.raises(ValueError):
+        jobs.running_count_stream_job(spark, ev, "value", "timestamp", "value", "/unused",
+                                      "/unused", available_now=True, time_mode="ProcessingTime")

@@ -106,6 +106,9 @@ def running_count_stream_job(spark: SparkSession, events: DataFrame, key_col: st
     ``time_mode="ProcessingTime"`` (with ``time_col`` the arrival time) times
     idle keys out on the wall clock, as the reference's keyed state job does.
     """
+    if time_mode == "ProcessingTime" and available_now:
+        raise ValueError("processing-time timeouts keep an availableNow query running; "
+                         "use a processing-time trigger or event time")
     out = running_count_stream(events, key_col, time_col, tiebreak_col, idle_seconds,
                                time_mode=time_mode)
     return jobs.start(out, checkpoint, sink="parquet", path=output_path,
