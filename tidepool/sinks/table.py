@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.operators.latest import latest_per_key
 
@@ -55,14 +56,58 @@ def batch_writer(path: str, columns: list[str], key_cols: list[str] | None = Non
     return run
 
 
+SNAPSHOT_COL = "upto"
+
+
+def _latest_with_batch(df: DataFrame, key_cols: list[str],
+                       order_cols: list[str] | None) -> DataFrame:
+    cols = [c for c in df.columns if c != BATCH_COL]
+    order = [BATCH_COL] + list(order_cols or [])
+    return latest_per_key(df, key_cols, order, cols + [BATCH_COL])
+
+
 def read_latest(spark: SparkSession, path: str, key_cols: list[str],
-                order_cols: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
+                order_cols: list[str] | None = None, fmt: str = "parquet",
+                snapshot_path: str | None = None) -> DataFrame:
     """The table as an upserting store holds it: the last written row per key.
 
-    Later batches win; inside a batch ``order_cols`` decide.
+    Later batches win; inside a batch ``order_cols`` decide. With a
+    ``snapshot_path`` written by ``compact``, only the newest snapshot and
+    the batches after it are read (both cut by partition pruning).
     """
     df = spark.read.format(fmt).load(path)
     cols = [c for c in df.columns if c != BATCH_COL]
-    order = [BATCH_COL] + list(order_cols or [])
-    return latest_per_key(df, key_cols, order, cols + [BATCH_COL]).select(*cols)
+    if snapshot_path:
+        snaps = spark.read.parquet(snapshot_path)
+        upto = snaps.agg(F.max(SNAPSHOT_COL)).first()[0]
+        if upto is not None:
+            snap = snaps.where(F.col(SNAPSHOT_COL) == upto).drop(SNAPSHOT_COL)
+            df = snap.unionByName(df.where(F.col(BATCH_COL) > upto))
+    return _latest_with_batch(df, key_cols, order_cols).select(*cols)
+
+
+def compact(spark: SparkSession, path: str, snapshot_path: str, key_cols: list[str],
+            order_cols: list[str] | None = None, fmt: str = "parquet") -> int | None:
+    """Write the latest row per key over all batches so far as a new snapshot.
+
+    The snapshot goes to ``<snapshot_path>/upto=<last batch id>``, a new
+    folder each time (nothing is overwritten, so readers never see a partial
+    table); rows keep the batch id that wrote them. Returns that batch id.
+    """
+    df = spark.read.format(fmt).load(path)
+    upto = df.agg(F.max(BATCH_COL)).first()[0]
+    if upto is None:
+        return None
+    try:
+        previous = spark.read.parquet(snapshot_path).agg(F.max(SNAPSHOT_COL)).first()[0]
+    except Exception:  # no snapshot yet
+        previous = None
+    if previous == upto:
+        return upto  # nothing written since the last snapshot
+    base = df if previous is None else (
+        spark.read.parquet(snapshot_path).where(F.col(SNAPSHOT_COL) == previous)
+        .drop(SNAPSHOT_COL).unionByName(df.where(F.col(BATCH_COL) > previous)))
+    current = _latest_with_batch(base.where(F.col(BATCH_COL) <= upto), key_cols, order_cols)
+    current.write.mode("error").parquet(f"{snapshot_path.rstrip('/')}/{SNAPSHOT_COL}={upto}")
+    return upto
 
