@@ -33,6 +33,8 @@ def test_csv_all_strings_roundtrip(spark, scratch):
     assert 1 <= len(glob.glob(os.path.join(out, "part-*.csv"))) <= 10
     assert read_csv_strings(spark, out).count() == 3
     write_csv(df, os.path.join(scratch, "narrow"), num_files=2, narrow=True)
+    assert 1 <= len(glob.glob(os.path.join(scratch, "narrow", "part-*.csv"))) <= 2
+    assert read_csv_strings(spark, os.path.join(scratch, "narrow")).count() == 3
 
 
 def test_spread_only_under_split_inputs(spark):
@@ -118,3 +120,10 @@ def test_compacted_reads_equal_full_reads(spark, scratch):
     fast = sorted(tuple(r) for r in
                   read_latest(spark, path, ["k"], ["t"], snapshot_path=snaps).collect())
     assert fast == full == [("a", 0, "v"), ("b", 0, "late"), ("c", 1, "w"), ("d", 5, "u")]
+
+
+def test_trigger_options():
+    from tidepool.streaming.jobs import trigger_options
+    assert trigger_options(5) == {"processingTime": "5 seconds"}
+    assert trigger_options(available_now=True) == {"availableNow": True}
+    assert trigger_options() == {}
