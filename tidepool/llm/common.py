@@ -14,12 +14,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tidepool.session import checkpoint_root
 
 CHUNK_BYTES = 2 << 20
 
+# Keys that hold more than this share of the rows are answered from a broadcast
+# table; at most 1 / HOT_SHARE keys can, which bounds its size.
+HOT_SHARE = 0.001
+
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -48,6 +53,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def answer_by_key(rows: DataFrame, facts: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` joined with ``facts``, which has one row per ``key`` and the key's rows in ``size``.
+
+    Keys above HOT_SHARE of all rows meet a broadcast table of at most 1 / HOT_SHARE
+    rows, the others a sort-merge join: no task gets all rows of a hot key.
+    """
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    is_hot = F.col(size) > total * HOT_SHARE
+    answers = [c for c in facts.columns if c != key]
+    columns = [*rows.columns, *answers]
+    first = rows.join(F.broadcast(facts.where(is_hot)), key, "left")
+    rest = first.where(F.col(size).isNull()).drop(*answers).join(facts.where(~is_hot).hint("merge"), key)
+    return first.where(F.col(size).isNotNull()).select(columns).unionByName(rest.select(columns))
+
+
+def text_key(text: Column) -> Column:
+    """With the id, tells rows apart; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose id and text_key are in ``kept``; one of rows that agree in both."""
+    marks = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
+    keyed = docs.select("*", F.col(id_col).alias("__key"), text_key(F.col(text_col)).alias("__of"))
+    same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__text"))
+    one = Window.partitionBy("__key", "__of").orderBy(F.lit(0))
+    return (keyed.join(marks, same, "left_semi").withColumn("__nth", F.row_number().over(one))
+            .where("__nth = 1").select(*docs.columns))
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column; a null counts as an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -130,3 +165,22 @@ def window_starts(first: np.ndarray, words: int) -> np.ndarray:
     n = np.maximum(np.diff(first) - words + 1, 0)
     ahead = np.repeat(first[:-1] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
     return np.arange(int(n.sum())) + ahead
+
+
+def join_words(data: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray,
+               kept: np.ndarray) -> pa.StringArray:
+    """Each text's ``kept`` words with one space between them."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    np.add.at(edge, start[kept], 1)
+    np.add.at(edge, end[kept], -1)
+    keep = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    text = np.repeat(np.arange(len(at) - 1), np.diff(first))[kept]
+    followed = np.flatnonzero(text[1:] == text[:-1])
+    gap = end[kept][followed]
+    out = data.copy()
+    out[gap] = 0x20
+    keep[gap] = True
+    size = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(keep, out=size[1:])
+    offsets = size[at].astype(np.int32)
+    return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(offsets), pa.py_buffer(out[keep]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import exact_dedup, kd_shard, url_filter
+from tidepool.llm import exact_dedup, kd_shard, simhash, substring_dedup, url_filter
 from tidepool.llm.common import table
 
 URL_RULES = (
@@ -32,6 +32,12 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 35-word windows."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its equal texts, against an empty index."""
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), exact_dedup.fresh_index(spark))
@@ -39,6 +45,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, 3 bits."""
+    found = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op4_kd_shards, op8_exact_dedup)
+    f.__name__: f for f in (op1_url_filter, op4_kd_shards, op5_substring_dedup, op8_exact_dedup, op10_simhash)
 }
