@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import exact_dedup, kd_shard, simhash, substring_dedup, url_filter
+from tidepool.llm import bpe, dac, exact_dedup, kd_shard, simhash, substring_dedup, url_filter
 from tidepool.llm.common import table
 
 URL_RULES = (
@@ -18,6 +19,7 @@ URL_RULES = (
     url_filter.Rule("block", "com", "/de/"),
 )
 SHARDS = 40
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,16 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
+    return bpe.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     placed = kd_shard.kd_shards(table(spark, sf_dir, "documents"), shards=SHARDS)
@@ -38,6 +50,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum in files of directly addressable codes."""
+    return dac.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=0)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its equal texts, against an empty index."""
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), exact_dedup.fresh_index(spark))
@@ -52,5 +69,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op4_kd_shards, op5_substring_dedup, op8_exact_dedup, op10_simhash)
+    f.__name__: f for f in (op1_url_filter, op2_bpe, op4_kd_shards, op5_substring_dedup, op7_token_files, op8_exact_dedup,
+                               op10_simhash)
 }
