@@ -109,9 +109,10 @@ def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int
         first = last
 
 
-def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, at: np.ndarray,
+             separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first): byte spans of all words, and each text's first word index."""
-    inside = ~SEPARATOR[data]
+    inside = ~separator[data]
     starts, ends = inside.copy(), inside.copy()
     starts[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, dac, exact_dedup, kd_shard, simhash, substring_dedup, url_filter
+from tidepool.llm import bpe, dac, exact_dedup, kd_shard, simhash, substring_dedup, toxicity, url_filter
 from tidepool.llm.common import table
 
 URL_RULES = (
@@ -50,6 +50,26 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def id_remainder(doc_id: str, modulus: int) -> Column:
+    """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Trained on the labels of documents that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 5) != 0)
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a fifth of the ids is held out of training."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum in files of directly addressable codes."""
     return dac.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=0)
@@ -69,6 +89,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_bpe, op4_kd_shards, op5_substring_dedup, op7_token_files, op8_exact_dedup,
-                               op10_simhash)
+    f.__name__: f for f in (op1_url_filter, op2_bpe, op4_kd_shards, op5_substring_dedup, op6_toxicity, op7_token_files,
+                               op8_exact_dedup, op10_simhash)
 }
