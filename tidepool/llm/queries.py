@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, dac, exact_dedup, kd_shard, simhash, substring_dedup, toxicity, url_filter
+from tidepool.llm import bpe, dac, exact_dedup, kd_shard, language_id, simhash, substring_dedup, toxicity, url_filter
 from tidepool.llm.common import table
 
 URL_RULES = (
@@ -22,6 +22,11 @@ SHARDS = 40
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def id_remainder(doc_id: str, modulus: int) -> Column:
+    """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
@@ -37,6 +42,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a quarter of the ids is held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(id_remainder("doc_id", 4) != 2))
+    held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
+    return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score",
+                                                    "entropy", "rejected")
+
+
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     placed = kd_shard.kd_shards(table(spark, sf_dir, "documents"), shards=SHARDS)
@@ -50,11 +64,6 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def id_remainder(doc_id: str, modulus: int) -> Column:
-    """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
-
-
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Trained on the labels of documents that are not held out."""
     labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 5) != 0)
@@ -89,6 +98,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_bpe, op4_kd_shards, op5_substring_dedup, op6_toxicity, op7_token_files,
-                               op8_exact_dedup, op10_simhash)
+    f.__name__: f for f in (op1_url_filter, op2_bpe, op3_language_id, op4_kd_shards, op5_substring_dedup, op6_toxicity,
+                               op7_token_files, op8_exact_dedup, op10_simhash)
 }
