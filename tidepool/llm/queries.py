@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, dac, exact_dedup, kd_shard, language_id, simhash, substring_dedup, toxicity, url_filter
+from tidepool.llm import (
+    bpe,
+    dac,
+    decontaminate,
+    exact_dedup,
+    kd_shard,
+    language_id,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 from tidepool.llm.common import table
 
 URL_RULES = (
@@ -32,14 +43,23 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document encoded and decoded again."""
-    path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
-    return bpe.decode(encoded, path).select(
+def tokenizer_path() -> str:
+    """The public tokenizer file, installed at one path on every executor."""
+    return public_tokenizers.path(TOKENIZER)
+
+
+def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, the digests of ids and decoded text, and the columns named."""
+    return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    path = tokenizer_path()
+    return token_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +101,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum in files of directly addressable codes."""
-    return dac.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=0)
+    return dac.token_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +111,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 3 bits."""
     found = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=3)
@@ -99,5 +124,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_bpe, op3_language_id, op4_kd_shards, op5_substring_dedup, op6_toxicity,
-                               op7_token_files, op8_exact_dedup, op10_simhash)
+                               op7_token_files, op8_exact_dedup, op9_decontaminate, op10_simhash)
 }
