@@ -1,0 +1,136 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from llm_helpers import EDGE_ROWS, edge_docs, no_docs, sorted_rows  # noqa: F401
+from tidepool.llm import bpe, dac, pieces
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def own():
+    return bpe.Bpe(PATH)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def check(own, library, texts):
+    for text, ids, want in zip(texts, own.encode(texts), library.encode_batch(texts, add_special_tokens=False),
+                               strict=True):
+        assert ids.tolist() == want.ids, repr(text)
+        assert own.decode(want.ids) == library.decode(want.ids, skip_special_tokens=False)
+
+
+def test_edge_texts(own, library):
+    check(own, library, [r[1] or "" for r in EDGE_ROWS]
+          + ["", " ", "  ", " x", "x ", "a  b", "a   b", "\n\n x", "a \n b", "\x85 \x1f x", "a" * 5000, "ab" * 400,
+             "　x ​ y", "'s 've it's", "²³ ½ ａ", "👨‍👩‍👧 👍🏽"])
+
+
+def test_random_texts(own, library):
+    rng = random.Random(3)
+    check(own, library, ["".join(rng.choice(" \n\tab1.'é日\x1c,s😀Z") for _ in range(rng.randint(0, 60)))
+                         for _ in range(2000)])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(own, library, text):
+    check(own, library, [text])
+
+
+def test_long_and_side_by_side_trees_agree(own):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aenrst") for _ in range(rng.randint(2, 64))).encode() for _ in range(300)]
+    for word, ids in zip(words, own.encode_pretokens(words), strict=True):
+        assert own.merge_long(word) == ids
+
+
+def test_plain_special_tokens():
+    ids = bpe.Bpe(PATH, plain_special=True).encode(["<|endoftext|>"])[0]
+    assert 50256 not in ids.tolist() and len(ids) > 1
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Bpe(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_broken_characters_decode_with_replacement(own, library):
+    ids = own.encode(["日"])[0].tolist()[:1]
+    assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_cache_that_overflows_gives_the_same(monkeypatch, own):
+    monkeypatch.setattr(pieces, "CACHE_PIECES", 3)
+    texts = [f"aa bb{i} cc{i} dd" for i in range(600)]
+    small = pieces.PieceCache(own.encode_whole)
+    assert [x.tolist() for x in small.encode(texts)] == [x.tolist() for x in own.encode_whole(texts)]
+
+
+def test_spark_round_trip(spark, edge_docs, library):
+    got = bpe.decode(bpe.encode(edge_docs, PATH), PATH)
+    want = [(r[0], library.encode(r[1] or "", add_special_tokens=False).ids, r[1] or "") for r in EDGE_ROWS]
+    assert sorted_rows(got) == sorted(want, key=repr)
+
+
+def test_empty_tables(spark, no_docs):
+    assert bpe.decode(bpe.encode(no_docs, PATH), PATH).count() == 0
+    assert dac.token_files(no_docs, PATH).count() == 0
+
+
+def test_null_ids_decode_to_nothing(spark):
+    df = spark.createDataFrame([(1, None, "old")], "doc_id long, ids array<int>, decoded string")
+    assert bpe.decode(df, PATH).collect()[0]["decoded"] == ""
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 32 - 1) | st.integers(0, 300), max_size=700))
+def test_segment_random_access(ids):
+    raw = dac.write_segment(np.array([7]), np.array([len(ids)]), np.array(ids, np.uint32))
+    one = dac.Segment(raw)
+    assert one.ids().tolist() == ids
+    assert [one.id_at(i) for i in range(len(ids))] == ids
+
+
+@pytest.mark.parametrize("high, bits", [(15, 4), (255, 8), (65535, 16)])
+def test_chunk_width_follows_the_ids(high, bits):
+    ids = np.full(1000, high, np.uint32)
+    assert dac.Segment(dac.write_segment(np.array([1]), np.array([1000]), ids)).bits == bits
+
+
+def test_files_in_id_order(spark, edge_docs, library, scratch, monkeypatch):
+    path = f"{scratch}/dac"
+    got = [tuple(r) for r in dac.token_files(edge_docs, PATH, path).collect()]
+    rows = sorted(((r[0], library.encode(r[1] or "", add_special_tokens=False).ids + [0]) for r in EDGE_ROWS),
+                  key=lambda x: (x[0] is not None, x[0] or 0))
+    starts = [0]
+    for _, ids in rows:
+        starts.append(starts[-1] + len(ids))
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    got.sort(key=lambda r: r[1])
+    assert [r[0] for r in got] == [r[0] for r in rows]
+    assert [r[1] for r in got] == starts[:-1]
+    assert sorted((str(r[0]), r[2], r[3]) for r in got) == sorted((str(i), len(x), crc(x)) for i, x in rows)
+
+
+def test_segments_are_cut_and_placed(spark, scratch, library, monkeypatch):
+    texts = [(i, " ".join(f"t{j}" for j in range(i % 17))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(dac, "SEGMENT_IDS", 200)
+    got = {r["doc_id"]: (r["start"], r["n_tokens"]) for r in dac.token_files(docs, PATH, f"{scratch}/d").collect()}
+    at = 0
+    for i, text in texts:
+        n = len(library.encode(text, add_special_tokens=False).ids) + 1
+        assert got[i] == (at, n)
+        at += n

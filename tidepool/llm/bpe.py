@@ -78,8 +78,8 @@ class Bpe:
         order = np.argsort(pairs, kind="stable")
         self.pairs, self.ranks = np.append(pairs[order], NONE), np.append(order, 0)
         self.rank_of = dict(zip(pairs.tolist(), range(len(pairs)), strict=True))
-        self.cache = PieceCache(self.encode_whole, tuple(self.special))
         self.split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
+        self.cache = PieceCache(self.encode_whole, tuple(self.special))
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, or -1."""
@@ -87,8 +87,8 @@ class Bpe:
         at = np.searchsorted(self.pairs, key)
         return np.where(self.pairs[at] == key, self.ranks[at], -1)
 
-    def merge_rows(self, words: list[bytes], leaves: int) -> list[np.ndarray]:
-        """Ids of pre-tokens of at most ``leaves`` bytes (a power of two), side by side."""
+    def merge_rows(self, words: list[bytes], leaves: int) -> list[bytes]:
+        """Packed ids of pre-tokens of at most ``leaves`` bytes (a power of two), side by side."""
         n, bits = len(words), leaves.bit_length() - 1
         size = np.array([len(w) for w in words])
         raw = np.frombuffer(b"".join(w.ljust(leaves, b"\0") for w in words), np.uint8).reshape(n, leaves)
@@ -123,8 +123,8 @@ class Bpe:
             found = self.rank(ids[r, was], ids[r, left[at]])
             self._leaf(tree, r, was, np.where(found >= 0, (found << bits) | was, NONE), leaves)
             row = row[tree[row, 1] != NONE]
-        kept, last = ids[there], np.cumsum(there.sum(1)).tolist()
-        return [kept[a:b] for a, b in zip([0, *last[:-1]], last, strict=True)]
+        raw, last = ids[there].astype(np.int32).tobytes(), (4 * np.cumsum(there.sum(1))).tolist()
+        return [raw[a:b] for a, b in zip([0, *last[:-1]], last, strict=True)]
 
     @staticmethod
     def _leaf(tree: np.ndarray, row: np.ndarray, place: np.ndarray, value: np.ndarray, leaves: int) -> None:
@@ -136,8 +136,8 @@ class Bpe:
             tree[row, node] = np.minimum(tree[row, 2 * node], tree[row, 2 * node + 1])
             leaves >>= 1
 
-    def merge_long(self, word: bytes) -> np.ndarray:
-        """Ids of one pre-token of any length."""
+    def merge_long(self, word: bytes) -> bytes:
+        """Packed ids of one pre-token of any length."""
         n = len(word)
         leaves = 1 << (n - 1).bit_length()
         ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
@@ -175,19 +175,19 @@ class Bpe:
             put(left, pair(left, beyond) if beyond < n else none)
             if before[left] >= 0:
                 put(before[left], pair(before[left], left))
-        return np.array([i for i in ids if i >= 0], np.int64)
+        return np.array([i for i in ids if i >= 0], np.int32).tobytes()
 
-    def encode_pretokens(self, words: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(words)
+    def encode_pretokens(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token, packed as int32."""
+        out: list[bytes] = [b""] * len(words)
         classes: dict[int, list[int]] = {}
         for i, w in enumerate(words):
-            if len(w) < 2:
-                out[i] = self.byte_id[np.frombuffer(w, np.uint8)]
-            elif len(w) > SIDE_BY_SIDE:
-                out[i] = self.merge_long(w)
-            else:
-                classes.setdefault(1 << (len(w) - 1).bit_length(), []).append(i)
+            classes.setdefault(max(2, 1 << (len(w) - 1).bit_length()), []).append(i)
         for leaves, members in classes.items():
+            if leaves > SIDE_BY_SIDE:
+                for i in members:
+                    out[i] = self.merge_long(words[i])
+                continue
             for first in range(0, len(members), ROWS):
                 part = members[first:first + ROWS]
                 for i, ids in zip(part, self.merge_rows([words[i] for i in part], leaves), strict=True):
@@ -203,14 +203,12 @@ class Bpe:
         return out + PATTERN.findall(text[last:])
 
     def encode_whole(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, each distinct pre-token of them merged once."""
+        """int32 ids of each text, each distinct pre-token of them merged once."""
         split = [self._pretokens(t) if any(s in t for s in self.special) else PATTERN.findall(t) for t in texts]
-        new = dict.fromkeys(w for words in split for w in words if isinstance(w, str))
-        known = dict(zip(new, self.encode_pretokens([w.encode() for w in new]), strict=True))
-        known |= {i: np.array([i]) for i in self.special.values()}
-        none = np.zeros(0, np.int64)
-        return [known[words[0]] if len(words) == 1 else np.concatenate([none, *(known[w] for w in words)])
-                for words in split]
+        new = list(dict.fromkeys(w for words in split for w in words if isinstance(w, str)))
+        known: dict[str | int, bytes] = dict(zip(new, self.encode_pretokens([w.encode() for w in new]), strict=True))
+        known |= {i: np.array([i], np.int32).tobytes() for i in self.special.values()}
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in split]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """int32 ids of each text."""

@@ -40,6 +40,7 @@ LEVEL = struct.Struct("<QQQ")           # bytes of chunks, bitmap and directory
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 19                   # a segment is closed at the document that reaches this
 PARTITION_BYTES = 16 << 20              # text of one file
+SCHEMA = "part int, seq int, n_ids long, n_docs long, segment binary"
 
 
 def _pack(chunks: np.ndarray, bits: int) -> bytes:
@@ -125,8 +126,8 @@ class Segment:
                 break
             block = i // RANK_BITS
             first = block * RANK_BITS // 8
-            before = int(np.bitwise_count(bitmap[first:i >> 3]).sum()) + (int(bitmap[i >> 3]) & (1 << (i & 7)) - 1).bit_count()
-            i = int(ranks[block]) + before
+            before = int(np.bitwise_count(bitmap[first:i >> 3]).sum())
+            i = int(ranks[block]) + before + (int(bitmap[i >> 3]) & (1 << (i & 7)) - 1).bit_count()
         return value
 
     def ids(self) -> np.ndarray:
@@ -199,12 +200,12 @@ def write_dac(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_co
         if ids:
             yield close()
 
-    ordered.mapInArrow(run, "part int, seq int, n_ids long, n_docs long, segment binary").write.parquet(path)
+    ordered.mapInArrow(run, SCHEMA).write.parquet(path)
 
 
 def read_dac(spark, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document in the files below ``path``."""
-    files = spark.read.parquet(path)
+    files = spark.read.schema(SCHEMA).parquet(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,10 +1,12 @@
 """Texts to token ids through a cache of the pieces between spaces.
 
-In byte-level BPE a token never spans the border before a space that stands
-between a non-space and a non-space character, so a text may be cut there and
-each piece (its leading space included) encoded alone. A worker keeps the ids of
-the pieces it has met; only new ones are encoded, many at a time. Texts with
-other white space after a space, or with a special token, are encoded whole.
+In byte-level BPE a token never spans the border before a space, or around a line
+end, that stands between two non-space characters, so a text may be cut there and
+each piece (with the space or line end before it) encoded alone. A worker keeps the
+ids of the pieces it has met. New ones that are letters and closing punctuation are
+put together from both parts; of the others thousands are encoded in one string with
+line ends between them, whose id tells them apart again. Texts with other runs of
+white space, or with a special token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,14 +17,18 @@ import numpy as np
 
 CACHE_PIECES = 800_000     # the cache is emptied beyond this; bounds its memory (about 160 MB)
 BATCH_TEXTS = 256
+JOINED = 4096
+CLOSING = '.,;:!?*&$%#)"'  # no apostrophe: with letters after it, it starts a token of its own
 
 
 class PieceCache:
-    """``encode_many`` gives the ids of texts; ``special`` are strings that rule out cutting."""
+    """``encode_many`` gives the int32 ids of texts; ``special`` are strings that rule out cutting."""
 
     def __init__(self, encode_many: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = ()):
         self.encode_many, self.special = encode_many, special
         self.known: dict[str, bytes] = {}
+        self.closings: dict[str, bytes] = {}
+        self.line_end = encode_many(["\n"])[0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """int32 ids of each text."""
@@ -35,19 +41,70 @@ class PieceCache:
         known = self.known
         if len(known) > CACHE_PIECES:
             known.clear()
-        heads, pieces, whole, new = [], [], [], {}
+        parts, new, whole = [], set(), []
         for text in texts:
-            head, *rest = text.split(" ")
-            lacking = set(rest).difference(known)
-            uncut = any(not p or p[0].isspace() for p in lacking) or any(s in text for s in self.special)
-            whole.append(uncut)
-            heads.append(text if uncut else head)
-            pieces.append([] if uncut else rest)
-            if not uncut:
-                new.update(dict.fromkeys(lacking))
-        ids = self.encode_many([*(" " + p for p in new), *heads])
-        for piece, found in zip(new, ids, strict=False):
-            known[piece] = found.astype(np.int32).tobytes()
-        return [np.concatenate((start.astype(np.int32),
-                                np.frombuffer(b"".join(map(known.__getitem__, rest)), np.int32)))
-                for start, rest in zip(ids[len(new):], pieces, strict=True)]
+            # A line end opens a piece of its own; the first piece is one after a line end, less that.
+            pieces = ("\n" + text.replace("\n", " \n")).split(" ")
+            found = list(map(known.get, pieces))
+            lacking = [(i, pieces[i]) for i, x in enumerate(found) if x is None] if None in found else []
+            if any(self._uncut(p) for _, p in lacking) or any(s in text for s in self.special):
+                whole.append(text)
+                found = None
+            else:
+                new.update(p for _, p in lacking)
+            parts.append((found, lacking))
+        self._learn(new)
+        uncut = iter(self.encode_many(whole))
+        out = []
+        for found, lacking in parts:
+            if found is None:
+                out.append(next(uncut))
+                continue
+            for i, piece in lacking:
+                found[i] = known[piece]
+            out.append(np.frombuffer(b"".join(found), np.int32, offset=self.line_end.nbytes))
+        return out
+
+    @staticmethod
+    def _uncut(piece: str) -> bool:
+        """White space stands at the start of the piece (after its line end)."""
+        body = piece[1:] if piece[:1] == "\n" else piece
+        return not body or body[0].isspace()
+
+    def _learn(self, new: set[str]) -> None:
+        """Add pieces that are not known yet."""
+        cores, closed = set(), []
+        for piece in new:
+            core = piece.rstrip(CLOSING)
+            if len(core) < len(piece) and core.lstrip("\n").isalpha():
+                closed.append((piece, core))
+                if core not in self.known:
+                    cores.add(core)
+            else:
+                cores.add(piece)
+        lines = [p[1:] for p in cores if p[0] == "\n"]
+        before = self.line_end.tobytes()
+        self.known.update(("\n" + p, before + ids) for p, ids in self._encoded(lines, ""))
+        self.known.update(self._encoded([p for p in cores if p[0] != "\n"], " "))
+        closings = list({piece[len(core):] for piece, core in closed}.difference(self.closings))
+        self.closings.update(self._encoded(closings, ""))
+        for piece, core in closed:
+            self.known[piece] = self.known[core] + self.closings[piece[len(core):]]
+
+    def _encoded(self, pieces: list[str], before: str) -> list[tuple[str, bytes]]:
+        """Packed ids of ``before + piece``; pieces with control characters or white space are encoded alone."""
+        plain = [p for p in pieces if p.isprintable()] if len(self.line_end) == 1 else []
+        alone = [p for p in pieces if not p.isprintable()] if plain else pieces
+        out: list[tuple[str, bytes]] = []
+        for first in range(0, len(plain), JOINED):
+            part = plain[first:first + JOINED]
+            ids = self.encode_many([before + ("\n" + before).join(part)])[0]
+            ends = 4 * np.flatnonzero(ids == self.line_end[0])
+            if len(ends) != len(part) - 1:
+                alone = alone + part
+                continue
+            raw = ids.tobytes()
+            out += [(p, raw[a:b]) for p, a, b in zip(part, [0, *(ends + 4).tolist()], [*ends.tolist(), len(raw)],
+                                                     strict=True)]
+        return out + [(p, ids.tobytes()) for p, ids in zip(alone, self.encode_many([before + p for p in alone]),
+                                                           strict=True)]
