@@ -73,14 +73,21 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def one_of_each(docs: DataFrame, keys: dict[str, Column], kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``keys`` are in ``kept`` (columns of the same names); one of rows that agree in all.
+
+    The row travels as one struct, so its columns may have any names.
+    """
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *(c.alias(k) for k, c in keys.items()))
+    marks = kept.select(*(F.col(k).alias(f"kept_{k}") for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"kept_{k}")) for k in keys]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    return (keyed.join(marks, same, "left_semi").withColumn("nth", nth).where("nth = 1").select("row.*"))
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` whose id and text_key are in ``kept``; one of rows that agree in both."""
-    marks = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
-    keyed = docs.select("*", F.col(id_col).alias("__key"), text_key(F.col(text_col)).alias("__of"))
-    same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__text"))
-    one = Window.partitionBy("__key", "__of").orderBy(F.lit(0))
-    return (keyed.join(marks, same, "left_semi").withColumn("__nth", F.row_number().over(one))
-            .where("__nth = 1").select(*docs.columns))
+    return one_of_each(docs, {"doc_id": F.col(id_col), "text_key": text_key(F.col(text_col))}, kept)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -14,14 +14,10 @@ Columns other than the id and the text are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import materialize, shared_path
-
-# Groups above this share of the rows are answered from a broadcast table.
-# At most 1 / HOT_SHARE groups can be that large, which bounds its size.
-HOT_SHARE = 0.001
+from tidepool.llm.common import answer_by_key, materialize, one_of_each, shared_path
 
 
 def normalized(text: Column) -> Column:
@@ -94,24 +90,6 @@ class DigestIndex:
         self._write(whole, self.name, self.path)
 
 
-def classify(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """``rows`` (see ``digests``) with keep_id, keep_row and group_size of their digest.
-
-    Rows of very large groups meet a broadcast table of at most 1 / HOT_SHARE
-    rows, all others a sort-merge join, so no task gets a hot digest's rows.
-    """
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    is_hot = F.col("group_size") > total * HOT_SHARE
-    hot = kept.where(is_hot)
-    answers = ["keep_id", "keep_row", "group_size"]
-    first = rows.join(F.broadcast(hot), "digest", "left")
-    direct = first.where(F.col("group_size").isNotNull())
-    rest = first.where(F.col("group_size").isNull()).drop(*answers)
-    cold = rest.join(kept.where(~is_hot).hint("merge"), "digest")
-    columns = [*rows.columns, *answers]
-    return direct.select(columns).unionByName(cold.select(columns))
-
-
 def exact_dedup(docs: DataFrame, index: DigestIndex, batch_name: str = "0",
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deduplicate ``docs`` within themselves and against ``index``, then append.
@@ -124,13 +102,13 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, batch_name: str = "0",
     fresh = index.append(groups, batch_name)
     first_batch = index.read().where(F.col("batch") != batch_name).isEmpty()
     if first_batch:
-        found = classify(rows, index.read().drop("batch"))
+        found = answer_by_key(rows, index.read().drop("batch"), "digest", "group_size")
         return found.withColumn("kept", F.col("row_id") == F.col("keep_row"))
     marked = groups.join(fresh.select("digest", F.lit(True).alias("is_new")), "digest", "left")
     is_new = F.coalesce(F.col("is_new"), F.lit(False))
     marked = marked.select("digest", F.when(is_new, F.col("keep_id")).alias("keep_id"),
                            F.when(is_new, F.col("keep_row")).alias("keep_row"), "group_size")
-    found = classify(rows, marked)
+    found = answer_by_key(rows, marked, "digest", "group_size")
     return found.withColumn("kept", F.coalesce(F.col("row_id") == F.col("keep_row"), F.lit(False)))
 
 
@@ -146,12 +124,7 @@ def drop_copies(docs: DataFrame, index: DigestIndex, batch_name: str = "0",
 
     Joined back by id and digest; of rows that agree in both one is taken.
     """
-    kept = (exact_dedup(docs, index, batch_name, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("n_chars").alias("__n")))
-    tagged = docs.select("*", F.col(id_col).alias("__key"), digest_of(F.col(text_col)).alias("__of"),
-                         F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("__len"))
-    same = (F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__digest"))
-            & (F.col("__len") == F.col("__n")))
-    one = Window.partitionBy("__key", "__of", "__len").orderBy(F.lit(0))
-    return (tagged.join(kept, same, "left_semi").withColumn("__nth", F.row_number().over(one))
-            .where("__nth = 1").select(*docs.columns))
+    kept = exact_dedup(docs, index, batch_name, id_col, text_col).where("kept")
+    text = F.col(text_col)
+    return one_of_each(docs, {"doc_id": F.col(id_col), "digest": digest_of(text),
+                              "n_chars": F.length(F.coalesce(text, F.lit("")))}, kept)

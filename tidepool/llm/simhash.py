@@ -172,8 +172,8 @@ def _block_edges(probes: DataFrame, table: DataFrame, large: DataFrame, bits: in
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for s, m in zip(part["sources"], part["members"], strict=True):
-                a, b = star_edges(np.asarray(s, np.int64).view(np.uint64), np.asarray(m, np.int64).view(np.uint64), bits)
+            for pair in zip(part["sources"], part["members"], strict=True):
+                a, b = star_edges(*(np.asarray(x, np.int64).view(np.uint64) for x in pair), bits)
                 yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     pairs = blocks(probes, "sources").join(blocks(table, "members"), "bucket")

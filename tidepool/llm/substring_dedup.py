@@ -113,10 +113,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
 
     def count(table: pa.Table) -> pa.Table:
         flags = repeated_in_group([np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")])
-        some = np.array([f.any() for f in flags], bool)
+        answered = table.filter(pa.array([f.any() for f in flags], pa.bool_()))
         return pa.table({
-            "block": table.column("block").filter(pa.array(some)), "group": table.column("group").filter(pa.array(some)),
-            "bits": pa.array([np.packbits(f).tobytes() for f, s in zip(flags, some, strict=True) if s], pa.binary())})
+            "block": answered.column("block"), "group": answered.column("group"),
+            "bits": pa.array([np.packbits(f).tobytes() for f in flags if f.any()], pa.binary())})
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         own = Windows(table, window, groups)
