@@ -1,0 +1,89 @@
+"""Rows and plain-Python versions that the operators are compared with."""
+
+import re
+from collections import Counter
+
+import pytest
+import xxhash
+
+DOCS = ("doc_id long, text string, lang string, source string, n_chars long, "
+        "score double, block long, text_key long, digest string, nth int, row string")
+
+
+def row(doc_id, text, lang="en", source="a"):
+    return (doc_id, text, lang, source, len(text) if text is not None else None, 0.5, 1, 2, "x", 3, "y")
+
+
+LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
+PASSAGE = " ".join(f"shared{i}" for i in range(50))
+EDGE_ROWS = [
+    row(1, None), row(2, ""), row(3, "   \t\n"), row(4, None, None, None),
+    row(5, "one"), row(6, "one two"), row(7, "One Two  three"), row(8, "one two three"),
+    row(9, "a b c d e f g"), row(10, "a b c d e f g"), row(10, "a b c d e f g"), row(11, "ab cdefg"),
+    row(12, LONG), row(13, LONG), row(14, "x " * 200), row(15, "x " * 200 + "y"),
+    row(16, f"left {PASSAGE} right"), row(17, f"{PASSAGE} and more"), row(18, f"before {PASSAGE}", "de", "b"),
+    row(None, "no id here"), row(None, "no id here"), row(19, "no id here"), row(None, "alone without id"),
+    row(20, "日本語 テスト é ß  x 😀"), row(21, "<|endoftext|> a<|endoftext|>"), row(22, "\x0b\x0c\r\n x\x1cy"),
+]
+
+
+def words(text):
+    return [w for w in re.split("[\x20\x09-\x0d]+", text or "") if w]
+
+
+def fold(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def fingerprint(text, shingle=3):
+    w = words(fold(text))
+    if not w:
+        return 0
+    parts = [" ".join(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(nodes, edges):
+    """{node: smallest node reached}."""
+    up = {n: n for n in nodes}
+
+    def find(n):
+        while up[n] != n:
+            up[n] = up[up[n]]
+            n = up[n]
+        return n
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def repeats_removed(texts, window):
+    """[(words, removed, kept words)] of each text."""
+    split = [words(t) for t in texts]
+    seen = Counter(tuple(w[i:i + window]) for w in split for i in range(len(w) - window + 1))
+    out = []
+    for w in split:
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i:i + window])] > 1:
+                gone.update(range(i, i + window))
+        out.append((len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return out
+
+
+def sorted_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark):
+    """Nulls, empty and long texts, ties, repeated rows, and columns named like the operators' own."""
+    return spark.createDataFrame(EDGE_ROWS, DOCS)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)

@@ -311,6 +311,6 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     languages = F.array(*[F.lit(x) for x in model.languages])
     limits = F.array(*[F.lit(float(x)) for x in model.limits])
     return entropies(keyed, model, ["doc_id"]).select(
-        "doc_id", F.coalesce(F.element_at(languages, best), F.lit(UNKNOWN)).alias("lang_pred"),
-        F.coalesce(score, F.lit(0.0)).alias("score"), low.alias("entropy"),
-        F.coalesce(low > F.element_at(limits, best), F.lit(True)).alias("rejected"))
+        "doc_id", F.when(h.isNull(), F.lit(UNKNOWN)).otherwise(F.element_at(languages, best)).alias("lang_pred"),
+        F.when(h.isNull(), F.lit(0.0)).otherwise(score).alias("score"), low.alias("entropy"),
+        (h.isNull() | (low > F.element_at(limits, best))).alias("rejected"))
