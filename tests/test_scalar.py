@@ -37,7 +37,7 @@ def test_base64_decode_strict_raises(spark):
 def test_json_element_empty(spark):
     docs = ['{"k": []}', '{"k":"[]"}', '{"k":[null]}', '{}', '{"k":null}', '{"k":""}',
             '{"k":{}}', '{"k":0}', '{"k":false}', 'not json']
-    want = [True, False, False, True, True, True, False, False, False, True]
+    want = [True, False, False, True, True, True, False, False, False, None]
     assert _one(spark, docs, S.json_element_empty("s", "$.k")) == want
 
 

@@ -1,6 +1,7 @@
 """Running counts with idle timeout against a brute-force Python model."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,12 +40,12 @@ def events(spark):
                                                                    "ts", "event_id")
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 97, 3600, 10**9])
-def test_running_counts_match_brute_force(spark, events, slice_seconds):
+@pytest.mark.parametrize("partitions", [None, 1, 7, 64])
+def test_running_counts_match_brute_force(spark, events, partitions):
     rows = [(r.event_type, r.ts, r.event_id) for r in events.collect()]
     want_counts, want_timeouts = brute_force(rows)
     counted = state.running_counts(events, "event_type", "ts", "event_id", IDLE,
-                                   slice_seconds=slice_seconds)
+                                   partitions=partitions)
     got = {r.event_id: r.n for r in counted.select("event_id", "n").collect()}
     assert got == want_counts
     t = state.idle_timeouts(counted, "event_type", "ts", IDLE).collect()
@@ -62,7 +63,7 @@ def test_hot_and_null_keys(spark, events):
         "event_id")
     rows = [(r.k, r.ts, r.event_id) for r in skewed.collect()]
     want_counts, want_timeouts = brute_force(rows, idle_s=60)
-    counted = state.running_counts(skewed, "k", "ts", "event_id", 60, slice_seconds=600)
+    counted = state.running_counts(skewed, "k", "ts", "event_id", 60, partitions=11)
     got = {r.event_id: r.n for r in counted.select("event_id", "n").collect()}
     assert got == want_counts
     got_t = sorted(((r.k, r.last_time, r.n) for r in
@@ -72,20 +73,43 @@ def test_hot_and_null_keys(spark, events):
 
 
 def test_no_window_partitioned_by_key_alone(spark, events):
-    """The row-level windows are partitioned by (key, slice), never by key only."""
+    """The row-level windows are partitioned by (key, range), never by key only."""
     counted = state.running_counts(events, "event_type", "ts", "event_id", IDLE)
     plan = counted._jdf.queryExecution().executedPlan().toString()
-    assert "_tp_slice" in plan
-
-
-@pytest.mark.parametrize("rows_per_slice", [1, 2, 50])
-def test_data_sized_slices_match_brute_force(spark, events, rows_per_slice):
-    rows = [(r.event_type, r.ts, r.event_id) for r in events.collect()]
-    want_counts, want_timeouts = brute_force(rows)
-    counted = state.running_counts(events, "event_type", "ts", "event_id", IDLE,
-                                   rows_per_slice=rows_per_slice)
-    got = {r.event_id: r.n for r in counted.select("event_id", "n").collect()}
-    assert got == want_counts
-    t = state.idle_timeouts(counted, "event_type", "ts", IDLE).collect()
-    assert sorted(((r.event_type, r.last_time, r.n) for r in t),
-                  key=lambda x: (str(x[0]), x[1])) == want_timeouts
+    for spec in re.findall(r"windowspecdefinition\(([^)]*)\)", plan):
+        if "_tp_t" in spec:
+            assert "_tp_part" in spec.split("_tp_t")[0], spec
+
+
+def test_bursts_equal_and_missing_times_are_cut(spark):
+    """50,000 rows of a key in one second, at one time or without a time: no range holds many more than its share."""
+    n, parts = 50_000, 20
+    rows = spark.range(n).select(
+        F.lit("k").alias("k"), "id",
+        F.when(F.col("id") % 3 == 0, F.timestamp_micros(F.lit(10 ** 15) + F.col("id")))
+         .when(F.col("id") % 3 == 1, F.timestamp_micros(F.lit(10 ** 15))).alias("ts"))
+    late = spark.range(1).select(F.lit("k").alias("k"), (F.col("id") + n).alias("id"),
+                                 F.timestamp_micros(F.lit(10 ** 15 + 30 * 86_400 * 10 ** 6)).alias("ts"))
+    both = rows.unionByName(late)
+    counted = state.running_counts(both, "k", "ts", "id", 300, partitions=parts)
+    assert counted.agg(F.max("n")).first()[0] == n
+    assert counted.where("ends_segment").select("n").collect()[0]["n"] == n
+    ranges = both.repartitionByRange(parts, F.struct("k"), "ts", "id").groupBy(F.spark_partition_id()).count()
+    assert ranges.agg(F.max("count")).first()[0] < 3 * n / parts
+
+
+def test_keys_without_times_time_out(spark):
+    rows = [("a", None, 1), ("a", None, 2), ("b", dt.datetime(2024, 1, 1), 3), ("b", None, 4)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id long")
+    got = {r.id: (r.n, r.ends_segment) for r in state.running_counts(df, "k", "ts", "id", 300).collect()}
+    assert got == {1: (1, False), 2: (2, True), 4: (1, False), 3: (2, False)}
+    none = df.where("ts is null")
+    assert not any(r.ends_segment for r in state.running_counts(none, "k", "ts", "id", 300).collect())
+
+
+def test_no_job_while_the_plan_is_built(spark, events):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    state.idle_timeouts(state.running_counts(events, "event_type", "ts", "event_id", IDLE), "event_type", "ts")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert not tracker.getJobIdsForGroup("plan-only")

@@ -67,17 +67,36 @@ def json_element_empty(json_text: Column | str, path: str = "$") -> Column:
     """is the JSON element at ``path`` empty?
 
     Absent, JSON null, ``[]`` and ``""`` are empty; ``{}``, ``0``, ``false``
-    and ``[null]`` are not. Text that is not JSON counts as an absent element.
+    and ``[null]`` are not. A NULL text has no element (true); text that is
+    not JSON gives NULL.
     """
-    doc = F.try_parse_json(_as_col(json_text))
+    text = _as_col(json_text)
+    doc = F.try_parse_json(text)
     v = F.try_variant_get(doc, path, "variant")
     as_array = F.try_variant_get(v, "$", "array<variant>")
     is_string = F.schema_of_variant(v) == "STRING"
     empty_string = is_string & (F.try_variant_get(v, "$", "string") == "")
-    return (v.isNull()
-            | F.coalesce(F.is_variant_null(v), F.lit(False))
-            | F.coalesce(F.size(as_array) == 0, F.lit(False))
-            | F.coalesce(empty_string, F.lit(False)))
+    empty = (v.isNull()
+             | F.coalesce(F.is_variant_null(v), F.lit(False))
+             | F.coalesce(F.size(as_array) == 0, F.lit(False))
+             | F.coalesce(empty_string, F.lit(False)))
+    return F.when(text.isNull() | doc.isNotNull(), empty)
+
+
+def _utf16_part(units: Column, count: int, from_start: bool) -> Column:
+    """Text of the first or last ``count`` UTF-16 units; half a surrogate pair becomes ``?``."""
+    if count == 0:
+        return F.lit("")
+    size = 2 * count
+    if from_start:
+        part, edge = F.substring(units, 1, size), F.substring(units, size - 1, 1)
+        rest = F.substring(units, 1, size - 2)
+        cut, low, high = F.concat(F.decode(rest, "UTF-16BE"), F.lit("?")), "D8", "DB"
+    else:
+        part, edge = F.substring(units, -size, size), F.substring(units, -size, 1)
+        rest = F.substring(units, -(size - 2), size - 2) if count > 1 else F.lit(b"")
+        cut, low, high = F.concat(F.lit("?"), F.decode(rest, "UTF-16BE")), "DC", "DF"
+    return F.when(F.hex(edge).between(low, high), cut).otherwise(F.decode(part, "UTF-16BE"))
 
 
 def abbreviate_middle(c: Column | str, keep_start: int, keep_end: int,
@@ -86,16 +105,20 @@ def abbreviate_middle(c: Column | str, keep_start: int, keep_end: int,
 
     NULL or empty input gives ``''``; a NULL or empty mark is no mark; the
     text is returned unchanged when it is not longer than
-    ``keep_start + keep_end + len(mark)``. Lengths are code points (the
-    reference counts UTF-16 units; they differ only beyond U+FFFF).
+    ``keep_start + keep_end + len(mark)``. Lengths are UTF-16 units, as a JVM
+    string counts; a cut through a character beyond U+FFFF leaves a ``?``.
     """
     if keep_start < 0 or keep_end < 0:
         raise ValueError("keep_start and keep_end must be >= 0")
     mark = middle_mark or ""
     c = _as_col(c)
-    limit = keep_start + keep_end + len(mark)
+    limit = keep_start + keep_end + len(mark.encode("utf-16-be")) // 2
     shortened = F.concat(F.left(c, F.lit(keep_start)), F.lit(mark),
                          F.right(c, F.lit(keep_end)))
+    units = F.encode(c, "UTF-16BE")
+    by_units = F.concat(_utf16_part(units, keep_start, True), F.lit(mark),
+                        _utf16_part(units, keep_end, False))
     return (F.when(is_null_or_empty(c), F.lit(""))
-            .when(F.length(c) <= limit, c)
-            .otherwise(shortened))
+            .when(utf16_length(c) <= limit, c)
+            .when(utf16_length(c) == F.length(c), shortened)
+            .otherwise(by_units))

@@ -41,13 +41,36 @@ def tag_size(tags: DataFrame, movie_col: str = "movieId", user_col: str = "userI
     return sized if keep_user else sized.select(movie_col, out)
 
 
+# Microseconds per unit of a window length.
+_UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def duration_micros(duration: str) -> int:
+    """Microseconds of a window length such as ``"5 seconds"``."""
+    number, unit = duration.split()
+    return int(number) * _UNIT_US[unit.rstrip("s")]
+
+
 def _by_window(df: DataFrame, time_col: str, duration: str, keys: tuple[str, ...],
                aggs: list[Column], start_col: str) -> DataFrame:
-    # Grouping on the window struct itself keeps the link to a watermark on
-    # ``time_col``, so the same code runs in a streaming append query.
-    grouped = df.groupBy(F.window(time_col, duration).alias("_window"), *keys).agg(*aggs)
-    return grouped.select(F.col("_window.start").alias(start_col), *keys,
-                          *[c for c in grouped.columns if c != "_window" and c not in keys])
+    if df.isStreaming:
+        # Grouping on the window struct itself keeps the link to a watermark on
+        # ``time_col``, so the same code runs in a streaming append query.
+        grouped = df.groupBy(F.window(time_col, duration).alias("_window"), *keys).agg(*aggs)
+        return grouped.select(F.col("_window.start").alias(start_col), *keys,
+                              *[c for c in grouped.columns if c != "_window" and c not in keys])
+    # ``window`` drops rows without a time; the plain start keeps them as one NULL group.
+    inside = F.pmod(epoch_micros(df, time_col), F.lit(duration_micros(duration)))
+    seconds = inside.cast("decimal(18,6)") / F.lit(1_000_000).cast("decimal(7,0)")
+    zero = F.lit(0)
+    start = F.col(time_col) - F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+    names = [f"_key{i}" for i in range(len(keys))]
+    grouped = df.groupBy(start.alias("_start"), *[F.col(k).alias(n) for k, n in zip(keys, names)])
+    out = grouped.agg(*aggs)
+    return out.select(F.col("_start").alias(start_col),
+                      *[F.col(n).alias(k) for k, n in zip(keys, names)],
+                      *[c for c in out.columns if c != "_start" and c not in names])
 
 
 def count_per_window(df: DataFrame, time_col: str, key_col: str, duration: str,
@@ -81,8 +104,9 @@ def running_total(per_batch: DataFrame, order_col: str, value_col: str,
     that window is small), and the group offsets join back.
     """
     group_us = int(group_seconds) * 1_000_000
-    grp = F.floor(epoch_micros(per_batch, order_col) / F.lit(group_us))
-    staged = per_batch.withColumn("_grp", F.coalesce(grp.cast("bigint"), F.lit(-(2 ** 63))))
+    staged = per_batch.withColumn("_us", epoch_micros(per_batch, order_col))
+    grp = F.expr(f"(_us - pmod(_us, {group_us}L)) div {group_us}L")
+    staged = staged.withColumn("_grp", F.coalesce(grp, F.lit(-(2 ** 63)))).drop("_us")
     inside = Window.partitionBy("_grp").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = staged.withColumn("_local", F.sum(value_col).over(inside))

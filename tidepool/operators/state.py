@@ -9,25 +9,30 @@ reported once as a timeout. At the end of the data a key is timed out when
 the greatest time seen (over all keys) is strictly more than
 ``idle_seconds`` after its last row, as a watermark would decide.
 
+Rows without a time come first and join their key's first segment; a key
+that has only such rows is timed out as soon as any time was seen (its last
+time and its expiry are NULL).
+
 Scale: one key may hold a third of all rows, so no row-level window is
-partitioned by key alone. Rows are cut into (key, time slice) groups of at
-most ``idle_seconds`` (shorter when the data is dense); each group is
-ranked on its own, a summary row per group (count, first and last time) is
-scanned per key, and the carried values join back on (key, slice). The
-per-key scan runs over slices, not rows.
+partitioned by key alone. Rows are range-partitioned by (key, time,
+tiebreak), which balances by count, whatever the times are: bursts, equal
+times and missing times are cut like anything else. Each (key, partition)
+group is ranked on its own, one summary row per group is scanned per key,
+and the carried values join back. The per-key scan runs over partitions,
+not rows, and nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tidepool.functions.timecols import epoch_micros
 
 _K = "_tp_key"
 _T = "_tp_t"
-_S = "_tp_slice"
-_NULL_SLICE = -(2 ** 63)
+_P = "_tp_part"
 
 
 def _key_struct(key_cols: list[str]) -> Column:
@@ -38,78 +43,71 @@ def _key_struct(key_cols: list[str]) -> Column:
 
 def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
                    tiebreak_col: str, idle_seconds: float = 300.0,
-                   slice_seconds: float | None = None, rows_per_slice: int = 1_000_000,
-                   out: str = "n") -> DataFrame:
+                   partitions: int | None = None, out: str = "n") -> DataFrame:
     """Every input row with its running count ``out`` and ``ends_segment``.
 
-    ``ends_segment`` is true on the last row before a timeout. Slices are at
-    most ``idle_seconds`` long, so two rows of one slice are never idle apart
-    and a restart can only fall on the first row of a slice; that keeps the
-    per-slice summary a plain aggregate of the scan. By default the slice
-    length comes from the data: ``span * rows_per_slice / rows`` (at most
-    ``idle_seconds``, at least 1 us), so even a key holding a third of all
-    rows in a short burst is cut into bounded groups. ``slice_seconds`` fixes
-    the length instead. Neither changes the result, only the plan.
+    ``ends_segment`` is true on the last row before a timeout. ``partitions``
+    sets the number of ranges (default: the session's shuffle partitions,
+    coalesced by size); it changes the plan, never the result. The ranged rows
+    stay persisted on disk until ``spark.catalog.clearCache()`` or the session's end.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     idle_us = int(round(idle_seconds * 1_000_000))
-
-    # One small aggregate over the time column (three numbers, fetched once
-    # when the plan is built): the greatest time, for end-of-data timeouts,
-    # and the span and row count that size the slices. As literals they let
-    # both uses of the slice share one expression and one exchange.
-    t_all = epoch_micros(df, time_col)
-    rows, lo, hi = df.agg(F.count(t_all), F.min(t_all), F.max(t_all)).first()
-    global_max = F.lit(hi).cast("bigint")
-    if slice_seconds is not None:
-        slice_len = int(round(min(slice_seconds, idle_seconds) * 1_000_000))
-    elif rows:
-        slice_len = min(idle_us, (hi - lo + 1) * rows_per_slice // rows)
-    else:
-        slice_len = idle_us
-    slice_us = F.lit(max(1, slice_len))
-
-    # Join keys are non-nullable (rows without a time share one slice), so the
-    # join infers no NULL filter and keeps the ranked side's partitioning.
-    base = (df.withColumn(_K, _key_struct(keys))
-            .withColumn(_T, epoch_micros(df, time_col))
-            .withColumn(_S, F.coalesce(F.floor(F.col(_T) / slice_us).cast("bigint"),
-                                       F.lit(_NULL_SLICE))))
-
-    # Rows ranked inside their (key, slice): the only full shuffle and sort.
-    in_slice = Window.partitionBy(_K, _S).orderBy(_T, tiebreak_col)
-    ranked = (base.withColumn("_rn", F.row_number().over(in_slice))
-              .withColumn("_next_t", F.lead(_T).over(in_slice)))
-
-    # One summary row per (key, slice), a partial aggregate of the scan, then
-    # scanned per key in slice order: rows before it, whether its first row
-    # restarts the count, and where the current segment started.
-    summary = (base.groupBy(_K, _S)
-               .agg(F.count(F.lit(1)).alias("_cnt"), F.min(_T).alias("_first_t"),
-                    F.max(_T).alias("_last_t")))
-    by_key = Window.partitionBy(_K).orderBy(_S)
+    latest = df.agg(F.max(time_col).alias(time_col))
+    global_max = latest.select(epoch_micros(latest, time_col)).scalar()
+
+    base = df.withColumn(_K, _key_struct(keys)).withColumn(_T, epoch_micros(df, time_col))
+    order = [_K, _T, tiebreak_col]
+    ranged = base.repartitionByRange(partitions, *order) if partitions else base.repartitionByRange(*order)
+    # Ranges come from a sample, so two evaluations could cut differently: the numbered
+    # rows are kept (on disk, recomputed from the same ranges if an executor is lost),
+    # and both sides of the join below read the same numbers. Nothing runs yet.
+    base = ranged.withColumn(_P, F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+
+    # Rows ranked inside their (key, range), with the restarts that fall inside it.
+    inside = Window.partitionBy(_K, _P).orderBy(_T, tiebreak_col)
+    sofar = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gap = F.coalesce((F.col(_T) - F.lag(_T).over(inside)) > idle_us, F.lit(False))
+    ranked = (base.withColumn("_rn", F.row_number().over(inside))
+              .withColumn("_gap", gap)
+              .withColumn("_next_t", F.lead(_T).over(inside))
+              .withColumn("_is_last", F.lead(F.lit(True)).over(inside).isNull()))
+    ranked = ranked.withColumn("_from", F.max(F.when(F.col("_gap"), F.col("_rn"))).over(sofar))
+
+    # One summary row per (key, range), from the ranked rows (no further exchange).
+    summary = ranked.groupBy(_K, _P).agg(
+        F.count(F.lit(1)).alias("_cnt"), F.min(_T).alias("_first_t"), F.max(_T).alias("_last_t"),
+        F.max("_from").alias("_from_last"))
+    by_key = Window.partitionBy(_K).orderBy(_P)
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    upto_here = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_last = F.lag("_last_t").over(by_key)
-    summary = (summary
-               .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0))
-                           .cast("bigint"))
-               .withColumn("_restart",
-                           prev_last.isNull() | ((F.col("_first_t") - prev_last) > idle_us))
-               .withColumn("_next_first_t", F.lead("_first_t").over(by_key)))
-    summary = (summary
-               .withColumn("_seg_start", F.last(F.when(F.col("_restart"), F.col("_offset") + 1),
-                                                ignorenulls=True).over(upto_here))
-               .select(_K, _S, "_offset", "_seg_start", "_next_first_t"))
-
-    # Join the carried values back and finish each row.
-    joined = ranked.join(summary, [_K, _S], "inner")
+    after = by_key.rowsBetween(1, Window.unboundedFollowing)
+    upto = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    restart = F.coalesce((F.col("_first_t") - F.max("_last_t").over(before)) > idle_us, F.lit(False))
+    has_gap = F.col("_from_last").isNotNull()
+    summary = (summary.withColumn("_restart", restart)
+               .withColumn("_next_first_t", F.min("_first_t").over(after))
+               .withColumn("_has_more", F.lead(F.lit(True)).over(by_key).isNotNull())
+               # What this range adds to the segment that is open behind it.
+               .withColumn("_tail", F.when(has_gap, F.col("_cnt") - F.col("_from_last") + 1)
+                           .otherwise(F.col("_cnt")))
+               .withColumn("_run", F.sum((has_gap | F.col("_restart")).cast("int")).over(upto)))
+    in_run = (Window.partitionBy(_K, "_run").orderBy(_P)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summary = summary.withColumn("_open", F.sum("_tail").over(in_run))
+    carried = F.when(F.col("_restart"), F.lit(0)).otherwise(
+        F.coalesce(F.lag("_open").over(by_key), F.lit(0)))
+    summary = summary.select(_K, _P, carried.alias("_carried"), "_next_first_t", "_has_more")
+
+    joined = ranked.join(summary, [_K, _P], "inner")
+    count = (F.when(F.col("_from").isNotNull(), F.col("_rn") - F.col("_from") + 1)
+             .otherwise(F.col("_carried") + F.col("_rn")))
     t = F.col(_T)
-    rank = F.col("_offset") + F.col("_rn")
-    nxt = F.coalesce(F.col("_next_t"), F.col("_next_first_t"))
-    ends = F.when(nxt.isNotNull(), (nxt - t) > idle_us).otherwise((global_max - t) > idle_us)
-    return joined.select(*[F.col(c) for c in df.columns],
-                         (rank - F.col("_seg_start") + 1).cast("bigint").alias(out),
+    nxt = F.coalesce(F.col("_next_t"), F.when(F.col("_is_last"), F.col("_next_first_t")))
+    at_end = F.col("_is_last") & ~F.col("_has_more")
+    idle_at_end = F.when(t.isNull(), global_max.isNotNull()).otherwise((global_max - t) > idle_us)
+    ends = F.when(at_end, F.coalesce(idle_at_end, F.lit(False))).otherwise(
+        F.coalesce((nxt - t) > idle_us, F.lit(False)))
+    return joined.select(*[F.col(c) for c in df.columns], count.cast("bigint").alias(out),
                          ends.alias("ends_segment"))
 
 

@@ -7,7 +7,7 @@ text) by a fixed rule, documented next to it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import records
@@ -33,40 +33,56 @@ def text_lines(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 def tags(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFrame:
-    """Tag rows: movieId = lang, userId = source, tag = text.
+    """Tag rows: movieId = lang, userId = source, tag = text of every document.
 
-    Tags of one source are NULL (its groups are all NULL), and every
-    ``EMOJI_PERIOD``-th document gets an emoji appended (two UTF-16 units).
+    Beside them: a NULL tag per document of one source under its own user (a
+    group of only NULL tags), and every ``EMOJI_PERIOD``-th tag again with an
+    emoji (two UTF-16 units) appended.
     """
     docs = read_table(spark, base_dir, "documents", ["doc_id", "lang", "source", "text"],
                       spread_out)
-    tag = (F.when(F.col("source") == NULL_TAG_SOURCE, F.lit(None).cast("string"))
-           .when(F.col("doc_id") % EMOJI_PERIOD == 0, F.concat("text", F.lit(EMOJI)))
-           .otherwise(F.col("text")))
-    return docs.select(F.col("lang").alias("movieId"), F.col("source").alias("userId"),
-                       tag.alias("tag"))
+    none = F.lit(None).cast("string")
 
+    def row(user: Column, tag: Column) -> Column:
+        return F.struct(F.col("lang").alias("movieId"), user.alias("userId"), tag.alias("tag"))
 
-def trades(spark: SparkSession, base_dir: str, spread_out: bool = True) -> DataFrame:
-    """Trade records (v1 layout) from ``lineitem``, plus their time.
+    user = F.col("source")
+    rows = F.array(row(user, F.col("text")),
+                   F.when(user == NULL_TAG_SOURCE, row(F.concat(user, F.lit("-null")), none)),
+                   F.when(F.col("doc_id") % EMOJI_PERIOD == 0,
+                          row(user, F.concat("text", F.lit(EMOJI)))))
+    return docs.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
+
+
+# The trade columns and the source columns each one needs.
+_TRADE_ID = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+_TRADE_SOURCES = {
+    "id": _TRADE_ID, "tickerSymbol": ("l_partkey",), "tradeType": ("l_returnflag",),
+    "price": ("l_extendedprice",), "quantity": ("l_quantity",), "time": ("l_shipdate",),
+    "l_partkey": ("l_partkey",), "l_orderkey": ("l_orderkey",), "l_quantity": ("l_quantity",),
+    "l_tax": ("l_tax",),
+}
+TRADE_V1 = ("tickerSymbol", "tradeType", "price", "quantity", "id")
+
+
+def trades(spark: SparkSession, base_dir: str, columns: tuple[str, ...] = TRADE_V1,
+           spread_out: bool = True) -> DataFrame:
+    """The asked ``columns`` of trade records (v1 layout) from ``lineitem``, plus ``time``
+    and source columns if asked for; only the source columns they need are read.
 
     id = ``orderkey-linenumber-partkey-suppkey`` (unique), symbol = ``P<partkey>``.
     ``spread_out`` for heavy per-row work (JSON, hashing) before the first shuffle.
     """
-    li = read_table(spark, base_dir, "lineitem",
-                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
-                     "l_extendedprice", "l_quantity", "l_shipdate", "l_tax"], spread_out)
-    return li.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string"), F.lit("-"),
-                 F.col("l_partkey").cast("string"), F.lit("-"),
-                 F.col("l_suppkey").cast("string")).alias("id"),
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("tickerSymbol"),
-        F.col("l_returnflag").alias("tradeType"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_shipdate").alias("time"),
-        F.col("l_partkey"), F.col("l_orderkey"), F.col("l_quantity"), F.col("l_tax"))
+    needed = list(dict.fromkeys(c for name in columns for c in _TRADE_SOURCES[name]))
+    li = read_table(spark, base_dir, "lineitem", needed, spread_out)
+    parts = [F.col(c).cast("string") for c in _TRADE_ID]
+    exprs = {
+        "id": F.concat_ws("-", *parts),
+        "tickerSymbol": F.concat(F.lit("P"), F.col("l_partkey").cast("string")),
+        "tradeType": F.col("l_returnflag"), "price": F.col("l_extendedprice"),
+        "quantity": F.col("l_quantity").cast("bigint"), "time": F.col("l_shipdate"),
+    }
+    return li.select(*[exprs.get(c, F.col(c)).alias(c) for c in columns])
 
 
 def trade_json_variants(trade_rows: DataFrame) -> DataFrame:
@@ -74,7 +90,8 @@ def trade_json_variants(trade_rows: DataFrame) -> DataFrame:
 
     0 cut short (malformed), 1 written in the v2 layout, 2 numeric id,
     3 price as a string, 4 fractional quantity, 5 only symbol and id,
-    6 an unknown extra field, 7 a price that is not a number, else plain.
+    6 an unknown extra field, 7 a price that is not a number, else none.
+    Every trade also gives its plain JSON; ``shape`` is -1 there.
     """
     t = trade_rows
     v1 = records.trade_to_json("v1")
@@ -97,8 +114,11 @@ def trade_json_variants(trade_rows: DataFrame) -> DataFrame:
     text = (F.when(case == 0, F.left(v1, F.lit(25)))
             .when(case == 1, as_v2).when(case == 2, numeric_id).when(case == 3, text_price)
             .when(case == 4, frac_qty).when(case == 5, sparse).when(case == 6, extra)
-            .when(case == 7, bad_price).otherwise(v1))
-    return t.withColumn("json", text)
+            .when(case == 7, bad_price))
+    plain = F.struct(F.lit(-1).cast("bigint").alias("shape"), v1.alias("json"))
+    odd = F.when(text.isNotNull(), F.struct(case.cast("bigint").alias("shape"), text.alias("json")))
+    return (t.withColumn("_rows", F.array_compact(F.array(plain, odd)))
+            .select("*", F.explode("_rows").alias("_row")).select(*t.columns, "_row.*"))
 
 
 def trade_stream(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFrame:
@@ -118,12 +138,21 @@ def trade_stream(spark: SparkSession, base_dir: str, spread_out: bool = False) -
 
 
 def json_elements(spark: SparkSession, base_dir: str) -> DataFrame:
-    """JSON documents with element ``k`` in every shape, from ``events.props``."""
+    """``events.props`` as they are (``copy`` 0) and, beside them, element ``k`` in every
+    other shape, one per event in turn, text that is not JSON among them (``copy`` 1)."""
     ev = read_table(spark, base_dir, "events", ["event_id", "props"], spread_out=True)
-    shapes = ['{}', '{"k":null}', '{"k":[]}', '{"k":""}', '{"k":{}}',
-              '{"k":"[]"}', '{"k":[null]}', '{"k":0}']
-    case = F.col("event_id") % 10
-    doc = F.col("props")
-    for i in reversed(range(len(shapes))):
-        doc = F.when(case == i, F.lit(shapes[i])).otherwise(doc)
-    return ev.select("event_id", doc.alias("doc"))
+    shapes = F.array(*[F.lit(s) for s in JSON_SHAPES])
+    turn = F.element_at(shapes, (F.col("event_id") % len(JSON_SHAPES) + 1).cast("int"))
+    return ev.select("event_id", F.posexplode(F.array("props", turn)).alias("copy", "doc"))
+
+
+# Shapes of the element ``k``; the last two are no JSON.
+JSON_SHAPES = ('{}', '{"k":null}', '{"k":[]}', '{"k":""}', '{"k":{}}', '{"k":"[]"}',
+               '{"k":[null]}', '{"k":0}', '{"k":', 'k=1')
+
+
+def wide_copies(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Every row as it is (``copy`` 0) and again with one letter as an emoji (``copy`` 1)."""
+    copies = F.array(F.col(text_col), F.translate(text_col, BLANKED_LETTER, EMOJI))
+    rest = [c for c in docs.columns if c != text_col]
+    return docs.select(*rest, F.posexplode(copies).alias("copy", text_col))

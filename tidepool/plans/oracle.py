@@ -30,18 +30,6 @@ words AS (
     FROM lines
 )"""
 
-_GEN_WORDS = """
-gen AS (
-    SELECT ts, event_id, unnest(range(10)) AS i FROM events
-),
-gen_words AS (
-    SELECT ts, event_id, i,
-           ['spark', 'you', 'are', 'my', 'father'][
-             1 + ((((event_id % 2147483647) * 48271 + (i + 1) * 16807 + 7) % 2147483647)
-                  * 48271 % 2147483647) % 5] AS word
-    FROM gen
-)"""
-
 _SEGMENTS = """
 g AS (
     SELECT event_type, ts, event_id,
@@ -92,11 +80,9 @@ SELECT count(DISTINCT word) AS n_distinct FROM words
 """,
     "tag_size": r"""
 WITH t AS (
-    SELECT lang AS movieId, source AS userId,
-           CASE WHEN source = 'src0' THEN NULL
-                WHEN doc_id % 7 = 0 THEN text || '😀'
-                ELSE text END AS tag
-    FROM documents
+    SELECT lang AS movieId, source AS userId, text AS tag FROM documents
+    UNION ALL SELECT lang, source || '-null', NULL FROM documents WHERE source = 'src0'
+    UNION ALL SELECT lang, source, text || '😀' FROM documents WHERE doc_id % 7 = 0
 )
 SELECT movieId,
        CAST(coalesce(sum(length(tag)
@@ -114,10 +100,10 @@ FROM lineitem
 WITH t AS (
     SELECT {_TRADE_ID} AS sid, 'P' || CAST(l_partkey AS VARCHAR) AS sym, l_returnflag AS typ,
            l_extendedprice AS price, CAST(trunc(l_quantity) AS BIGINT) AS qty,
-           l_orderkey, l_partkey % 10 AS c
+           l_orderkey, unnest(CASE WHEN l_partkey % 10 < 8 THEN [-1, l_partkey % 10] ELSE [-1] END) AS c
     FROM lineitem
 )
-SELECT sid AS source_id,
+SELECT sid AS source_id, CAST(c AS BIGINT) AS shape,
        CASE WHEN c IN (0, 7, 1) THEN NULL ELSE sym END AS tickerSymbol,
        CASE WHEN c IN (0, 7, 1, 5) THEN NULL ELSE typ END AS tradeType,
        CASE WHEN c IN (0, 7) THEN NULL WHEN c = 5 THEN CAST(0 AS DOUBLE) ELSE price END AS price,
@@ -139,53 +125,66 @@ SELECT 'P' || CAST(l_partkey AS VARCHAR) AS tickerSymbol, count(*) AS n
 FROM lineitem GROUP BY 1
 """,
     "null_or_empty": """
-SELECT doc_id,
-       coalesce((CASE WHEN source = 'src0' THEN NULL WHEN doc_id % 5 = 0 THEN '' ELSE lang END) = '',
-                true) AS is_empty
-FROM documents
+WITH v AS (
+    SELECT doc_id, unnest([lang, '', NULL, ' ', text]) AS value, unnest([0, 1, 2, 3, 4]) AS copy
+    FROM documents
+)
+SELECT doc_id, CAST(copy AS INT) AS copy, value IS NULL OR value = '' AS is_empty FROM v
 """,
     "base64_roundtrip": """
 SELECT doc_id, to_base64(encode(text)) AS b64,
        decode(from_base64(to_base64(encode(text)))) = text AS roundtrip_ok
 FROM documents
 """,
+    # Each character beyond U+FFFF stands as two placeholders while lengths are taken; a
+    # placeholder whose other half was cut off reads '?'.
     "abbreviate_middle": """
-SELECT doc_id,
-       CASE WHEN text IS NULL OR text = '' THEN ''
-            WHEN length(text) <= 33 THEN text
-            ELSE left(text, 20) || '*.*' || right(text, 10) END AS short_text,
-       CASE WHEN text IS NULL OR text = '' THEN ''
-            WHEN length(text) <= 30 THEN text
-            ELSE left(text, 20) || right(text, 10) END AS short_text_nomark,
+WITH t AS (
+    SELECT doc_id, source, unnest([0, 1]) AS copy,
+           unnest([text, replace(text, 'e', chr(57344) || chr(57345))]) AS u
+    FROM documents
+),
+s AS (
+    SELECT doc_id, copy, source,
+           CASE WHEN u IS NULL OR u = '' THEN '' WHEN length(u) <= 33 THEN u
+                ELSE left(u, 20) || '*.*' || right(u, 10) END AS a,
+           CASE WHEN u IS NULL OR u = '' THEN '' WHEN length(u) <= 30 THEN u
+                ELSE left(u, 20) || chr(57346) || right(u, 10) END AS b
+    FROM t
+)
+SELECT doc_id, CAST(copy AS INT) AS copy,
+       translate(replace(a, chr(57344) || chr(57345), '😀'), chr(57344) || chr(57345), '??') AS short_text,
+       replace(translate(replace(b, chr(57344) || chr(57345), '😀'), chr(57344) || chr(57345), '??'),
+               chr(57346), '') AS short_text_nomark,
        CASE WHEN source IS NULL OR source = '' THEN ''
             WHEN length(source) <= 4 THEN source
             ELSE left(source, 1) || '*.*' END AS short_source
-FROM documents
+FROM s
 """,
     "json_elem_empty": """
 WITH d AS (
-    SELECT event_id,
-           CASE event_id % 10 WHEN 0 THEN '{}' WHEN 1 THEN '{"k":null}' WHEN 2 THEN '{"k":[]}'
-                WHEN 3 THEN '{"k":""}' WHEN 4 THEN '{"k":{}}' WHEN 5 THEN '{"k":"[]"}'
-                WHEN 6 THEN '{"k":[null]}' WHEN 7 THEN '{"k":0}' ELSE props END AS doc
+    SELECT event_id, unnest([0, 1]) AS copy,
+           unnest([props, ['{}', '{"k":null}', '{"k":[]}', '{"k":""}', '{"k":{}}', '{"k":"[]"}',
+                           '{"k":[null]}', '{"k":0}', '{"k":', 'k=1'][1 + event_id % 10]]) AS raw
     FROM events
-)
-SELECT event_id,
+),
+v AS (SELECT event_id, copy, raw, CASE WHEN json_valid(raw) THEN raw END AS doc FROM d)
+SELECT event_id, CAST(copy AS INT) AS copy,
+       CASE WHEN raw IS NOT NULL AND doc IS NULL THEN NULL ELSE
        coalesce(json_type(doc, '$.k') IS NULL
                 OR json_type(doc, '$.k') = 'NULL'
                 OR (json_type(doc, '$.k') = 'ARRAY' AND json_array_length(doc, '$.k') = 0)
                 OR (json_type(doc, '$.k') = 'VARCHAR' AND json_extract_string(doc, '$.k') = ''),
-                false) AS is_empty
-FROM d
+                false) END AS is_empty
+FROM v
 """,
     "symbol_count_per_batch": f"""
 SELECT {_bucket(5)} AS window_start, event_type AS symbol, count(*) AS n
 FROM events GROUP BY 1, 2
 """,
     "word_count_per_batch": f"""
-WITH {_GEN_WORDS}
-SELECT {_bucket(2)} AS window_start, word, count(*) AS n
-FROM gen_words GROUP BY 1, 2
+WITH w AS (SELECT ts, unnest(string_split(event_type || ' ' || props, ' ')) AS word FROM events)
+SELECT {_bucket(2)} AS window_start, word, count(*) AS n FROM w GROUP BY 1, 2
 """,
     "max_id_per_batch": f"""
 SELECT {_bucket(10)} AS window_start, max(CAST(event_id AS VARCHAR)) AS max_id
@@ -249,20 +248,33 @@ SELECT CAST(event_id AS VARCHAR) AS id, event_type AS symbol,
        repeat(sha256(CAST(event_id AS VARCHAR)), 16) AS data
 FROM events
 """,
-    "generated_totals": f"""
-WITH {_GEN_WORDS}
-SELECT word, count(*) AS n FROM gen_words GROUP BY word
+    "word_reconcile": r"""
+WITH lines AS (
+    SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
+                       ELSE regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)$', ''),
+                                                  '\r\n|\r|\n') END) AS t FROM documents
+),
+words AS (
+    SELECT kind, unnest(CASE WHEN t = '' THEN ['']
+                             WHEN rtrim(t, ' ') = '' THEN []::VARCHAR[]
+                             ELSE string_split(rtrim(t, ' '), ' ') END) AS word
+    FROM (SELECT 'line' AS kind, t FROM lines UNION ALL SELECT 'record', text FROM documents)
+)
+SELECT word, count(*) FILTER (kind = 'line') AS sent, count(*) FILTER (kind = 'record') AS counted
+FROM words GROUP BY word
+HAVING count(*) FILTER (kind = 'line') <> count(*) FILTER (kind = 'record')
+""",
+    "trade_json": f"""
+SELECT {_TRADE_ID} AS id,
+       to_json({{'tickerSymbol': 'P' || CAST(l_partkey AS VARCHAR), 'tradeType': l_returnflag,
+                'price': l_extendedprice, 'quantity': CAST(trunc(l_quantity) AS BIGINT),
+                'id': {_TRADE_ID}}}) AS json
+FROM lineitem
 """,
-    "generated_reconcile": f"""
-WITH {_GEN_WORDS},
-sent AS (SELECT word, count(*) AS n FROM gen_words GROUP BY word),
-recs AS (SELECT event_id, string_agg(word, ' ' ORDER BY i) AS record
-         FROM gen_words GROUP BY event_id),
-counted AS (SELECT w AS word, count(*) AS n FROM (SELECT unnest(string_split(record, ' ')) AS w
-                                                  FROM recs) y GROUP BY w)
-SELECT coalesce(s.word, c.word) AS word, coalesce(s.n, 0) AS sent, coalesce(c.n, 0) AS counted
-FROM sent s FULL OUTER JOIN counted c ON s.word = c.word
-WHERE coalesce(s.n, 0) <> coalesce(c.n, 0)
+    "union_symbol_count": """
+WITH s AS (SELECT 'P' || CAST(l_partkey AS VARCHAR) AS symbol FROM lineitem
+           UNION ALL SELECT event_type FROM events)
+SELECT symbol, count(*) AS n FROM s GROUP BY symbol
 """,
     "trade_payload": f"""
 SELECT {_TRADE_ID} AS id, repeat(sha256({_TRADE_ID}), 16) AS data FROM lineitem

@@ -8,7 +8,6 @@ the real streams.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +17,7 @@ from tidepool.functions import records, scalar, text
 from tidepool.operators import aggregates as agg
 from tidepool.operators import latest, state
 from tidepool.plans import fixtures
-from tidepool.sources import generator
 from tidepool.sources.files import read_table
-from tidepool.sources.streams import start_filter
 
 # Batch intervals of the stream jobs, the idle timeout, the
 # start offset of the AtTimestamp start position.
@@ -69,10 +66,25 @@ def trade_parse_tolerant(spark: SparkSession, d: str) -> DataFrame:
     Malformed records and non-numeric prices give NULL fields
     (``parsed = false``); the source id is kept to identify the row.
     """
-    t = fixtures.trade_json_variants(fixtures.trades(spark, d))
-    out = records.parse_trades(t.select(F.col("id").alias("source_id"), "json"), "json", "r",
-                               "v1", strict=False)
-    return out.select("source_id", "r.*", F.col("r").isNotNull().alias("parsed"))
+    columns = (*fixtures.TRADE_V1, "l_partkey", "l_orderkey", "l_quantity", "l_tax")
+    t = fixtures.trade_json_variants(fixtures.trades(spark, d, columns))
+    out = records.parse_trades(t.select(F.col("id").alias("source_id"), "shape", "json"), "json",
+                               "r", "v1", strict=False)
+    return out.select("source_id", "shape", "r.*", F.col("r").isNotNull().alias("parsed"))
+
+
+def trade_json(spark: SparkSession, d: str) -> DataFrame:
+    """The JSON text of every trade."""
+    return fixtures.trades(spark, d).select("id", records.trade_to_json("v1").alias("json"))
+
+
+def union_symbol_count(spark: SparkSession, d: str) -> DataFrame:
+    """Trades per symbol over the union of two trade sources, duplicates kept."""
+    first = fixtures.trades(spark, d, ("tickerSymbol",), spread_out=False)
+    second = read_table(spark, d, "events", ["event_type"])
+    both = agg.union_all(first.withColumnRenamed("tickerSymbol", "symbol"),
+                         second.withColumnRenamed("event_type", "symbol"))
+    return agg.word_count(both, "symbol")
 
 
 def trade_line(spark: SparkSession, d: str) -> DataFrame:
@@ -92,10 +104,10 @@ def symbol_count(spark: SparkSession, d: str) -> DataFrame:
 
 def null_or_empty(spark: SparkSession, d: str) -> DataFrame:
     """F1 over a column with NULL, empty and other values."""
-    docs = read_table(spark, d, "documents")
-    value = (F.when(F.col("source") == fixtures.NULL_TAG_SOURCE, F.lit(None).cast("string"))
-             .when(F.col("doc_id") % 5 == 0, F.lit("")).otherwise(F.col("lang")))
-    return docs.select("doc_id", scalar.is_null_or_empty(value).alias("is_empty"))
+    docs = read_table(spark, d, "documents", ["doc_id", "lang", "text"])
+    values = F.array(F.col("lang"), F.lit(""), F.lit(None).cast("string"), F.lit(" "), F.col("text"))
+    rows = docs.select("doc_id", F.posexplode(values).alias("copy", "value"))
+    return rows.select("doc_id", "copy", scalar.is_null_or_empty("value").alias("is_empty"))
 
 
 def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -107,10 +119,11 @@ def base64_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def abbreviate_middle(spark: SparkSession, d: str) -> DataFrame:
-    """middle-abbreviated texts and sources (with and without a mark)."""
+    """middle-abbreviated texts and sources (with and without a mark), also of texts
+    with characters of two UTF-16 units."""
     docs = read_table(spark, d, "documents", ["doc_id", "text", "source"], spread_out=True)
-    return docs.select(
-        "doc_id",
+    return fixtures.wide_copies(docs).select(
+        "doc_id", "copy",
         scalar.abbreviate_middle("text", 20, 10).alias("short_text"),
         scalar.abbreviate_middle("text", 20, 10, None).alias("short_text_nomark"),
         scalar.abbreviate_middle("source", 1, 0).alias("short_source"))
@@ -119,7 +132,7 @@ def abbreviate_middle(spark: SparkSession, d: str) -> DataFrame:
 def json_elem_empty(spark: SparkSession, d: str) -> DataFrame:
     """is element ``k`` of each JSON document empty?"""
     docs = fixtures.json_elements(spark, d)
-    return docs.select("event_id", scalar.json_element_empty("doc", "$.k").alias("is_empty"))
+    return docs.select("event_id", "copy", scalar.json_element_empty("doc", "$.k").alias("is_empty"))
 
 
 def symbol_count_per_batch(spark: SparkSession, d: str) -> DataFrame:
@@ -128,10 +141,11 @@ def symbol_count_per_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 def word_count_per_batch(spark: SparkSession, d: str) -> DataFrame:
-    """Words per 2-second batch of generated word records."""
-    ev = read_table(spark, d, "events", ["event_id", "ts"], spread_out=True)
-    recs = generator.word_records(ev, "event_id", keep=("ts",))
-    words = text.tokens(recs, "record", "word", split_lines_first=False, keep=("ts",))
+    """Words of the event records (type and properties) per 2-second batch."""
+    ev = read_table(spark, d, "events", ["event_type", "props", "ts"], spread_out=True)
+    recs = ev.select(F.encode(F.concat_ws(" ", "event_type", "props"), "UTF-8").alias("value"), "ts")
+    lines = recs.select(records.decode_utf8("value").alias("record"), "ts")
+    words = text.tokens(lines, "record", "word", split_lines_first=False, keep=("ts",))
     return agg.count_per_window(words, "ts", "word", WORD_BATCH)
 
 
@@ -177,21 +191,20 @@ def state_output_count(spark: SparkSession, d: str) -> DataFrame:
 def start_at_timestamp(spark: SparkSession, d: str) -> DataFrame:
     """Trades arriving at or after (latest arrival - 5 hours).
 
-    The start is fixed when the query is created (the reference takes the
-    clock then; here "now" is the latest arrival), so it is a literal and
-    the bound reaches the Parquet reader as a pushed filter.
+    "Now" is the latest arrival, a scalar subquery: no job runs while the plan
+    is built, and the bound still reaches the Parquet reader as a filter.
     """
     t = fixtures.trade_stream(spark, d)
-    latest_arrival = read_table(spark, d, "events").agg(F.max("ts")).first()[0]
-    start = latest_arrival - dt.timedelta(hours=START_HOURS_BACK)
-    return t.where(start_filter(start, "ts")).select("id", "symbol", "trade", "price",
-                                                     "quantity", "ts")
+    start = read_table(spark, d, "events", ["ts"]).agg(
+        (F.max("ts") - F.expr(f"INTERVAL {START_HOURS_BACK} HOURS")).alias("start")).scalar()
+    return t.where(F.col("ts") >= start).select("id", "symbol", "trade", "price", "quantity", "ts")
 
 
 def latest_trade_per_key(spark: SparkSession, d: str) -> DataFrame:
     """P10 K2: the row an upsert-by-symbol table holds after all trades arrive in time order."""
-    t = fixtures.trades(spark, d).select("tickerSymbol", "time", "id", "tradeType", "price",
-                                         "quantity")
+    # Reduced map-side by its own shuffle, so nothing is spread before it.
+    t = fixtures.trades(spark, d, ("tickerSymbol", "time", "id", "tradeType", "price", "quantity"),
+                        spread_out=False)
     return latest.latest_per_key(t, "tickerSymbol", ["time", "id"])
 
 
@@ -208,24 +221,18 @@ def trade_v2_sink_rows(spark: SparkSession, d: str) -> DataFrame:
     return kept.select(*columns, records.payload("id", 1024).alias("data"))
 
 
-def generated_totals(spark: SparkSession, d: str) -> DataFrame:
-    """Totals of the generated words, per word, sorted by word."""
-    ev = read_table(spark, d, "events", ["event_id"], spread_out=True)
-    return agg.word_count(generator.generated_words(ev, "event_id")).orderBy("word")
-
-
-def generated_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    """Words whose sent total differs from the count of the received records (none)."""
-    ev = read_table(spark, d, "events", ["event_id"], spread_out=True)
-    sent = agg.word_count(generator.generated_words(ev, "event_id"))
-    recs = generator.word_records(ev, "event_id")
-    counted = agg.word_count(text.tokens(recs, "record", "word"))
-    return agg.reconcile(sent, counted)
+def word_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    """Words whose total over the lines of all documents differs from their total over
+    the same documents as byte records (where line ends stay inside words)."""
+    docs = read_table(spark, d, "documents", ["text"], spread_out=True)
+    sent = agg.word_count(text.tokens(docs, "text", "word", split_lines_first=True))
+    recs = docs.select(records.decode_utf8(F.encode("text", "UTF-8")).alias("line"))
+    return agg.reconcile(sent, agg.word_count(text.tokens(recs, "line", "word")))
 
 
 def trade_payload(spark: SparkSession, d: str) -> DataFrame:
     """Every trade with its 1024-character payload (deterministic form)."""
-    t = fixtures.trades(spark, d)
+    t = fixtures.trades(spark, d, ("id",))
     return t.select("id", records.payload("id", 1024).alias("data"))
 
 
@@ -253,7 +260,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "start_at_timestamp": start_at_timestamp,
     "latest_trade_per_key": latest_trade_per_key,
     "trade_v2_sink_rows": trade_v2_sink_rows,
-    "generated_totals": generated_totals,
-    "generated_reconcile": generated_reconcile,
+    "word_reconcile": word_reconcile,
+    "trade_json": trade_json,
+    "union_symbol_count": union_symbol_count,
     "trade_payload": trade_payload,
 }
