@@ -62,3 +62,19 @@ def test_latest_per_key_hot_key(spark):
     assert got == want
     plan = latest_per_key(df, "key", ["t", "rid"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan  # map-side combined, not a per-key sort
+
+
+def test_rows_without_a_time_stay_in_every_window_total(spark):
+    """Rows in = rows out: NULL times form one NULL window, in counts, maxima and totals."""
+    import datetime as dt
+    from tidepool.operators import aggregates as agg
+    rows = [("a", dt.datetime(2024, 1, 1, 0, 0, 1), "1"), ("a", None, "9"), ("b", None, "10")]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame(rows, f"k string, ts {kind}, id string")
+        counts = {(r.window_start, r.k): r.n for r in agg.count_per_window(df, "ts", "k", "5 seconds").collect()}
+        assert counts == {(dt.datetime(2024, 1, 1), "a"): 1, (None, "a"): 1, (None, "b"): 1}
+        top = {r.window_start: r.max_id for r in agg.max_string_per_window(df, "ts", "id", "5 seconds").collect()}
+        assert top == {dt.datetime(2024, 1, 1): "1", None: "9"}
+        totals = {r.window_start: (r.n_rows, r.running_total)
+                  for r in agg.batch_running_totals(df, "ts", "5 seconds").collect()}
+        assert totals == {None: (2, 2), dt.datetime(2024, 1, 1): (1, 3)}

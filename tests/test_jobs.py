@@ -85,7 +85,7 @@ def test_trade_table_stream_job(spark, scratch):
     assert q.awaitTermination(180) and q.exception() is None
     assert [h["n_rows"] for h in monitor.history] == [500, 500]
     assert monitor.total == t.count()
-    got = read_latest(spark, os.path.join(scratch, "table"), ["id"], ["arrived_at", "id"])
+    got = read_latest(spark, os.path.join(scratch, "table"), ["id"])
     assert got.count() == t.count()
     assert got.where(F.length("data") != 1024).count() == 0
     back = got.select(*t.columns)
@@ -129,3 +129,115 @@ def test_processing_time_job_refuses_available_now(spark):
     with pytest.raises(ValueError):
         jobs.running_count_stream_job(spark, ev, "value", "timestamp", "value", "/unused",
                                       "/unused", available_now=True, time_mode="ProcessingTime")
+
+
+def _write_lines(path, lines, age_seconds=0):
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    at = time.time() - age_seconds
+    os.utime(path, (at, at))
+
+
+def _trade(i, price, symbol="S"):
+    return f'{{"symbol":"{symbol}","trade":"BUY","price":{price},"quantity":1,"id":"{i}"}}'
+
+
+def test_the_last_of_two_writes_in_one_batch_stays(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _write_lines(os.path.join(src, "a.json"), [_trade(1, 10.0), _trade(1, 5.0), _trade(2, 7.0)])
+    monitor = BatchMonitor()
+    q = jobs.trade_table_stream_job(spark, "text", src, os.path.join(scratch, "ck"), os.path.join(scratch, "t"),
+                                    available_now=True, monitor=monitor, cap={"files_per_batch": 5})
+    assert q.awaitTermination(180) and q.exception() is None
+    got = {r.id: r.price for r in read_latest(spark, os.path.join(scratch, "t"), ["id"]).collect()}
+    assert got == {"1": 5.0, "2": 7.0}
+    assert monitor.history[0]["max_id"] == "2"
+
+
+def test_records_before_the_start_are_not_counted_also_after_a_restart(spark, scratch):
+    import datetime as dt
+    src, ck, table = (os.path.join(scratch, x) for x in ("src", "ck", "t"))
+    os.makedirs(src)
+    _write_lines(os.path.join(src, "old.json"), [_trade(1, 1.0)], age_seconds=86_400)
+    _write_lines(os.path.join(src, "new.json"), [_trade(2, 1.0)], age_seconds=3600)
+
+    def go():
+        q = jobs.trade_table_stream_job(spark, "text", src, ck, table, available_now=True,
+                                        start=dt.timedelta(hours=5))
+        assert q.awaitTermination(180) and q.exception() is None
+
+    go()
+    _write_lines(os.path.join(src, "late.json"), [_trade(3, 1.0)], age_seconds=80_000)
+    _write_lines(os.path.join(src, "now.json"), [_trade(4, 1.0)])
+    go()
+    assert {r.id for r in read_latest(spark, table, ["id"]).collect()} == {"2", "4"}
+
+
+def test_tolerant_job_keeps_rejects(spark, scratch):
+    src, ck = os.path.join(scratch, "src"), os.path.join(scratch, "ck")
+    os.makedirs(src)
+    _write_lines(os.path.join(src, "a.json"), [_trade(1, 1.0), '{"symbol":', "no json", _trade(2, 2.0)])
+    monitor = BatchMonitor()
+    q = jobs.trade_table_stream_job(spark, "text", src, ck, os.path.join(scratch, "t"), strict=False,
+                                    available_now=True, monitor=monitor)
+    assert q.awaitTermination(180) and q.exception() is None
+    rejects = spark.read.parquet(f"{ck}_rejects")
+    assert sorted(bytes(r.value).decode() for r in rejects.collect()) == ["no json", '{"symbol":']
+    assert monitor.total + rejects.count() == 4
+
+
+def test_symbol_job_adds_up_distinct_symbols_and_keeps_the_callers_action(spark, scratch):
+    src, seen = os.path.join(scratch, "src"), []
+    os.makedirs(src)
+    trades = [t.replace('"symbol"', '"tickerSymbol"').replace('"trade"', '"tradeType"')
+              for t in (_trade(1, 1.0, "A"), _trade(2, 1.0, "A"), _trade(3, 1.0, "B"))]
+    _write_lines(os.path.join(src, "a.json"), trades)
+    monitor = BatchMonitor(lambda df, b: seen.append(df.count()))
+    q = jobs.symbol_count_stream_job(spark, "text", src, os.path.join(scratch, "ck"), lambda df, b: None,
+                                     available_now=True, monitor=monitor)
+    assert q.awaitTermination(180) and q.exception() is None
+    assert monitor.total == 2 and seen == [3]
+
+
+def test_main_program_counts_trades_of_two_shards(spark, scratch):
+    shards = []
+    for i in range(2):
+        folder = os.path.join(scratch, f"shard{i}")
+        os.makedirs(folder)
+        _write_lines(os.path.join(folder, "a.json"), [
+            t.replace('"symbol"', '"tickerSymbol"').replace('"trade"', '"tradeType"')
+            for t in (_trade(f"{i}1", 1.0, "A"), _trade(f"{i}2", 1.0, "B"))])
+        shards.append({"fmt": "text", "path": folder})
+    monitor = BatchMonitor()
+    q = jobs.trade_running_count_job(spark, shards, os.path.join(scratch, "ck"), os.path.join(scratch, "out"),
+                                     available_now=True, time_mode="EventTime", watermark_delay="1 hour",
+                                     monitor=monitor)
+    assert q.awaitTermination(180) and q.exception() is None
+    rows = spark.read.parquet(os.path.join(scratch, "out")).collect()
+    assert sorted((r.tickerSymbol, r.n) for r in rows) == [("A", 1), ("A", 2), ("B", 1), ("B", 2)]
+    assert monitor.total == 4
+
+
+def test_running_words_of_lines(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _write_lines(os.path.join(src, "a.txt"), ["a b a", "b a"])
+    lines = spark.readStream.text(src)
+    q = jobs.word_running_count_job(spark, lines, os.path.join(scratch, "ck"), os.path.join(scratch, "out"),
+                                    interval_seconds=0.5)
+    out = os.path.join(scratch, "out")
+    deadline = time.time() + 60
+    while time.time() < deadline and not glob.glob(os.path.join(out, "batch_id=*", "_SUCCESS")):
+        time.sleep(0.5)
+    q.stop()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.word, r.n) for r in rows) == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2)]
+
+
+def test_event_time_needs_a_delay(spark):
+    import pytest
+    ev = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").load()
+    with pytest.raises(ValueError):
+        jobs.running_count_stream_job(spark, ev, "value", "timestamp", "value", "/unused", "/unused",
+                                      time_mode="EventTime")

@@ -1,10 +1,12 @@
 import glob
 import os
 
+import pytest
+
 
 from conftest import SF_SMALL
 from tidepool.sinks.files import write_csv
-from tidepool.sinks.table import read_latest, write_batch
+from tidepool.sinks.table import batch_writer, read_latest, write_batch
 from tidepool.sources import generator
 from tidepool.sources.files import read_csv_strings, read_lines, read_table, spread
 from tidepool.sources.streams import parse_host_port, rate_cap_options, start_filter
@@ -127,3 +129,35 @@ def test_trigger_options():
     assert trigger_options(5) == {"processingTime": "5 seconds"}
     assert trigger_options(available_now=True) == {"availableNow": True}
     assert trigger_options() == {}
+
+
+@pytest.mark.parametrize("fmt,cap", [("text", {"records_per_batch": 5}), ("kafka", {"files_per_batch": 1}),
+                                     ("socket", {"records_per_batch": 5})])
+def test_caps_a_source_lacks_are_refused(fmt, cap):
+    with pytest.raises(ValueError):
+        rate_cap_options(fmt, **cap)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_table_round_trip(spark, scratch, fmt):
+    path = os.path.join(scratch, fmt)
+    first = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("a", 3, "z")], "k string, t long, v string")
+    write_batch(first, 0, path, ["k", "v"], ["k"], ["t"], fmt=fmt)
+    write_batch(spark.createDataFrame([("b", 1, "w")], "k string, t long, v string"), 1, path, ["k", "v"],
+                ["k"], ["t"], fmt=fmt)
+    schema = "k string, v string" if fmt in ("csv", "json") else None
+    got = sorted(tuple(r) for r in read_latest(spark, path, ["k"], fmt=fmt, schema=schema).collect())
+    assert got == [("a", "z"), ("b", "w")]
+    if schema:
+        with pytest.raises(ValueError):
+            read_latest(spark, path, ["k"], fmt=fmt)
+
+
+def test_compaction_every_n_batches(spark, scratch):
+    path, snaps = os.path.join(scratch, "t"), os.path.join(scratch, "s")
+    write = batch_writer(path, ["k", "v"], ["k"], ["v"], snapshot_path=snaps, compact_every=2)
+    for i in range(5):
+        write(spark.createDataFrame([("a", i), (f"k{i}", i)], "k string, v long"), i)
+    assert sorted(os.listdir(snaps)) == ["upto=1", "upto=3"]
+    got = {r.k: r.v for r in read_latest(spark, path, ["k"], snapshot_path=snaps).collect()}
+    assert got == {"a": 4} | {f"k{i}": i for i in range(5)}

@@ -119,7 +119,7 @@ def test_per_batch_word_counts_reconcile(spark, scratch):
 
 
 def test_keyed_sink_stream_restart(spark, scratch):
-    trades = (fixtures.trades(spark, SF_SMALL)
+    trades = (fixtures.trades(spark, SF_SMALL, (*fixtures.TRADE_V1, "time"))
               .select("id", "tickerSymbol", "tradeType", "price", "quantity", "time"))
     src = os.path.join(scratch, "src")
     parts = split_rows(trades, 3, "time")
@@ -148,7 +148,7 @@ def test_windowed_symbol_counts_equal_table(spark, scratch):
     write_parts(t, os.path.join(scratch, "src"), 2, "event_id")
     stream = (spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1)
               .parquet(os.path.join(scratch, "src", "part*")))
-    out = jobs.windowed_key_counts(stream, "ts", "symbol", "5 seconds")
+    out = jobs.windowed_key_counts(stream, "ts", "symbol", "5 seconds", "0 seconds")
     run(jobs.start(out, os.path.join(scratch, "ck"), sink="parquet",
                    path=os.path.join(scratch, "out"), available_now=True))
     got = spark.read.parquet(os.path.join(scratch, "out"))
@@ -169,7 +169,7 @@ def test_windowed_word_counts_equal_table(spark, scratch):
               .parquet(os.path.join(scratch, "src", "part*")))
     from tidepool.functions import text
     words = text.tokens(stream, "record", "word", keep=("ts",))
-    out = jobs.windowed_key_counts(words, "ts", "word", "2 seconds")
+    out = jobs.windowed_key_counts(words, "ts", "word", "2 seconds", "0 seconds")
     run(jobs.start(out, os.path.join(scratch, "ck"), sink="parquet",
                    path=os.path.join(scratch, "out"), available_now=True))
     got = spark.read.parquet(os.path.join(scratch, "out"))
@@ -261,7 +261,7 @@ def test_union_of_shard_streams_with_source_time(spark, scratch):
     shards = [read_records(spark, "parquet", os.path.join(scratch, f"shard{i}", "part*"),
                            schema=recs.schema, time_col="ts") for i in range(2)]
     merged = union_streams(*shards)
-    assert merged.columns == ["value", "arrived_at"]
+    assert merged.columns == ["value", "arrived_at", "arrival_seq"]
     seen = []
     run(jobs.start(merged, os.path.join(scratch, "ck"), available_now=True,
                    foreach_batch=lambda df, b: seen.extend(df.collect())))
@@ -282,3 +282,61 @@ def test_stream_rows_without_time_do_not_fail(spark, scratch):
                    foreach_batch=lambda d, b: seen.extend(d.collect())))
     got = sorted((r.k, r.id, r.n, r.at is None) for r in seen if not r.timed_out)
     assert got == [("a", 1, 1, True), ("a", 2, 2, False), ("a", 3, 3, False), ("b", 4, 1, True)]
+
+
+def test_out_of_order_batches_never_move_the_clock_back(spark, scratch):
+    import datetime as dt
+    start = dt.datetime(2024, 1, 1)
+    rows = [("k", start + dt.timedelta(seconds=t), i) for i, t in enumerate((100, 300, 150, 560))]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id bigint")
+    write_parts(df, os.path.join(scratch, "src"), 4, "id")
+    stream = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+              .parquet(os.path.join(scratch, "src", "part*")))
+    seen = []
+    q = jobs.start(running_count_stream(stream, "k", "ts", "id", 300, watermark_delay="1 hour"),
+                   os.path.join(scratch, "ck"), available_now=True,
+                   foreach_batch=lambda d, b: seen.extend(d.collect()))
+    run(q)
+    assert [(r.id, r.n, r.timed_out) for r in seen] == [(0, 1, False), (1, 2, False), (2, 3, False), (3, 4, False)]
+    assert jobs.late_rows(q) == 0
+
+
+def test_late_rows_are_reported(spark, scratch):
+    import datetime as dt
+    start = dt.datetime(2024, 1, 1)
+    rows = [(k, start + dt.timedelta(seconds=t), i)
+            for i, (k, t) in enumerate((("a", 1000), ("a", 2000), ("a", 2500), ("b", 10)))]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id bigint")
+    write_parts(df, os.path.join(scratch, "src"), 4, "id")
+    stream = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+              .parquet(os.path.join(scratch, "src", "part*")))
+    q = jobs.start(running_count_stream(stream, "k", "ts", "id", 300), os.path.join(scratch, "ck"),
+                   available_now=True, sink="parquet", path=os.path.join(scratch, "out"))
+    run(q)
+    counted = spark.read.parquet(os.path.join(scratch, "out")).where("not timed_out").count()
+    assert counted + jobs.late_rows(q) == 4 and jobs.late_rows(q) == 1
+
+
+def test_arrival_order_counts_every_chunk_of_a_hot_key(spark):
+    """Frames of one key are counted in turn, in arrival order, without a gap between them."""
+    import pandas as pd
+    from tidepool.streaming.state import RunningCountProcessor
+    p = RunningCountProcessor("k", "ts", "id", 300, in_arrival_order=True)
+    us = [100, 300, 150, 560, 900]
+    frames = [pd.DataFrame({"tp_epoch_us": [u * 1_000_000], "id": [i]}) for i, u in enumerate(us)]
+    n, last, counts, timeouts = 0, None, [], []
+    for f in frames:
+        (closed, rows), n, last = p._advance("k", f, n, last)
+        counts += rows["n"].tolist()
+        timeouts += closed["n"].tolist()
+    assert counts == [1, 2, 3, 4, 1] and timeouts == [4] and last == 900_000_000
+
+
+def test_empty_batches_are_skipped(spark, scratch):
+    seen = []
+    monitor = jobs.BatchMonitor(lambda df, b: seen.append(b))
+    empty = spark.createDataFrame([], "a long")
+    monitor(empty, 0)
+    monitor(spark.range(3), 1)
+    monitor(empty, 2)
+    assert seen == [1] and monitor.total == 3 and len(monitor.history) == 1

@@ -1,12 +1,13 @@
-"""Command line for the batch jobs: ``python -m tidepool word-count IN OUT`` and
-``python -m tidepool tag-size SOURCE_CSV TARGET_CSV``."""
+"""Command line: ``python -m tidepool word-count IN OUT``, ``tag-size SOURCE_CSV TARGET_CSV``,
+``words HOST:PORT-or-folder CHECKPOINT OUT`` and ``trades FOLDER CHECKPOINT OUT`` (streams)."""
 
 from __future__ import annotations
 
 import argparse
 
-from tidepool.plans.jobs import tag_size_job, word_count_job
+from tidepool.plans.jobs import tag_size_job, trade_running_count_job, word_count_job, word_running_count_job
 from tidepool.session import build_session
+from tidepool.sources.streams import read_socket_lines
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -20,13 +21,32 @@ def main(argv: list[str] | None = None) -> None:
     ts.add_argument("source_csv")
     ts.add_argument("target_csv")
     ts.add_argument("--files", type=int, default=10)
+    for name, source in (("words", "running count of the words of a folder of text files or HOST:PORT"),
+                         ("trades", "running count of the symbols of trade records in a folder")):
+        job = sub.add_parser(name, help=source)
+        job.add_argument("source")
+        job.add_argument("checkpoint")
+        job.add_argument("output")
+        job.add_argument("--idle-seconds", type=float, default=300.0)
+        job.add_argument("--interval-seconds", type=float, default=5.0)
     args = parser.parse_args(argv)
 
     spark = build_session(app_name=f"tidepool-{args.job}")
     if args.job == "word-count":
         print(word_count_job(spark, args.input, args.output, args.min_partitions))
+    elif args.job == "words":
+        host, _, port = args.source.rpartition(":")
+        lines = (read_socket_lines(spark, host, int(port)) if host and port.isdigit()
+                 else spark.readStream.text(args.source))
+        word_running_count_job(spark, lines, args.checkpoint, args.output, idle_seconds=args.idle_seconds,
+                               interval_seconds=args.interval_seconds).awaitTermination()
+    elif args.job == "trades":
+        trade_running_count_job(spark, [{"fmt": "text", "path": args.source}], args.checkpoint, args.output,
+                                idle_seconds=args.idle_seconds,
+                                interval_seconds=args.interval_seconds).awaitTermination()
     else:
-        print(f"total cost time is {tag_size_job(spark, args.source_csv, args.target_csv, args.files)}")
+        millis = tag_size_job(spark, args.source_csv, args.target_csv, args.files)
+        print(f"tag sizes written in {millis} ms")
 
 
 if __name__ == "__main__":

@@ -37,15 +37,15 @@ SCALE_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "tidepool",
                   shuffle_partitions: int | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
-    """Get or create a session with the defaults above.
+                  conf: dict[str, str] | None = None, large: bool = False) -> SparkSession:
+    """Get or create a session with the defaults above; ``large`` adds SCALE_CONF.
 
     ``master`` is only set when given, so on a cluster the launcher decides.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    settings = dict(DEFAULT_CONF) | (SCALE_CONF if large else {})
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

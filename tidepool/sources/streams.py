@@ -1,7 +1,7 @@
 """Stream sources.
 
-Every record stream is normalised to ``value BINARY, arrived_at TIMESTAMP``
-so the decoding and counting operators are the same for every source. The
+Every record stream is normalised to ``value BINARY, arrived_at TIMESTAMP,
+arrival_seq STRUCT`` so the decoding and counting operators are the same for every source. The
 file source is the tested format; Kafka, socket and other formats go
 through the same ``(format, options)`` pair.
 """
@@ -9,12 +9,13 @@ through the same ``(format, options)`` pair.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.operators.aggregates import union_all
+
 # Per-batch intake caps by source format.
 _RATE_OPTION = {
     "kafka": "maxOffsetsPerTrigger",
@@ -27,32 +28,57 @@ _FILE_FORMATS = {"text", "json", "csv", "parquet", "orc", "binaryFile"}
 def rate_cap_options(fmt: str, records_per_batch: int | None = None,
                      files_per_batch: int | None = None,
                      bytes_per_batch: str | None = None) -> dict[str, str]:
-    """The option that caps how much one micro-batch takes in."""
-    opts: dict[str, str] = {}
-    if fmt in _FILE_FORMATS:
-        if files_per_batch:
-            opts["maxFilesPerTrigger"] = str(files_per_batch)
-        if bytes_per_batch:
-            opts["maxBytesPerTrigger"] = str(bytes_per_batch)
-    elif records_per_batch and fmt in _RATE_OPTION:
-        opts[_RATE_OPTION[fmt]] = str(records_per_batch)
-    return opts
+    """The option that caps how much one micro-batch takes in.
+
+    A cap the source cannot honour is refused, so no job runs uncapped by mistake.
+    """
+    asked = {"records_per_batch": records_per_batch, "files_per_batch": files_per_batch,
+             "bytes_per_batch": bytes_per_batch}
+    names = ({"files_per_batch": "maxFilesPerTrigger", "bytes_per_batch": "maxBytesPerTrigger"}
+             if fmt in _FILE_FORMATS else
+             {"records_per_batch": _RATE_OPTION[fmt]} if fmt in _RATE_OPTION else {})
+    given = {k: v for k, v in asked.items() if v}
+    wrong = sorted(given.keys() - names.keys())
+    if wrong:
+        raise ValueError(f"source {fmt!r} has no cap by {', '.join(wrong)}; it has {sorted(names)}")
+    return {names[k]: str(v) for k, v in given.items()}
 
 
 def read_records(spark: SparkSession, fmt: str, path: str | None = None,
                  options: dict[str, str] | None = None, schema: T.StructType | str | None = None,
                  value_col: str = "value", time_col: str | None = None) -> DataFrame:
-    """S3: a stream of byte records as ``value BINARY, arrived_at TIMESTAMP``.
+    """S3: a stream of byte records as ``value BINARY, arrived_at TIMESTAMP, arrival_seq STRUCT``.
 
-    ``time_col`` names the arrival time in the source (e.g. Kafka's
-    ``timestamp``); without one the micro-batch time is used.
+    ``arrived_at`` is ``time_col`` if given, else the time the source keeps (the
+    file's modification time, Kafka's timestamp), else the micro-batch time.
+    ``arrival_seq`` orders records of one arrival time as the source does: by
+    file and position in it, or by Kafka partition and offset; ``in_source_order``
+    adds the rows' order inside a file split, batch by batch.
     """
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     raw = reader.load(path) if path else reader.load()
-    arrived = (F.col(time_col).cast("timestamp") if time_col else F.current_timestamp())
-    return raw.select(F.col(value_col).cast("binary").alias("value"), arrived.alias("arrived_at"))
+    if fmt in _FILE_FORMATS:
+        kept_time = F.col("_metadata.file_modification_time")
+        seq = F.struct(F.col("_metadata.file_path").alias("source"),
+                       F.col("_metadata.file_block_start").alias("position"))
+    elif fmt == "kafka":
+        kept_time = F.col("timestamp")
+        seq = F.struct(F.col("partition").cast("string").alias("source"),
+                       F.col("offset").alias("position"))
+    else:
+        kept_time = F.current_timestamp()
+        seq = F.struct(F.lit("").alias("source"), F.lit(0).cast("bigint").alias("position"))
+    arrived = F.col(time_col).cast("timestamp") if time_col else kept_time
+    return raw.select(F.col(value_col).cast("binary").alias("value"), arrived.alias("arrived_at"),
+                      seq.alias("arrival_seq"))
+
+
+def in_source_order(batch: DataFrame) -> DataFrame:
+    """One micro-batch with the row number in ``arrival_seq`` (before anything reorders its rows)."""
+    return batch.withColumn("arrival_seq", F.struct(
+        "arrival_seq.source", "arrival_seq.position", F.monotonically_increasing_id().alias("row")))
 
 
 def read_socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
@@ -118,11 +144,13 @@ def resolve_start(spark: SparkSession, checkpoint_location: str,
         return start
     marker = f"{checkpoint_location.rstrip('/')}/_start_position"
     try:
-        row = spark.read.json(marker).first()
-        if row is not None:
-            return _dt.datetime.fromisoformat(row["start"])
-    except Exception:  # no marker yet: first run
-        pass
+        row = spark.read.schema("start string").json(marker).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else is no first run
+            raise
+        row = None
+    if row is not None:
+        return _dt.datetime.fromisoformat(row["start"])
     now = _dt.datetime.now(_dt.timezone.utc)  # an instant, whatever the session zone
     resolved = now - start if isinstance(start, _dt.timedelta) else (
         now if start == "latest" else start)
@@ -133,4 +161,4 @@ def resolve_start(spark: SparkSession, checkpoint_location: str,
 
 def union_streams(*streams: DataFrame) -> DataFrame:
     """One stream from N shard streams, duplicates kept."""
-    return reduce(lambda a, b: a.unionByName(b), streams)
+    return union_all(*streams)

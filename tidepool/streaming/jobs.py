@@ -22,6 +22,7 @@ from tidepool.functions import text
 from tidepool.functions.records import decode_utf8
 from tidepool.operators import aggregates as agg
 from tidepool.session import checkpoint_root
+from tidepool.sources.streams import in_source_order
 
 log = logging.getLogger("tidepool.streaming")
 
@@ -78,15 +79,21 @@ def words_of_records(records: DataFrame) -> DataFrame:
 class BatchMonitor:
     """Per-batch driver code around an optional batch action.
 
-    For each non-empty batch: one pass counts its rows and the plan gives its
-    partition count (A7), the running total since this driver started is advanced (A8), a
-    status line is logged (K6), and ``action(batch, batch_id)`` runs on the
-    persisted batch so sinks do not recompute it. Empty batches are skipped.
+    For each non-empty batch: its rows are counted and the plan gives its
+    partition count (A7), the running total since this driver started is
+    advanced (A8), a status line is logged (K6), and ``action(batch, batch_id)``
+    runs on the persisted batch so sinks do not recompute it. Empty batches are
+    skipped. ``prepare`` turns the raw batch into the rows to act on (and may
+    send others elsewhere); ``measure`` is what the total adds up (default: the
+    rows); ``extra`` gives further numbers for the record of the batch.
     """
 
     def __init__(self, action: Callable[[DataFrame, int], None] | None = None,
-                 logger: logging.Logger | None = None, keep_batches: int = 1000):
-        self.action = action
+                 logger: logging.Logger | None = None, keep_batches: int = 1000,
+                 prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+                 measure: Callable[[DataFrame], int] | None = None,
+                 extra: Callable[[DataFrame], dict] | None = None):
+        self.action, self.prepare, self.measure, self.extra = action, prepare, measure, extra
         self.total = 0
         # Recent batches only, so a stream running for months holds bounded
         # driver memory; ``total`` still counts every batch.
@@ -94,29 +101,66 @@ class BatchMonitor:
         self.log = logger or log
         self.host = socket.gethostname()
 
+    def within(self, action: Callable[[DataFrame, int], None] | None = None, **parts) -> BatchMonitor:
+        """Add a job's action before the monitor's own, and parts it has not set itself."""
+        own = self.action
+        if action is not None:
+            self.action = action if own is None else (
+                lambda batch, batch_id: (action(batch, batch_id), own(batch, batch_id))[0])
+        for name, part in parts.items():
+            if getattr(self, name) is None:
+                setattr(self, name, part)
+        return self
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            n_rows = batch.count()
-            try:
-                n_parts = batch.rdd.getNumPartitions()  # plan-time, no job
-            except Exception:  # no RDD view on Spark Connect
-                n_parts = -1
+            rows = self.prepare(batch, batch_id) if self.prepare else batch
+            n_rows = rows.count()
             if n_rows == 0:
                 return
             if self.action is not None:
-                self.action(batch, batch_id)
-            self.total += n_rows
+                self.action(rows, batch_id)
+            self.total += self.measure(rows) if self.measure else n_rows
             record = {"batch_id": batch_id, "time": _dt.datetime.now().isoformat(),
-                      "host": self.host, "n_rows": n_rows, "n_partitions": n_parts,
-                      "total": self.total}
+                      "host": self.host, "n_rows": n_rows,
+                      "n_partitions": batch.rdd.getNumPartitions(), "total": self.total}
+            record |= self.extra(rows) if self.extra else {}
             self.history.append(record)
-            self.log.info("%s %s batch=%d rows=%d partitions=%d total=%d", record["time"],
-                          self.host, batch_id, n_rows, n_parts, self.total)
+            more = "".join(f" {k}={v}" for k, v in record.items()
+                           if k not in ("batch_id", "time", "host", "n_rows", "n_partitions", "total"))
+            self.log.info("%s %s batch=%d rows=%d partitions=%d total=%d%s", record["time"],
+                          self.host, batch_id, n_rows, record["n_partitions"], self.total, more)
         finally:
             batch.unpersist()
 
 
+def accepted_trades(rejects_path: str, logger: logging.Logger | None = None
+                    ) -> Callable[[DataFrame, int], DataFrame]:
+    """The parsed trades of a batch; records that are none go to ``rejects_path``.
+
+    Takes rows ``value, arrived_at, arrival_seq, trade``; a rejected record is
+    one whose trade is NULL. Their bytes are written per batch (a replayed
+    batch overwrites its own folder) and their number is logged.
+    """
+    def run(batch: DataFrame, batch_id: int) -> DataFrame:
+        bad = batch.where(F.col("trade").isNull())
+        n = bad.count()
+        if n:
+            bad.select("value", "arrived_at").write.mode("overwrite").parquet(
+                f"{rejects_path.rstrip('/')}/batch_id={batch_id}")
+            (logger or log).warning("batch=%d: %d records are no trades, kept in %s", batch_id, n, rejects_path)
+        return (in_source_order(batch).where(F.col("trade").isNotNull())
+                .select("trade.*", "arrived_at", "arrival_seq"))
+    return run
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query's watermark has dropped, over the progress it still keeps."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
 def per_batch_word_counts(sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """A4: stateless word count of each micro-batch of word records, handed to ``sink``."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -144,13 +188,14 @@ def per_batch_max_id(id_col: str, sink: Callable[[DataFrame, int], None]
 
 
 def windowed_key_counts(events: DataFrame, time_col: str, key_col: str, duration: str,
-                        watermark_delay: str = "0 seconds") -> DataFrame:
+                        watermark_delay: str) -> DataFrame:
     """A4/A5 by event time: rows per key per tumbling window, emitted once final.
 
     The deterministic stand-in for a per-batch count: the same answer as
     ``count_per_window`` on the table, for every window the watermark has
-    closed. Rows later than the watermark are dropped (a late-data rule the
-    processing-time batches of the reference do not have).
+    closed. Rows later than ``watermark_delay`` allows are dropped (a rule the
+    processing-time batches of the reference do not have); ``late_rows``
+    reports how many.
     """
     ts = F.col(time_col).cast("timestamp")
     rows = events.withColumn(time_col, ts).withWatermark(time_col, watermark_delay)

@@ -34,18 +34,22 @@ def output_schema(key_col: str, tiebreak_col: str, tiebreak_type=None) -> Struct
 
 
 _EPOCH_US = "tp_epoch_us"
+_NO_TIE = "tp_no_tie"
 
 
 class RunningCountProcessor(StatefulProcessor):
     """The keyed state function, ``(key, new rows, state) -> output rows``.
 
-    Each call gets one key's rows of one micro-batch as pandas frames; the
-    order, gaps, restarts and counts are computed with numpy over the whole
-    batch of the key (Arrow-batched, no per-row Python).
+    Each call gets one key's rows of one micro-batch as pandas frames; gaps,
+    restarts and counts are computed with numpy (no per-row Python). In arrival
+    order each frame is handled in turn, so a hot key needs one frame of memory;
+    in time order the key's rows of the batch are sorted together, which the
+    source's intake cap bounds.
     """
 
     def __init__(self, key_col: str, time_col: str, tiebreak_col: str, idle_seconds: float,
-                 integer_ties: bool = True):
+                 integer_ties: bool = True, in_arrival_order: bool = False):
+        self.in_arrival_order = in_arrival_order
         self.integer_ties = integer_ties
         self.key_col = key_col
         self.time_col = time_col
@@ -71,42 +75,57 @@ class RunningCountProcessor(StatefulProcessor):
                              "timed_out": pd.Series(timed_out, dtype="bool")})
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
-        import numpy as np
         import pandas as pd
-        k = key[0]
-        batch = pd.concat(list(rows), ignore_index=True)
-        if batch.empty:
-            return
-        batch = batch.sort_values([_EPOCH_US, self.tiebreak_col], kind="mergesort",
-                                  na_position="first")
         n0, last0 = self.state.get() if self.state.exists() else (0, None)
-        # Rows without a time come first and join the current segment (no gap);
-        # their output time stays NULL.
-        no_time = batch[_EPOCH_US].isna().to_numpy()
-        timed = batch[_EPOCH_US].dropna()
+        n, last, seen = n0, last0, False
+        if self.in_arrival_order:
+            parts = rows  # one Arrow chunk at a time, whatever the key's share of the batch
+        else:
+            whole = pd.concat(list(rows), ignore_index=True)
+            parts = [whole.sort_values([_EPOCH_US, self.tiebreak_col], kind="mergesort",
+                                       na_position="first")]
+        for part in parts:
+            if part.empty:
+                continue
+            seen = True
+            frames, n, last = self._advance(key[0], part, n, last)
+            yield from frames
+        if not seen:
+            return
+        self.state.update((n, last))
+        deadline = self._deadline_ms(last)
+        if last0 is not None and self._deadline_ms(last0) != deadline:
+            self.handle.deleteTimer(self._deadline_ms(last0))
+        self.handle.registerTimer(deadline)
+
+    def _advance(self, k, part, n0: int, last0: int | None):
+        """Count one frame of rows in their order; returns (output frames, count, last time).
+
+        The last time never moves back: a row older than it counts on, without a gap.
+        """
+        import numpy as np
+        # Rows without a time join the current segment (no gap); their output time stays NULL.
+        no_time = part[_EPOCH_US].isna().to_numpy()
+        timed = part[_EPOCH_US].dropna()
         fill = last0 if last0 is not None else (int(timed.iloc[0]) if len(timed) else 0)
-        t = batch[_EPOCH_US].fillna(fill).to_numpy(dtype="int64")
-        ids = batch[self.tiebreak_col].to_numpy()
-        prev = np.empty_like(t)
-        prev[1:] = t[:-1]
-        prev[0] = t[0] if last0 is None else last0
-        restart = (t - prev) > self.idle_us  # never true for row 0 without state
-        idx = np.arange(len(t))
+        at = part[_EPOCH_US].fillna(fill).to_numpy(dtype="int64")
+        ids = part[self.tiebreak_col].to_numpy()
+        latest = np.maximum.accumulate(at if last0 is None else np.maximum(at, last0))
+        prev = np.empty_like(latest)
+        prev[1:] = latest[:-1]
+        prev[0] = latest[0] if last0 is None else last0
+        restart = (at - prev) > self.idle_us  # never true for row 0 without state
+        idx = np.arange(len(at))
         seg_start = np.maximum.accumulate(np.where(restart, idx, 0))
         before = np.where(np.cumsum(restart) == 0, n0, 0)
         n = before + (idx - seg_start) + 1
         # A timeout row for the segment each restart closes.
         at_break = np.flatnonzero(restart)
         closed_n = np.where(at_break > 0, n[at_break - 1], n0)
-        closed_last = np.where(at_break > 0, t[at_break - 1], prev[0])
-        yield self._frame(k, closed_last + self.idle_us, [None] * len(at_break), closed_n,
-                          [True] * len(at_break))
-        yield self._frame(k, t, ids, n, [False] * len(t), no_time)
-        self.state.update((int(n[-1]), int(t[-1])))
-        deadline = self._deadline_ms(int(t[-1]))
-        if last0 is not None and self._deadline_ms(last0) != deadline:
-            self.handle.deleteTimer(self._deadline_ms(last0))
-        self.handle.registerTimer(deadline)
+        frames = [self._frame(k, prev[at_break] + self.idle_us, [None] * len(at_break), closed_n,
+                              [True] * len(at_break)),
+                  self._frame(k, at, ids, n, [False] * len(at), no_time)]
+        return frames, int(n[-1]), int(latest[-1])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo):
@@ -122,7 +141,8 @@ class RunningCountProcessor(StatefulProcessor):
         pass
 
 
-def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebreak_col: str,
+def running_count_stream(events: DataFrame, key_col: str, time_col: str,
+                         tiebreak_col: str | None = None,
                          idle_seconds: float = 300.0, watermark_delay: str = "0 seconds",
                          time_mode: str = "EventTime") -> DataFrame:
     """T1 + T2 on a stream: ``key, at, <tiebreak>, n, timed_out`` in append mode.
@@ -133,14 +153,18 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebrea
     Use it with a processing-time trigger (an ``availableNow`` query would
     keep running batches for the pending timers).
 
-    ``time_col`` is cast to TIMESTAMP (a watermark needs one); rows later than
-    the watermark are dropped, a late-data rule the table form does not need.
-    With the default delay of 0 every row a later batch brings is at or after
-    the key's last row, so counts follow the exact time order; a positive
-    delay admits rows older than a key's last row, which are then counted in
-    arrival order. A TIMESTAMP_NTZ input is read in the session time zone by
-    that cast.
+    Every record is counted, in arrival order. In event time, rows of one
+    batch are taken in time order, and rows later than ``watermark_delay``
+    allows are dropped by Spark; ``jobs.late_rows`` reports how many. Rows an
+    earlier batch has overtaken are counted in arrival order and never move
+    the key's last time back. Without ``tiebreak_col`` (text lines have none)
+    rows of one time are in arrival order and the output has no such column.
+    A TIMESTAMP_NTZ input is read in the session time zone.
     """
+    if tiebreak_col is None:
+        out = running_count_stream(events.withColumn(_NO_TIE, F.lit(0).cast("bigint")), key_col,
+                                   time_col, _NO_TIE, idle_seconds, watermark_delay, time_mode)
+        return out.drop(_NO_TIE)
     ts = F.col(time_col).cast("timestamp")
     tie_type = events.schema[tiebreak_col].dataType
     integer_ties = isinstance(tie_type, (LongType, IntegerType, ShortType, ByteType))
@@ -152,7 +176,7 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str, tiebrea
     if time_mode == "EventTime":
         rows = rows.withWatermark(time_col, watermark_delay)
     processor = RunningCountProcessor(key_col, time_col, tiebreak_col, idle_seconds,
-                                      integer_ties)
+                                      integer_ties, time_mode == "ProcessingTime")
     schema = output_schema(key_col, tiebreak_col, LongType() if integer_ties else tie_type)
     return rows.groupBy(key_col).transformWithStateInPandas(
         processor, schema, "Append", time_mode)
