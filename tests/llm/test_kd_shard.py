@@ -55,7 +55,7 @@ def test_target_bytes(spark, edge_docs):
     assert len(got) == len(EDGE_ROWS)
 
 
-@pytest.mark.parametrize("shards", [1, 2, 40])
+@pytest.mark.parametrize("shards", [1, 40])
 def test_edges(spark, edge_docs, no_docs, shards):
     got = kd_shard.kd_shards(edge_docs, shards=shards).toPandas()
     check(got, shards)

@@ -15,8 +15,9 @@ give all pairs of its bucket. Buckets above ``BUCKET`` fingerprints are instead
 into blocks, and every pair of blocks is compared in one task that returns a spanning
 forest of the links it finds: at most as many edges as fingerprints, same components.
 
-Components: every node moves to its smallest neighbour and the edges are contracted,
-round by round, each round written to the shared folder, until no edge is left.
+Components: every node moves to its first neighbour in an order drawn anew each round
+and the edges are contracted, each round written to the shared folder, until no edge
+is left.
 
 Defined cases: a null text is empty and has fingerprint zero, like a text without
 words; it links like any other. Repeated rows share their component. A null doc_id
@@ -206,28 +207,39 @@ def links(distinct: DataFrame, bits: int = 3, bucket: int = BUCKET) -> DataFrame
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of ``edges`` (a, b) reaches.
 
-    Each round every node moves to its smallest neighbour if that is smaller, edges
-    are rewritten to where their ends moved, and loops and repeats go, so the edges
-    shrink by a constant factor a round. Rounds are written to the shared folder.
+    Each round every node moves to whichever of itself and its neighbours comes first
+    in an order drawn anew by hash, edges are rewritten to where their ends moved, and
+    loops and repeats go. The fresh order makes the edges shrink by a constant factor a
+    round on average, also along chains of growing ids. Rounds are written to the
+    shared folder.
     """
     edges = materialize(edges.select("a", "b"), "edges")
-    roots = None
+    moved, turn = None, 0
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        moves = materialize(both.groupBy("a").agg(F.min("b").alias("least"))
-                            .select(F.col("a").alias("node"), F.least("a", "least").alias("to")), "moves")
-        if roots is None:
-            roots = moves.select("node", F.col("to").alias("root"))
+        turn += 1
+
+        def place(node: str, turn: int = turn) -> Column:
+            return F.struct(F.xxhash64(node, F.lit(turn)).alias("at"), F.col(node).alias("node"))
+
+        first = both.groupBy("a").agg(F.min(place("b")).alias("best"))
+        moves = materialize(first.select(F.col("a").alias("node"), F.least(place("a"), F.col("best"))
+                                         .getField("node").alias("to")), "moves")
+        if moved is None:
+            moved = moves.select("node", F.col("to").alias("at"))
         else:
-            roots = (roots.join(moves.select(F.col("node").alias("root"), "to"), "root", "left")
-                     .select("node", F.coalesce("to", "root").alias("root")))
-        roots = materialize(roots, "roots")
+            moved = (moved.join(moves.select(F.col("node").alias("at"), "to"), "at", "left")
+                     .select("node", F.coalesce("to", "at").alias("at")))
+        moved = materialize(moved, "moved")
         at_a = moves.select(F.col("node").alias("a"), F.col("to").alias("new_a"))
         at_b = moves.select(F.col("node").alias("b"), F.col("to").alias("new_b"))
         edges = materialize(edges.join(at_a, "a").join(at_b, "b").where("new_a <> new_b")
                             .select(F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b"))
                             .distinct(), "edges")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if roots is None else roots
+    if moved is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    smallest = moved.groupBy("at").agg(F.min("node").alias("root"))
+    return moved.join(smallest, "at").select("node", "root")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id",
