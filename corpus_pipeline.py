@@ -37,8 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digests of ids and decoded text of every document left."""
-    path = tokenizer_path()
-    return token_digests(bpe.decode(bpe.encode(docs, path), path), "ids")
+    return token_digests(bpe.encode_decode(docs, tokenizer_path()), "ids")
 
 
 STAGES = [

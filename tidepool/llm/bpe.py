@@ -39,6 +39,7 @@ PATTERN = regex.compile(
 
 NONE = np.iinfo(np.int64).max   # a leaf without a mergeable pair
 SIDE_BY_SIDE = 64               # symbols; longer pre-tokens get a tree of their own
+CACHED = 400_000                # pieces a worker remembers
 ROWS = 20_000                   # pre-tokens merged side by side at once
 
 
@@ -79,7 +80,7 @@ class Bpe:
         self.pairs, self.ranks = np.append(pairs[order], NONE), np.append(order, 0)
         self.rank_of = dict(zip(pairs.tolist(), range(len(pairs)), strict=True))
         self.split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.cache = PieceCache(self.encode_whole, tuple(self.special))
+        self.cache = PieceCache(self.encode_whole, tuple(self.special), CACHED)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, or -1."""
@@ -247,6 +248,28 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                  plain_special: bool = False) -> DataFrame:
+    """doc_id, ids and decoded (the text of those ids) of every row.
+
+    The same as ``decode(encode(...))`` in one pass, so a task needs one Python worker.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path, plain_special)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
+                ids = bpe.encode(part.column("text").to_pylist())
+                texts = [bpe.decode(x.tolist()) for x in ids]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), list_of(ids), pa.array(texts, pa.string())],
+                                                 ["doc_id", "ids", "decoded"])
+
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids; a column of the name ``decoded_col`` is replaced."""
     kept = encoded.drop(decoded_col)

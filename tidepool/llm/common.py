@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidepool.session import checkpoint_root
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 # Keys that hold more than this share of the rows are answered from a broadcast
 # table; at most 1 / HOT_SHARE keys can, which bounds its size.
@@ -140,19 +139,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` and of its inverse modulo 2**64, at least ``n`` of them."""
-    size = 1 << max(12, int(n).bit_length())
-    if size > 4 * CHUNK_BYTES:
-        return _powers.__wrapped__(base, n)
-    return _powers(base, size)
+    """Powers of ``base`` and of its inverse modulo 2**64, at least ``n`` of them.
+
+    A worker keeps one pair of arrays a base, up to the size that blocks of texts need.
+    """
+    if len(_POWERS.get(base, ((),))[0]) >= n:
+        return _POWERS[base]
+    size = -(-n // 65536) * 65536
+    up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    found = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    if size <= 4 * CHUNK_BYTES:
+        _POWERS[base] = found
+    return found
 
 
 def rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:

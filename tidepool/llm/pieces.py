@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHE_PIECES = 800_000     # the cache is emptied beyond this; bounds its memory (about 160 MB)
+CACHE_PIECES = 800_000     # the cache is emptied beyond this; bounds its memory (about 200 bytes a piece)
 BATCH_TEXTS = 256
 JOINED = 4096
 CLOSING = '.,;:!?*&$%#)"'  # no apostrophe: with letters after it, it starts a token of its own
@@ -24,8 +24,10 @@ CLOSING = '.,;:!?*&$%#)"'  # no apostrophe: with letters after it, it starts a t
 class PieceCache:
     """``encode_many`` gives the int32 ids of texts; ``special`` are strings that rule out cutting."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = ()):
+    def __init__(self, encode_many: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = (),
+                 most: int | None = None):
         self.encode_many, self.special = encode_many, special
+        self.most = most or CACHE_PIECES
         self.known: dict[str, bytes] = {}
         self.closings: dict[str, bytes] = {}
         self.line_end = encode_many(["\n"])[0]
@@ -39,7 +41,7 @@ class PieceCache:
 
     def _batch(self, texts: list[str]) -> list[np.ndarray]:
         known = self.known
-        if len(known) > CACHE_PIECES:
+        if len(known) > self.most:
             known.clear()
         parts, new, whole = [], set(), []
         for text in texts:

@@ -58,8 +58,7 @@ def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
-    path = tokenizer_path()
-    return token_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+    return token_digests(bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
