@@ -113,3 +113,13 @@ def test_no_job_while_the_plan_is_built(spark, events):
     state.idle_timeouts(state.running_counts(events, "event_type", "ts", "event_id", IDLE), "event_type", "ts")
     spark.sparkContext._jsc.clearJobGroup()
     assert not tracker.getJobIdsForGroup("plan-only")
+
+
+def test_a_table_that_grew_is_read_again(spark, events, scratch):
+    path = f"{scratch}/events"
+    small = events.where("event_id < 100")
+    small.write.parquet(path)
+    first = state.running_counts(spark.read.parquet(path), "event_type", "ts", "event_id", IDLE).count()
+    events.where("event_id >= 100 and event_id < 150").write.mode("append").parquet(path)
+    second = state.running_counts(spark.read.parquet(path), "event_type", "ts", "event_id", IDLE).count()
+    assert (first, second) == (100, 150)

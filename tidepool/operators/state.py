@@ -24,6 +24,8 @@ not rows, and nothing runs while the plan is built.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -62,7 +64,10 @@ def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
     # Ranges come from a sample, so two evaluations could cut differently: the numbered
     # rows are kept (on disk, recomputed from the same ranges if an executor is lost),
     # and both sides of the join below read the same numbers. Nothing runs yet.
-    base = ranged.withColumn(_P, F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    # The run's own tag keeps Spark from answering a later call, perhaps on a table that
+    # has grown since, with the rows kept by this one.
+    base = (ranged.withColumn(_P, F.spark_partition_id()).withColumn("_tp_run", F.lit(uuid.uuid4().hex))
+            .persist(StorageLevel.DISK_ONLY).drop("_tp_run"))
 
     # Rows ranked inside their (key, range), with the restarts that fall inside it.
     inside = Window.partitionBy(_K, _P).orderBy(_T, tiebreak_col)

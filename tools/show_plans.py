@@ -1,4 +1,4 @@
-"""Write PLANS.md: the final (adaptive) physical plan of every registered query.
+"""Write PLANS.md: the final (adaptive) physical plan of the reference's queries.
 
 Usage: python tools/show_plans.py [sf_dir] [out.md]
 Each query is executed once so the adaptive plan is final (stage reuse,
@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tidepool.plans.queries import QUERIES  # noqa: E402
 from tidepool.session import build_session  # noqa: E402
 
 KEEP = re.compile(r"(Exchange|Reused|QueryStage|Window|Aggregate|Join|Scan|Generate|"
@@ -36,7 +36,7 @@ def main() -> None:
     parts = ["# PLANS", "",
              f"Final adaptive physical plans of the registered queries on `{sf_dir}`,",
              "generated by `tools/show_plans.py` (expressions shortened).", ""]
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         qe = fn(spark, sf_dir)._jdf.queryExecution()
         qe.executedPlan().executeCollect()
         text = qe.executedPlan().toString()
