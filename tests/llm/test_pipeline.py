@@ -18,8 +18,15 @@ from tidepool.llm.queries import QUERIES, id_remainder, tokenizer_path
 from tools.check_oracle import TABLES, digest
 
 
+@pytest.fixture(scope="module", autouse=True)
+def short_training():
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "LEAST_STEPS", 20)
+        yield
+
+
 @pytest.fixture(scope="module")
-def stages(spark):
+def stages(spark, short_training):
     """Input and output of every stage over the small tables."""
     docs, out = table(spark, SF_SMALL, "documents"), {}
     for name, stage in corpus_pipeline.STAGES:
