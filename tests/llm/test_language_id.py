@@ -117,3 +117,32 @@ def test_other_alphabet_is_rejected(spark):
     model = lid.fit(docs)
     odd = spark.createDataFrame([(1, "Привет как дела сегодня хорошо"), (2, "zzxq wkj vvq")], "doc_id long, text string")
     assert all(r["rejected"] for r in lid.identify(odd, model).collect())
+
+
+@pytest.mark.parametrize("slice_bytes, resident", [(lid.SLICE_BYTES, lid.RESIDENT_BYTES), (1 << 21, 0)])
+def test_every_gram_of_a_large_corpus_is_kept(spark, monkeypatch, slice_bytes, resident):
+    monkeypatch.setattr(lid, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(lid, "RESIDENT_BYTES", resident)
+    rng = np.random.default_rng(1)
+    texts = {lang: ["".join(map(chr, rng.choice(np.arange(97, 123), 60_000, p=p))) for _ in range(5)]
+             for lang, p in (("aa", None), ("bb", np.arange(1, 27) / 351))}
+    aside = {r["id"]: r["aside"] for r in spark.range(200).selectExpr(
+        "id", "pmod(xxhash64(id), 1073741824) < 107374182 as aside").collect()}
+    counted_ids = iter(i for i, x in aside.items() if not x)
+    rows = [(next(counted_ids), t, lang) for lang, ts in texts.items() for t in ts]
+    other = (next(i for i, x in aside.items() if x), rows[0][1], "aa")
+    model = lid.fit(spark.createDataFrame([*rows, other], "doc_id long, text string, lang string"))
+    counted = [np.unique(lid.gram_keys(*lid.symbol_runs(*text_buffer(pa.array(ts)))), return_counts=True)
+               for ts in texts.values()]
+    want = lid.build(sorted(texts), [k for k, _ in counted], [n for _, n in counted])
+    assert sum(len(k) for k, _ in counted) > 400_000
+    for got, table in zip((*model.grams, *model.contexts), (*want.grams, *want.contexts), strict=True):
+        parts = [s.load() for s in got]
+        assert np.array_equal(np.concatenate([t.keys for t in parts]), table[0].table.keys)
+        assert np.allclose(np.concatenate([t.values for t in parts]), table[0].table.values, atol=1e-4)
+    assert (len(model.grams[-1]) > 3 and not model.grams[-1][0].resident) == (resident == 0)
+    docs = [(i, t[:3000] + "unseen words") for i, (_, t, _) in enumerate(rows)]
+    found = lid.identify(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()
+    h = lid.cross_entropies(want, *lid.symbol_runs(*text_buffer(pa.array([t for _, t in docs])))).min(1)
+    assert len(found) == len(docs)
+    assert all(r["entropy"] == pytest.approx(h[r["doc_id"]], rel=1e-4) for r in found)

@@ -4,14 +4,16 @@ Letters are folded to lower case and to 12-bit symbols (code points below 2048 a
 are, others hashed into the upper half), every run of other characters is one border
 symbol, and a 5-gram is one 60-bit integer. Spark counts the 5-grams of every training
 text, per language; lower orders follow from the distinct higher ones, as Kneser-Ney
-counts them. The most frequent grams relative to their language, ``MAX_GRAMS`` in all,
-make the model: per order one sorted array of grams, with the log-probability under
-each language beside each (already interpolated), and one of contexts with their
-back-off weights. That bounds what is broadcast by MAX_GRAMS * ORDER * (16 + 8 * languages)
-bytes, whatever the corpus.
-
-A text's cross-entropy per symbol under each language comes from binary searches in
-these arrays; the lowest wins, the alphabetically first of equals. ``rejected`` marks
+counts them, and discounts, context totals, back-off weights and probabilities from
+groupings and joins over all of them. The model keeps every gram: per order one sorted
+table of grams, with the log-probability under each language beside each (already
+interpolated), and one of contexts with their back-off weights. The tables grow with the
+corpus and are cut by key range into slices of at most ``SLICE_BYTES``, each a broadcast
+of its own: the driver holds one at a time, a worker ``RESIDENT_BYTES`` of them and one
+more, which it reads from its disk for every block of texts.
+
+A text's cross-entropy per symbol under each language comes from binary searches of a
+block's distinct grams in these tables; the lowest wins, the alphabetically first of equals. ``rejected`` marks
 texts whose cross-entropy exceeds what ``ACCEPTED`` of the language's texts reach;
 thresholds and the scale of ``score`` (the winner's posterior) are fitted on about
 ``CALIBRATION_TEXTS`` training rows set aside before counting.
@@ -24,36 +26,61 @@ rows. Only text, id and (to learn) language are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial, reduce
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import materialize, text_chunks
 
 ORDER, BITS = 5, 12
 SYMBOLS = 1 << BITS
-MAX_GRAMS = 400_000
+SLICE_BYTES = 32 << 20     # of one slice of the model
+RESIDENT_BYTES = 64 << 20  # of the slices a worker keeps in memory
 CALIBRATION_TEXTS = 4_000
 ACCEPTED = 0.995
 FLUSH = 1 << 20            # distinct grams a worker holds before it passes them on
 UNKNOWN = "und"
 
 
+class Table(NamedTuple):
+    keys: np.ndarray                 # sorted
+    values: np.ndarray               # (keys, languages)
+
+
+class Slice(NamedTuple):
+    """The part of a table from key ``first`` to ``last``."""
+    first: int
+    last: int
+    table: Table | Broadcast
+    resident: bool
+
+    def load(self) -> Table:
+        if isinstance(self.table, Table):
+            return self.table
+        path = getattr(self.table, "_path", None)      # none where Spark encrypts its files
+        return self.table.value if self.resident or path is None else self.table.load_from_path(path)
+
+
 class Model(NamedTuple):
     languages: list[str]
-    grams: list[np.ndarray]          # per order 1 .. ORDER: sorted grams
-    logs: list[np.ndarray]           # (grams, languages) log-probability
-    contexts: list[np.ndarray]       # per order: sorted contexts (order - 1 symbols)
-    backoff: list[np.ndarray]        # (contexts, languages) log weight of the lower order
+    grams: list[list[Slice]]         # per order 1 .. ORDER: log-probability of each gram
+    contexts: list[list[Slice]]      # per order: log weight of the lower order, by context (order - 1 symbols)
     unseen: np.ndarray               # log-probability of a symbol never seen
     limits: np.ndarray               # cross-entropy above which a text is rejected
     scale: float
 
+    def block_bytes(self) -> int:
+        """Bytes of text scored at once: more where slices are read again for each block."""
+        return 1 << 20 if all(s.resident for t in (*self.grams, *self.contexts) for s in t) else 1 << 22
+
 
 @lru_cache(maxsize=1)
 def symbols() -> np.ndarray:
@@ -186,36 +213,49 @@ def build(languages: list[str], keys: list[np.ndarray], counts: list[np.ndarray]
         logs.append(value)
         contexts.append(ctx)
         backoff.append(back)
-    return Model(languages, grams, [x.astype(np.float32) for x in logs], contexts,
-                 [x.astype(np.float32) for x in backoff], unseen.astype(np.float32),
-                 np.full(len(languages), np.inf), 1.0)
 
+    def whole(keys: np.ndarray, values: np.ndarray) -> list[Slice]:
+        return [Slice(int(keys[0]), int(keys[-1]), Table(keys, values.astype(np.float32)), True)]
 
-def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
+    return Model(languages, [whole(*x) for x in zip(grams, logs, strict=True)],
+                 [whole(*x) for x in zip(contexts, backoff, strict=True)], unseen.astype(np.float32),
+                 np.full(len(languages), np.inf), 1.0)
 
 
-def cross_entropies(model: Model, found: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(texts, languages): mean negative log-probability of a symbol; NaN for a text without symbols."""
-    keys = gram_keys(found, first)
-    at, there = _find(model.grams[-1], keys)
-    value = model.logs[-1][at]
-    rest = np.flatnonzero(~there)
-    value[rest] = 0
+def _find(slices: list[Slice], keys: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """(whether the table has each key, its values or zeros), for keys in any order."""
+    distinct, place = np.unique(keys, return_inverse=True)
+    there, values = np.zeros(len(distinct), bool), np.zeros((len(distinct), languages), np.float32)
+    for part in slices:
+        a, b = np.searchsorted(distinct, np.uint64(part.first)), np.searchsorted(distinct, np.uint64(part.last), "right")
+        if a < b:
+            table = part.load()
+            at = np.searchsorted(table.keys, distinct[a:b])
+            there[a:b] = table.keys[at] == distinct[a:b]
+            values[a:b][there[a:b]] = table.values[at[there[a:b]]]
+    return there[place], values[place]
+
+
+def _logs(model: Model, keys: np.ndarray) -> np.ndarray:
+    """(keys, languages): log-probability of each distinct ORDER-gram."""
+    value = np.zeros((len(keys), len(model.languages)), np.float32)
+    rest = np.arange(len(keys))
     for order in range(ORDER, 0, -1):
         if not len(rest):
             break
         key = keys[rest] & np.uint64((1 << BITS * order) - 1)
-        if order < ORDER:
-            at, there = _find(model.grams[order - 1], key)
-            value[rest[there]] += model.logs[order - 1][at[there]]
-            rest, key = rest[~there], key[~there]
-        if order == 1:
-            value[rest] += model.unseen
-        else:
-            at, there = _find(model.contexts[order - 1], key >> np.uint64(BITS))
-            value[rest[there]] += model.backoff[order - 1][at[there]]
+        there, found = _find(model.grams[order - 1], key, len(model.languages))
+        value[rest] += found
+        rest, key = rest[~there], key[~there]
+        value[rest] += (model.unseen if order == 1 else
+                        _find(model.contexts[order - 1], key >> np.uint64(BITS), len(model.languages))[1])
+    return value
+
+
+def cross_entropies(model: Model, found: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(texts, languages): mean negative log-probability of a symbol; NaN for a text without symbols."""
+    place, distinct = pd.factorize(gram_keys(found, first))
+    value = _logs(model, distinct)[place]
     n = np.diff(first)
     full = np.flatnonzero(n)
     out = np.full((len(n), len(model.languages)), np.nan)
@@ -243,19 +283,94 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = rows.dropna(subset=["text", "lang"])
     aside = int(min(0.1, CALIBRATION_TEXTS / max(1, rows.count())) * (1 << 30))
     counts = materialize(gram_counts(rows.where(F.col("draw") >= aside)), "grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    top = (counts.join(totals, "lang").orderBy(F.desc(F.col("n") / F.col("total")), "lang", "gram")
-           .limit(MAX_GRAMS).select("lang", "gram", "n")).toPandas()
-    if top.empty:
+    model = learned(counts)
+    return model if model is None else _calibrated(model, rows.where(F.col("draw") < aside))
+
+
+def _per_language(languages: list[str], value: Callable[[int], Column]) -> Column:
+    return F.array(*[value(i) for i in range(len(languages))])
+
+
+def learned(counts: DataFrame) -> Model | None:
+    """The model of every gram in ``counts`` (lang, gram, n), which is read several times."""
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if not languages:
         return None
-    groups = sorted(top.groupby("lang"), key=lambda x: x[0])
-    languages, keys, ns = [], [], []
-    for lang, part in groups:
-        part = part.sort_values("gram")
-        languages.append(lang)
-        keys.append(part["gram"].to_numpy(np.int64).view(np.uint64))
-        ns.append(part["n"].to_numpy(np.int64))
-    return _calibrated(build(languages, keys, ns), rows.where(F.col("draw") < aside))
+    each = partial(_per_language, languages)
+    n, below = F.col("n"), F.col("below")
+    tables = [materialize(counts.groupBy("gram").agg(each(
+        lambda i: F.sum(F.when(F.col("lang") == languages[i], n).otherwise(0))).alias("n")), "order")]
+    for order in range(ORDER - 1, 0, -1):
+        # A lower gram counts the distinct symbols before it.
+        lower = F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
+        tables.insert(0, materialize(tables[0].select(lower, "n").groupBy("gram").agg(each(
+            lambda i: F.sum((n[i] > 0).cast("long"))).alias("n")), "order"))
+    parts, lower, unseen = [], None, None
+    for order, table in enumerate(tables, 1):
+        few = table.agg(each(lambda i: F.sum((n[i] == 1).cast("long"))), each(lambda i: F.sum((n[i] == 2).cast("long"))))
+        cuts = [min(0.95, max(0.1, a / max(1, a + 2 * b))) for a, b in zip(*few.first(), strict=True)]
+        keyed = table.withColumn("context", F.shiftright("gram", BITS))
+        sums = keyed.groupBy("context").agg(each(lambda i: F.sum(n[i])).alias("total"),
+                                            each(lambda i: F.sum((n[i] > 0).cast("long"))).alias("types"))
+        total, weight = F.col("total"), F.col("weight")
+        # A language without the context leaves everything to the lower order.
+        contexts = materialize(sums.withColumn("weight", each(
+            lambda i: F.when(total[i] > 0, F.lit(cuts[i]) * F.col("types")[i] / total[i]).otherwise(1.0))), "contexts")
+        if lower is None:
+            unseen = np.log(np.array(contexts.first()["weight"]) / SYMBOLS)
+            joined = keyed.withColumn("below", F.array_repeat(F.lit(1.0 / SYMBOLS), len(languages)))
+        else:
+            suffix = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
+            joined = keyed.withColumn("suffix", suffix).join(
+                lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix")
+        lower = materialize(joined.join(contexts, "context").select("gram", each(
+            lambda i: F.when(n[i] > 0, (n[i] - cuts[i]) / total[i]).otherwise(0.0) + weight[i] * below[i]).alias("p")),
+            "probabilities")
+        for number, keys, value in ((order - 1, lower.select(F.col("gram").alias("key"), "p"), "p"),
+                                    (ORDER + order - 1, contexts.select(F.col("context").alias("key"), "weight"),
+                                     "weight")):
+            parts.append(keys.select(F.lit(number).alias("number"), "key",
+                                     F.transform(value, lambda x: F.log(x).cast("float")).alias("logs")))
+    slices = _slices(reduce(DataFrame.unionByName, parts), len(languages))
+    return Model(languages, slices[:ORDER], slices[ORDER:], unseen.astype(np.float32),
+                 np.full(len(languages), np.inf), 1.0)
+
+
+def _slices(rows: DataFrame, languages: int) -> list[list[Slice]]:
+    """The slices of each table in ``rows`` (number, key, logs), in key order."""
+    most = max(1, SLICE_BYTES // (8 + 4 * languages))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column("number").to_numpy()
+            keys = batch.column("key").to_numpy()
+            logs = batch.column("logs").flatten().to_numpy().reshape(-1, languages)
+            edges = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])) if len(keys) else []
+            for a, b in zip(edges, [*edges[1:], len(keys)], strict=True):
+                yield pa.RecordBatch.from_pydict({"number": pa.array([int(numbers[a])], pa.int32()),
+                                                  "keys": pa.array([keys[a:b].tobytes()], pa.binary()),
+                                                  "logs": pa.array([logs[a:b].tobytes()], pa.binary())})
+
+    context, out = rows.sparkSession.sparkContext, [[] for _ in range(2 * ORDER)]
+    room = RESIDENT_BYTES
+    packed = rows.orderBy("number", "key").mapInArrow(pack, "number int, keys binary, logs binary")
+    for number, group in groupby(packed.toLocalIterator(), key=lambda r: r["number"]):
+        keys, logs, more = np.zeros(0, np.uint64), np.zeros((0, languages), np.float32), True
+        while more:
+            held, parts = len(keys), [(keys, logs)]
+            while held < most and (more := (r := next(group, None)) is not None):
+                parts.append((np.frombuffer(r["keys"], np.uint64),
+                              np.frombuffer(r["logs"], np.float32).reshape(-1, languages)))
+                held += len(parts[-1][0])
+            keys, logs = (np.concatenate(x) for x in zip(*parts, strict=True))
+            while len(keys) >= most or (len(keys) and not more):
+                table = Table(keys[:most].copy(), logs[:most].copy())
+                size = table.keys.nbytes + table.values.nbytes
+                out[number].append(Slice(int(table.keys[0]), int(table.keys[-1]), context.broadcast(table),
+                                         size <= room))
+                room -= size if size <= room else 0
+                keys, logs = keys[most:], logs[most:]
+    return out
 
 
 def _calibrated(model: Model, rows: DataFrame) -> Model:
@@ -279,15 +394,13 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
 
 def entropies(rows: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` columns and ``entropies`` (per language; null for a text without letters) of every row."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
     sub = rows.select(*keep, F.col(text_col).alias("__text"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sub.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
         for batch in batches:
-            for a, b, data, at in text_chunks(batch.column("__text"), 1 << 20):
-                h = cross_entropies(own, *symbol_runs(data, at))
+            for a, b, data, at in text_chunks(batch.column("__text"), model.block_bytes()):
+                h = cross_entropies(model, *symbol_runs(data, at))
                 none = np.isnan(h[:, 0])
                 values = pa.array([None if x else row for x, row in zip(none, h.tolist(), strict=True)],
                                   pa.list_(pa.float64()))
