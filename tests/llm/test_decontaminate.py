@@ -101,3 +101,19 @@ def test_several_indexes_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(dec, "INDEX_WORDS", 500)
     assert len(list(dec.indexes(bench))) > 2
     assert {tuple(r)[:2] for r in dec.contaminated(docs, bench).collect()} == whole and whole
+
+
+@pytest.mark.parametrize("gap", [0, 200, 1000])
+def test_question_and_answer_apart_are_found(spark, gap):
+    def named(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    parts = [(named(f"q{i}x", 20) + ".", named(f"a{i}x", n) + ".") for i, n in enumerate((20, 20, 30, 3))]
+    bench = [(i, f"{q} {a}") for i, (q, a) in enumerate(parts)]
+    docs = [(i, f"{named('before', 70)} {q} {named('between', gap)} {a} {named('after', 70)}")
+            for i, (q, a) in enumerate(parts)] + [(9, f"{parts[0][0]} {named('between', 200)} {parts[1][1]}")]
+    bench_rows = spark.createDataFrame(bench, "item_id long, text string")
+    doc_rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in dec.contaminated(doc_rows, bench_rows).collect()}
+    assert got == leaks(docs, bench) == {(i, i) for i in range(4)}
+    assert [r["doc_id"] for r in dec.drop_contaminated(doc_rows, bench_rows).collect()] == [9]

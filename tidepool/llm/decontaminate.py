@@ -1,7 +1,8 @@
 """Benchmark decontamination: BM25 over test items, block-max WAND, overlap check.
 
-Index: each test item is cut into pieces of at most ``PIECE`` words; a term's weight in
-a piece is its BM25 contribution divided by the piece's score against itself, so one
+Index: the question (all sentences but the last) and the answer (the last one) of each
+test item are cut into pieces of their own, of at most ``PIECE`` words, so that either
+retrieves the item wherever the other stands; a term's weight in a piece is its BM25 contribution divided by the piece's score against itself, so one
 threshold serves long and short items. Pieces are numbered by that self-score, which
 puts similar weights side by side, and the numbers are cut into blocks; beside each
 term stands its largest weight in every block.
@@ -13,8 +14,9 @@ at once; in the others WAND advances the terms' postings from pivot to pivot and
 only pieces whose bound reaches the threshold. Everything at or above it is retrieved,
 there is no top-k.
 
-Check: of a retrieved item the question (all sentences but the last) and the answer (the
-last one) must each have ``OVERLAP`` of their 5-word shingles in the whole document.
+Check: of a retrieved item the question and the answer must each have ``OVERLAP`` of their
+5-word shingles in the whole document. An item is missed only if each of its pieces is
+itself torn apart, so that no passage holds ``THRESHOLD`` of any piece's weight.
 
 Test sets beyond ``INDEX_WORDS`` words are dealt by hash into several indexes, each of
 that bounded size, that go over the documents in turn (term statistics are then those of
@@ -94,11 +96,10 @@ class Index:
 
     def __init__(self, items: list[tuple[object, str]]):
         self.items = [(i, t) for i, t in items if len(words_of_text(t)) >= SHINGLE]
-        self.parts = [tuple(shingles(words_of_text(p)) for p in question_and_answer(t)) for _, t in self.items]
-        pieces = []
-        for number, (_, text) in enumerate(self.items):
-            words = words_of_text(text)
-            pieces += [(number, words[a:a + PIECE]) for a in range(0, len(words), PIECE)]
+        parts = [tuple(words_of_text(p) for p in question_and_answer(t)) for _, t in self.items]
+        self.parts = [tuple(shingles(words) for words in part) for part in parts]
+        pieces = [(number, words[a:a + PIECE]) for number, part in enumerate(parts) for words in part
+                  for a in range(0, len(words), PIECE)]
         counted = [np.unique(w, return_counts=True) for _, w in pieces]
         self.terms, df = np.unique(np.concatenate([t for t, _ in counted] + [np.zeros(0, np.uint64)]),
                                    return_counts=True)
