@@ -117,3 +117,21 @@ def test_question_and_answer_apart_are_found(spark, gap):
     got = {(r["doc_id"], r["item_id"]) for r in dec.contaminated(doc_rows, bench_rows).collect()}
     assert got == leaks(docs, bench) == {(i, i) for i in range(4)}
     assert [r["doc_id"] for r in dec.drop_contaminated(doc_rows, bench_rows).collect()] == [9]
+
+
+def test_block_maxima_of_a_long_text_are_summed_in_slices(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    rng = random.Random(3)
+    index = dec.Index([(i, " ".join(rng.choices([f"w{k}" for k in range(3000)], k=60))) for i in range(600)])
+    words = dec.words_of_text(" ".join(rng.choices([f"w{k}" for k in range(3000)], k=200_000)) + " " + index.items[7][1])
+    first = np.array([0, len(words)])
+    tracemalloc.start()
+    got = index.retrieve(words, first, 0.6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (0, 7) in got and peak < 120 << 20
+    for keys in (1, 1000, 1 << 40):
+        monkeypatch.setattr(dec, "SUM_KEYS", keys)
+        assert index.retrieve(words, first, 0.6) == got

@@ -55,6 +55,7 @@ THRESHOLD = 0.6            # of a piece's score against itself
 K1, B = 1.2, 0.75
 BLOCK, MOST_BLOCKS = 4, 128
 INDEX_WORDS = 64_000       # about 1,000 pieces; the block maxima take up to 32 MB
+SUM_KEYS = 1 << 16         # (passage, term) pairs whose block maxima are summed at once, up to 32 MB
 
 OTHERS = np.ones(256, bool)
 for _first, _last in (("0", "9"), ("A", "Z"), ("a", "z")):
@@ -176,15 +177,21 @@ class Index:
             return {}
         passage, term = key // size, key % size
         begins = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-        bound = np.add.reduceat(self.most[term], begins, axis=0)
         ends = np.append(begins[1:], len(key))
         out: dict[tuple[int, int], float] = {}
-        for group, block in zip(*np.nonzero(bound >= threshold - 1e-4), strict=True):
-            a, b = begins[group], ends[group]
-            for piece, score in self.wand(term[a:b].tolist(), int(block), threshold):
-                owner = int(np.searchsorted(number, passage[a], "right")) - 1
-                pair = (owner, int(self.item_of[piece]))
-                out[pair] = max(out.get(pair, 0.0), score)
+        first_group = 0
+        while first_group < len(begins):
+            start = begins[first_group]
+            last_group = max(first_group + 1, int(np.searchsorted(ends, start + SUM_KEYS, "right")))
+            bound = np.add.reduceat(self.most[term[start:ends[last_group - 1]]],
+                                    begins[first_group:last_group] - start, axis=0)
+            for group, block in zip(*np.nonzero(bound >= threshold - 1e-4), strict=True):
+                a, b = begins[first_group + group], ends[first_group + group]
+                for piece, score in self.wand(term[a:b].tolist(), int(block), threshold):
+                    owner = int(np.searchsorted(number, passage[a], "right")) - 1
+                    pair = (owner, int(self.item_of[piece]))
+                    out[pair] = max(out.get(pair, 0.0), score)
+            first_group = last_group
         return out
 
     def overlaps(self, item: int, words: np.ndarray, seen: dict[int, np.ndarray]) -> tuple[float, float]:
