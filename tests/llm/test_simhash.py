@@ -106,3 +106,16 @@ def test_query(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = sorted((str(r[0]), r[1], r[2]) for r in op10_simhash(spark, SF_SMALL).collect())
     assert got == expected([tuple(r) for r in docs])
+
+
+def test_probes_of_a_small_bucket_beside_a_large_one_are_dealt_into_blocks(spark):
+    from pyspark.sql import functions as F
+    values = [(i << 32,) for i in range(400)] + [(i << 32 | 1,) for i in range(5)]
+    distinct = materialize(spark.createDataFrame(values, "fp long"), "values")
+    table = simhash._buckets(distinct)
+    large = table.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 4 and bucket < 2")
+    pairs = simhash._block_pairs(simhash._probes(distinct), table, large, 32).collect()
+    assert max(max(len(p["sources"]), len(p["members"])) for p in pairs) < 100
+    met = {(a, b) for p in pairs for a in p["sources"] for b in p["members"]}
+    assert {(a, b) for (a,) in values for (b,) in values if b & 1} <= met
+    assert {(a, b) for (a,) in values for (b,) in values if not a & 1 and not b & 1} <= met

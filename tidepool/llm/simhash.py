@@ -164,22 +164,31 @@ def star_edges(sources: np.ndarray, members: np.ndarray, bits: int) -> tuple[np.
     return nodes[label[moved]], nodes[moved]
 
 
-def _block_edges(probes: DataFrame, table: DataFrame, large: DataFrame, bits: int, block: int) -> DataFrame:
-    """Edges from probes of large buckets: each pair of blocks is compared in one call."""
-    def blocks(rows: DataFrame, name: str) -> DataFrame:
+def _block_pairs(probes: DataFrame, table: DataFrame, large: DataFrame, block: int) -> DataFrame:
+    """(sources, members): every pair of blocks of a large bucket's probes and fingerprints, about ``block`` each."""
+    def blocks(rows: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
         spread = F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / block)).alias("at")
-        hits = rows.join(large, "bucket").select("bucket", spread, "fp")
+        hits = rows.join(sizes, "bucket").select("bucket", spread, "fp")
         return hits.groupBy("bucket", "at").agg(F.collect_list("fp").alias(name)).drop("at")
 
+    # Probes also come from up to 32 neighbour buckets, so they are counted by themselves.
+    probing = materialize(probes.join(large.select("bucket"), "bucket").groupBy("bucket")
+                          .agg(F.count(F.lit(1)).alias("n")), "large-probes")
+    return (blocks(probes, probing, "sources").join(blocks(table, large, "members"), "bucket")
+            .select("sources", "members"))
+
+
+def _block_edges(probes: DataFrame, table: DataFrame, large: DataFrame, bits: int, block: int) -> DataFrame:
+    """Edges from probes of large buckets: each pair of blocks is compared in one call."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for pair in zip(part["sources"], part["members"], strict=True):
                 a, b = star_edges(*(np.asarray(x, np.int64).view(np.uint64) for x in pair), bits)
                 yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    pairs = blocks(probes, "sources").join(blocks(table, "members"), "bucket")
+    pairs = _block_pairs(probes, table, large, block)
     n = int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("sources", "members").repartition(n).mapInPandas(run, "a long, b long")
+    return pairs.repartition(n).mapInPandas(run, "a long, b long")
 
 
 def links(distinct: DataFrame, bits: int = 3, bucket: int = BUCKET) -> DataFrame:
