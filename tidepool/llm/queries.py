@@ -15,6 +15,7 @@ from tidepool.llm import (
     exact_dedup,
     kd_shard,
     language_id,
+    mixing,
     simhash,
     substring_dedup,
     toxicity,
@@ -121,7 +122,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of weights 3, 1, 2 and 150 % of all words takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_bpe, op3_language_id, op4_kd_shards, op5_substring_dedup, op6_toxicity,
-                               op7_token_files, op8_exact_dedup, op9_decontaminate, op10_simhash)
+                               op7_token_files, op8_exact_dedup, op9_decontaminate, op10_simhash,
+                               op13_mixing)
 }
