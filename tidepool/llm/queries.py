@@ -16,6 +16,7 @@ from tidepool.llm import (
     kd_shard,
     language_id,
     mixing,
+    periodic_runs,
     simhash,
     substring_dedup,
     toxicity,
@@ -122,6 +123,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the texts repeats a stretch of its words up to its end.
+
+    With h = crc32 of the id, h % 10 = 0 and n words: words from a = (h / 10) % n on become
+    the p = 1 + (n - a) / (3 + (h / 10) % 8) words from a on, again and again (at most 10 times).
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = docs.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), F.when(chosen, words).alias("words"))
+    cut = cut.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    cut = cut.withColumn("p", period.cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.lit(10)))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), F.col("n") - F.col("a")))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, the longest one, and digests of all runs and of the collapsed text."""
+    found = periodic_runs.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")), shortest=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    found = found.withColumn("best", best)
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of weights 3, 1, 2 and 150 % of all words takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -130,5 +164,5 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_bpe, op3_language_id, op4_kd_shards, op5_substring_dedup, op6_toxicity,
                                op7_token_files, op8_exact_dedup, op9_decontaminate, op10_simhash,
-                               op13_mixing)
+                               op12_periodic_runs, op13_mixing)
 }
