@@ -1,0 +1,146 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_ORACLE
+from tidepool.llm import conversation_trie as ct
+from tidepool.llm.queries import op11_conversation_trie
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+ROW = "conv_id long, turn long, role string, text string, depth long, prefix string"
+
+
+def sequences(rows):
+    """{conv_id: [(role, text)]} in order of turns, a null turn first."""
+    out = {}
+    for conv, turn, role, text, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[1] is not None, r[1] or 0)):
+        out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+def rebuilt(convs):
+    out = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = convs.get(c - c % 5, [])[:h] + turns[h:]
+    return out
+
+
+def plain_trie(convs):
+    nodes = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            node = nodes.setdefault(tuple(turns[:d]), {"members": [], "ends": [], "children": set()})
+            node["members"].append(c)
+            if d == len(turns):
+                node["ends"].append(c)
+            else:
+                node["children"].add(tuple(turns[:d + 1]))
+    total = {}
+    for key in sorted(nodes, key=len, reverse=True):
+        node = nodes[key]
+        leaves = sum(total[k][0] for k in node["children"]) if node["children"] else 1
+        saved = sum(total[k][1] for k in node["children"])
+        saved += (len(node["members"]) - 1) * len(key[-1][1].encode()) if key else 0
+        total[key] = (leaves, saved)
+    return sorted((min(n["members"]), len(k), min(nodes[k[:-1]]["members"]) if k else None, len(n["members"]), len(n["children"]),
+                   *total[k], hashlib.sha256(",".join(map(str, sorted(n["ends"]))).encode()).hexdigest())
+                  for k, n in nodes.items())
+
+
+def got_rows(df):
+    if "parent_conv" in df.columns:
+        df = df.withColumnRenamed("parent_conv", "parent_conv_id")
+    return sorted(tuple(r) for r in df.select(COLUMNS).collect())
+
+
+def some_conversations(seed, convs=60, longest=30):
+    """Random conversations over few turns, so that prefixes are shared, and some longer chains."""
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(-40, 300), convs):
+        n = rng.choice([1, 2, 3, 5, rng.randint(0, longest)])
+        wide = rng.choice([1, 2, 3])
+        rows += [(c, t, rng.choice(["user", None]) if wide > 1 else "user", f"t{rng.randrange(wide)}é", 7, "x") for t in range(n)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed,bound", [(0, 1000), (1, 1), (2, 4), (3, 20)])
+def test_every_bound_gives_the_plain_trie(spark, seed, bound):
+    rows = some_conversations(seed)
+    got = ct.conversation_trie(spark.createDataFrame(rows, ROW), bound=bound)
+    assert got_rows(got) == plain_trie(sequences(rows))
+
+
+def test_one_long_conversation_over_many_ranges(spark):
+    """A third of all rows in one conversation, copies of it and branches off it, split down to parts of 40 nodes."""
+    long = [f"turn {i % 7} {i // 50}" for i in range(1500)]
+    rows = [(5, i, "user", t, 0, "") for i, t in enumerate(long)] + [(9, i, "user", t, 0, "") for i, t in enumerate(long)]
+    for c in range(20, 50):
+        rows += [(c, i, "user", t, 0, "") for i, t in enumerate([*long[:c * 20], "off", f"leaf {c % 3}"])]
+    got = ct.conversation_trie(spark.createDataFrame(rows, ROW).repartition(6), bound=400)
+    assert got_rows(got) == plain_trie(sequences(rows))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_in_memory_split_is_a_subtree_sum(seed):
+    rng = random.Random(seed)
+    for n in (1, 2, 3, 10, 200):
+        for chain in (True, False):
+            parents = [-1] + [i - 1 if chain else rng.randrange(i) for i in range(1, n)]
+            depths = [0] * n
+            for i in range(1, n):
+                depths[i] = depths[parents[i]] + 1
+            order = sorted(range(n), key=lambda i: depths[i])
+            place = {x: i for i, x in enumerate(order)}
+            up = [place[parents[x]] if parents[x] >= 0 else -1 for x in order]
+            values = [[rng.randrange(100) for _ in range(n)] for _ in range(2)]
+            want = [list(v) for v in values]
+            for i in range(n - 1, 0, -1):
+                for w in want:
+                    w[up[i]] += w[i]
+            assert ct.split_in_memory([depths[x] for x in order], up, values) == want
+
+
+def test_edges(spark):
+    rows = [(1, None, None, None, 0, ""), (1, 0, "", "", 0, ""), (2, 0, "user", "", 0, ""), (2, 0, "user", "", 0, ""),
+            (3, -1, "u", "ser", 0, ""), (4, 0, "us", "er", 0, ""), (None, 0, "user", "nobody", 0, ""), (6, 1, None, "é" * 5000, 0, ""),
+            (7, 9, None, "é" * 5000, 0, "")]
+    df = spark.createDataFrame(rows, ROW)
+    assert got_rows(ct.conversation_trie(df)) == plain_trie(sequences(rows))
+    assert got_rows(ct.conversation_trie(df.where("conv_id IS NULL"))) == []
+    assert got_rows(ct.conversation_trie(df.limit(0))) == []
+
+
+def test_query_is_what_brute_force_gives(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_ORACLE}/conversations.parquet").collect()]
+    assert got_rows(op11_conversation_trie(spark, SF_ORACLE)) == plain_trie(rebuilt(sequences(rows)))
+
+
+def test_query_rebuilds_absent_and_turnless_conversations(spark, scratch):
+    rows = [r for r in some_conversations(9, 80, 14)]
+    spark.createDataFrame(rows, ROW).write.parquet(f"{scratch}/conversations.parquet")
+    want = plain_trie(rebuilt_sql(sequences(rows)))
+    assert got_rows(op11_conversation_trie(spark, scratch)) == want
+    assert want[0][1] == 0 and any(r[1] == 0 and r[7] != hashlib.sha256(b"").hexdigest() for r in want)
+
+
+def rebuilt_sql(convs):
+    """As ``rebuilt``, with SQL's remainder of negative ids."""
+    out = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (abs(c) % 5) * (1 if c >= 0 else -1)
+        out[c] = convs.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def test_a_node_where_many_end_is_hashed_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ct, "PIECE", 7)
+    ends = spark.range(500).select(F.lit(0).cast("long").alias("owner"), (F.col("id") % 2).alias("depth"), F.col("id").alias("conv_id"))
+    got = {r["depth"]: r["ends_sha256"] for r in ct.ends_digests(ends.repartition(5)).collect()}
+    assert got == {d: hashlib.sha256(",".join(str(i) for i in range(d, 500, 2)).encode()).hexdigest() for d in (0, 1)}

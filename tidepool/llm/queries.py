@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import (
     bpe,
+    conversation_trie,
     dac,
     decontaminate,
     exact_dedup,
@@ -123,6 +124,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, whose first turns come from every fifth one."""
+    keys = conversation_trie.turn_keys(table(spark, sf_dir, "conversations"))
+    turns, members = conversation_trie.rebuilt(conversation_trie.in_order(keys))
+    return conversation_trie.trie(turns, members)
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text, where a tenth of the texts repeats a stretch of its words up to its end.
 
@@ -164,5 +172,5 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_bpe, op3_language_id, op4_kd_shards, op5_substring_dedup, op6_toxicity,
                                op7_token_files, op8_exact_dedup, op9_decontaminate, op10_simhash,
-                               op12_periodic_runs, op13_mixing)
+                               op11_conversation_trie, op12_periodic_runs, op13_mixing)
 }
