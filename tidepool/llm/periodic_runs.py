@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import join_words, mix64, text_chunks, word_hashes, words_of
+from tidepool.llm.common import join_words, text_chunks, word_hashes, words_of
 
 SHORTEST = 12      # words
 WINDOWS = 4        # windows of a block's length that are searched behind it
@@ -48,10 +48,9 @@ class Suffixes:
 
     def __init__(self, words: np.ndarray, text: np.ndarray):
         n = len(words)
-        key = mix64(words ^ mix64(text.astype(np.uint64) + np.uint64(1)))
-        self.array = np.argsort(key, kind="stable")
-        key = key[self.array]
-        fresh = np.append(True, key[1:] != key[:-1])[:n]
+        self.array = np.argsort(words, kind="stable")      # equal words stay in order of their texts
+        key, owner = words[self.array], text[self.array]
+        fresh = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))[:n]
         slots = np.arange(n)
         head = slots[fresh][np.cumsum(fresh) - 1]
         rank = np.empty(n + 1, np.int64)
