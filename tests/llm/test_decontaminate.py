@@ -28,7 +28,7 @@ def leaks(docs, items):
     out = set()
     for doc_id, text in docs:
         for item_id, item in items:
-            if item is not None and len(tokens(item)) >= 5:
+            if tokens(item):
                 question, answer = dec.question_and_answer(item)
                 if share(question, text) >= 0.8 and share(answer, text) >= 0.8:
                     out.add((doc_id, item_id))
@@ -86,8 +86,8 @@ def test_edges(spark, edge_docs, no_docs):
             (6, "too short"), (7, "It is the sky of course my friend")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r["doc_id"], r["item_id"]) for r in dec.contaminated(docs, bench).collect())
-    assert got == [(1, 1), (1, 1), (3, 5), (5, 6), (5, 6)]
-    assert sorted(r["doc_id"] for r in dec.drop_contaminated(docs, bench).collect()) == [2, 4, 6, 7]
+    assert got == [(1, 1), (1, 1), (3, 5), (5, 6), (5, 6), (6, 4)]
+    assert sorted(r["doc_id"] for r in dec.drop_contaminated(docs, bench).collect()) == [2, 4, 7]
     assert dec.contaminated(no_docs, bench).count() == 0
     assert dec.contaminated(edge_docs, bench.limit(0)).count() == 0
     kept = dec.drop_contaminated(edge_docs, bench)
@@ -97,10 +97,45 @@ def test_edges(spark, edge_docs, no_docs):
 def test_several_indexes_give_the_same(spark, monkeypatch):
     bench = spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet")
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").where("doc_id < 300")
-    whole = {tuple(r)[:2] for r in dec.contaminated(docs, bench).collect()}
+    whole = {tuple(r)[:2]: tuple(r)[2:] for r in dec.contaminated(docs, bench).collect()}
     monkeypatch.setattr(dec, "INDEX_WORDS", 500)
     assert len(list(dec.indexes(bench))) > 2
-    assert {tuple(r)[:2] for r in dec.contaminated(docs, bench).collect()} == whole and whole
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in dec.contaminated(docs, bench).collect()}
+    assert got.keys() == whole.keys() and whole
+    assert all(got[k] == pytest.approx(whole[k]) for k in whole)      # scores do not depend on the dealing
+
+
+def test_short_answers_retrieve_nothing_alone_and_torn_items_are_measured():
+    """Of items scattered over a text in stretches of ever fewer words, recall against brute force."""
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(30)]
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(30)) + ". " + " ".join(rng.choices(common, k=2)) + ".") for i in range(40)]
+    index = dec.Index(items)
+    text = " ".join(rng.choices(common, k=2000))
+    words = dec.words_of_text(text)
+    import numpy as np
+    assert index.retrieve(words, np.array([0, len(words)]), dec.THRESHOLD) == {}
+    recall = {}
+    for stretch in (30, 18, 12):
+        found = want = 0
+        for i, item in items:
+            w = item.split()
+            torn = " ".join(" ".join([*w[a:a + stretch], *rng.choices(common, k=200)]) for a in range(0, len(w), stretch))
+            if share(item.split(". ")[0], torn) >= 0.8 and share(item.split(". ")[1], torn) >= 0.8:
+                words = dec.words_of_text(torn)
+                want += 1
+                found += (0, i) in {h[:2] for h in index.hits(words, np.array([0, len(words)]))}
+        recall[stretch] = found / want if want else None
+    assert recall[30] == 1.0 and recall[18] in (None, 1.0)
+
+
+def test_items_under_five_words_match_as_they_are():
+    import numpy as np
+    index = dec.Index([(1, "too short"), (2, "Yes."), (3, "four words are here"), (4, " . ")])
+    for text, want in (("it is too short now", {0}), ("short too", set()), ("yes", {1}), ("four words here are", set()),
+                       ("now four words are here", {2})):
+        words = dec.words_of_text(text)
+        assert {h[1] for h in index.hits(words, np.array([0, len(words)]))} == want
 
 
 @pytest.mark.parametrize("gap", [0, 200, 1000])

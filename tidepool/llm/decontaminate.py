@@ -2,10 +2,12 @@
 
 Index: the question (all sentences but the last) and the answer (the last one) of each
 test item are cut into pieces of their own, of at most ``PIECE`` words, so that either
-retrieves the item wherever the other stands; a term's weight in a piece is its BM25 contribution divided by the piece's score against itself, so one
-threshold serves long and short items. Pieces are numbered by that self-score, which
-puts similar weights side by side, and the numbers are cut into blocks; beside each
-term stands its largest weight in every block.
+retrieves the item wherever the other stands; a part below ``SHINGLE`` words is not
+indexed beside a longer one, it would retrieve almost every text and is only verified.
+A term's weight in a piece is its BM25 contribution divided by the piece's score against
+itself, so one threshold serves long and short items. Pieces are numbered by that
+self-score, which puts similar weights side by side, and the numbers are cut into blocks;
+beside each term stands its largest weight in every block.
 
 Queries: every passage of every document, ``2 * STRIDE`` words at steps of ``STRIDE``,
 so that any ``STRIDE`` consecutive words lie in one passage. The sums of the block
@@ -15,17 +17,22 @@ only pieces whose bound reaches the threshold. Everything at or above it is retr
 there is no top-k.
 
 Check: of a retrieved item the question and the answer must each have ``OVERLAP`` of their
-5-word shingles in the whole document. An item is missed only if each of its pieces is
-itself torn apart, so that no passage holds ``THRESHOLD`` of any piece's weight.
+distinct shingles (``SHINGLE`` words, or all words of a shorter part) in the whole document.
+Shingles all of whose words the document has bound that share from above; only if both
+bounds hold are the document's own shingles hashed, once for each length. An item is
+missed only if each of its pieces is itself torn apart, so that no passage holds
+``THRESHOLD`` of any piece's weight.
 
 Test sets beyond ``INDEX_WORDS`` words are dealt by hash into several indexes, each of
-that bounded size, that go over the documents in turn (term statistics are then those of
-the index). Words are runs of letters and digits, A-Z folded.
-
-Defined cases: a null or empty text has no passages; an item of fewer than five words
-has no shingle and matches nothing; a one-sentence item is all question; an answer of
-fewer than five words must stand in the document as it is; repeated items each give
-their rows; repeated documents each give theirs; empty tables give no hits.
+that bounded size, that go over the documents in turn. Document frequencies and the mean
+length are counted by Spark over the whole test set, so a score does not depend on the
+dealing. Words are runs of letters and digits, A-Z folded.
+
+Defined cases: a null or empty text has no passages; an item without a word matches
+nothing; an item of fewer than five words must stand in the document as it is; a
+one-sentence item is all question; repeated items each give their rows, under a null
+item_id too; repeated documents and those without a doc_id each give theirs; empty tables give
+no hits; ``contaminated`` reads the id and the text only, ``drop_contaminated`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -33,6 +40,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +50,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import (
     LOWER_ASCII,
     WORD_BASE,
+    materialize,
     rolling,
     text_chunks,
     window_starts,
@@ -83,30 +92,63 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (text, "") if len(sentences) < 2 else (" ".join(sentences[:-1]), sentences[-1])
 
 
-def shingles(words: np.ndarray) -> tuple[int, np.ndarray]:
-    """(shingle length, distinct shingle hashes); fewer than SHINGLE words are one shingle."""
+def shingles(words: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """(shingle length, distinct shingle hashes, which of them starts at each word); fewer than SHINGLE words are one."""
     n = min(SHINGLE, len(words))
     if not n:
-        return 0, np.zeros(0, np.uint64)
-    at = np.arange(len(words) - n + 1)
-    return n, np.unique(rolling(words, at, at + n, WORD_BASE))
+        return 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return n, *np.unique(shingle_hashes(words, n), return_inverse=True)
+
+
+def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every ``n`` consecutive words."""
+    at = window_starts(np.array([0, len(words)]), n)
+    return rolling(words, at, at + n, WORD_BASE)
+
+
+class Statistics(NamedTuple):
+    """What the weights need to know of the whole test set."""
+
+    pieces: int
+    words: int
+    df: dict[int, int]         # pieces that hold a term
+
+
+def pieces_of(parts: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """What is indexed of an item's question and answer."""
+    longest = max(len(p) for p in parts)
+    return [p[a:a + PIECE] for p in parts if len(p) >= min(SHINGLE, longest) for a in range(0, len(p), PIECE)]
+
+
+def parts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of question and answer."""
+    question, answer = question_and_answer(text)
+    return words_of_text(question), words_of_text(answer)
+
+
+def statistics(texts: list[str]) -> Statistics:
+    """Counted from all texts of a test set that is at hand."""
+    pieces = [p for t in texts for p in pieces_of(parts_of(t))]
+    terms, df = np.unique(np.concatenate([np.unique(p) for p in pieces] + [np.zeros(0, np.uint64)]), return_counts=True)
+    return Statistics(len(pieces), sum(map(len, pieces)), dict(zip(terms.tolist(), df.tolist(), strict=True)))
 
 
 class Index:
     """Inverted index of test items with block maxima."""
 
-    def __init__(self, items: list[tuple[object, str]]):
-        self.items = [(i, t) for i, t in items if len(words_of_text(t)) >= SHINGLE]
-        parts = [tuple(words_of_text(p) for p in question_and_answer(t)) for _, t in self.items]
-        self.parts = [tuple(shingles(words) for words in part) for part in parts]
-        pieces = [(number, words[a:a + PIECE]) for number, part in enumerate(parts) for words in part
-                  for a in range(0, len(words), PIECE)]
+    def __init__(self, items: list[tuple[object, str]], known: Statistics | None = None):
+        self.items = [(i, t) for i, t in items if len(words_of_text(t))]
+        known = known or statistics([t for _, t in self.items])
+        parts = [parts_of(t) for _, t in self.items]
+        self.parts = [tuple((n, wanted, words, which) for words in part for n, wanted, which in (shingles(words),))
+                      for part in parts]
+        pieces = [(number, words) for number, part in enumerate(parts) for words in pieces_of(part)]
         counted = [np.unique(w, return_counts=True) for _, w in pieces]
-        self.terms, df = np.unique(np.concatenate([t for t, _ in counted] + [np.zeros(0, np.uint64)]),
-                                   return_counts=True)
+        self.terms = np.unique(np.concatenate([t for t, _ in counted] + [np.zeros(0, np.uint64)]))
+        df = np.array([known.df[t] for t in self.terms.tolist()], float)
         n = len(pieces)
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        mean = sum(len(w) for _, w in pieces) / max(1, n)
+        idf = np.log(1 + (known.pieces - df + 0.5) / (df + 0.5))
+        mean = known.words / max(1, known.pieces)
         scored = []
         for (number, words), (terms, tf) in zip(pieces, counted, strict=True):
             at = np.searchsorted(self.terms, terms)
@@ -194,38 +236,82 @@ class Index:
             first_group = last_group
         return out
 
-    def overlaps(self, item: int, words: np.ndarray, seen: dict[int, np.ndarray]) -> tuple[float, float]:
-        """Shares of the question's and the answer's shingles in a document (1.0 for no answer)."""
+    def overlaps(self, item: int, words: np.ndarray, terms: np.ndarray, seen: dict[int, np.ndarray],
+                 overlap: float) -> tuple[float, float]:
+        """Shares of the question's and the answer's shingles in a document (1.0 for no answer).
+
+        ``terms`` are the document's distinct words; (0.0, 0.0) if they already rule a part out.
+        """
+        for n, wanted, part, which in self.parts[item]:
+            if n:
+                there = terms[np.minimum(np.searchsorted(terms, part), len(terms) - 1)] == part
+                lacking = np.concatenate(([0], np.cumsum(~there)))
+                possible = np.bincount(which, lacking[n:] == lacking[:-n], len(wanted))
+                if np.count_nonzero(possible) < overlap * len(wanted):
+                    return 0.0, 0.0
         out = []
-        for n, wanted in self.parts[item]:
+        for n, wanted, *_ in sorted(self.parts[item], key=lambda p: -p[0]):
             if n and n not in seen:
-                at = window_starts(np.array([0, len(words)]), n)
-                seen[n] = np.unique(rolling(words, at, at + n, WORD_BASE))
+                seen[n] = np.unique(shingle_hashes(words, n))
             out.append(float(np.isin(wanted, seen[n]).mean()) if n else 1.0)
-        return out[0], out[1]
+            if out[-1] < overlap:
+                return 0.0, 0.0
+        return (out[0], out[1]) if self.parts[item][0][0] >= self.parts[item][1][0] else (out[1], out[0])
 
     def hits(self, words: np.ndarray, first: np.ndarray, threshold: float = THRESHOLD,
              overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
         """(text, item, score, question overlap, answer overlap) of verified items, in order."""
         out, seen, last = [], {}, -1
+        terms = np.zeros(0, np.uint64)
         for (text, item), score in sorted(self.retrieve(words, first, threshold).items()):
+            own = words[first[text]:first[text + 1]]
             if text != last:
-                seen, last = {}, text
-            question, answer = self.overlaps(item, words[first[text]:first[text + 1]], seen)
+                seen, last, terms = {}, text, np.unique(own)
+            question, answer = self.overlaps(item, own, terms, seen, overlap)
             if question >= overlap and answer >= overlap:
                 out.append((text, item, score, question, answer))
         return out
 
 
+def whole_statistics(items: DataFrame) -> tuple[int, int, DataFrame]:
+    """(pieces, words, rows of term and df) of all ``items`` (text), counted by Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                pieces = pieces_of(parts_of(text))
+                terms = np.concatenate([np.unique(p) for p in pieces] + [np.zeros(0, np.uint64)])
+                size = np.zeros(len(terms), np.int64)
+                first = np.cumsum([0] + [len(np.unique(p)) for p in pieces])[:-1]
+                size[first[first < len(terms)]] = [len(p) for p in pieces if len(p)]
+                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(size)], ["term", "piece_words"])
+
+    counted = materialize(items.select("text").mapInArrow(run, "term long, piece_words long")
+                          .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("piece_words").alias("words"),
+                                               F.count_if(F.col("piece_words") > 0).alias("pieces")), "test-terms")
+    total = counted.agg(F.sum("pieces"), F.sum("words")).first()
+    return total[0] or 0, total[1] or 0, counted.select("term", "df")
+
+
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
     """Indexes of bounded size that together hold the test set, one after the other."""
     rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).dropna(subset=["text"])
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // (4 * INDEX_WORDS)))
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    if parts > 1:
+        dealt = materialize(dealt, "test-items")
+        pieces, words, terms = whole_statistics(dealt)
     for part in range(parts):
         items = dealt.where(F.col("part") == part).select("item_id", "text").collect()
-        yield Index(sorted(((r["item_id"], r["text"]) for r in items), key=lambda x: (str(x[0]), x[1])))
+        items = sorted(((r["item_id"], r["text"]) for r in items), key=lambda x: (str(x[0]), x[1]))
+        if parts == 1:
+            yield Index(items)
+            continue
+        own = np.unique(np.concatenate([w for _, t in items for w in parts_of(t)] + [np.zeros(0, np.uint64)]))
+        asked = benchmark.sparkSession.createDataFrame([(t,) for t in own.view(np.int64).tolist()], "term long")
+        df = {r["term"] % (1 << 64): r["df"] for r in terms.join(asked, "term").collect()}
+        yield Index(items, Statistics(pieces, words, df))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
