@@ -119,3 +119,16 @@ def test_probes_of_a_small_bucket_beside_a_large_one_are_dealt_into_blocks(spark
     met = {(a, b) for p in pairs for a in p["sources"] for b in p["members"]}
     assert {(a, b) for (a,) in values for (b,) in values if b & 1} <= met
     assert {(a, b) for (a,) in values for (b,) in values if not a & 1 and not b & 1} <= met
+
+
+def test_one_row_stays_where_ids_are_null_or_equal(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    near = [base, base + " end", "start " + base]
+    assert len({fingerprint(t) for t in near}) > 1
+    rows = [(None, t, "nulls") for t in near] + [(7, t.replace("w", "v"), "equal") for t in near]
+    got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, group string"), bits=3).collect()
+    plain = {t: fingerprint(t) for _, t, _ in rows}
+    for group in ("nulls", "equal"):
+        fps = sorted({plain[t] for _, t, g in rows if g == group})
+        near_pairs = [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3]
+        assert len([r for r in got if r["group"] == group]) == len(set(components(fps, near_pairs).values()))

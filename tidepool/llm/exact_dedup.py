@@ -4,7 +4,12 @@ The index is a table bucketed and sorted by digest, one row per distinct
 normalised text. A batch is reduced to one row per digest (partial aggregation
 first, so a text that a third of all rows share costs one row a task), anti-joined
 with the index by sort-merge (the index side needs no shuffle, its buckets are the
-join's partitions) and what is new is appended.
+join's partitions) and what is new is appended. A first batch meets the empty table.
+
+Batches have names. A batch is joined with the rows of the other batches, so one that
+is run again, after a driver was lost before or after its append, gives the same
+answer and appends only what is missing. A missing name is refused, and so is a name
+under which the index holds other documents.
 
 Defined cases: a null text is an empty text; of equal texts the one with the most
 code points stays, then the smallest doc_id, a null doc_id last; of rows that agree
@@ -70,16 +75,31 @@ class DigestIndex:
                .bucketBy(self.buckets, "digest").sortBy("digest"))
         (out.option("path", path) if path else out).saveAsTable(name)
 
-    def new_of(self, batch: DataFrame) -> DataFrame:
-        """Rows of ``batch`` (one per digest) whose digest the index lacks."""
+    def create(self, groups: DataFrame) -> None:
+        """An empty table for rows like ``groups``, unless there is one."""
         if not self.exists():
-            return batch
-        return batch.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
-
-    def append(self, batch: DataFrame, batch_name: str) -> DataFrame:
-        """Append what is new in ``batch``; returns those rows."""
-        fresh = materialize(self.new_of(batch).withColumn("batch", F.lit(batch_name)), "new-digests")
-        self._write(fresh, self.name, self.path)
+            empty = groups.where(F.lit(False)).withColumn("batch", F.lit("")).withColumn("batch_check", F.lit(0).cast("long"))
+            self._write(empty, self.name, self.path)
+
+    def new_of(self, groups: DataFrame, batch_name: str) -> DataFrame:
+        """Rows of ``groups`` (one per digest) whose digest no other batch holds."""
+        others = self.read().where(F.col("batch") != batch_name).select("digest")
+        return groups.join(others.hint("merge"), "digest", "left_anti")
+
+    def append(self, groups: DataFrame, batch_name: str) -> DataFrame:
+        """Append what is new in ``groups`` and not yet there; returns all that is new in the batch."""
+        if not batch_name:
+            raise ValueError("a batch needs a name")
+        self.create(groups)
+        check = groups.agg(F.coalesce(F.bit_xor(F.xxhash64("digest", "group_size", "keep_id")), F.lit(0))).first()[0]
+        own = self.read().where(F.col("batch") == batch_name)
+        before = own.select("batch_check").first()
+        if before is not None and before[0] != check:
+            raise ValueError(f"batch name {batch_name!r} is taken by other documents")
+        fresh = materialize(self.new_of(groups, batch_name), "new-digests")
+        missing = fresh if before is None else fresh.join(own.select("digest").hint("merge"), "digest", "left_anti")
+        self._write(missing.withColumn("batch", F.lit(batch_name)).withColumn("batch_check", F.lit(check).cast("long")),
+                    self.name, self.path)
         return fresh
 
     def compact(self) -> None:
@@ -90,25 +110,18 @@ class DigestIndex:
         self._write(whole, self.name, self.path)
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex, batch_name: str = "0",
+def exact_dedup(docs: DataFrame, index: DigestIndex, batch_name: str,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deduplicate ``docs`` within themselves and against ``index``, then append.
 
-    One row per row of ``docs``: row_id, doc_id, digest, n_chars, keep_id (null if an
-    earlier batch holds the text), group_size (in this batch) and kept.
+    One row per row of ``docs``: row_id, doc_id, digest, n_chars, keep_id (null if another
+    batch holds the text), group_size (in this batch) and kept.
     """
     rows = digests(docs, id_col, text_col)
     groups = materialize(representatives(rows), "digest-groups")
     fresh = index.append(groups, batch_name)
-    first_batch = index.read().where(F.col("batch") != batch_name).isEmpty()
-    if first_batch:
-        found = answer_by_key(rows, index.read().drop("batch"), "digest", "group_size")
-        return found.withColumn("kept", F.col("row_id") == F.col("keep_row"))
-    marked = groups.join(fresh.select("digest", F.lit(True).alias("is_new")), "digest", "left")
-    is_new = F.coalesce(F.col("is_new"), F.lit(False))
-    marked = marked.select("digest", F.when(is_new, F.col("keep_id")).alias("keep_id"),
-                           F.when(is_new, F.col("keep_row")).alias("keep_row"), "group_size")
-    found = answer_by_key(rows, marked, "digest", "group_size")
+    marked = groups.select("digest", "group_size").join(fresh.select("digest", "keep_id", "keep_row"), "digest", "left")
+    found = answer_by_key(rows, materialize(marked, "digest-answers"), "digest", "group_size")
     return found.withColumn("kept", F.coalesce(F.col("row_id") == F.col("keep_row"), F.lit(False)))
 
 
@@ -118,7 +131,7 @@ def fresh_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
     return DigestIndex(spark, "digest_index_" + path.rpartition("-")[2], path, buckets)
 
 
-def drop_copies(docs: DataFrame, index: DigestIndex, batch_name: str = "0",
+def drop_copies(docs: DataFrame, index: DigestIndex, batch_name: str,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 

@@ -108,7 +108,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its equal texts, against an empty index."""
-    found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), exact_dedup.fresh_index(spark))
+    found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), exact_dedup.fresh_index(spark), "documents")
     return found.select("doc_id", "keep_id", "group_size", "kept",
                         F.lower(F.hex("digest")).alias("text_sha256"))
 

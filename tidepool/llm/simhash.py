@@ -253,7 +253,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """doc_id, text_key, fp and component_id (smallest doc_id reachable) of every row."""
+    """doc_id, text_key, fp, root (the component's smallest fingerprint) and component_id (smallest doc_id reachable)."""
     rows = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     sizes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")),
                         "distinct-fingerprints")
@@ -261,12 +261,17 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str
     placed = (sizes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    facts = materialize(placed.join(named, "root").select("fp", "component_id", "size"), "components")
+    facts = materialize(placed.join(named, "root").select("fp", "root", "component_id", "size"), "components")
     return answer_by_key(rows, facts, "fp", "size")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, one each, with all columns."""
+    """One row of each component, with all columns: the smallest doc_id's, a null one last.
+
+    Of rows with that id the one with the smallest text_key stays, of rows that agree in both one.
+    """
     groups = simhash_groups(docs, shingle, bits, id_col, text_col)
-    return keep_rows(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), id_col, text_col)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("kept")
+    kept = groups.groupBy("root").agg(first).select("kept.doc_id", "kept.text_key")
+    return keep_rows(docs, kept, id_col, text_col)
