@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of texts that are equal without white space."""
-    return exact_dedup.drop_copies(docs, exact_dedup.fresh_index(spark))
+    return exact_dedup.drop_copies(docs, exact_dedup.fresh_index(spark), "documents")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
