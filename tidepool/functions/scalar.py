@@ -113,12 +113,10 @@ def abbreviate_middle(c: Column | str, keep_start: int, keep_end: int,
     mark = middle_mark or ""
     c = _as_col(c)
     limit = keep_start + keep_end + len(mark.encode("utf-16-be")) // 2
-    shortened = F.concat(F.left(c, F.lit(keep_start)), F.lit(mark),
-                         F.right(c, F.lit(keep_end)))
-    units = F.encode(c, "UTF-16BE")
-    by_units = F.concat(_utf16_part(units, keep_start, True), F.lit(mark),
-                        _utf16_part(units, keep_end, False))
+    # So many code points hold at least so many units: only the ends are encoded.
+    start = _utf16_part(F.encode(F.left(c, F.lit(keep_start)), "UTF-16BE"), keep_start, True)
+    end = _utf16_part(F.encode(F.right(c, F.lit(keep_end)), "UTF-16BE"), keep_end, False)
+    short = (F.length(c) <= limit) & (utf16_length(c) <= limit)
     return (F.when(is_null_or_empty(c), F.lit(""))
-            .when(utf16_length(c) <= limit, c)
-            .when(utf16_length(c) == F.length(c), shortened)
-            .otherwise(by_units))
+            .when(short, c)
+            .otherwise(F.concat(start, F.lit(mark), end)))

@@ -51,7 +51,8 @@ def tags(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFr
                    F.when(user == NULL_TAG_SOURCE, row(F.concat(user, F.lit("-null")), none)),
                    F.when(F.col("doc_id") % EMOJI_PERIOD == 0,
                           row(user, F.concat("text", F.lit(EMOJI)))))
-    return docs.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
+    # A plain array: Spark would test the size of a compacted one below the exchange.
+    return docs.select(F.explode(rows).alias("r")).where("r IS NOT NULL").select("r.*")
 
 
 # The trade columns and the source columns each one needs.
@@ -111,14 +112,13 @@ def trade_json_variants(trade_rows: DataFrame) -> DataFrame:
     bad_price = F.to_json(F.struct("tickerSymbol", "tradeType", F.lit("n/a").alias("price"),
                                    "quantity", "id"), opts)
     case = F.col("l_partkey") % 10
-    text = (F.when(case == 0, F.left(v1, F.lit(25)))
-            .when(case == 1, as_v2).when(case == 2, numeric_id).when(case == 3, text_price)
-            .when(case == 4, frac_qty).when(case == 5, sparse).when(case == 6, extra)
-            .when(case == 7, bad_price))
-    plain = F.struct(F.lit(-1).cast("bigint").alias("shape"), v1.alias("json"))
-    odd = F.when(text.isNotNull(), F.struct(case.cast("bigint").alias("shape"), text.alias("json")))
-    return (t.withColumn("_rows", F.array_compact(F.array(plain, odd)))
-            .select("*", F.explode("_rows").alias("_row")).select(*t.columns, "_row.*"))
+    # The shapes are multiplied before any text is built, so each text is built once.
+    shape = F.explode(F.array(F.lit(-1).cast("bigint"), case.cast("bigint"))).alias("shape")
+    shaped = t.select("*", shape).where("shape < 8")
+    text = F.when(F.col("shape") == -1, v1).when(F.col("shape") == 0, F.left(v1, F.lit(25)))
+    for number, shape_text in enumerate((as_v2, numeric_id, text_price, frac_qty, sparse, extra, bad_price), 1):
+        text = text.when(F.col("shape") == number, shape_text)
+    return shaped.select(*t.columns, "shape", text.alias("json"))
 
 
 def trade_stream(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFrame:
