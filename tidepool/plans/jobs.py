@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.functions import records, text
 from tidepool.operators import aggregates as agg
+from tidepool.sinks.buckets import BucketTable, bucket_writer
 from tidepool.sinks.files import write_csv
 from tidepool.sinks.table import batch_writer
 from tidepool.sources.files import read_csv_strings, read_lines
@@ -186,6 +187,7 @@ def trade_table_stream_job(spark: SparkSession, fmt: str, path: str | None, chec
                            sink_format: str = "parquet",
                            sink_options: dict[str, str] | None = None,
                            snapshot_path: str | None = None, compact_every: int | None = None,
+                           buckets: int | None = None, bytes_per_second: float | None = None,
                            interval_seconds: float | None = 10, available_now: bool = False,
                            monitor: jobs.BatchMonitor | None = None) -> StreamingQuery:
     """Trades to a keyed table, batch by batch.
@@ -193,7 +195,9 @@ def trade_table_stream_job(spark: SparkSession, fmt: str, path: str | None, chec
     The last trade to arrive per key (``id`` by default) of each non-empty batch
     is written; the monitor logs rows, partitions, the running total and the
     greatest id. ``cap`` are the arguments of ``rate_cap_options``. Records that
-    are no trades go to ``<checkpoint>_rejects``.
+    are no trades go to ``<checkpoint>_rejects``. With ``buckets`` the table is a
+    ``sinks.buckets.BucketTable``, read without any reduction; ``bytes_per_second`` limits
+    what each of its write tasks passes on.
     """
     options = dict(options or {}) | (rate_cap_options(fmt, **cap) if cap else {})
     recs = _records(spark, fmt, path, options, checkpoint, start, schema, time_col=time_col)
@@ -204,9 +208,15 @@ def trade_table_stream_job(spark: SparkSession, fmt: str, path: str | None, chec
         # Added after the per-key reduction: only kept rows get a payload.
         def derive(rows: DataFrame) -> DataFrame:
             return rows.withColumn("data", records.payload("id", 1024))
-    writer = batch_writer(table_path, columns + ["arrived_at"], key_cols or ["id"],
-                          ["arrived_at", "arrival_seq"], fmt=sink_format, options=sink_options,
-                          derive=derive, snapshot_path=snapshot_path, compact_every=compact_every)
+    if bytes_per_second and not buckets:
+        raise ValueError("the write rate is limited for bucket tables; other stores have their own option")
+    if buckets:
+        writer = bucket_writer(BucketTable(spark, table_path, key_cols or ["id"], buckets), columns + ["arrived_at"],
+                               ["arrived_at", "arrival_seq"], derive=derive, rate=bytes_per_second)
+    else:
+        writer = batch_writer(table_path, columns + ["arrived_at"], key_cols or ["id"],
+                              ["arrived_at", "arrival_seq"], fmt=sink_format, options=sink_options,
+                              derive=derive, snapshot_path=snapshot_path, compact_every=compact_every)
     monitor = (monitor or jobs.BatchMonitor()).within(
         writer, prepare=jobs.accepted_trades(f"{checkpoint}_rejects"),
         extra=lambda rows: {"max_id": rows.agg(F.max(F.col("id").cast("string"))).first()[0]})
