@@ -320,16 +320,17 @@ def test_late_rows_are_reported(spark, scratch):
 def test_arrival_order_counts_every_chunk_of_a_hot_key(spark):
     """Frames of one key are counted in turn, in arrival order, without a gap between them."""
     import pandas as pd
-    from tidepool.streaming.state import RunningCountProcessor
-    p = RunningCountProcessor("k", "ts", "id", 300, in_arrival_order=True)
+    from tidepool.streaming.keyed import KeyState
+    from tidepool.streaming.state import RunningCount
+    count, state = RunningCount("id", 300), KeyState(None, None)
     us = [100, 300, 150, 560, 900]
     frames = [pd.DataFrame({"tp_epoch_us": [u * 1_000_000], "id": [i]}) for i, u in enumerate(us)]
-    n, last, counts, timeouts = 0, None, [], []
+    counts, timeouts = [], []
     for f in frames:
-        (closed, rows), n, last = p._advance("k", f, n, last)
+        closed, rows = count(("k",), f, state)
         counts += rows["n"].tolist()
         timeouts += closed["n"].tolist()
-    assert counts == [1, 2, 3, 4, 1] and timeouts == [4] and last == 900_000_000
+    assert counts == [1, 2, 3, 4, 1] and timeouts == [4] and state.get() == (1, 900_000_000)
 
 
 def test_empty_batches_are_skipped(spark, scratch):

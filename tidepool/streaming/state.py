@@ -12,93 +12,58 @@ the state store and restored from the checkpoint on restart.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import (
-    ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
 from pyspark.sql.types import (BooleanType, ByteType, IntegerType, LongType, ShortType,
-                               StringType, StructField, StructType, TimestampType)
-
-_STATE_SCHEMA = StructType([StructField("n", LongType(), True),
-                            StructField("last_us", LongType(), True)])
+                               StructField, StructType, TimestampType)
 
+from tidepool.streaming.keyed import KeyState, keyed_state
 
-def output_schema(key_col: str, tiebreak_col: str, tiebreak_type=None) -> StructType:
-    return StructType([
-        StructField(key_col, StringType(), True),
-        StructField("at", TimestampType(), True),
-        StructField(tiebreak_col, tiebreak_type or LongType(), True),
-        StructField("n", LongType(), True),
-        StructField("timed_out", BooleanType(), True),
-    ])
+if TYPE_CHECKING:
+    import pandas as pd
 
+STATE_SCHEMA = "n bigint, last_us bigint"
 
 _EPOCH_US = "tp_epoch_us"
 _NO_TIE = "tp_no_tie"
 
 
-class RunningCountProcessor(StatefulProcessor):
-    """The keyed state function, ``(key, new rows, state) -> output rows``.
+class RunningCount:
+    """The counting state function, an instance of ``keyed.keyed_state``.
 
-    Each call gets one key's rows of one micro-batch as pandas frames; gaps,
-    restarts and counts are computed with numpy (no per-row Python). In arrival
-    order each frame is handled in turn, so a hot key needs one frame of memory;
-    in time order the key's rows of the batch are sorted together, which the
-    source's intake cap bounds.
+    Each call gets one key's rows as a pandas frame; gaps, restarts and counts are computed
+    with numpy (no per-row Python). In arrival order each frame is handled in turn, so a hot
+    key needs one frame of memory; in time order the key's rows of the batch are sorted
+    together, which the source's intake cap bounds (``ranged`` has no such bound).
     """
 
-    def __init__(self, key_col: str, time_col: str, tiebreak_col: str, idle_seconds: float,
-                 integer_ties: bool = True, in_arrival_order: bool = False):
-        self.in_arrival_order = in_arrival_order
-        self.integer_ties = integer_ties
-        self.key_col = key_col
-        self.time_col = time_col
-        self.tiebreak_col = tiebreak_col
+    def __init__(self, tiebreak_col: str, idle_seconds: float, integer_ties: bool = True):
+        self.tiebreak_col, self.integer_ties = tiebreak_col, integer_ties
         self.idle_us = int(round(idle_seconds * 1_000_000))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("count", _STATE_SCHEMA)
-
-    def _deadline_ms(self, last_us: int) -> int:
-        # Fires once the watermark is strictly more than idle past the last row.
-        return (last_us + self.idle_us) // 1000 + 1
-
-    def _frame(self, key, at_us, tiebreak, n, timed_out, no_time=None):
+    def __call__(self, key: tuple, frame: pd.DataFrame | None, state: KeyState) -> Iterable[pd.DataFrame]:
+        if frame is None:
+            n, last = state.get()
+            return [self._frame([last + self.idle_us], [None], [n], [True])]
+        n, last = state.get() if state.exists else (0, None)
+        frames, n, last = self._advance(frame, n, last)
+        state.update(n, last)
+        state.expire_at(last + self.idle_us)      # once the clock is strictly more than idle past the last row
+        return frames
+
+    def _frame(self, at_us, tiebreak, n, timed_out, no_time=None):
         import pandas as pd
         at = pd.to_datetime(pd.Series(at_us, dtype="int64"), unit="us", utc=True)
         if no_time is not None and no_time.any():
             at = at.mask(pd.Series(no_time))
         ties = pd.Series(tiebreak, dtype="Int64" if self.integer_ties else object)
-        return pd.DataFrame({self.key_col: key, "at": at, self.tiebreak_col: ties,
-                             "n": pd.Series(n, dtype="int64"),
+        return pd.DataFrame({"at": at, self.tiebreak_col: ties, "n": pd.Series(n, dtype="int64"),
                              "timed_out": pd.Series(timed_out, dtype="bool")})
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        import pandas as pd
-        n0, last0 = self.state.get() if self.state.exists() else (0, None)
-        n, last, seen = n0, last0, False
-        if self.in_arrival_order:
-            parts = rows  # one Arrow chunk at a time, whatever the key's share of the batch
-        else:
-            whole = pd.concat(list(rows), ignore_index=True)
-            parts = [whole.sort_values([_EPOCH_US, self.tiebreak_col], kind="mergesort",
-                                       na_position="first")]
-        for part in parts:
-            if part.empty:
-                continue
-            seen = True
-            frames, n, last = self._advance(key[0], part, n, last)
-            yield from frames
-        if not seen:
-            return
-        self.state.update((n, last))
-        deadline = self._deadline_ms(last)
-        if last0 is not None and self._deadline_ms(last0) != deadline:
-            self.handle.deleteTimer(self._deadline_ms(last0))
-        self.handle.registerTimer(deadline)
-
-    def _advance(self, k, part, n0: int, last0: int | None):
+    def _advance(self, part, n0: int, last0: int | None):
         """Count one frame of rows in their order; returns (output frames, count, last time).
 
         The last time never moves back: a row older than it counts on, without a gap.
@@ -122,29 +87,16 @@ class RunningCountProcessor(StatefulProcessor):
         # A timeout row for the segment each restart closes.
         at_break = np.flatnonzero(restart)
         closed_n = np.where(at_break > 0, n[at_break - 1], n0)
-        frames = [self._frame(k, prev[at_break] + self.idle_us, [None] * len(at_break), closed_n,
+        frames = [self._frame(prev[at_break] + self.idle_us, [None] * len(at_break), closed_n,
                               [True] * len(at_break)),
-                  self._frame(k, at, ids, n, [False] * len(at), no_time)]
+                  self._frame(at, ids, n, [False] * len(at), no_time)]
         return frames, int(n[-1]), int(latest[-1])
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo):
-        if not self.state.exists():
-            return
-        n, last = self.state.get()
-        if self._deadline_ms(last) != expiredTimerInfo.getExpiryTimeInMs():
-            return  # refreshed since this timer was set
-        self.state.clear()
-        yield self._frame(key[0], [last + self.idle_us], [None], [n], [True])
-
-    def close(self) -> None:
-        pass
-
 
 def running_count_stream(events: DataFrame, key_col: str, time_col: str,
                          tiebreak_col: str | None = None,
                          idle_seconds: float = 300.0, watermark_delay: str = "0 seconds",
-                         time_mode: str = "EventTime") -> DataFrame:
+                         time_mode: str = "EventTime", initial_state: DataFrame | None = None) -> DataFrame:
     """T1 + T2 on a stream: ``key, at, <tiebreak>, n, timed_out`` in append mode.
 
     ``time_mode="ProcessingTime"`` is the reference's clock: ``time_col``
@@ -159,11 +111,12 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str,
     earlier batch has overtaken are counted in arrival order and never move
     the key's last time back. Without ``tiebreak_col`` (text lines have none)
     rows of one time are in arrival order and the output has no such column.
-    A TIMESTAMP_NTZ input is read in the session time zone.
+    A TIMESTAMP_NTZ input is read in the session time zone. The key column keeps its type;
+    ``initial_state`` (key, n, last_us) is what a new query counts on from.
     """
     if tiebreak_col is None:
         out = running_count_stream(events.withColumn(_NO_TIE, F.lit(0).cast("bigint")), key_col,
-                                   time_col, _NO_TIE, idle_seconds, watermark_delay, time_mode)
+                                   time_col, _NO_TIE, idle_seconds, watermark_delay, time_mode, initial_state)
         return out.drop(_NO_TIE)
     ts = F.col(time_col).cast("timestamp")
     tie_type = events.schema[tiebreak_col].dataType
@@ -171,12 +124,11 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str,
     tie = F.col(tiebreak_col).cast("bigint") if integer_ties else F.col(tiebreak_col)
     if time_mode not in ("EventTime", "ProcessingTime"):
         raise ValueError("time_mode is 'EventTime' or 'ProcessingTime'")
-    rows = events.select(F.col(key_col).cast("string").alias(key_col), ts.alias(time_col),
-                         F.unix_micros(ts).alias(_EPOCH_US), tie.alias(tiebreak_col))
-    if time_mode == "EventTime":
-        rows = rows.withWatermark(time_col, watermark_delay)
-    processor = RunningCountProcessor(key_col, time_col, tiebreak_col, idle_seconds,
-                                      integer_ties, time_mode == "ProcessingTime")
-    schema = output_schema(key_col, tiebreak_col, LongType() if integer_ties else tie_type)
-    return rows.groupBy(key_col).transformWithStateInPandas(
-        processor, schema, "Append", time_mode)
+    rows = events.select(key_col, ts.alias(time_col), F.unix_micros(ts).alias(_EPOCH_US), tie.alias(tiebreak_col))
+    in_time_order = time_mode == "EventTime"
+    output = StructType([StructField("at", TimestampType(), True),
+                         StructField(tiebreak_col, LongType() if integer_ties else tie_type, True),
+                         StructField("n", LongType(), True), StructField("timed_out", BooleanType(), True)])
+    return keyed_state(rows, key_col, RunningCount(tiebreak_col, idle_seconds, integer_ties), STATE_SCHEMA, output,
+                       time_mode=time_mode, time_col=time_col, watermark_delay=watermark_delay if in_time_order else None,
+                       order_cols=[_EPOCH_US, tiebreak_col] if in_time_order else None, initial_state=initial_state)
