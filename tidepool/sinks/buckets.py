@@ -99,11 +99,12 @@ class BucketTable:
         return rows if rows is not None else self.spark.createDataFrame([], schema)
 
     def upsert(self, batch: DataFrame, batch_id: int, order_cols: list[str] | None = None,
-               deletes: DataFrame | None = None, rate: float | None = None) -> bool:
+               deletes: DataFrame | None = None, rate: float | None = None, extra: dict | None = None) -> bool:
         """Put the rows of ``batch`` in place of those with equal keys; False for a batch already applied.
 
         Of rows with equal keys the last by ``order_cols`` stays (without them any one).
-        ``deletes`` holds keys whose rows go; a key in both is put. ``rate`` limits each task's bytes a second.
+        ``deletes`` holds keys whose rows go; a key in both is put. ``rate`` limits each task's bytes a second;
+        ``extra`` is kept in the manifest.
         """
         before = self.manifest()
         if before is not None and before["batch_id"] >= batch_id:
@@ -136,7 +137,7 @@ class BucketTable:
                 for b in touched:
                     folders.pop(str(b), None)
                 folders |= {str(b): folder for b in written}
-            self.folder.put(f"manifest/{batch_id:012d}.json", json.dumps({
+            self.folder.put(f"manifest/{batch_id:012d}.json", json.dumps((extra or {}) | {
                 "batch_id": batch_id, "schema": schema.jsonValue(), "buckets": buckets, "key_cols": self.key_cols,
                 "folders": folders}))
         finally:
