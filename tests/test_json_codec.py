@@ -1,0 +1,105 @@
+"""JSON of any record type: coercions, nesting, strict and tolerant, against plain expectations."""
+
+import datetime as dt
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.functions import json_codec, records
+
+SCHEMA = ("name string, n bigint NOT NULL, m int, x double NOT NULL, ok boolean NOT NULL, maybe boolean, day date, "
+          "raw binary, price decimal(10,2), inner struct<a: int NOT NULL, list: array<struct<b: bigint NOT NULL, c: string>>>, "
+          "more map<string, array<double>>")
+
+
+def parsed(spark, texts, schema=SCHEMA, strict=False):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    out = json_codec.parse_json(df, "t", schema, "r", strict).select("i", "r")
+    return [r["r"] for r in sorted(out.collect(), key=lambda r: r["i"])]
+
+
+DEFAULTS = {"name": None, "n": 0, "m": None, "x": 0.0, "ok": False, "maybe": None, "day": None, "raw": None, "price": None,
+            "inner": None, "more": None}
+
+
+def plain(row):
+    return row.asDict(recursive=True) if row is not None else None
+
+
+@pytest.mark.parametrize("text,want", [
+    ("{}", {}), ('{"unknown": {"deep": [1]}}', {}), ('{"n": null, "x": null, "ok": null}', {}),
+    ('{"name": 123, "n": "7", "m": 12.9, "x": "1e3"}', {"name": "123", "n": 7, "m": 12, "x": 1000.0}),
+    ('{"name": true, "ok": "TRUE", "maybe": 0}', {"name": "true", "ok": True, "maybe": False}),
+    ('{"ok": 2, "maybe": false}', {"ok": True, "maybe": False}),
+    ('{"n": 9007199254740993}', {"n": 9007199254740993}),
+    ('{"day": "2024-02-29", "raw": "aGk=", "price": 3.456}',
+     {"day": dt.date(2024, 2, 29), "raw": bytearray(b"hi"), "price": __import__("decimal").Decimal("3.46")}),
+    ('{"inner": {}}', {"inner": {"a": 0, "list": None}}),
+    ('{"inner": {"a": "4", "list": [{"b": 1.5, "c": 9}, {}, null]}}',
+     {"inner": {"a": 4, "list": [{"b": 1, "c": "9"}, {"b": 0, "c": None}, None]}}),
+    ('{"more": {"p": ["1", 2, null], "q": [], "r": null}}', {"more": {"p": [1.0, 2.0, None], "q": [], "r": None}}),
+])
+def test_coercions(spark, text, want):
+    assert [plain(r) for r in parsed(spark, [text])] == [DEFAULTS | want]
+    assert [plain(r) for r in parsed(spark, [text], strict=True)] == [DEFAULTS | want]
+
+
+BAD = ['{"n": 1', "", "[]", "17", '{"n": "many"}', '{"ok": "perhaps"}', '{"day": "soon"}', '{"inner": {"list": [{"b": "x"}]}}',
+       '{"more": {"p": ["x"]}}', '{"inner": [1]}', '{"more": 3}', '{"raw": "**"}']
+
+
+def test_tolerant_makes_the_record_null(spark):
+    assert parsed(spark, [*BAD, None]) == [None] * (len(BAD) + 1)
+
+
+@pytest.mark.parametrize("text", BAD)
+def test_strict_fails_the_task(spark, text):
+    with pytest.raises(Exception, match="not a record of the schema|MALFORMED_RECORD"):
+        parsed(spark, [text], strict=True)
+
+
+def test_null_text_is_null_also_strictly(spark):
+    assert parsed(spark, [None], strict=True) == [None]
+
+
+def test_refused_schemas(spark):
+    df = spark.createDataFrame([("{}",)], "t string")
+    with pytest.raises(ValueError, match="string keys"):
+        json_codec.parse_json(df, "t", "m map<int, int>")
+    with pytest.raises(ValueError, match="own field"):
+        json_codec.parse_json(df, "t", "_corrupt_record string")
+    with pytest.raises(ValueError, match="no JSON form"):
+        json_codec.parse_json(df, "t", "i interval day to second")
+
+
+def test_text_of_any_value(spark):
+    df = spark.range(1).select(F.lit("a\"b").alias("s"), F.lit(None).cast("int").alias("none"), F.lit(1.5).alias("x"),
+                               F.array(F.lit(1), F.lit(None)).alias("list"), F.struct(F.lit(None).cast("int").alias("a")).alias("st"),
+                               F.create_map(F.lit("k"), F.lit(None).cast("int")).alias("mp"), F.lit(True).alias("ok"))
+    got = df.select(*(json_codec.to_json_text(c).alias(c) for c in df.columns)).first().asDict()
+    assert {k: json.loads(v) for k, v in got.items()} == {"s": 'a"b', "none": None, "x": 1.5, "list": [1, None], "st": {"a": None},
+                                                           "mp": {"k": None}, "ok": True}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_what_is_written_is_read_again(spark, seed):
+    rng = random.Random(seed)
+    schema = "s string, n bigint, f double, list array<struct<a: string, b: array<int>>>, m map<string, struct<z: boolean>>"
+
+    def some():
+        return (rng.choice([None, "", "ü\n\"", "x"]), rng.choice([None, -2**62, 7]), rng.choice([None, 0.1, 1e300]),
+                rng.choice([None, [], [(None, [1, None]), ("q", None), None]]), rng.choice([None, {}, {"k": (True,), "l": None}]))
+
+    df = spark.createDataFrame([some() for _ in range(40)], schema).withColumn("whole", F.struct("*"))
+    out = json_codec.parse_json(df, json_codec.to_json_text("whole"), schema, "again")
+    assert out.where(~F.to_json("whole").eqNullSafe(F.to_json("again"))).count() == 0
+
+
+def test_the_trade_layouts_are_an_instance(spark):
+    texts = ['{"tickerSymbol":"A","price":"20.5","quantity":12.7,"id":123}', '{"price":"x"}', "{", '{"symbol":"B"}']
+    schema = "tickerSymbol string, tradeType string, price double NOT NULL, quantity bigint NOT NULL, id string"
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    own = [r["trade"] for r in records.parse_trades(df, "t", strict=False).collect()]
+    assert [plain(r) for r in parsed(spark, texts, schema)] == [plain(r) for r in own]

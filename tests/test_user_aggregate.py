@@ -1,0 +1,67 @@
+"""A user's aggregate: one partial state a task, bounded memory, nulls in keys, any merge order."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.operators import user_aggregate as ua
+
+
+def make_spread():
+    # Made inside a function, so that workers get it by value.
+    class Spread:
+        """Count, least and greatest value, and how many partial states were merged."""
+
+        def zero(self):
+            return 0, None, None, 1
+
+        def add(self, state, rows):
+            n, low, high, parts = state
+            v = rows["v"].dropna()
+            low = min([x for x in (low, v.min() if len(v) else None) if x is not None], default=None)
+            high = max([x for x in (high, v.max() if len(v) else None) if x is not None], default=None)
+            return n + len(rows), None if low is None else float(low), None if high is None else float(high), parts
+
+        def merge(self, a, b):
+            low = min([x for x in (a[1], b[1]) if x is not None], default=None)
+            high = max([x for x in (a[2], b[2]) if x is not None], default=None)
+            return a[0] + b[0], low, high, a[3] + b[3]
+
+        def finish(self, state):
+            return (*state[:3], state[3])
+
+    return Spread()
+
+
+SCHEMA = "n bigint, low double, high double, parts bigint"
+
+
+def test_a_hot_key_sends_one_state_a_task(spark):
+    rows = spark.range(0, 40_000, 1, 5).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
+        F.col("id").cast("double").alias("v"))
+    got = ua.aggregate(rows, "k", ["v"], make_spread(), SCHEMA, SCHEMA)
+    want = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    assert got.select("k", "n", "low", "high").exceptAll(want).count() == 0 and got.count() == want.count()
+    assert max(r["parts"] for r in got.collect()) <= 5
+
+
+@pytest.mark.parametrize("held", [1, 2, 1000])
+def test_any_bound_of_held_keys_gives_the_same(spark, held):
+    rows = spark.createDataFrame([(i % 4 if i % 5 else None, None if i % 7 == 0 else "a", float(i) if i % 3 else None)
+                                  for i in range(200)], "k int, s string, v double")
+    got = ua.aggregate(rows, ["k", "s"], ["v"], make_spread(), SCHEMA, SCHEMA, held_keys=held)
+    want = rows.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    assert [f.dataType for f in got.schema][:2] == [f.dataType for f in rows.schema][:2]
+    assert got.drop("parts").exceptAll(want).count() == 0 and want.exceptAll(got.drop("parts")).count() == 0
+
+
+def test_empty_table(spark):
+    rows = spark.createDataFrame([], "k string, v double")
+    got = ua.aggregate(rows, "k", ["v"], make_spread(), SCHEMA, SCHEMA)
+    assert got.columns == ["k", "n", "low", "high", "parts"] and got.count() == 0
+
+
+def test_the_plan_has_one_shuffle(spark):
+    rows = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
+    plan = ua.aggregate(rows, "k", ["v"], make_spread(), SCHEMA, SCHEMA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -121,6 +121,25 @@ def trade_json_variants(trade_rows: DataFrame) -> DataFrame:
     return shaped.select(*t.columns, "shape", text.alias("json"))
 
 
+# A record with every kind of nesting; NOT NULL marks JVM primitives.
+ORDER_RECORD = """id STRING, part STRUCT<key: BIGINT NOT NULL, supplier: BIGINT NOT NULL>,
+    amounts MAP<STRING, DOUBLE>, marks ARRAY<STRING>, open BOOLEAN NOT NULL, shipped TIMESTAMP_NTZ,
+    lines ARRAY<STRUCT<no: INT NOT NULL, tax: DOUBLE NOT NULL, note: STRING>>"""
+
+
+def order_records(spark: SparkSession, base_dir: str) -> DataFrame:
+    """``lineitem`` rows as nested records of ``ORDER_RECORD`` (column ``record``)."""
+    li = read_table(spark, base_dir, "lineitem", spread_out=True)
+    key = F.struct(F.col("l_partkey").alias("key"), F.col("l_suppkey").alias("supplier"))
+    amounts = F.create_map(F.lit("price"), F.col("l_extendedprice"), F.lit("discount"), F.col("l_discount"))
+    line = F.struct(F.col("l_linenumber").alias("no"), F.col("l_tax").alias("tax"), F.lit(None).cast("string").alias("note"))
+    return li.select(F.struct(
+        F.concat_ws("-", *(F.col(c).cast("string") for c in _TRADE_ID)).alias("id"), key.alias("part"),
+        amounts.alias("amounts"), F.array("l_returnflag", "l_linestatus").alias("marks"),
+        (F.col("l_linestatus") == "O").alias("open"), F.col("l_shipdate").alias("shipped"),
+        F.array(line).alias("lines")).alias("record"))
+
+
 def trade_stream(spark: SparkSession, base_dir: str, spread_out: bool = False) -> DataFrame:
     """The trade stream (v2 layout) from ``events``: id = event_id as text.
 

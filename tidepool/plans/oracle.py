@@ -160,6 +160,38 @@ SELECT doc_id, CAST(copy AS INT) AS copy,
             WHEN length(source) <= 4 THEN source
             ELSE left(source, 1) || '*.*' END AS short_source
 FROM s
+""",
+    "tag_statistics": r"""
+WITH t AS (
+    SELECT lang AS movie, source AS "user", text AS tag FROM documents
+    UNION ALL SELECT lang, source || '-null', NULL FROM documents WHERE source = 'src0'
+    UNION ALL SELECT lang, source, text || '😀' FROM documents WHERE doc_id % 7 = 0
+),
+s AS (SELECT movie, "user", length(tag) + length(regexp_replace(tag, '[^\x{10000}-\x{10FFFF}]', '', 'g')) AS size FROM t)
+SELECT movie, "user", count(size) AS n_tags, CAST(coalesce(sum(size), 0) AS BIGINT) AS total, max(size) AS longest
+FROM s GROUP BY movie, "user"
+""",
+    "nested_json_roundtrip": """
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_partkey AS key, l_suppkey AS supplier,
+       l_extendedprice AS price, l_discount AS discount, l_returnflag || l_linestatus AS marks, l_linestatus = 'O' AS open,
+       l_shipdate AS shipped, l_linenumber AS line_no, l_tax AS tax, true AS no_note
+FROM lineitem
+""",
+    "event_props_typed": """
+WITH d AS (
+    SELECT event_id, unnest([0, 1]) AS copy,
+           unnest([props, ['{}', '{"k":null}', '{"k":[]}', '{"k":""}', '{"k":{}}', '{"k":"[]"}',
+                           '{"k":[null]}', '{"k":0}', '{"k":', 'k=1'][1 + event_id % 10]]) AS raw
+    FROM events
+),
+v AS (SELECT event_id, copy, CASE WHEN json_valid(raw) THEN raw END AS doc FROM d),
+k AS (
+    SELECT event_id, copy, doc IS NOT NULL AND (json_type(doc, '$.k') IS NULL OR json_type(doc, '$.k') = 'NULL'
+               OR TRY_CAST(json_extract_string(doc, '$.k') AS BIGINT) IS NOT NULL) AS parsed,
+           TRY_CAST(json_extract_string(doc, '$.k') AS BIGINT) AS k
+    FROM v
+)
+SELECT event_id, CAST(copy AS INT) AS copy, parsed, CASE WHEN parsed THEN coalesce(k, 0) END AS k FROM k
 """,
     "json_elem_empty": """
 WITH d AS (

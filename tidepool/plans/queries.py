@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions import records, scalar, text
+from tidepool.functions import json_codec, records, scalar, text
 from tidepool.operators import aggregates as agg
-from tidepool.operators import latest, state
+from tidepool.operators import latest, state, user_aggregate
 from tidepool.plans import fixtures
 from tidepool.sources.files import read_table
 
@@ -236,6 +236,31 @@ def trade_payload(spark: SparkSession, d: str) -> DataFrame:
     return t.select("id", records.payload("id", 1024).alias("data"))
 
 
+def nested_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Nested records -> JSON text -> strict parse by schema -> fields."""
+    written = fixtures.order_records(spark, d).select(json_codec.to_json_text("record").alias("json"))
+    r = json_codec.parse_json(written, "json", fixtures.ORDER_RECORD, "r").select("r.*")
+    return r.select("id", "part.key", "part.supplier", F.col("amounts")["price"].alias("price"),
+                    F.col("amounts")["discount"].alias("discount"), F.array_join("marks", "").alias("marks"), "open", "shipped",
+                    F.col("lines")[0]["no"].alias("line_no"), F.col("lines")[0]["tax"].alias("tax"),
+                    F.col("lines")[0]["note"].isNull().alias("no_note"))
+
+
+def event_props_typed(spark: SparkSession, d: str) -> DataFrame:
+    """Event properties in every shape, read tolerantly as a whole-number field ``k``."""
+    docs = fixtures.json_elements(spark, d)
+    parsed = json_codec.parse_json(docs, "doc", "k BIGINT NOT NULL, more MAP<STRING, STRING>", "r", strict=False)
+    return parsed.select("event_id", "copy", F.col("r").isNotNull().alias("parsed"), F.col("r.k").alias("k"))
+
+
+def tag_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Number, total and greatest UTF-16 length of the tags of each (movie, user), by a user's aggregate."""
+    tags = fixtures.tags(spark, d, spread_out=True)
+    out = user_aggregate.aggregate(tags, ["movieId", "userId"], ["tag"], user_aggregate.TagStatistics("tag"),
+                                   user_aggregate.TagStatistics.STATE, user_aggregate.TagStatistics.STATE)
+    return out.withColumnRenamed("movieId", "movie").withColumnRenamed("userId", "user")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": word_count,
     "distinct_words": distinct_words,
@@ -264,4 +289,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trade_json": trade_json,
     "union_symbol_count": union_symbol_count,
     "trade_payload": trade_payload,
+    "nested_json_roundtrip": nested_json_roundtrip,
+    "event_props_typed": event_props_typed,
+    "tag_statistics": tag_statistics,
 }

@@ -22,26 +22,15 @@ from pyspark.sql.streaming.stateful_processor import (
     StatefulProcessorHandle,
     TimerValues,
 )
-from pyspark.sql.types import (
-    ArrayType,
-    BinaryType,
-    BooleanType,
-    DateType,
-    LongType,
-    MapType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tidepool.functions.keys import NULLS, null_free, with_nulls
 
 if TYPE_CHECKING:
     import pandas as pd
 
 STATE_NAME = "state"
 _DEADLINE = "tp_deadline_ms"
-_NULLS = "tp_nulls"
 TIME_MODES = ("EventTime", "ProcessingTime", "None")
 
 
@@ -164,30 +153,11 @@ def _plain(value):
 
 
 def _key_of(key: tuple) -> tuple:
-    """The key values out of a grouping key (see ``_grouping``)."""
+    """The key values out of a grouping key (see ``null_free``)."""
     *values, nulls = key
     return tuple(None if null == "1" else value for value, null in zip(values, nulls, strict=True))
 
 
-def _grouping(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` with null-free key columns and ``_NULLS``, which says where a null was.
-
-    Chunks of rows reach the worker as pandas frames, where a null beside whole
-    numbers turns them into floats, under which Spark would then file the state.
-    """
-    nulls = F.concat(*(F.when(F.col(k).isNull(), "1").otherwise("0") for k in keys))
-    out = df.withColumn(_NULLS, nulls)
-    for k in keys:
-        kind = df.schema[k].dataType
-        if isinstance(kind, (ArrayType, MapType, StructType)):
-            raise ValueError(f"key column {k} is of type {kind.simpleString()}; keys are single values")
-        instead = F.lit("1970-01-01") if isinstance(kind, (DateType, TimestampType, TimestampNTZType)) else F.lit(
-            b"" if isinstance(kind, BinaryType) else "" if isinstance(kind, StringType) else False
-            if isinstance(kind, BooleanType) else 0)
-        out = out.withColumn(k, F.coalesce(F.col(k), instead.cast(kind)))
-    return out
-
-
 def _struct(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
@@ -225,14 +195,13 @@ def keyed_state(rows: DataFrame, key_cols: str | list[str], function: StateFunct
     first = None
     if initial_state is not None:
         deadline = F.col(_DEADLINE) if _DEADLINE in initial_state.columns else F.lit(None).cast("long")
-        first = _grouping(initial_state.select(*keys, *state.fieldNames(), deadline.alias(_DEADLINE)), keys)
-        first = first.groupBy(*keys, _NULLS)
-    return _grouping(rows, keys).groupBy(*keys, _NULLS).transformWithStateInPandas(processor, schema, "Append", time_mode, initialState=first)
+        first = null_free(initial_state.select(*keys, *state.fieldNames(), deadline.alias(_DEADLINE)), keys)
+        first = first.groupBy(*keys, NULLS)
+    return null_free(rows, keys).groupBy(*keys, NULLS).transformWithStateInPandas(processor, schema, "Append", time_mode, initialState=first)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The keys and state values that a query's checkpoint holds, with their deadlines."""
     stored = (spark.read.format("statestore").option("stateVarName", STATE_NAME).load(checkpoint))
-    keys = [c for c in stored.schema["key"].dataType.fieldNames() if c != _NULLS]
-    null = {k: F.substring(f"key.{_NULLS}", i + 1, 1) == "1" for i, k in enumerate(keys)}
-    return stored.select(*(F.when(~null[k], F.col(f"key.{k}")).alias(k) for k in keys), "value.*")
+    keys = [c for c in stored.schema["key"].dataType.fieldNames() if c != NULLS]
+    return stored.select(*with_nulls(keys, "key"), "value.*")
