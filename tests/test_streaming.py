@@ -333,11 +333,77 @@ def test_arrival_order_counts_every_chunk_of_a_hot_key(spark):
     assert counts == [1, 2, 3, 4, 1] and timeouts == [4] and state.get() == (1, 900_000_000)
 
 
-def test_empty_batches_are_skipped(spark, scratch):
-    seen = []
-    monitor = jobs.BatchMonitor(lambda df, b: seen.append(b))
+def test_empty_batches_leave_nothing(spark, scratch):
+    table = os.path.join(scratch, "t")
+    monitor = jobs.BatchMonitor(batch_writer(table, ["a"]))
     empty = spark.createDataFrame([], "a long")
     monitor(empty, 0)
-    monitor(spark.range(3), 1)
+    monitor(spark.range(3).withColumnRenamed("id", "a"), 1)
     monitor(empty, 2)
-    assert seen == [1] and monitor.total == 3 and len(monitor.history) == 1
+    assert os.listdir(table) == ["batch_id=1"]
+    assert monitor.total == 3 and len(monitor.history) == 1
+
+
+def jobs_of(spark, call):
+    """Number of Spark jobs that ``call`` runs."""
+    group = f"counted-{time.time()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        call()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+TRADES = ['{"symbol":"A","trade":"BUY","price":1.5,"quantity":2,"id":"9"}',
+          '{"symbol":"B","trade":"BUY","price":2.5,"quantity":2,"id":"10"}',
+          '{"symbol":"A","trade":"SELL","price":3.5,"quantity":2,"id":"11"}']
+
+
+def raw_trades(spark, texts):
+    from tidepool.functions import records
+    rows = spark.createDataFrame([(t.encode(),) for t in texts], "value binary").select(
+        "value", F.current_timestamp().alias("arrived_at"),
+        F.struct(F.lit("f").alias("source"), F.lit(0).cast("long").alias("position")).alias("arrival_seq"))
+    return records.parse_trades_bytes(rows, "value", "trade", "v2", strict=False)
+
+
+def test_a_batch_is_one_job(spark, scratch):
+    """Rows, rejects, the greatest id and the total come out of the write itself."""
+    monitor = jobs.BatchMonitor(lambda df, b: df.write.mode("overwrite").parquet(os.path.join(scratch, f"b{b}")),
+                                prepare=jobs.accepted_trades(os.path.join(scratch, "rejects")),
+                                extra={"max_id": F.max(F.col("id").cast("string"))})
+    assert jobs_of(spark, lambda: monitor(raw_trades(spark, TRADES), 0)) == 1
+    assert jobs_of(spark, lambda: monitor(raw_trades(spark, TRADES[:1]), 1)) == 1
+    assert [(h["n_rows"], h["total"], h["max_id"]) for h in monitor.history] == [(3, 3, "9"), (1, 4, "9")]
+    assert not os.path.exists(os.path.join(scratch, "rejects"))
+    # Only a batch with rejected records pays a second one.
+    assert jobs_of(spark, lambda: monitor(raw_trades(spark, [*TRADES, "{", "17"]), 2)) == 2
+    assert spark.read.parquet(os.path.join(scratch, "rejects", "batch_id=2")).count() == 2
+    assert monitor.total == 7
+
+
+def test_the_total_of_a_result_needs_no_job_of_its_own(spark, scratch):
+    monitor = jobs.BatchMonitor(prepare=jobs.accepted_trades(os.path.join(scratch, "rejects")))
+    monitor.within(jobs.per_batch_key_counts(
+        "symbol", lambda df, b: df.write.mode("overwrite").parquet(os.path.join(scratch, f"b{b}")), monitor.output))
+    ran = jobs_of(spark, lambda: monitor(raw_trades(spark, TRADES), 0))
+    assert ran <= 2                  # the write; its exchange is a job of its own under adaptive execution
+    assert monitor.total == 2 and monitor.history[0]["n_rows"] == 3
+
+
+def test_an_action_that_runs_nothing_still_has_its_numbers(spark, monkeypatch):
+    seen = []
+    monitor = jobs.BatchMonitor(lambda df, b: seen.append(b))
+    monkeypatch.setattr(jobs.observed, "__defaults__", (1.0,))
+    monitor(spark.range(5), 7)
+    assert seen == [7] and monitor.total == 5
+
+
+def test_two_actions_see_the_same_rows(spark, scratch):
+    first, second = (os.path.join(scratch, n) for n in ("one", "two"))
+    monitor = jobs.BatchMonitor(lambda df, b: df.write.parquet(second))
+    monitor.within(lambda df, b: df.write.parquet(first))
+    monitor(spark.range(5).withColumn("r", F.rand()), 0)
+    assert sorted(map(tuple, spark.read.parquet(first).collect())) == sorted(map(tuple, spark.read.parquet(second).collect()))
+    assert monitor.total == 5

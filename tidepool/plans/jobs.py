@@ -110,9 +110,9 @@ def symbol_count_stream_job(spark: SparkSession, fmt: str, path: str | None, che
     """
     recs = _records(spark, fmt, path, options, checkpoint, start, schema, time_col=time_col)
     key = records.layout(version)[0][0]
-    monitor = (monitor or jobs.BatchMonitor()).within(
-        jobs.per_batch_key_counts(key, sink), prepare=jobs.accepted_trades(f"{checkpoint}_rejects"),
-        measure=lambda rows: rows.select(key).distinct().count())
+    monitor = monitor or jobs.BatchMonitor()
+    monitor.within(jobs.per_batch_key_counts(key, sink, monitor.output),
+                   prepare=jobs.accepted_trades(f"{checkpoint}_rejects"))
     return jobs.start(_parsed(recs, version, strict=True), checkpoint, foreach_batch=monitor,
                       interval_seconds=interval_seconds, available_now=available_now)
 
@@ -219,6 +219,6 @@ def trade_table_stream_job(spark: SparkSession, fmt: str, path: str | None, chec
                               derive=derive, snapshot_path=snapshot_path, compact_every=compact_every)
     monitor = (monitor or jobs.BatchMonitor()).within(
         writer, prepare=jobs.accepted_trades(f"{checkpoint}_rejects"),
-        extra=lambda rows: {"max_id": rows.agg(F.max(F.col("id").cast("string"))).first()[0]})
+        extra={"max_id": F.max(F.col("id").cast("string"))})
     return jobs.start(_parsed(recs, version, strict), checkpoint, foreach_batch=monitor,
                       interval_seconds=interval_seconds, available_now=available_now)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators.latest import latest_per_key
+from tidepool.sinks.buckets import SharedFolder
 
 BATCH_COL = "batch_id"
 FILE_FORMATS = ("parquet", "orc", "json", "csv")
@@ -70,6 +71,13 @@ def batch_writer(path: str, columns: list[str], key_cols: list[str] | None = Non
         write_batch(batch, batch_id, path, columns, key_cols, order_cols, fmt, options, derive)
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact(batch.sparkSession, path, snapshot_path, key_cols)
+
+    def discard(spark: SparkSession, batch_id: int) -> None:
+        """Take back the folder of a batch that turned out to have no rows."""
+        if fmt in FILE_FORMATS:
+            SharedFolder(spark, path).remove(f"{BATCH_COL}={batch_id}")
+
+    run.discard = discard
     return run
 
 

@@ -11,10 +11,11 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import socket
+import threading
 from collections import deque
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -76,83 +77,126 @@ def words_of_records(records: DataFrame) -> DataFrame:
     return text.tokens(lines, "line", "word", keep=("arrived_at",))
 
 
+def observed(metrics: Observation, rows: DataFrame, wait_seconds: float = 10.0) -> dict:
+    """The values of ``metrics``; if nothing has run the observed ``rows``, they are run for it."""
+    for _ in range(2):
+        found: list[dict] = []
+        reader = threading.Thread(target=lambda: found.append(metrics.get), daemon=True)
+        reader.start()
+        reader.join(wait_seconds)
+        if found and found[0]:
+            return found[0]
+        rows.write.format("noop").mode("overwrite").save()
+    raise RuntimeError("the batch's metrics did not arrive")
+
+
 class BatchMonitor:
-    """Per-batch driver code around an optional batch action.
-
-    For each non-empty batch: its rows are counted and the plan gives its
-    partition count (A7), the running total since this driver started is
-    advanced (A8), a status line is logged (K6), and ``action(batch, batch_id)``
-    runs on the persisted batch so sinks do not recompute it. Empty batches are
-    skipped. ``prepare`` turns the raw batch into the rows to act on (and may
-    send others elsewhere); ``measure`` is what the total adds up (default: the
-    rows); ``extra`` gives further numbers for the record of the batch.
+    """Per-batch driver code around an optional batch action, in the action's own job.
+
+    The rows of a batch, rejected records and the numbers of the status line are observed
+    (``DataFrame.observe``) while ``action(rows, batch_id)`` writes them; nothing is
+    persisted or counted by a job of its own. After it the running total since this driver
+    started is advanced (A8) and a status line logged (K6); a batch without rows gives
+    neither, and what its action left is taken back by the action's ``discard``, if it has one.
+
+    ``prepare`` (see ``accepted_trades``) turns the raw batch into the rows to act on.
+    ``extra`` are further aggregates over these rows for the record of the batch. The total
+    adds up the rows, or those of a result that the action hands to ``output``. Several
+    actions (``within``) are several jobs; the rows are then persisted for them.
     """
 
     def __init__(self, action: Callable[[DataFrame, int], None] | None = None,
                  logger: logging.Logger | None = None, keep_batches: int = 1000,
-                 prepare: Callable[[DataFrame, int], DataFrame] | None = None,
-                 measure: Callable[[DataFrame], int] | None = None,
-                 extra: Callable[[DataFrame], dict] | None = None):
-        self.action, self.prepare, self.measure, self.extra = action, prepare, measure, extra
+                 prepare: Prepare | None = None, extra: dict[str, Column] | None = None):
+        self.actions = [action] if action is not None else []
+        self.prepare, self.extra = prepare, extra
         self.total = 0
         # Recent batches only, so a stream running for months holds bounded
         # driver memory; ``total`` still counts every batch.
         self.history: deque[dict] = deque(maxlen=keep_batches)
         self.log = logger or log
         self.host = socket.gethostname()
+        self._output: tuple[Observation, DataFrame] | None = None
 
     def within(self, action: Callable[[DataFrame, int], None] | None = None, **parts) -> BatchMonitor:
         """Add a job's action before the monitor's own, and parts it has not set itself."""
-        own = self.action
         if action is not None:
-            self.action = action if own is None else (
-                lambda batch, batch_id: (action(batch, batch_id), own(batch, batch_id))[0])
+            self.actions.insert(0, action)
         for name, part in parts.items():
             if getattr(self, name) is None:
                 setattr(self, name, part)
         return self
 
+    def output(self, result: DataFrame) -> DataFrame:
+        """``result``, observed: its rows are what this batch adds to the total."""
+        metrics = Observation()
+        result = result.observe(metrics, F.count(F.lit(1)).alias("n"))
+        self._output = metrics, result
+        return result
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        self._output = None
+        rows, rejects, rejected = batch, None, None
+        if self.prepare is not None:
+            rejected = Observation()
+            batch = batch.observe(rejected, F.count_if(self.prepare.rejects).alias("n"))
+            rows, rejects = self.prepare(batch), batch.where(self.prepare.rejects)
+        metrics = Observation()
+        rows = rows.observe(metrics, F.count(F.lit(1)).alias("n"), *(c.alias(n) for n, c in (self.extra or {}).items()))
+        kept = rows.persist() if len(self.actions) > 1 else None
         try:
-            rows = self.prepare(batch, batch_id) if self.prepare else batch
-            n_rows = rows.count()
-            if n_rows == 0:
+            for action in self.actions:
+                action(rows, batch_id)
+            seen = observed(metrics, rows)
+            if rejects is not None and (n := observed(rejected, rows)["n"]):
+                self.prepare.keep(rejects, batch_id, n, self.log)
+            if seen["n"] == 0:
+                for action in self.actions:
+                    getattr(action, "discard", lambda *_: None)(batch.sparkSession, batch_id)
                 return
-            if self.action is not None:
-                self.action(rows, batch_id)
-            self.total += self.measure(rows) if self.measure else n_rows
-            record = {"batch_id": batch_id, "time": _dt.datetime.now().isoformat(),
-                      "host": self.host, "n_rows": n_rows,
+            self.total += observed(*self._output)["n"] if self._output else seen["n"]
+            record = {"batch_id": batch_id, "time": _dt.datetime.now().isoformat(), "host": self.host, "n_rows": seen["n"],
                       "n_partitions": batch.rdd.getNumPartitions(), "total": self.total}
-            record |= self.extra(rows) if self.extra else {}
-            self.history.append(record)
-            more = "".join(f" {k}={v}" for k, v in record.items()
-                           if k not in ("batch_id", "time", "host", "n_rows", "n_partitions", "total"))
-            self.log.info("%s %s batch=%d rows=%d partitions=%d total=%d%s", record["time"],
-                          self.host, batch_id, n_rows, record["n_partitions"], self.total, more)
+            more = {name: seen[name] for name in self.extra or {}}
+            self.history.append(record | more)
+            self.log.info("%s %s batch=%d rows=%d partitions=%d total=%d%s", record["time"], self.host, batch_id, seen["n"],
+                          record["n_partitions"], self.total, "".join(f" {k}={v}" for k, v in more.items()))
         finally:
-            batch.unpersist()
+            if kept is not None:
+                kept.unpersist()
+
+
+class Prepare:
+    """What a batch's raw rows become, and where the others go."""
+
+    rejects: Column
+
+    def __call__(self, batch: DataFrame) -> DataFrame:
+        raise NotImplementedError
 
+    def keep(self, rejects: DataFrame, batch_id: int, n: int, logger: logging.Logger) -> None:
+        raise NotImplementedError
 
-def accepted_trades(rejects_path: str, logger: logging.Logger | None = None
-                    ) -> Callable[[DataFrame, int], DataFrame]:
+
+class accepted_trades(Prepare):
     """The parsed trades of a batch; records that are none go to ``rejects_path``.
 
     Takes rows ``value, arrived_at, arrival_seq, trade``; a rejected record is
-    one whose trade is NULL. Their bytes are written per batch (a replayed
-    batch overwrites its own folder) and their number is logged.
+    one whose trade is NULL. Only a batch that has some pays a job for them: their bytes
+    are written per batch (a replayed batch overwrites its own folder) and their number is logged.
     """
-    def run(batch: DataFrame, batch_id: int) -> DataFrame:
-        bad = batch.where(F.col("trade").isNull())
-        n = bad.count()
-        if n:
-            bad.select("value", "arrived_at").write.mode("overwrite").parquet(
-                f"{rejects_path.rstrip('/')}/batch_id={batch_id}")
-            (logger or log).warning("batch=%d: %d records are no trades, kept in %s", batch_id, n, rejects_path)
+
+    def __init__(self, rejects_path: str):
+        self.path = rejects_path.rstrip("/")
+        self.rejects = F.col("trade").isNull()
+
+    def __call__(self, batch: DataFrame) -> DataFrame:
         return (in_source_order(batch).where(F.col("trade").isNotNull())
                 .select("trade.*", "arrived_at", "arrival_seq"))
-    return run
+
+    def keep(self, rejects: DataFrame, batch_id: int, n: int, logger: logging.Logger) -> None:
+        rejects.select("value", "arrived_at").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        logger.warning("batch=%d: %d records are no trades, kept in %s", batch_id, n, self.path)
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -169,11 +213,15 @@ def per_batch_word_counts(sink: Callable[[DataFrame, int], None]) -> Callable[[D
     return run
 
 
-def per_batch_key_counts(key_col: str, sink: Callable[[DataFrame, int], None]
-                         ) -> Callable[[DataFrame, int], None]:
-    """A5: stateless count per key (e.g. trade symbol) of each micro-batch."""
+def per_batch_key_counts(key_col: str, sink: Callable[[DataFrame, int], None],
+                         output: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """A5: stateless count per key (e.g. trade symbol) of each micro-batch.
+
+    ``output`` (``BatchMonitor.output``) makes the monitor's total add up the counted keys.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         counts = agg.word_count(batch.select(key_col), key_col)
+        counts = output(counts) if output else counts
         sink(counts.withColumn("batch_id", F.lit(batch_id)), batch_id)
     return run
 
