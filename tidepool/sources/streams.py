@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.aggregates import union_all
+from tidepool.sources import shards
 
 # Per-batch intake caps by source format.
 _RATE_OPTION = {
     "kafka": "maxOffsetsPerTrigger",
     "rate": "rowsPerSecond",
     "rate-micro-batch": "rowsPerBatch",
+    "shards": "recordsPerShard",
 }
 _FILE_FORMATS = {"text", "json", "csv", "parquet", "orc", "binaryFile"}
 
@@ -55,6 +57,8 @@ def read_records(spark: SparkSession, fmt: str, path: str | None = None,
     file and position in it, or by Kafka partition and offset; ``in_source_order``
     adds the rows' order inside a file split, batch by batch.
     """
+    if fmt == shards.FORMAT:
+        spark.dataSource.register(shards.ShardDataSource)
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
@@ -67,6 +71,9 @@ def read_records(spark: SparkSession, fmt: str, path: str | None = None,
         kept_time = F.col("timestamp")
         seq = F.struct(F.col("partition").cast("string").alias("source"),
                        F.col("offset").alias("position"))
+    elif fmt == shards.FORMAT:
+        kept_time = F.col("arrived_at")
+        seq = F.struct(F.concat_ws("/", "shard", "file").alias("source"), F.col("position"))
     else:
         kept_time = F.current_timestamp()
         seq = F.struct(F.lit("").alias("source"), F.lit(0).cast("bigint").alias("position"))
@@ -159,6 +166,17 @@ def resolve_start(spark: SparkSession, checkpoint_location: str,
     return resolved
 
 
-def union_streams(*streams: DataFrame) -> DataFrame:
-    """One stream from N shard streams, duplicates kept."""
+def union_streams(*streams: DataFrame, time_col: str | None = None, watermark_delay: str | None = None) -> DataFrame:
+    """One stream from N shard streams, duplicates kept.
+
+    With ``time_col`` and ``watermark_delay`` every shard has a watermark of its own and the
+    united stream the least of them (``multipleWatermarkPolicy``), so a shard that lags
+    loses no rows to one that is ahead. A shard without any rows yet holds the watermark back.
+    """
+    if time_col is not None:
+        spark = streams[0].sparkSession
+        if spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") != "min":
+            raise ValueError("spark.sql.streaming.multipleWatermarkPolicy must be min: with max a slow shard loses rows")
+        streams = tuple(s.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, watermark_delay)
+                        for s in streams)
     return union_all(*streams)

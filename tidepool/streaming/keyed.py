@@ -158,6 +158,11 @@ def _key_of(key: tuple) -> tuple:
     return tuple(None if null == "1" else value for value, null in zip(values, nulls, strict=True))
 
 
+def has_watermark(rows: DataFrame, time_col: str) -> bool:
+    """Whether the time column carries a watermark already (of each shard, see ``union_streams``)."""
+    return "spark.watermarkDelayMs" in rows.schema[time_col].metadata
+
+
 def _struct(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
@@ -179,9 +184,10 @@ def keyed_state(rows: DataFrame, key_cols: str | list[str], function: StateFunct
     if time_mode not in TIME_MODES:
         raise ValueError(f"time_mode is one of {TIME_MODES}")
     if time_mode == "EventTime":
-        if not time_col or watermark_delay is None:
+        has_own = time_col in rows.columns and has_watermark(rows, time_col)
+        if not time_col or (watermark_delay is None and not has_own):
             raise ValueError("event time needs a time_col and a watermark_delay: later rows are dropped")
-        rows = rows.withWatermark(time_col, watermark_delay)
+        rows = rows if has_own else rows.withWatermark(time_col, watermark_delay)
     if time_mode == "None" and idle_seconds is not None:
         raise ValueError("idle keys need a clock: event or processing time")
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)

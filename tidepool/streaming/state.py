@@ -118,7 +118,8 @@ def running_count_stream(events: DataFrame, key_col: str, time_col: str,
         out = running_count_stream(events.withColumn(_NO_TIE, F.lit(0).cast("bigint")), key_col,
                                    time_col, _NO_TIE, idle_seconds, watermark_delay, time_mode, initial_state)
         return out.drop(_NO_TIE)
-    ts = F.col(time_col).cast("timestamp")
+    # A column that is a timestamp already stays as it is, with the watermark it may have.
+    ts = F.col(time_col) if isinstance(events.schema[time_col].dataType, TimestampType) else F.col(time_col).cast("timestamp")
     tie_type = events.schema[tiebreak_col].dataType
     integer_ties = isinstance(tie_type, (LongType, IntegerType, ShortType, ByteType))
     tie = F.col(tiebreak_col).cast("bigint") if integer_ties else F.col(tiebreak_col)
