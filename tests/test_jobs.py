@@ -1,13 +1,16 @@
 """The reference's programs as jobs, end to end on files derived from the driver's tables."""
 
 import csv
+import datetime as dt
 import glob
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tidepool import __main__ as cli
 from tidepool.functions import records
 from tidepool.plans import fixtures, jobs
 from tidepool.sinks.table import read_latest
@@ -241,3 +244,31 @@ def test_event_time_needs_a_delay(spark):
     with pytest.raises(ValueError):
         jobs.running_count_stream_job(spark, ev, "value", "timestamp", "value", "/unused", "/unused",
                                       time_mode="EventTime")
+
+
+@pytest.mark.parametrize("text,want", [
+    (None, None), ("latest", "latest"), ("earliest", "earliest"), ("5h", dt.timedelta(hours=5)), ("90s", dt.timedelta(seconds=90)),
+    ("2024-01-02T03:04:05+00:00", dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc))])
+def test_start_positions_of_the_command_line(text, want):
+    assert cli.start_position(text) == want
+
+
+def test_every_stream_of_the_command_line(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _write_lines(os.path.join(src, "a.json"), [_trade(1, 1.0, "A"), _trade(2, 2.0, "B"), _trade(2, 3.0, "B")])
+
+    def go(job, *more):
+        args = cli.parser().parse_args([job, src, os.path.join(scratch, f"ck-{job}"), os.path.join(scratch, f"out-{job}"),
+                                        "--available-now", *more])
+        q = cli.start(spark, args)
+        assert q.awaitTermination(180) and q.exception() is None
+        return os.path.join(scratch, f"out-{job}")
+
+    table = jobs.BucketTable(spark, go("table", "--files-per-batch", "1", "--buckets", "4", "--bytes-per-second", "1000000"), ["id"])
+    assert sorted((r["id"], r["price"]) for r in table.read().collect()) == [("1", 1.0), ("2", 3.0)]
+    symbols = spark.read.parquet(go("batch-symbols", "--version", "v2", "--start", "earliest"))
+    assert sorted((r["symbol"], r["n"]) for r in symbols.collect()) == [("A", 1), ("B", 2)]
+    assert spark.read.parquet(go("batch-words", "--start", "3650d")).count() == 3
+    with pytest.raises(ValueError, match="no cap by records_per_batch"):
+        go("trades", "--version", "v2", "--records-per-batch", "10")

@@ -123,3 +123,15 @@ def test_a_table_that_grew_is_read_again(spark, events, scratch):
     events.where("event_id >= 100 and event_id < 150").write.mode("append").parquet(path)
     second = state.running_counts(spark.read.parquet(path), "event_type", "ts", "event_id", IDLE).count()
     assert (first, second) == (100, 150)
+
+
+def test_release_gives_the_kept_rows_back(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.timestamp_seconds("id").alias("ts"), "id")
+    counted = state.running_counts(df, "k", "ts", "id")
+    ended = state.idle_timeouts(counted, "k", "ts")
+    assert counted.count() == 100
+    assert counted._tp_kept.storageLevel.useDisk
+    state.release(ended)
+    assert not counted._tp_kept.storageLevel.useDisk
+    assert counted.count() == 100        # without the copy it is computed again
+    state.release(df)

@@ -50,8 +50,8 @@ def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
 
     ``ends_segment`` is true on the last row before a timeout. ``partitions``
     sets the number of ranges (default: the session's shuffle partitions,
-    coalesced by size); it changes the plan, never the result. The ranged rows
-    stay persisted on disk until ``spark.catalog.clearCache()`` or the session's end.
+    coalesced by size); it changes the plan, never the result. The ranged rows stay
+    persisted on disk until ``release`` is called on the result.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     idle_us = int(round(idle_seconds * 1_000_000))
@@ -66,8 +66,9 @@ def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
     # and both sides of the join below read the same numbers. Nothing runs yet.
     # The run's own tag keeps Spark from answering a later call, perhaps on a table that
     # has grown since, with the rows kept by this one.
-    base = (ranged.withColumn(_P, F.spark_partition_id()).withColumn("_tp_run", F.lit(uuid.uuid4().hex))
-            .persist(StorageLevel.DISK_ONLY).drop("_tp_run"))
+    kept = (ranged.withColumn(_P, F.spark_partition_id()).withColumn("_tp_run", F.lit(uuid.uuid4().hex))
+            .persist(StorageLevel.DISK_ONLY))
+    base = kept.drop("_tp_run")
 
     # Rows ranked inside their (key, range), with the restarts that fall inside it.
     inside = Window.partitionBy(_K, _P).orderBy(_T, tiebreak_col)
@@ -112,18 +113,30 @@ def running_counts(df: DataFrame, key_cols: str | list[str], time_col: str,
     idle_at_end = F.when(t.isNull(), global_max.isNotNull()).otherwise((global_max - t) > idle_us)
     ends = F.when(at_end, F.coalesce(idle_at_end, F.lit(False))).otherwise(
         F.coalesce((nxt - t) > idle_us, F.lit(False)))
-    return joined.select(*[F.col(c) for c in df.columns], count.cast("bigint").alias(out),
-                         ends.alias("ends_segment"))
+    counted = joined.select(*[F.col(c) for c in df.columns], count.cast("bigint").alias(out), ends.alias("ends_segment"))
+    counted._tp_kept = kept
+    return counted
+
+
+def release(counted: DataFrame) -> None:
+    """Give back the disk that ``running_counts`` (or what was made of its result here) holds."""
+    kept = getattr(counted, "_tp_kept", None)
+    if kept is not None:
+        kept.unpersist()
+
+
+def _holding(out: DataFrame, counted: DataFrame) -> DataFrame:
+    out._tp_kept = getattr(counted, "_tp_kept", None)
+    return out
 
 
 def idle_timeouts(counted: DataFrame, key_cols: str | list[str], time_col: str,
                   idle_seconds: float = 300.0, out: str = "n") -> DataFrame:
     """One row per timeout: the key, the time of its last row and its last count."""
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    return (counted.where(F.col("ends_segment"))
-            .select(*keys, F.col(time_col).alias("last_time"), F.col(out),
-                    (F.col(time_col) + F.expr(f"INTERVAL {float(idle_seconds)} SECONDS"))
-                    .alias("expires_at")))
+    expires = F.col(time_col) + F.expr(f"INTERVAL {float(idle_seconds)} SECONDS")
+    ended = counted.where(F.col("ends_segment"))
+    return _holding(ended.select(*keys, F.col(time_col).alias("last_time"), F.col(out), expires.alias("expires_at")), counted)
 
 
 def state_outputs(counted: DataFrame, key_cols: str | list[str], time_col: str,
@@ -139,5 +152,5 @@ def state_outputs(counted: DataFrame, key_cols: str | list[str], time_col: str,
     row = F.struct(F.col(time_col).alias("at"), F.lit(False).alias("timed_out"))
     timeout = F.struct(expires.alias("at"), F.lit(True).alias("timed_out"))
     emitted = F.when(F.col("ends_segment"), F.array(row, timeout)).otherwise(F.array(row))
-    return (counted.select(*keys, F.col(out), F.explode(emitted).alias("_emit"))
-            .select(*keys, "_emit.at", F.col(out), "_emit.timed_out"))
+    both = counted.select(*keys, F.col(out), F.explode(emitted).alias("_emit"))
+    return _holding(both.select(*keys, "_emit.at", F.col(out), "_emit.timed_out"), counted)
