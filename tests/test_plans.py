@@ -67,11 +67,3 @@ def test_nothing_heavy_stands_below_the_exchange_that_spreads_rows(spark, name):
     below = p[p.index("RepartitionByExpression"):] if "RepartitionByExpression" in p else ""
     assert "to_json" not in below and "array_compact" not in p
     assert "size(" not in p
-
-
-def test_abbreviation_encodes_ends_only(spark):
-    p = plan(spark, "abbreviate_middle")
-    assert re.search(r"encode\(left\(text", p) and re.search(r"encode\(right\(text", p)
-    # A whole text is encoded only where it is known to be short.
-    for at in (m.start() for m in re.finditer(r"encode\(text", p)):
-        assert re.search(r"length\(text#\d+\) <= \d+\) AND [^,]*$", p[max(0, at - 200):at]), p[max(0, at - 200):at + 40]
