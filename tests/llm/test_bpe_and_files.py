@@ -64,6 +64,8 @@ def test_plain_special_tokens():
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         bpe.Bpe(public_tokenizers.path("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="byte-level"):
+        dac.library(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_broken_characters_decode_with_replacement(own, library):

@@ -42,11 +42,21 @@ def test_empty_table(spark):
 def test_hits_are_bounded_terms(url):
     terms = tuple((t, 1) for t in url_filter.STRICT_TERMS + url_filter.SOFT_TERMS)
     want = {t for t, _ in terms if re.search(f"(^|[^a-z0-9]){t}($|[^a-z0-9])", url.lower())}
-    assert set(url_filter.hits(url, terms)) == want
+    assert set(url_filter.hits(url, url_filter.automaton(tuple(terms)))) == want
 
 
 @pytest.mark.parametrize("url, strict, soft", [("a.b/porn/porn", 1, 0), ("win/free", 0, 2), ("winfree", 0, 0)])
 def test_distinct_terms_count(url, strict, soft):
-    found = url_filter.hits(url, tuple((t, 2) for t in url_filter.STRICT_TERMS)
-                            + tuple((t, 1) for t in url_filter.SOFT_TERMS)).values()
+    terms = tuple((t, 2) for t in url_filter.STRICT_TERMS) + tuple((t, 1) for t in url_filter.SOFT_TERMS)
+    found = url_filter.hits(url, url_filter.automaton(terms)).values()
     assert (sum(w == 2 for w in found), sum(w == 1 for w in found)) == (strict, soft)
+
+
+def test_a_very_long_url_and_rules_of_equal_length(spark):
+    """The first of equally long rules in their own order gives way to the last: rules are sorted, not as given."""
+    rules = [url_filter.Rule("block", "b.com", "/xx"), url_filter.Rule("allow", "com", "/xxxx")]
+    urls = ["http://b.com/xxxx", "http://a.com/" + "free/" * 200_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {tuple(r)[:1] + (r["rule"], r["verdict"], r["soft_hits"]) for order in (rules, rules[::-1])
+           for r in url_filter.judge_urls(pages, tuple(order)).collect()}
+    assert len(got) == 2 and (1, None, "allow", 1) in got

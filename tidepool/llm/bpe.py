@@ -50,19 +50,24 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def refuse_others(spec: dict, path: str) -> None:
+    """Raise for a tokenizer file whose pieces are not those of ``pieces``: only plain byte-level BPE is known."""
+    before = spec.get("pre_tokenizer") or {}
+    odd = [t for t in spec.get("added_tokens") or [] if t["single_word"] or t["lstrip"] or t["rstrip"]]
+    if (spec["model"]["type"] != "BPE" or spec.get("normalizer") or before.get("type") != "ByteLevel" or odd
+            or before.get("add_prefix_space") or not before.get("use_regex", True) or spec["model"].get("unk_token")):
+        raise ValueError(f"{path} is no plain byte-level BPE file")
+
+
 class Bpe:
     """Merge ranks and token bytes of one tokenizer file."""
 
     def __init__(self, path: str, plain_special: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        refuse_others(spec, path)
         model, letters = spec["model"], byte_letters()
         added = spec.get("added_tokens") or []
-        before = spec.get("pre_tokenizer") or {}
-        odd = [t for t in added if t["single_word"] or t["lstrip"] or t["rstrip"]]
-        if (model["type"] != "BPE" or spec.get("normalizer") or before.get("type") != "ByteLevel" or odd
-                or before.get("add_prefix_space") or not before.get("use_regex", True) or model.get("unk_token")):
-            raise ValueError(f"{path} is no plain byte-level BPE file")
         vocab: dict[str, int] = model["vocab"]
         size = max([*vocab.values(), *(t["id"] for t in added)]) + 1
         back = {c: b for b, c in letters.items()}

@@ -20,6 +20,7 @@ hash; ids up to 2**32 - 1 are stored; an empty table gives no segments.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tidepool.llm.bpe import refuse_others
 from tidepool.llm.common import shared_path, text_key
 from tidepool.llm.pieces import PieceCache
 
@@ -148,6 +150,8 @@ class Segment:
 @lru_cache(maxsize=2)
 def library(path: str) -> PieceCache:
     """The tokenizers library behind the piece cache, without truncation and padding; once per worker."""
+    with open(path, encoding="utf-8") as f:
+        refuse_others(json.load(f), path)
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()

@@ -68,12 +68,12 @@ def automaton(terms: tuple[tuple[str, int], ...]) -> ahocorasick.Automaton:
     return found
 
 
-def hits(url: str | None, terms: tuple[tuple[str, int], ...]) -> dict[str, int]:
-    """Weight of each distinct term that stands between boundaries in ``url``."""
+def hits(url: str | None, known: ahocorasick.Automaton) -> dict[str, int]:
+    """Weight of each distinct term of the automaton that stands between boundaries in ``url``."""
     if not url:
         return {}
     folded, out = url.translate(FOLD), {}
-    for last, (term, weight) in automaton(terms).iter(folded):
+    for last, (term, weight) in known.iter(folded):
         first = last - len(term) + 1
         if (first == 0 or folded[first - 1] not in BOUNDARY) and (
                 last + 1 == len(folded) or folded[last + 1] not in BOUNDARY):
@@ -95,7 +95,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = (), strict: tuple[str
 
     @F.pandas_udf("strict_hits int, soft_hits int")
     def count_hits(urls: pd.Series) -> pd.DataFrame:
-        found = [hits(u, terms).values() for u in urls]
+        known = automaton(terms)          # once a batch: the cost of a url does not grow with the vocabulary
+        found = [hits(u, known).values() for u in urls]
         return pd.DataFrame({
             "strict_hits": [sum(w == STRICT_WEIGHT for w in x) for x in found],
             "soft_hits": [sum(w == SOFT_WEIGHT for w in x) for x in found]})
