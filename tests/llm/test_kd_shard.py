@@ -67,3 +67,30 @@ def test_slots_in_slices(spark, monkeypatch):
     monkeypatch.setattr(kd_shard, "SLOT_ROWS", 10)
     rows = spark.range(1000).selectExpr("id as doc_id", "id % 7 as text_crc32", "cast(id % 3 as int) as shard")
     check(kd_shard.with_slots(rows).toPandas(), 3)
+
+
+def test_the_tree_is_that_of_a_plain_kd_tree(spark):
+    """At every node: the widest dimension, and a cut at its weighted quantile up to the tolerance."""
+    docs, shards = spark.read.parquet(f"{SF_ORACLE}/documents.parquet"), 12
+    keyed, total = kd_shard.points(docs, shards)
+    placed, root = kd_shard.kd_tree(keyed, total, shards)
+    tolerance = kd_shard.CUT_TOLERANCE * total / shards
+    cuts = []
+
+    def visit(node, part):
+        if node.left is None:
+            assert set(part["node"]) <= {node.first} and node.shards == 1
+            return
+        spans = {d: (part[d].max() >> 32) - (part[d].min() >> 32) for d in kd_shard.DIMENSIONS}
+        assert spans[node.dimension] == max(spans.values())
+        left = part[part[node.dimension] <= node.cut]
+        goal = part["size"].sum() * (node.shards // 2) / node.shards
+        running = part.groupby(node.dimension)["size"].sum().sort_index().cumsum()
+        best = (running - goal).abs().min()
+        assert abs(left["size"].sum() - goal) <= best + tolerance
+        cuts.append(node.dimension)
+        visit(node.left, left)
+        visit(node.right, part[part[node.dimension] > node.cut])
+
+    visit(root, placed.toPandas())
+    assert len(cuts) == shards - 1 and len(set(cuts)) > 1
