@@ -270,5 +270,8 @@ def test_every_stream_of_the_command_line(spark, scratch):
     symbols = spark.read.parquet(go("batch-symbols", "--version", "v2", "--start", "earliest"))
     assert sorted((r["symbol"], r["n"]) for r in symbols.collect()) == [("A", 1), ("B", 2)]
     assert spark.read.parquet(go("batch-words", "--start", "3650d")).count() == 3
+    counts = spark.read.parquet(go("trades", "--version", "v2", "--hot-keys"))
+    assert sorted((r["symbol"], r["n"], r["timed_out"]) for r in counts.collect()) == [
+        ("A", 1, False), ("B", 1, False), ("B", 2, False)]
     with pytest.raises(ValueError, match="no cap by records_per_batch"):
         go("trades", "--version", "v2", "--records-per-batch", "10")

@@ -4,10 +4,10 @@ import os
 import pytest
 
 
+import word_records
 from conftest import SF_SMALL
 from tidepool.sinks.files import write_csv
 from tidepool.sinks.table import batch_writer, read_latest, write_batch
-from tidepool.sources import generator
 from tidepool.sources.files import read_csv_strings, read_lines, read_table, spread
 from tidepool.sources.streams import parse_host_port, rate_cap_options, start_filter
 
@@ -62,13 +62,13 @@ def test_keyed_batch_sink_idempotent(spark, scratch):
 
 def test_generator_totals(spark):
     ev = read_table(spark, SF_SMALL, "events")
-    recs = generator.word_records(ev, "event_id", words_per_record=10)
+    recs = word_records.word_records(ev, "event_id", words_per_record=10)
     assert recs.count() == ev.count()
     lens = {len(r.record.split(" ")) for r in recs.collect()}
     assert lens == {10}
-    words = generator.generated_words(ev, "event_id")
+    words = word_records.generated_words(ev, "event_id")
     assert words.count() == 10 * ev.count()
-    assert {r.word for r in words.select("word").distinct().collect()} == set(generator.WORDS)
+    assert {r.word for r in words.select("word").distinct().collect()} == set(word_records.WORDS)
     keys = recs.select("partition_key").distinct().count()
     assert keys == min(1000, ev.count())
 
@@ -93,20 +93,6 @@ def test_kafka_start_options():
     assert start_options("parquet", t) == {}
 
 
-def test_word_record_stream(spark, scratch):
-    import time as _time
-    from tidepool.streaming import jobs
-    from tidepool.sources.generator import word_record_stream
-    seen = []
-    q = jobs.start(word_record_stream(spark, records_per_batch=50), os.path.join(scratch, "ck"),
-                   foreach_batch=lambda df, b: seen.append(df.count()), interval_seconds=0.5)
-    deadline = _time.time() + 60
-    while len(seen) < 2 and _time.time() < deadline:
-        _time.sleep(0.5)
-    q.stop()
-    assert seen[:2] == [50, 50]
-
-
 def test_compacted_reads_equal_full_reads(spark, scratch):
     from tidepool.sinks.table import compact
     path, snaps = os.path.join(scratch, "table"), os.path.join(scratch, "snaps")

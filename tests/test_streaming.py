@@ -6,13 +6,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+import word_records
 from conftest import SF_SMALL
 from tidepool.operators import aggregates as agg
 from tidepool.operators import state
 from tidepool.operators.latest import latest_per_key
 from tidepool.plans import fixtures
 from tidepool.sinks.table import batch_writer, read_latest
-from tidepool.sources import generator
 from tidepool.sources.streams import rate_cap_options, read_records
 from tidepool.streaming import jobs
 from tidepool.streaming.state import running_count_stream
@@ -95,7 +95,7 @@ def test_running_count_restart_equals_uninterrupted(spark, events, scratch):
 
 def test_per_batch_word_counts_reconcile(spark, scratch):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    recs = generator.word_records(ev, "event_id").select(
+    recs = word_records.word_records(ev, "event_id").select(
         "event_id", F.encode("record", "UTF-8").alias("value"))
     write_parts(recs, os.path.join(scratch, "src"), 2, "event_id")
     stream = read_records(spark, "parquet", os.path.join(scratch, "src", "part*"),
@@ -113,7 +113,7 @@ def test_per_batch_word_counts_reconcile(spark, scratch):
     counted = agg.word_count(spark.read.parquet(counts_dir).groupBy("word")
                              .agg(F.sum("n").alias("n")).withColumnRenamed("n", "c"), "word")
     per_word = spark.read.parquet(counts_dir).groupBy("word").agg(F.sum("n").alias("n"))
-    sent = agg.word_count(generator.generated_words(ev, "event_id"))
+    sent = agg.word_count(word_records.generated_words(ev, "event_id"))
     assert agg.reconcile(sent, per_word).count() == 0
     assert counted.count() == 5
 
@@ -163,7 +163,7 @@ def test_windowed_symbol_counts_equal_table(spark, scratch):
 
 def test_windowed_word_counts_equal_table(spark, scratch):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    recs = generator.word_records(ev, "event_id", keep=("ts",)).select("event_id", "ts", "record")
+    recs = word_records.word_records(ev, "event_id", keep=("ts",)).select("event_id", "ts", "record")
     write_parts(recs, os.path.join(scratch, "src"), 2, "event_id")
     stream = (spark.readStream.schema(recs.schema).option("maxFilesPerTrigger", 1)
               .parquet(os.path.join(scratch, "src", "part*")))

@@ -1,4 +1,4 @@
-"""Seeded word records (S8), re-aimed from the stream producer.
+"""Test data: seeded word records (S8), re-aimed from the stream producer.
 
 Each input row becomes one record of ``words_per_record`` words drawn from
 a fixed five-word list and joined by single spaces, with the partition key
@@ -10,12 +10,15 @@ computed in SQL by any engine and the totals checked against it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The producer's word list, in its order.
 WORDS = ("spark", "you", "are", "my", "father")
 
+# Fixed value: the producer's partition keys, numbered from 1.
+PARTITION_KEY = "partitionKey-"
+
 # Park-Miller modulus and multipliers.
 MODULUS = 2147483647
 MULTIPLIER = 48271
@@ -38,7 +41,7 @@ def word_records(df: DataFrame, id_col: str, words_per_record: int = 10,
     rid = F.col(id_col)
     chosen = F.transform(F.sequence(F.lit(0), F.lit(words_per_record - 1)),
                          lambda i: F.element_at(word_list, (pick_index(rid, i, seed) + 1).cast("int")))
-    part = F.concat(F.lit("partitionKey-"),
+    part = F.concat(F.lit(PARTITION_KEY),
                     (F.pmod(rid.cast("bigint"), F.lit(records_per_round)) + 1).cast("string"))
     return df.select(*keep, rid.alias(id_col), F.array_join(chosen, " ").alias("record"),
                      part.alias("partition_key"))
@@ -55,18 +58,3 @@ def generated_words(df: DataFrame, id_col: str, words_per_record: int = 10,
     exploded = df.select(*keep, F.col(id_col), pos)
     return exploded.select(*keep, F.element_at(
         word_list, (pick_index(F.col(id_col), F.col("_pos"), seed) + 1).cast("int")).alias("word"))
-
-
-def word_record_stream(spark: SparkSession, records_per_batch: int = 1000,
-                       words_per_record: int = 10, seed: int = 7) -> DataFrame:
-    """S8 as a stream: ``records_per_batch`` word records per micro-batch.
-
-    The ``rate-micro-batch`` source numbers its rows, so the same draw gives
-    the same records on replay; ``arrived_at`` is the source's timestamp.
-    """
-    ticks = (spark.readStream.format("rate-micro-batch")
-             .option("rowsPerBatch", str(records_per_batch)).load())
-    recs = word_records(ticks.withColumnRenamed("value", "seq"), "seq", words_per_record,
-                        records_per_batch, seed, keep=("timestamp",))
-    return recs.select(F.encode("record", "UTF-8").alias("value"),
-                       F.col("timestamp").alias("arrived_at"), "partition_key")

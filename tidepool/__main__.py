@@ -65,6 +65,8 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--idle-seconds", type=float, default=300.0)
         if name in ("trades", "table", "batch-symbols"):
             job.add_argument("--version", choices=("v1", "v2"), default="v2" if name == "table" else "v1")
+        if name == "trades":
+            job.add_argument("--hot-keys", action="store_true", help="count batches in ranges; no task gets a whole key")
         if name == "table":
             job.add_argument("--buckets", type=int, default=64)
             job.add_argument("--bytes-per-second", type=float)
@@ -96,7 +98,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if args.job == "trades":
         return jobs.trade_running_count_job(
             spark, [{"fmt": args.format, "path": path, "options": options}], args.checkpoint, args.output, args.version,
-            args.start, idle_seconds=args.idle_seconds, **clock)
+            args.start, idle_seconds=args.idle_seconds, hot_keys=args.hot_keys, **clock)
     sink = _batch_folders(args.output)
     if args.job == "batch-words":
         return jobs.word_count_stream_job(spark, args.format, path, args.checkpoint, sink, options, args.start, **clock)

@@ -29,6 +29,7 @@ from tidepool.sources.streams import (
     union_streams,
 )
 from tidepool.streaming import jobs
+from tidepool.streaming.ranged import ranged_running_count_job
 from tidepool.streaming.state import running_count_stream
 
 # The sink columns of the two trade tables.
@@ -129,7 +130,7 @@ def running_count_stream_job(spark: SparkSession, events: DataFrame, key_col: st
                              output_path: str, idle_seconds: float = 300.0,
                              interval_seconds: float | None = 5,
                              available_now: bool = False, time_mode: str = "ProcessingTime",
-                             watermark_delay: str | None = None,
+                             watermark_delay: str | None = None, hot_keys: bool = False,
                              monitor: jobs.BatchMonitor | None = None) -> StreamingQuery:
     """T1 T2 T3 A8(b) K6: running counts with idle timeouts, written batch by batch, restartable.
 
@@ -137,8 +138,15 @@ def running_count_stream_job(spark: SparkSession, events: DataFrame, key_col: st
     the wall clock (``time_col`` is then the arrival time). In event time Spark
     drops rows later than ``watermark_delay``, which must be given; see
     ``jobs.late_rows``. The monitor logs the rows the state function gave and
-    their running total.
+    their running total. ``hot_keys`` counts each batch in ranges (``streaming.ranged``): no
+    task gets all rows of a key, and no row is late.
     """
+    if hot_keys:
+        if tiebreak_col is None:
+            raise ValueError("ranges of a hot key need a tiebreak column")
+        return ranged_running_count_job(events, key_col, time_col, tiebreak_col, checkpoint, output_path,
+                                        idle_seconds=idle_seconds, event_time=time_mode == "EventTime",
+                                        interval_seconds=interval_seconds, available_now=available_now, monitor=monitor)
     if time_mode == "ProcessingTime" and available_now:
         raise ValueError("processing-time timeouts keep an availableNow query running; "
                          "use a processing-time trigger or event time")

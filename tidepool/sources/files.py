@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,7 +38,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # a Spark Connect session has no RDD view: leave the plan as is
+    except PySparkException:  # a Spark Connect session has no RDD view: leave the plan as is
         return df
     return df.repartition(want, *df.columns) if have < want else df
 

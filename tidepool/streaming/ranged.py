@@ -117,11 +117,13 @@ class RangedCounter:
     """``foreachBatch`` action: the outputs of each batch to ``<output_path>/batch_id=<id>``, then its state."""
 
     def __init__(self, key_cols: str | list[str], time_col: str, tiebreak_col: str, state_path: str, output_path: str,
-                 idle_seconds: float = 300.0, event_time: bool = False, buckets: int = 64, vacuum_every: int = 100):
+                 idle_seconds: float = 300.0, event_time: bool = False, buckets: int = 64, vacuum_every: int = 100,
+                 output: Callable[[DataFrame], DataFrame] | None = None):
         self.key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
         self.time_col, self.tiebreak_col = time_col, tiebreak_col
         self.state_path, self.output_path = state_path, output_path.rstrip("/")
         self.idle_seconds, self.event_time, self.buckets, self.vacuum_every = idle_seconds, event_time, buckets, vacuum_every
+        self.output = output or (lambda rows: rows)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -136,7 +138,7 @@ class RangedCounter:
         done = advance(batch, table.read() if before else None, self.key_cols, self.time_col, self.tiebreak_col,
                        self.idle_seconds, now)
         try:
-            done.outputs.write.mode("overwrite").parquet(f"{self.output_path}/batch_id={batch_id}")
+            self.output(done.outputs).write.mode("overwrite").parquet(f"{self.output_path}/batch_id={batch_id}")
             table.upsert(done.state, batch_id, deletes=done.gone, extra={"now_us": now})
         finally:
             done.kept.unpersist()
@@ -147,9 +149,13 @@ class RangedCounter:
 def ranged_running_count_job(events: DataFrame, key_cols: str | list[str], time_col: str, tiebreak_col: str,
                              checkpoint: str, output_path: str, *, idle_seconds: float = 300.0, event_time: bool = False,
                              buckets: int = 64, interval_seconds: float | None = 5, available_now: bool = False,
-                             wrap: Callable | None = None) -> StreamingQuery:
-    """T1 T2 T3 on a stream whose keys may be hot; state and offsets live beside each other below ``checkpoint``."""
+                             monitor: jobs.BatchMonitor | None = None) -> StreamingQuery:
+    """T1 T2 T3 A8(b) K6 on a stream whose keys may be hot; state and offsets live beside each other.
+
+    The monitor's total adds up the rows given out, count rows and timeouts.
+    """
+    monitor = monitor or jobs.BatchMonitor()
     counter = RangedCounter(key_cols, time_col, tiebreak_col, f"{checkpoint.rstrip('/')}_counts", output_path, idle_seconds,
-                            event_time, buckets)
-    return jobs.start(events, checkpoint, foreach_batch=wrap(counter) if wrap else counter,
-                      interval_seconds=interval_seconds, available_now=available_now)
+                            event_time, buckets, output=monitor.output)
+    return jobs.start(events, checkpoint, foreach_batch=monitor.within(counter), interval_seconds=interval_seconds,
+                      available_now=available_now)
