@@ -49,6 +49,32 @@ def test_links_find_every_component(spark, bits, bucket):
     assert groups(got) == groups(want)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_huge_buckets_are_split_by_further_segments(spark, monkeypatch, seed):
+    """One low half beside its neighbours, high halves in clusters: no pair of blocks sees a whole bucket."""
+    rng = random.Random(seed)
+    values = set()
+    for centre in (rng.getrandbits(32) for _ in range(4)):
+        while len(values) % 60 < 59:
+            high, low = centre, 77
+            for _ in range(rng.randint(0, 5)):
+                high ^= 1 << rng.randrange(32)
+            if rng.random() < 0.2:
+                low ^= 1 << rng.randrange(32)
+            values.add(high << 32 | low)
+        values.add(centre << 32 | 77 ^ 1 << 40)
+    values = sorted(values)
+    seen = []
+    plain = simhash._block_pairs
+    monkeypatch.setattr(simhash, "_block_pairs", lambda *a: (seen.append(plain(*a)), seen[-1])[1])
+    got = roots_of(spark, values, 3, bucket=4, huge=40, block=16)
+    want = components(values, near(values, 3))
+    groups = lambda m: sorted(sorted(v for v in m if m[v] == r) for r in set(m.values()))
+    assert groups(got) == groups(want)
+    compared = [len(p["sources"]) * len(p["members"]) for pairs in seen for p in pairs.collect()]
+    assert len(seen) == 2 and sum(compared) < len(values) ** 2
+
+
 def test_more_bits_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([], "fp long"), 4)

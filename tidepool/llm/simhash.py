@@ -14,6 +14,10 @@ A segment value that many fingerprints share (one template with small edits) wou
 give all pairs of its bucket. Buckets above ``BUCKET`` fingerprints are instead cut
 into blocks, and every pair of blocks is compared in one task that returns a spanning
 forest of the links it finds: at most as many edges as fingerprints, same components.
+Pairs of blocks grow with the square of a bucket, so one above ``HUGE`` fingerprints is
+first split by further segments: the other half has at most 3 bits of difference, so one
+of its two 16-bit quarters has at most one, and a probe enumerates the balls of radius 1
+of both. What then shares a table entry agrees in 48 bits: 65,536 fingerprints at most.
 
 Components: every node moves to its first neighbour in an order drawn anew each round
 and the edges are contracted, each round written to the shared folder, until no edge
@@ -52,6 +56,9 @@ SEGMENTS = (0, 32)         # first bit of each 32-bit segment
 LOW_HALF = 0xFFFFFFFF
 LANES = np.uint64(0x0101010101010101)
 BUCKET = 200               # fingerprints; larger buckets are compared block by block
+HUGE = 1 << 15             # fingerprints; larger buckets are split by two further segments
+BLOCK = 4096               # fingerprints of one side of a comparison
+SLICE = 256                # rows of the matrix of distances computed at once
 
 
 def _joined(data: np.ndarray, at: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -144,20 +151,25 @@ def _near(a: Column, b: Column, bits: int) -> Column:
 
 def star_edges(sources: np.ndarray, members: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges (a, b) joining what the links between two blocks connect: a star per component."""
-    near = np.bitwise_count(sources[:, None] ^ members[None, :]) <= bits
+    near = np.empty((len(sources), len(members)), bool)
+    for i in range(0, len(sources), SLICE):
+        near[i:i + SLICE] = np.bitwise_count(sources[i:i + SLICE, None] ^ members[None, :]) <= bits
     touched_s, touched_m = near.any(1), near.any(0)
     nodes = np.unique(np.concatenate((sources[touched_s], members[touched_m])))
     if not len(nodes):
         return nodes, nodes
     near = near[touched_s][:, touched_m]
     at_s, at_m = np.searchsorted(nodes, sources[touched_s]), np.searchsorted(nodes, members[touched_m])
-    label = np.arange(len(nodes))
+    label = np.arange(len(nodes), dtype=np.int32)
+    none = np.int32(len(nodes))
     while True:
         was = label.copy()
-        low = np.where(near, label[at_m][None, :], len(nodes)).min(1)
-        np.minimum.at(label, at_s, low)
-        low = np.where(near, label[at_s][:, None], len(nodes)).min(0)
-        np.minimum.at(label, at_m, low)
+        for i in range(0, len(near), SLICE):
+            low = np.where(near[i:i + SLICE], label[at_m][None, :], none).min(1)
+            np.minimum.at(label, at_s[i:i + SLICE], low)
+        for i in range(0, len(near), SLICE):
+            low = np.where(near[i:i + SLICE], label[at_s[i:i + SLICE]][:, None], none).min(0)
+            np.minimum.at(label, at_m, low)
         if (was == label).all():
             break
     moved = label != np.arange(len(nodes))
@@ -191,26 +203,62 @@ def _block_edges(probes: DataFrame, table: DataFrame, large: DataFrame, bits: in
     return pairs.repartition(n).mapInPandas(run, "a long, b long")
 
 
-def links(distinct: DataFrame, bits: int = 3, bucket: int = BUCKET) -> DataFrame:
-    """Edges (a, b) whose components are those of all links between fingerprints.
+def _other_half(bucket: Column) -> Column:
+    """The 32 bits of ``fp`` that the bucket's segment does not hold."""
+    return F.when(F.shiftright(bucket, 32) == 0, F.shiftrightunsigned("fp", 32)).otherwise(
+        F.col("fp").bitwiseAND(LOW_HALF))
 
-    ``distinct`` has one row per fp and is read several times: pass a written table.
-    The segments allow up to 3 bits (2 segments, radius 1).
+
+def _quarters(rows: DataFrame, huge: DataFrame, ball: bool) -> DataFrame:
+    """(bucket, fp): rows of huge buckets under either 16-bit quarter of their other half.
+
+    With ``ball`` also under each value one bit away. The new bucket is the old one (33 bits),
+    the quarter's number and its value.
+    """
+    bucket = F.col("bucket")
+    flips = F.array(*[F.lit(x).cast("long") for x in (0, *(1 << b for b in range(16)))]) if ball else F.array(
+        F.lit(0).cast("long"))
+
+    def under(quarter: int) -> Column:
+        value = F.shiftrightunsigned(_other_half(bucket), 16 * quarter).bitwiseAND(0xFFFF)
+        place = bucket.bitwiseOR(F.lit(quarter << 33).cast("long"))
+        return F.transform(flips, lambda x: place.bitwiseOR(F.shiftleft(value.bitwiseXOR(x), 34)))
+
+    return (rows.join(huge.select("bucket"), "bucket")
+            .select("fp", F.explode(F.concat(under(0), under(1))).alias("bucket")))
+
+
+def _linked(probes: DataFrame, table: DataFrame, bits: int, bucket: int, huge: int | None, block: int) -> DataFrame:
+    """Edges (a, b) of the components of all links between probes and table rows of one bucket.
+
+    ``huge``: None where buckets are bounded by themselves.
     """
-    if not 0 <= bits <= 3:
-        raise ValueError("two segments with radius 1 find distances up to 3")
-    table = _buckets(distinct)
     large = materialize(table.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket),
                         "large-buckets")
-    some = not large.isEmpty()
-    small = table.join(large, "bucket", "left_anti") if some else table
-    probes = _probes(distinct)
+    sizes = large.agg(F.count(F.lit(1)), F.max("n")).first()
+    small = table.join(large.select("bucket"), "bucket", "left_anti") if sizes[0] else table
     a, b = F.col("p.fp"), F.col("t.fp")
     found = (probes.alias("p").join(small.alias("t"), "bucket").where(_near(a, b, bits) & (a != b))
              .select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")))
-    if some:
-        found = found.unionByName(_block_edges(probes, table, large, bits, block=4096).where("a <> b"))
-    return found.distinct()
+    if sizes[0] and huge is not None and sizes[1] > huge:
+        split = large.where(F.col("n") > huge)
+        quarters = materialize(_quarters(table, split, ball=False), "quarters")
+        found = found.unionByName(_linked(_quarters(probes, split, ball=True), quarters, bits, bucket, None, block))
+        large = large.where(F.col("n") <= huge)
+    if sizes[0]:
+        found = found.unionByName(_block_edges(probes, table, large, bits, block).where("a <> b"))
+    return found
+
+
+def links(distinct: DataFrame, bits: int = 3, bucket: int = BUCKET, huge: int = HUGE, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) whose components are those of all links between fingerprints.
+
+    ``distinct`` has one row per fp and is read several times: pass a written table.
+    The segments allow up to 3 bits (2 segments, radius 1).
+    """
+    if not 0 <= bits <= 3:
+        raise ValueError("two segments with radius 1 find distances up to 3")
+    return _linked(_probes(distinct), _buckets(distinct), bits, bucket, huge, block).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
