@@ -73,24 +73,45 @@ def test_the_tree_is_that_of_a_plain_kd_tree(spark):
     """At every node: the widest dimension, and a cut at its weighted quantile up to the tolerance."""
     docs, shards = spark.read.parquet(f"{SF_ORACLE}/documents.parquet"), 12
     keyed, total = kd_shard.points(docs, shards)
-    placed, root = kd_shard.kd_tree(keyed, total, shards)
+    placed, tree = kd_shard.kd_tree(keyed, total, shards)
+    tree = {(r["node"], r["shards"]): r for r in tree.collect()}
     tolerance = kd_shard.CUT_TOLERANCE * total / shards
     cuts = []
 
-    def visit(node, part):
-        if node.left is None:
-            assert set(part["node"]) <= {node.first} and node.shards == 1
+    def visit(first, size, part):
+        if size == 1:
+            assert set(part["node"]) <= {first} and (first, size) not in tree
             return
+        dimension, cut = tree[first, size]["dimension"], tree[first, size]["cut"]
         spans = {d: (part[d].max() >> 32) - (part[d].min() >> 32) for d in kd_shard.DIMENSIONS}
-        assert spans[node.dimension] == max(spans.values())
-        left = part[part[node.dimension] <= node.cut]
-        goal = part["size"].sum() * (node.shards // 2) / node.shards
-        running = part.groupby(node.dimension)["size"].sum().sort_index().cumsum()
+        assert spans[dimension] == max(spans.values())
+        left = part[part[dimension] <= cut]
+        goal = part["size"].sum() * (size // 2) / size
+        running = part.groupby(dimension)["size"].sum().sort_index().cumsum()
         best = (running - goal).abs().min()
         assert abs(left["size"].sum() - goal) <= best + tolerance
-        cuts.append(node.dimension)
-        visit(node.left, left)
-        visit(node.right, part[part[node.dimension] > node.cut])
+        cuts.append(dimension)
+        visit(first, size // 2, left)
+        visit(first + size // 2, size - size // 2, part[part[dimension] > cut])
 
-    visit(root, placed.toPandas())
-    assert len(cuts) == shards - 1 and len(set(cuts)) > 1
+    visit(0, shards, placed.toPandas())
+    assert len(cuts) == shards - 1 == len(tree) and len(set(cuts)) > 1
+
+
+def test_many_shards_keep_a_small_plan(spark):
+    """A level's plan does not grow with its nodes."""
+    rows = [(i, "z" * (i % 90), f"l{i % 3}", f"s{i % 5}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    keyed, total = kd_shard.points(docs, 300)
+    sizes = []
+    for n in (4, 300):
+        nodes = spark.range(n).selectExpr("id as node", "2L as shards")
+        level = keyed.selectExpr("*", f"pmod(doc_id, {n}) as node")
+        plan = kd_shard._widest(level, nodes)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan.splitlines()))
+        assert kd_shard._cuts(level, nodes, 0.0).count() == n
+    assert sizes[0] == sizes[1]
+    got = kd_shard.kd_shards(docs, shards=300).toPandas()
+    check(got, 300)
+    by_shard = got.groupby("shard")["size"].sum()
+    assert by_shard.max() - by_shard.min() <= 3 * (90 + 16)

@@ -5,8 +5,9 @@ become k shards is cut, along its widest dimension, at the weighted quantile
 floor(k/2)/k of its bytes (the weighted median when k is even), until every leaf
 is one shard of the target size. Quantiles come from histograms that Spark sums
 (``BINS`` bins a node), refined inside the bin that holds the cut until that bin
-is negligible or a single key; only histograms and the tree (at most one cut a
-shard) reach the driver.
+is negligible or a single key. Nodes, histograms and cuts are tables: rows are joined
+with the nodes of a level (at most one row a shard, broadcast), and nothing of them
+reaches the driver.
 
 A cut compares one 63-bit key: 31 bits of the value and 32 bits that break ties.
 Equal texts share their key and so their shard, up to ``GROUP_SHARE`` of a shard's
@@ -85,95 +86,103 @@ def points(docs: DataFrame, shards: int) -> tuple[DataFrame, int]:
     return materialize(keyed, "keyed-points"), total
 
 
-class Node:
-    """A region that becomes ``shards`` shards, numbered from ``first``."""
+def _root(keyed: DataFrame, shards: int) -> DataFrame:
+    """The tree's table with its first row: a node becomes ``shards`` shards, numbered from ``node``."""
+    return keyed.sparkSession.createDataFrame([(0, shards)], "node long, shards long")
 
-    def __init__(self, first: int, shards: int):
-        self.first, self.shards = first, shards
-        self.dimension = self.cut = self.left = self.right = None
 
-    def leaves(self) -> list[Node]:
-        return [self] if self.left is None else [*self.left.leaves(), *self.right.leaves()]
+def _with(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows of the given nodes, with the nodes' columns; there are at most as many nodes as shards."""
+    return rows.join(F.broadcast(nodes), "node")
 
 
-def _widest(rows: DataFrame, open_nodes: dict[int, Node]) -> dict[int, tuple[str, int, int, int]]:
-    """Per node: its widest dimension, the key range there and its bytes."""
+def _widest(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Per node with rows: its widest dimension, the key range there and the bytes that go left."""
     ends = [f(d).alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("low", F.min), ("high", F.max))]
-    out = {}
-    for r in rows.groupBy("node").agg(F.sum("size").alias("bytes"), *ends).collect():
-        best = max(DIMENSIONS, key=lambda d: ((r[f"high_{d}"] >> 32) - (r[f"low_{d}"] >> 32), d == "k_id"))
-        if r["node"] in open_nodes:
-            out[r["node"]] = (best, r[f"low_{best}"], r[f"high_{best}"], r["bytes"])
-    return out
-
-
-def _by_node(values: dict[int, object], kind: str) -> Column:
-    out = F.lit(None).cast(kind)
-    for node, value in values.items():
-        out = F.when(F.col("node") == node, value if isinstance(value, Column) else F.lit(value)).otherwise(out)
-    return out
-
-
-def _cut(rows: DataFrame, open_nodes: dict[int, Node], tolerance: float) -> None:
-    """Set the cut of every open node: the key up to which rows go left."""
-    spans = _widest(rows, open_nodes)
-    state = {}
-    for node, (dimension, low, high, weight) in spans.items():
-        n = open_nodes[node]
-        n.dimension = dimension
-        state[node] = {"low": low, "high": high, "before": 0, "goal": weight * (n.shards // 2) / n.shards}
-    while state:
-        width = {n: max(1, -(-(s["high"] - s["low"] + 1) // BINS)) for n, s in state.items()}
-        key = _by_node({n: F.col(open_nodes[n].dimension) for n in state}, "long")
-        bins = (rows.where(F.col("node").isin(list(state)))
-                .select("node", "size", key.alias("key"), _by_node({n: s["low"] for n, s in state.items()}, "long")
-                        .alias("low"), _by_node({n: s["high"] for n, s in state.items()}, "long").alias("high"),
-                        _by_node(width, "long").alias("width"))
-                .where("key between low and high")
-                .groupBy("node", F.expr("(key - low) div width").alias("bin"))
-                .agg(F.sum("size").alias("bytes"), F.min("key").alias("first"), F.max("key").alias("last")).collect())
-        for node in list(state):
-            s = state[node]
-            last = None
-            for b in sorted((b for b in bins if b["node"] == node), key=lambda b: b["bin"]):
-                last = b
-                if s["before"] + b["bytes"] >= s["goal"]:
-                    break
-                s["before"] += b["bytes"]
-            if last is None:
-                open_nodes[node].cut = s["high"]
-            elif last["first"] == last["last"] or last["bytes"] <= tolerance:
-                takes = s["goal"] - s["before"] >= last["bytes"] / 2
-                open_nodes[node].cut = last["last"] if takes else last["first"] - 1
-            else:
-                s["low"], s["high"] = last["first"], last["last"]
-                continue
-            del state[node]
-
-
-def kd_tree(keyed: DataFrame, total: int, shards: int) -> tuple[DataFrame, Node]:
+    seen = _with(rows, nodes).groupBy("node", "shards").agg(F.sum("size").alias("bytes"), *ends)
+
+    def span(d: str) -> Column:
+        return F.shiftright(f"high_{d}", 32) - F.shiftright(f"low_{d}", 32)
+
+    # Ties: the id, then the first dimension of the list.
+    best = F.array_max(F.array(*[F.struct(
+        span(d).alias("span"), F.lit(len(DIMENSIONS) if d == "k_id" else -i).alias("order"),
+        F.lit(d).alias("dimension"), F.col(f"low_{d}").alias("low"), F.col(f"high_{d}").alias("high"))
+        for i, d in enumerate(DIMENSIONS)]))
+    goal = F.col("bytes") * F.floor(F.col("shards") / 2) / F.col("shards")
+    return (seen.withColumn("best", best)
+            .select("node", "best.dimension", "best.low", "best.high", F.lit(0).cast("long").alias("before"),
+                    goal.alias("goal")))
+
+
+def _key_of(dimension: Column) -> Column:
+    return F.coalesce(*[F.when(dimension == d, F.col(d)) for d in DIMENSIONS])
+
+
+def _refined(rows: DataFrame, nodes: DataFrame, tolerance: float) -> DataFrame:
+    """``nodes`` with the bin that holds the cut as the new range, or with the ``cut`` itself.
+
+    A histogram has at most BINS bins a node; its running sums are taken node by node, and
+    the bin where they reach the goal is the one row that is left of them.
+    """
+    key = _key_of(F.col("dimension"))
+    # As doubles: the whole range has 63 bits. Bins stay ranges of keys in ascending order.
+    width = F.ceil(((F.col("high") - F.col("low")).cast("double") + 1) / F.lit(BINS))
+    inside = _with(rows, nodes).withColumn("key", key).where("key between low and high")
+    bins = (inside.withColumn("bin", F.floor((F.col("key") - F.col("low")) / width))
+            .groupBy("node", "dimension", "before", "goal", "bin")
+            .agg(F.sum("size").alias("bytes"), F.min("key").alias("first"), F.max("key").alias("last")))
+    sums = Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = bins.withColumn("upto", F.col("before") + F.sum("bytes").over(sums))
+    # The first bin that reaches the goal, or the last of all if rounding leaves none.
+    short = F.col("upto") < F.col("goal")
+    chosen = reached.groupBy("node", "dimension", "goal").agg(F.min_by(
+        F.struct("bytes", "first", "last", "upto"),
+        F.struct(short, F.when(short, -F.col("bin")).otherwise(F.col("bin")))).alias("b"))
+    before = F.col("b.upto") - F.col("b.bytes")
+    small = (F.col("b.first") == F.col("b.last")) | (F.col("b.bytes") <= tolerance)
+    takes = F.col("goal") - before >= F.col("b.bytes") / 2
+    cut = F.when(small, F.when(takes, F.col("b.last")).otherwise(F.col("b.first") - 1))
+    return chosen.select("node", "dimension", F.col("b.first").alias("low"), F.col("b.last").alias("high"),
+                         before.alias("before"), "goal", cut.alias("cut"))
+
+
+def _cuts(rows: DataFrame, nodes: DataFrame, tolerance: float) -> DataFrame:
+    """(node, dimension, cut) of every node with rows: the key up to which they go left."""
+    found, state = None, materialize(_widest(rows, nodes), "kd-nodes")
+    while not state.isEmpty():
+        turn = materialize(_refined(rows, state, tolerance), "kd-cuts")
+        done = turn.where("cut is not null").select("node", "dimension", "cut")
+        found = done if found is None else found.unionByName(done)
+        state = turn.where("cut is null").drop("cut")
+    return found if found is not None else state.select("node", "dimension", F.col("low").alias("cut"))
+
+
+def kd_tree(keyed: DataFrame, total: int, shards: int) -> tuple[DataFrame, DataFrame]:
     """Cut level by level until each leaf is one shard: the rows with their ``node``, and the tree.
 
-    The rows with their new nodes are written to the shared folder after each of the
-    log2(shards) levels, so the plans stay as small as one level's cuts.
+    The tree is a table (node, shards, dimension, cut) of the nodes that were cut. Nodes,
+    histograms and cuts stay tables: a plan is as small for 100,000 shards as for 40. The rows
+    with their new nodes are written to the shared folder after each of the log2(shards) levels.
     """
-    root = Node(0, shards)
-    rows = keyed.withColumn("node", F.lit(0))
-    level = [root] if shards > 1 and total else []
-    while level:
-        open_nodes = {n.first: n for n in level}
-        _cut(rows, open_nodes, CUT_TOLERANCE * total / shards)
-        level, moved = [], F.col("node")
-        for n in open_nodes.values():
-            if n.cut is None:    # no rows in it
-                continue
-            half = n.shards // 2
-            n.left, n.right = Node(n.first, half), Node(n.first + half, n.shards - half)
-            goes_right = (F.col("node") == n.first) & (F.col(n.dimension) > n.cut)
-            moved = F.when(goes_right, F.lit(n.right.first)).otherwise(moved)
-            level += [x for x in (n.left, n.right) if x.shards > 1]
-        rows = materialize(rows.withColumn("node", moved), "kd-level")
-    return rows, root
+    rows = keyed.withColumn("node", F.lit(0).cast("long"))
+    nodes = _root(keyed, shards)
+    tree = nodes.where("false").selectExpr("node", "shards", "'' as dimension", "node as cut")
+    more = shards > 1 and total > 0
+    while more:
+        cuts = nodes.join(_cuts(rows, nodes, CUT_TOLERANCE * total / shards), "node")
+        cuts = materialize(cuts.select("node", "shards", "dimension", "cut"), "kd-tree")
+        half = F.floor(F.col("shards") / 2)
+        goes_right = _key_of(F.col("dimension")) > F.col("cut")
+        moved = F.when(goes_right, F.col("node") + half).otherwise(F.col("node"))
+        rows = materialize(rows.join(F.broadcast(cuts), "node", "left").select(
+            *keyed.columns, F.coalesce(moved, F.col("node")).alias("node")), "kd-level")
+        tree = tree.unionByName(cuts)
+        parts = F.explode(F.array(F.struct("node", half.alias("shards")),
+                                  F.struct((F.col("node") + half).alias("node"), (F.col("shards") - half).alias("shards"))))
+        nodes = cuts.select(parts.alias("part")).select("part.*").where("shards > 1")
+        more = not nodes.isEmpty()
+    return rows, tree
 
 
 def with_slots(rows: DataFrame) -> DataFrame:
