@@ -42,3 +42,23 @@ def test_query(spark):
     got = {tuple(r) for r in op5_substring_dedup(spark, SF_SMALL).collect()}
     assert got == {(d["doc_id"], n, gone, hashlib.sha256(kept.encode()).hexdigest())
                    for d, (n, gone, kept) in zip(docs, want, strict=True)}
+
+
+def test_rows_that_repeat_wholly_travel_once(spark, monkeypatch):
+    """2,000 equal rows: the block that has them gets one row with their number."""
+    text = " ".join(f"w{i % 40}" for i in range(60))
+    rows = [(1, text)] * 2000 + [(None, text)] * 3 + [(2, "left " + text), (3, "a b c")] + [(4, "d e f g h")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    compare(df, rows, 5)
+    batches = substring_dedup.once_a_batch(df.selectExpr("doc_id", "text", "xxhash64(text) as text_key"))
+    sent = batches.collect()
+    assert len(sent) <= 4 * 5 and sum(r["n"] for r in sent) == len(rows)
+
+
+def test_the_sum_needs_no_shuffle_of_its_own(spark):
+    """Texts cross the network once: one exchange by block, read by both groupings."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    found = substring_dedup.remove_repeats(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    by_text = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "text" in x]
+    assert not by_text, by_text

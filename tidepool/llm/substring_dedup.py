@@ -6,6 +6,11 @@ there. Two different windows are mistaken for each other only if both agree, so
 the chance falls as the number of groups grows with the data (about 1e-5 for any
 of 1e8 windows in 64 groups).
 
+Rows that repeat wholly (id and text) travel once with their number: each batch of the
+scan keeps one of them before the shuffle, and what batches have in common is summed behind
+it, row by row, before a block is put together. So a block has every row once, however
+often it repeats.
+
 The texts are dealt into blocks of about ``BLOCK_BYTES`` by a hash of the row. A
 block sends each group the hashes that fall to it as one packed array, each
 distinct hash once, so a window that a third of all texts share costs 8 bytes a
@@ -22,6 +27,8 @@ the text are read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +56,7 @@ class Windows:
 
     def __init__(self, rows: pa.Table, window: int, groups: int):
         self.rows = rows.sort_by([("doc_id", "ascending"), ("text_key", "ascending")])
+        times = np.asarray(self.rows.column("n"))
         self.data, self.at = text_buffer(self.rows.column("text"))
         self.start, self.end, self.first = words_of(self.data, self.at)
         words = word_hashes(self.data, self.start, self.end)
@@ -61,7 +69,8 @@ class Windows:
         new[1:] = (value[1:] != value[:-1]) | (group[1:] != group[:-1])
         self.order, self.place = order, np.cumsum(new) - 1
         self.value, self.group = value[new], group[new]
-        self.twice = np.bincount(self.place, minlength=len(self.value)) > 1
+        text_of = np.repeat(np.arange(len(times)), np.diff(self.first))
+        self.twice = np.bincount(self.place, times[text_of[self.word[order]]], len(self.value)) > 1
 
     def packed(self) -> tuple[np.ndarray, np.ndarray]:
         """(group, bounds): the groups with hashes here, and where theirs lie in ``value``."""
@@ -89,6 +98,22 @@ def repeated_in_group(parts: list[np.ndarray]) -> list[np.ndarray]:
     return [twice[np.minimum(np.searchsorted(twice, p), len(twice) - 1)] == p for p in parts]
 
 
+def once_a_batch(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text_key, ...) with ``n``, their number: of rows of a batch that agree in both one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = pa.Table.from_batches([batch]).append_column("at", pa.array(np.arange(batch.num_rows)))
+            found = whole.select(["doc_id", "text_key", "at"]).group_by(["doc_id", "text_key"]).aggregate(
+                [("at", "min"), ("at", "count")])
+            kept = batch if len(found) == len(whole) else batch.take(found.column("at_min").combine_chunks())
+            n = found.column("at_count").combine_chunks() if len(found) < len(whole) else pa.array(
+                np.ones(len(whole), np.int64))
+            yield pa.RecordBatch.from_arrays([*kept.columns, n], [*kept.schema.names, "n"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{kinds}, n long")
+
+
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
                    block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, spans (word intervals cut out, last exclusive) and kept (the rest)."""
@@ -100,6 +125,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     key = F.xxhash64(F.col(id_col), text)
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), text_key(text).alias("text_key"),
                        F.pmod(key, F.lit(blocks)).alias("block"))
+    # The shuffle by block also serves the sum, which then only streams, and both groupings below.
+    rows = (once_a_batch(rows).repartition("block").groupBy("block", "doc_id", "text_key", "text")
+            .agg(F.sum("n").alias("n")))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def send(table: pa.Table) -> pa.Table:
@@ -142,10 +170,13 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
         return pa.table({
             "doc_id": own.rows.column("doc_id"), "n_words": pa.array(np.diff(own.first).astype(np.int64)),
             "n_removed": pa.array((sums[own.first[1:]] - sums[own.first[:-1]]).astype(np.int64)), "spans": spans,
-            "kept": join_words(own.data, own.at, own.start, own.end, own.first, ~gone)})
+            "kept": join_words(own.data, own.at, own.start, own.end, own.first, ~gone), "n": own.rows.column("n")})
 
     by_block = rows.groupBy("block")
     sent = by_block.applyInArrow(send, "group long, block long, hashes binary")
     answers = sent.groupBy("group").applyInArrow(count, "block long, group long, bits binary")
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        cut, f"doc_id {kind}, n_words long, n_removed long, spans array<struct<first:int,last:int>>, kept string")
+    found = by_block.cogroup(answers.groupBy("block")).applyInArrow(
+        cut, f"doc_id {kind}, n_words long, n_removed long, spans array<struct<first:int,last:int>>, kept string, n long")
+    # One row for each that came.
+    return (found.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+            .drop("n", "nth"))
