@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
 from llm_helpers import EDGE_ROWS, edge_docs, no_docs  # noqa: F401
@@ -165,3 +166,46 @@ def test_thresholds_by_language_are_of_best_f1(monkeypatch):
     for language, limit in found.items():
         mask = np.array([language is None or x == language for x in languages])
         assert f1(mask, limit) == pytest.approx(max(f1(mask, s) for s in scores[mask]))
+
+
+def test_all_labelled_texts_are_learned_from(spark, monkeypatch):
+    """A word of a few texts is known although it is rarer than any sample would show; groups and reruns agree."""
+    for name, value in (("TRAIN_TEXTS", 20), ("TRAIN_WORDS", 400), ("GROUP_TEXTS", 50), ("EPOCHS", 2), ("LEAST_STEPS", 60)):
+        monkeypatch.setattr(toxicity, name, value, raising=False)
+    docs, labels = labelled(spark, 400)
+    rare = docs.withColumn("text", F.when(F.col("doc_id") % 80 == 8, F.concat("text", F.lit(" rare")))
+                           .otherwise(F.col("text")))
+    model = toxicity.fit(rare, labels)
+    assert model.embedding[plain_bucket(b"rare")].any()
+    again = toxicity.fit(rare.repartition(7, "text"), labels)
+    assert (model.embedding == again.embedding).all() and (model.weights == again.weights).all()
+    assert model[4:] == again[4:]
+    got = toxicity.score(docs, model).join(labels.withColumnRenamed("toxic", "truth"), "doc_id").toPandas()
+    assert ((got["score"] >= 0.5) == (got["truth"] == 1)).mean() > 0.98
+
+
+def test_groups_hold_every_labelled_row_once(spark, monkeypatch):
+    """Repeated labels and many equal rows included; a group that outgrows its bound becomes several."""
+    monkeypatch.setattr(toxicity, "GROUP_TEXTS", 10)
+    docs = spark.createDataFrame([(1, "a b", "en")] * 50 + [(2, "c", None), (3, None, "de")],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, 1)], "doc_id long, toxic int")
+    rows = toxicity.labelled_texts(docs, labels).withColumn("held", F.lit(None).cast("boolean"))
+    dealt = toxicity._dealt(rows, 2)
+    assert sorted(str(r["lang"]) for r in dealt.collect()) == ["None"] * 2 + ["de"] + ["en"] * 50
+    groups = list(toxicity._read_groups(iter(dealt.toArrow().to_batches())))
+    assert len({g.key for g in groups}) == len(groups) and max(len(g.texts) for g in groups) <= 20
+    found = sorted((len(t), y) for g in groups for t, y in zip(g.texts, g.labels.tolist(), strict=True))
+    assert found == sorted([(2, 1)] * 50 + [(1, 0)] * 2 + [(0, 1)])
+
+
+def test_thresholds_of_a_table_are_those_in_memory(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LANGUAGE_TEXTS", 20)
+    rng = np.random.default_rng(3)
+    languages = ["en"] * 200 + ["de"] * 200 + ["xx"] * 10 + [None] * 10 + [""] * 10
+    labels = rng.integers(0, 2, len(languages))
+    scores = np.round(np.clip(0.3 + 0.2 * labels + rng.normal(0, 0.08, len(labels)), 0, 1), 3)
+    rows = [(x, y, s) for x, y, s in zip(languages, labels.tolist(), scores.tolist(), strict=True)]
+    found = toxicity.thresholds(spark.createDataFrame(rows, "lang string, label long, score double").repartition(5))
+    plain = toxicity._thresholds(scores, labels, languages)
+    assert found.keys() == plain.keys() and all(found[k] == pytest.approx(plain[k]) for k in plain)
