@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,6 +80,74 @@ def test_cache_that_overflows_gives_the_same(own):
     assert [x.tolist() for x in small.encode(texts)] == [x.tolist() for x in own.encode_whole(texts)]
 
 
+def texts_of_all_kinds(n, seed):
+    rng = random.Random(seed)
+    words = ["aa", "bee.", "don't", "x1", "été,", "Ωμέγα", "слово!", "日本", "(a)", "a.b", "\u0590", "\u05d0b", "ﬀ", "ªº", "a\u0301",
+             "\x85z", "z\x85", "<|endoftext|>", "b<|endoftext|>.", "", "\n", "\t", "😀", *(f"w{'abcdefg'[i % 7]}{i}" for i in range(40))]
+    return ["".join(rng.choice(words) + rng.choice([" ", " ", " ", " ", "\n"]) for _ in range(rng.randint(0, 9)))
+            + rng.choice(["", "end"]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("chunk, most", [(1 << 22, None), (300, None), (300, 5), (1, 5)])
+def test_columns_of_texts(library, monkeypatch, chunk, most):
+    monkeypatch.setattr(pieces, "CHUNK_BYTES", chunk)
+    dac.library.cache_clear()
+    cache, texts = dac.library(PATH), texts_of_all_kinds(1500, 11)
+    cache.most = most or cache.most
+    texts[3:6] = [None, "", " "]
+    found = list(cache.chunks(pa.array(["cut off", *texts]).slice(1)))
+    dac.library.cache_clear()
+    want = [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert np.concatenate([c for _, c in found]).tolist() == list(map(len, want))
+    assert np.concatenate([i for i, _ in found]).tolist() == [i for ids in want for i in ids]
+
+
+def test_special_strings_with_spaces_rule_out_cutting(own):
+    cache = pieces.PieceCache(own.encode_whole, ("b c", "x\ny"))
+    asked = []
+    cache.encode_many = lambda texts: asked.extend(texts) or own.encode_whole(texts)
+    texts = ["a b c", "a b d", "x\ny", "y\nx"]
+    assert [x.tolist() for x in cache.encode(texts)] == [x.tolist() for x in own.encode_whole(texts)]
+    assert "a b c" in asked and "x\ny" in asked and "a b d" not in asked and "y\nx" not in asked
+
+
+def test_letters_that_make_words_are_those_of_the_library(library):
+    for c in map(chr, range(1, ord(pieces.OLD_LETTERS) + 1)):
+        if not c.isspace():
+            one = len(library.pre_tokenizer.pre_tokenize_str(f" a{c}b")) == 1
+            assert one == pieces.is_word(f"a{c}b"), hex(ord(c))
+    assert not pieces.is_word("日本") and not pieces.is_word("")
+
+
+def test_words_are_encoded_without_searching_for_words(library):
+    """Words of letters go to the model, once each, however often the cache overflows."""
+    dac.library.cache_clear()
+    cache = dac.library(PATH)
+    dac.library.cache_clear()
+    words, searched, known = [], [], cache.encode_words
+    cache.encode_words = lambda new: words.extend(new) or known(new)
+    cache.encode_many = lambda texts: searched.extend(texts) or [np.zeros(0, np.int32) for _ in texts]
+    cache.most = 60
+    got = [cache.encode([f"often Été nown{'abcdefghij'[i % 10]}{chr(97 + i // 10)} often"])[0] for i in range(200)]
+    assert searched == []
+    assert words.count(" often") == words.count(" Été") == 1 and words.count("often") == 1
+    assert got[7].tolist() == library.encode("often Été nownha often").ids
+
+
+def test_segments_end_with_the_document_that_fills_them(spark, scratch, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b " * (i % 40)) for i in range(300)], "doc_id long, text string")
+    monkeypatch.setattr(dac, "SEGMENT_IDS", 150)
+    dac.write_dac(docs, f"{scratch}/ends", PATH)
+    rows = spark.read.parquet(f"{scratch}/ends").orderBy("part", "seq").collect()
+    segments = [dac.Segment(bytes(r["segment"])) for r in rows]
+    assert [i for s in segments for i in s.doc_ids.tolist()] == list(range(300))
+    for row, one, after in zip(rows, segments, [*rows[1:], None], strict=True):
+        assert row["n_ids"] == one.n == one.counts.sum() and row["n_docs"] == len(one.counts)
+        assert (one.ids()[np.cumsum(one.counts) - 1] == 0).all()
+        assert one.n - one.counts[-1] < 150
+        assert one.n >= 150 or after is None or after["part"] != row["part"]
+
+
 def test_spark_round_trip(spark, edge_docs, library):
     got = bpe.decode(bpe.encode(edge_docs, PATH), PATH)
     assert sorted_rows(got) == sorted_rows(bpe.encode_decode(edge_docs, PATH))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidepool.llm.bpe import refuse_others
+from tidepool.llm.bpe import byte_letters, refuse_others
 from tidepool.llm.common import shared_path, text_key
 from tidepool.llm.pieces import PieceCache
 
@@ -161,7 +161,18 @@ def library(path: str) -> PieceCache:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.int32) for x in found]
 
-    return PieceCache(encode_many, added)
+    # The file's byte-level step turns a word's bytes to letters; its model takes the word from there.
+    model, letters = tokenizer.model, byte_letters()
+
+    def encode_words(words: list[str]) -> list[bytes]:
+        ids, last = [], []
+        for word in "\n".join(words).encode().decode("latin-1").translate(letters).split(letters[ord("\n")]):
+            ids += [t.id for t in model.tokenize(word)]
+            last.append(4 * len(ids))
+        raw = np.array(ids, np.int32).tobytes()
+        return [raw[a:b] for a, b in zip([0, *last[:-1]], last, strict=True)] if words else []
+
+    return PieceCache(encode_many, added, encode_words=encode_words)
 
 
 def write_dac(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id",
@@ -176,31 +187,34 @@ def write_dac(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_co
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, end = library(tokenizer), np.array([end_id], np.int32)
-        ids, doc_ids, held, seq, part = [], [], 0, 0, 0
+        cache = library(tokenizer)
+        ids, sizes, doc_ids, held, seq, part = [], [], [], 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            counts = np.array([len(x) for x in ids])
-            flat = np.concatenate(ids).view(np.uint32)
-            known = np.array([d if d is not None else np.iinfo(np.int64).min for d in doc_ids], np.int64)
-            raw = write_segment(known, counts, flat)
+            counts, flat = np.concatenate(sizes), np.concatenate(ids).view(np.uint32)
+            raw = write_segment(np.concatenate(doc_ids), counts, flat)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
                 "n_ids": pa.array([len(flat)], pa.int64()), "n_docs": pa.array([len(counts)], pa.int64()),
                 "segment": pa.array([raw], pa.binary())})
 
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                rows = batch.slice(first, 512)
-                part = rows.column("part")[0].as_py()
-                for d, x in zip(rows.column("doc_id").to_pylist(), cache.encode(rows.column("text").to_pylist()),
-                                strict=True):
-                    ids.append(np.concatenate((x, end)))
-                    doc_ids.append(d)
-                    held += len(x) + 1
-                    if held >= SEGMENT_IDS:
+            known, at = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(), 0
+            for found, counts in cache.chunks(batch.column("text")):
+                part = batch.column("part")[0].as_py()
+                found, counts = np.insert(found, np.cumsum(counts), end_id), counts + 1
+                while len(counts):
+                    # Up to the document that fills the segment, or all that there are.
+                    n = int(np.searchsorted(np.cumsum(counts), SEGMENT_IDS - held)) + 1
+                    taken, full = counts[:n], n <= len(counts)
+                    size = int(taken.sum())
+                    ids.append(found[:size])
+                    sizes.append(taken)
+                    doc_ids.append(known[at:at + len(taken)])
+                    held, at, found, counts = held + size, at + len(taken), found[size:], counts[n:]
+                    if full:
                         yield close()
-                        ids, doc_ids, held, seq = [], [], 0, seq + 1
+                        ids, sizes, doc_ids, held, seq = [], [], [], 0, seq + 1
         if ids:
             yield close()
 
